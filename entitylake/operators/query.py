@@ -29,7 +29,8 @@ class Navigation:
     ``left`` is the key column of the parent, ``right`` that of ``df``. To-many
     (``many``) gives an array of structs, to-one a struct. ``order_by`` orders
     the array by columns of ``df`` (ascending); ``count_only`` replaces it by the
-    number of related rows.
+    number of related rows. ``key`` is the primary key of ``df`` (default: all
+    its columns); it deals out the related rows of a parent with very many.
     """
 
     name: str
@@ -39,6 +40,7 @@ class Navigation:
     many: bool = False
     select: str | Sequence[str] | None = None
     order_by: Sequence[str] = field(default_factory=tuple)
+    key: Sequence[str] = field(default_factory=tuple)
     max_items: int = MAX_ITEMS
     count_only: bool = False
 
@@ -75,12 +77,14 @@ def query(
     rows = matching
     if count:
         rows = rows.withColumn(COUNT, matching.agg(F.count("*")).scalar())
-    if orderby:
-        rows = rows.orderBy(*sort_columns(sort_keys(orderby)))
+    order = sort_columns(sort_keys(orderby))
+    if order and (top or not navigations):
+        rows = rows.orderBy(*order)
     if top:
         rows = rows.limit(top)
     if navigations:
-        rows = _expanded(rows, navigations, top, orderby)
+        rows = _expanded(rows, navigations, top)
+        rows = rows.orderBy(*order) if order else rows
     if chosen:
         extra = [name for nav in navigations for name in _added(nav)] + ([COUNT] if count else [])
         rows = rows.select(*[named(name) for name in [*chosen, *extra]])
@@ -91,9 +95,7 @@ def _is_blank(text: Column | str) -> bool:
     return isinstance(text, str) and not text.strip()
 
 
-def _expanded(
-    rows: DataFrame, navigations: Sequence[Navigation], top: int | None, orderby: OrderBy | None
-) -> DataFrame:
+def _expanded(rows: DataFrame, navigations: Sequence[Navigation], top: int | None) -> DataFrame:
     """Expand, after cutting related rows down to those the ``top`` parents need.
 
     The parents are checkpointed then: a limit may choose other rows when it is
@@ -105,8 +107,6 @@ def _expanded(
         navigations = [_restricted(nav, rows, top) for nav in navigations]
     for nav in navigations:
         rows = expand_many(rows, nav) if nav.many else expand_one(rows, nav)
-    if orderby:
-        rows = rows.orderBy(*sort_columns(sort_keys(orderby)))
     return rows
 
 
@@ -152,6 +152,7 @@ def expand_many(parents: DataFrame, nav: Navigation) -> DataFrame:
     """
     related = nav.df.select(
         named(nav.right).alias("__key"),
+        F.xxhash64(*[named(name) for name in nav.key or nav.df.columns]).alias("__deal"),
         F.struct(
             *[named(name).alias(f"__o{i}") for i, name in enumerate(nav.order_by)],
             F.struct(*[named(name) for name in nav.fields()]).alias("item"),
@@ -177,7 +178,7 @@ def expand_many(parents: DataFrame, nav: Navigation) -> DataFrame:
         related.join(keys, "__key", "left_anti"),
         nav,
     )
-    page = F.pmod(F.xxhash64("__item"), F.col("__pages")).cast("int") + 1
+    page = F.pmod(F.col("__deal"), F.col("__pages")).cast("int") + 1
     paged = (
         related.join(keys, "__key")
         .groupBy("__key", page.alias(f"{nav.name}@page"))

@@ -31,7 +31,8 @@ def upsert(base: DataFrame, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def skip_done(work: DataFrame, done: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The rows of ``work`` whose key is not in ``done``."""
-    return work.join(done.select(*[named(key) for key in keys]), list(keys), "left_anti")
+    done_keys = done.select(*[named(key) for key in keys]).distinct()
+    return work.join(done_keys, list(keys), "left_anti")
 
 
 def fresh_rows(df: DataFrame, column: str, as_of: datetime, ttl: timedelta) -> DataFrame:
