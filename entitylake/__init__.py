@@ -9,6 +9,7 @@ Every operator takes and returns DataFrames; see the sub-packages:
 ``plans``      the composites: extraction, reports, attribute dictionary
 """
 
+from entitylake.lake import Lake
 from entitylake.session import local_session, scratch_dir
 
-__all__ = ["local_session", "scratch_dir"]
+__all__ = ["Lake", "local_session", "scratch_dir"]

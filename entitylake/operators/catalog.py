@@ -232,9 +232,9 @@ def entity_profile(
 ) -> DataFrame:
     """One row per entity: endpoint, count, estimated pages, date and time fields, label.
 
-    ``endpoints`` and ``counts`` are keyed by MetadataId, ``fields`` is the
-    output of ``time_fields``, keyed by entity. ``catalog_size`` is the number
-    of entities.
+    ``endpoints`` and ``counts`` are keyed by MetadataId. ``fields`` is the output
+    of ``time_fields`` for the records behind the endpoints, its entity being the
+    endpoint. ``catalog_size`` is the number of entities.
     """
     display, _ = display_labels()
     rows = (
@@ -250,7 +250,7 @@ def entity_profile(
                 for flag, name in (("is_date", "date_fields"), ("is_time", "time_fields"))
             ]
         )
-        rows = rows.join(lists, ENTITY, "left")
+        rows = rows.join(lists.withColumnRenamed(ENTITY, "endpoint"), "endpoint", "left")
         extra = ["date_fields", "time_fields"]
     count = F.coalesce("record_count", F.lit(0))
     return rows.select(
@@ -263,7 +263,10 @@ def entity_profile(
         estimated_pages(count, size).alias("estimated_pages"),
         *extra,
         F.format_string(
-            "%s<Endpoint=%s, Count=%d>", F.col("display_name"), F.col("endpoint"), count
+            "%s<Endpoint=%s, Count=%d>",
+            F.coalesce("display_name", F.lit("None")),
+            F.coalesce("endpoint", F.lit("None")),
+            count,
         ).alias("label"),
         definitions.agg(F.count("*")).scalar().alias("catalog_size"),
     )

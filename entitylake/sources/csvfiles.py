@@ -10,8 +10,9 @@ CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"', "multiLine": True}
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """Save a report; times keep their microseconds."""
+    """Save a report; texts keep their outer blanks, times their microseconds."""
     writer = df.write.mode("overwrite").options(header=True, quote='"', escape='"')
+    writer = writer.options(ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
     writer.option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").csv(path)
 
 

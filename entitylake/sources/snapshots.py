@@ -20,12 +20,13 @@ BASE_URL = "base_url"
 TIME = "last_updated"
 
 
-def read_environments(spark: SparkSession, path: str) -> DataFrame:
-    """JSON files ``{base_url: {last_updated, endpoints, record_counts, entities}}`` as rows.
+def read_environments(spark: SparkSession, path: str, whole_files: bool = True) -> DataFrame:
+    """JSON documents ``{base_url: {last_updated, endpoints, record_counts, entities}}`` as rows.
 
-    A malformed or empty file counts as an empty one.
+    There is one document per file, or per line. A malformed or empty one
+    counts as empty.
     """
-    files = spark.read.option("wholetext", True).text(path)
+    files = spark.read.option("wholetext", whole_files).text(path)
     keyed = json_value(F.col("value"), T.MapType(T.StringType(), ENVIRONMENT))
     rows = files.select(F.explode(keyed).alias(BASE_URL, "state"))
     return rows.select(BASE_URL, *[f"state.{name}" for name in ENVIRONMENT.fieldNames()])
@@ -36,6 +37,13 @@ def environment(rows: DataFrame, base_url: str) -> DataFrame:
     return rows.filter(F.col(BASE_URL) == base_url).withColumn(TIME, parsed_time(F.col(TIME)))
 
 
+def write_environments(rows: DataFrame, path: str) -> None:
+    """Rows as read by ``read_environments``, one JSON document per line."""
+    state = F.struct(*[F.col(name) for name in rows.columns if name != BASE_URL])
+    document = F.to_json(F.create_map(F.col(BASE_URL), state), JSON_OPTIONS)
+    rows.select(document.alias("value")).write.mode("overwrite").text(path)
+
+
 def snapshot_rows(df: DataFrame, base_url: Column, entity: Column, count: Column, updated: Column) -> DataFrame:
     """Rows of the snapshot table, with the time printed as snapshots do."""
     return df.select(
