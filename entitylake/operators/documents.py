@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,7 +24,9 @@ def parse_documents(df: DataFrame, column: str, schema: T.StructType, out: str =
         [*fields, T.StructField(ERROR, ERROR_BODY), T.StructField(CORRUPT, T.StringType())]
     )
     options = {**READ_OPTIONS, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    parsed = df.withColumn("__parsed", F.from_json(named(column), whole, options))
+    # As the output of a generator the parsed document stays one expression; as a
+    # plain column it would be copied, and parsed again, into every later filter.
+    parsed = df.select("*", F.explode(F.array(F.from_json(named(column), whole, options))).alias("__parsed"))
     body = F.col("__parsed")
     corrupt = body.isNull() | body[CORRUPT].isNotNull()
     status = F.when(corrupt, "corrupt").when(body[ERROR].isNotNull(), "error").otherwise("ok")
@@ -39,16 +41,13 @@ def parse_documents(df: DataFrame, column: str, schema: T.StructType, out: str =
 
 def data_only(df: DataFrame, strict: bool = False) -> DataFrame:
     """The documents that are data. ``strict`` fails the job at the first error envelope."""
+    good = F.col(STATUS) == "ok"
     if strict:
         message = F.concat_ws(": ", F.lit("error page"), F.col(f"{ERROR}.code"), F.col(f"{ERROR}.message"))
-        df = df.filter(_unless(F.col(STATUS) == "error", message))
-    return df.filter(F.col(STATUS) == "ok")
+        good = F.when(F.col(STATUS) == "error", F.raise_error(message).cast("boolean")).otherwise(good)
+    return df.filter(good)
 
 
 def quarantine(df: DataFrame) -> DataFrame:
     """The documents that are not data, with their status."""
     return df.filter(F.col(STATUS) != "ok")
-
-
-def _unless(wrong: Column, message: Column) -> Column:
-    return F.when(wrong, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))

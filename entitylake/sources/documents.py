@@ -15,7 +15,7 @@ def read_documents(
     spark: SparkSession, path: str, schema: T.StructType, whole_files: bool = False
 ) -> DataFrame:
     """One document per line (or per file); malformed ones are kept with their text and status."""
-    texts = spark.read.option("wholetext", whole_files).text(path)
+    texts = spark.read.text(path, wholetext=whole_files)
     return parse_documents(texts.withColumnRenamed("value", "raw"), "raw", schema)
 
 

@@ -26,7 +26,7 @@ def read_environments(spark: SparkSession, path: str, whole_files: bool = True)
     There is one document per file, or per line. A malformed or empty one
     counts as empty.
     """
-    files = spark.read.option("wholetext", whole_files).text(path)
+    files = spark.read.text(path, wholetext=whole_files)
     keyed = json_value(F.col("value"), T.MapType(T.StringType(), ENVIRONMENT))
     rows = files.select(F.explode(keyed).alias(BASE_URL, "state"))
     return rows.select(BASE_URL, *[f"state.{name}" for name in ENVIRONMENT.fieldNames()])
