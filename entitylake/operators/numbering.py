@@ -41,7 +41,7 @@ from entitylake.functions.ordering import (
     splittable,
 )
 
-ROWS_PER_BLOCK = 1_000_000
+ROWS_PER_BLOCK = 200_000
 MAX_BLOCKS = 16_384
 MAX_BOUNDS = 65_536
 BLOCK = "__block"
@@ -203,8 +203,21 @@ def _collectable(df: DataFrame, names: Sequence[str]) -> list[Column]:
 
 
 def with_block(df: DataFrame, blocks: Blocks) -> DataFrame:
-    """Add the index of each row's block."""
-    return _with_position(df, blocks.keys, _key_columns(df, blocks.keys), blocks.ends, BLOCK)
+    """Add the index of each row's block, and make every block one partition.
+
+    Blocks go to partitions by their index; by a hash, some tasks would get
+    several of them and others none.
+
+    A single block is treated alike, though its index is computed as zero from a
+    key and there is an empty second partition. With a constant, and so a single
+    partition per entity, Spark would run a union of many entities in one task.
+    """
+    if blocks.ends:
+        marked = _with_position(df, blocks.keys, _key_columns(df, blocks.keys), blocks.ends, BLOCK)
+    else:
+        zero = F.xxhash64(named(blocks.keys[0].name)).bitwiseAND(F.lit(0)).cast("int")
+        marked = df.withColumn(BLOCK, zero)
+    return marked.repartitionById(max(2, blocks.count), F.col(BLOCK))
 
 
 def number_in_blocks(df: DataFrame, blocks: Blocks, out: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -50,6 +51,7 @@ KEPT_ATTRIBUTES = [
 ]
 # --------------------------------------------------------------------------
 
+DISTINCT = "__distinct"
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 TIMES = (T.DateType, T.TimestampType, T.TimestampNTZType)
 NESTED = (T.ArrayType, T.MapType, T.StructType)
@@ -77,62 +79,69 @@ def _measures(item: T.StructField, prefix: str) -> list[Column]:
 def _row(item: T.StructField, prefix: str) -> Column:
     dtype = item.dataType
 
-    def measure(kind: str, wanted: tuple, type_: str) -> Column:
-        present = isinstance(dtype, wanted)
+    def measure(kind: str, present: bool, type_: str) -> Column:
         return (F.col(f"{prefix}_{kind}") if present else F.lit(None)).cast(type_)
 
+    text, number, time = (isinstance(dtype, kinds) for kinds in ((T.StringType,), NUMERIC, TIMES))
     precision = dtype.scale if isinstance(dtype, T.DecimalType) else None
     return F.struct(
         F.lit(item.name).alias("field"),
         F.lit(attribute_type(dtype)).alias("attribute_type"),
         F.col(f"{prefix}_filled").alias("n_records"),
         (F.col("total") - F.col(f"{prefix}_filled")).alias("n_nulls"),
-        measure("length", (T.StringType,), "bigint").alias("max_length"),
-        measure("bytes", (T.StringType,), "bigint").alias("database_length"),
-        measure("min", NUMERIC, "double").alias("min_value"),
-        measure("max", NUMERIC, "double").alias("max_value"),
-        measure("min", TIMES, "string").alias("min_time"),
-        measure("max", TIMES, "string").alias("max_time"),
+        measure("length", text, "bigint").alias("max_length"),
+        measure("bytes", text, "bigint").alias("database_length"),
+        measure("min", number, "double").alias("min_value"),
+        measure("max", number, "double").alias("max_value"),
+        measure("min", time, "string").alias("min_time"),
+        measure("max", time, "string").alias("max_time"),
         F.lit(precision).cast("int").alias("precision"),
+        measure("distinct", not isinstance(dtype, NESTED), "bigint").alias(DISTINCT),
     )
 
 
-def attribute_profile(df: DataFrame, entity: str) -> DataFrame:
-    """One row per column: type, lengths, bounds, null count, and whether it is unique.
-
-    One pass measures all columns. Whether a column identifies its records needs
-    an exact answer, which a sketch cannot give; but the sketch of that pass
-    rules out all columns with far fewer values than records. Only the rest are
-    grouped, one narrow scan each.
-    """
-    fields = [item for item in df.schema.fields]
-    prefixes = [f"c{i}" for i in range(len(fields))]
-    measures = [m for item, prefix in zip(fields, prefixes) for m in _measures(item, prefix)]
+def _measured(df: DataFrame, entity: str) -> DataFrame:
+    """One row per column, from one pass over the table."""
+    prefixed = [(item, f"c{i}") for i, item in enumerate(df.schema.fields)]
+    measures = [measure for item, prefix in prefixed for measure in _measures(item, prefix)]
     totals = df.agg(F.count("*").alias("total"), *measures)
-    row = totals.first()
-
-    schema = totals.schema
-    known = df.sparkSession.createDataFrame([row], schema)
-    rows = known.select(
-        F.lit(entity).alias(ENTITY),
-        F.inline(F.array(*[_row(item, prefix) for item, prefix in zip(fields, prefixes)])),
+    return totals.select(
+        F.lit(entity).alias(ENTITY), F.inline(F.array(*[_row(item, prefix) for item, prefix in prefixed]))
     )
-    maybe = [
-        item.name
-        for item, prefix in zip(fields, prefixes)
-        if not isinstance(item.dataType, NESTED)
-        and row["total"] > 0
-        and row[f"{prefix}_filled"] == row["total"]
-        and row[f"{prefix}_distinct"] >= row["total"] / 2
+
+
+def attribute_profiles(frames: Mapping[str, DataFrame]) -> DataFrame:
+    """One row per column of every entity: type, lengths, bounds, null count, uniqueness.
+
+    One pass per table measures all its columns. Whether a column identifies its
+    records needs an exact answer, which a sketch cannot give; but the sketch of
+    that pass rules out all columns with far fewer values than records. Only the
+    rest are grouped, one narrow scan each. What comes to the driver between the
+    two is a row per column.
+    """
+    measured = reduce(DataFrame.unionByName, [_measured(df, entity) for entity, df in frames.items()])
+    rows = measured.collect()
+    spark = measured.sparkSession
+    profile = spark.createDataFrame(rows, measured.schema).drop(DISTINCT)
+    checks = [
+        _repeats(frames[row[ENTITY]], row["field"])
+        .agg((F.count("*") == 0).alias("is_unique"))
+        .select(F.lit(row[ENTITY]).alias(ENTITY), F.lit(row["field"]).alias("field"), "is_unique")
+        for row in rows
+        if row["n_nulls"] == 0 and row["n_records"] > 0 and (row[DISTINCT] or 0) >= row["n_records"] / 2
     ]
-    unique = _unique_columns(df, maybe)
-    if unique is None:
-        return rows.withColumn("is_unique", F.lit(False))
-    return rows.join(F.broadcast(unique), "field", "left").withColumn(
+    if not checks:
+        return profile.withColumn("is_unique", F.lit(False))
+    unique = reduce(DataFrame.unionByName, checks)
+    return profile.join(F.broadcast(unique), [ENTITY, "field"], "left").withColumn(
         "is_unique", F.coalesce("is_unique", F.lit(False))
     )
 
 
+def attribute_profile(df: DataFrame, entity: str) -> DataFrame:
+    return attribute_profiles({entity: df})
+
+
 def _repeats(df: DataFrame, name: str) -> DataFrame:
     """Values of a column that occur more than once.
 
@@ -147,36 +156,31 @@ def _repeats(df: DataFrame, name: str) -> DataFrame:
     return values.groupBy("v").agg(F.count("*").alias("n")).filter("n > 1")
 
 
-def _unique_columns(df: DataFrame, names: list[str]) -> DataFrame | None:
-    parts = [
-        _repeats(df, name)
-        .agg((F.count("*") == 0).alias("is_unique"))
-        .select(F.lit(name).alias("field"), "is_unique")
-        for name in names
-    ]
-    return reduce(DataFrame.unionByName, parts) if parts else None
-
-
 def _label(text: Column) -> Column:
     return F.struct(F.struct(text.alias("Label")).alias("UserLocalizedLabel"))
 
 
-def attribute_documents(profile: DataFrame, targets: dict[str, list[str]] | None = None) -> DataFrame:
+def attribute_documents(
+    profile: DataFrame, targets: Mapping[str, Mapping[str, list[str]]] | None = None
+) -> DataFrame:
     """A profile as nested attribute documents, the shape attribute metadata has.
 
-    ``targets`` gives the entities a lookup column refers to. What only a server
-    could know (format, input mode, parent attribute) is null.
+    ``targets`` gives, per entity and lookup column, the entities referred to.
+    What only a server could know (format, input mode, parent attribute) is null.
     """
+    null = F.lit(None)
+    key = F.concat_ws(".", ENTITY, "field")
     pairs = [
-        (F.lit(name), F.array(*[F.lit(one) for one in found])) for name, found in (targets or {}).items()
+        (F.lit(f"{entity}.{name}"), F.array(*[F.lit(one) for one in found]))
+        for entity, lookups in (targets or {}).items()
+        for name, found in lookups.items()
     ]
-    null = F.lit(None)
-    lookup = F.col("field").isin(list(targets or {}))
+    referred = F.try_element_at(F.create_map(*[c for pair in pairs for c in pair]), key) if pairs else null
     columns = {
         "LogicalName": F.lower("field"),
         "SchemaName": F.col("field"),
         "EntityLogicalName": F.col(ENTITY),
-        "AttributeType": F.when(lookup, F.lit("Lookup")).otherwise(F.col("attribute_type")),
+        "AttributeType": F.when(referred.isNotNull(), F.lit("Lookup")).otherwise(F.col("attribute_type")),
         "MaxLength": F.col("max_length"),
         "DatabaseLength": F.col("database_length"),
         "Precision": F.col("precision"),
@@ -187,7 +191,7 @@ def attribute_documents(profile: DataFrame, targets: dict[str, list[str]] | None
         "IsPrimaryId": F.col("is_unique"),
         "IsPrimaryName": F.lit(False),
         "IsCustomAttribute": F.lit(False),
-        "Targets": F.create_map(*[c for pair in pairs for c in pair])[F.col("field")] if pairs else null,
+        "Targets": referred,
         "DisplayName": _label(F.initcap(F.replace(F.col("field"), F.lit("_"), F.lit(" ")))),
         "Description": _label(null.cast("string")),
     }

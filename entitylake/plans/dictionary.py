@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from entitylake.operators.profile import KEPT_ATTRIBUTES, attribute_documents, attribute_profile
+from entitylake.operators.profile import KEPT_ATTRIBUTES, attribute_documents, attribute_profiles
 from entitylake.operators.reshape import flatten, keep_columns
 from entitylake.sources.csvfiles import write_csv
 from entitylake.sources.documents import read_attributes, write_attributes
@@ -24,20 +23,15 @@ def attribute_dictionary(
     entities: Sequence[str],
     path: str,
     csv_path: str | None = None,
-    targets: Mapping[str, dict[str, list[str]]] | None = None,
+    targets: Mapping[str, Mapping[str, list[str]]] | None = None,
 ) -> DataFrame:
     """Profile the allowed ``entities``, save their attribute documents, return the table.
 
     ``targets`` gives, per entity, the entities its lookup columns refer to.
     """
-    targets = targets or {}
-    documents = [
-        attribute_documents(attribute_profile(tables[name], name), targets.get(name))
-        for name in entities
-    ]
-    write_attributes(reduce(DataFrame.unionByName, documents), path)
-    spark = documents[0].sparkSession
-    saved = read_attributes(spark, path).filter(F.col("EntityLogicalName").isin(list(entities)))
+    documents = attribute_documents(attribute_profiles({name: tables[name] for name in entities}), targets)
+    write_attributes(documents, path)
+    saved = read_attributes(documents.sparkSession, path).filter(F.col("EntityLogicalName").isin(list(entities)))
     table = dictionary_table(saved)
     if csv_path is not None:
         write_csv(table.withColumn("Targets", F.concat_ws(";", "Targets")), csv_path)

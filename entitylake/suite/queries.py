@@ -435,11 +435,7 @@ def entity_profile(t: Tables) -> DataFrame:
 
 @registered
 def attribute_profile(t: Tables) -> DataFrame:
-    profiles = [
-        profile.attribute_profile(df, name)
-        for name, df in {"customer": t.customer, "orders": t.orders, "pages": t.pages}.items()
-    ]
-    return profiles[0].unionByName(profiles[1]).unionByName(profiles[2])
+    return profile.attribute_profiles({"customer": t.customer, "orders": t.orders, "pages": t.pages})
 
 
 # --- keyed tables and snapshots -------------------------------------------

@@ -69,7 +69,7 @@ def test_no_task_gets_all_rows(table):
     blocks = numbering.cut_blocks(table, "text, id", rows_per_block=500)
     plan = plan_of(numbering.number_in_blocks(table, blocks, "n"))
     assert "SinglePartition" not in plan
-    assert plan.count("Exchange hashpartitioning(__block") == 1
+    assert plan.count("direct_shuffle_partition_id(__block") == 1 and "hashpartitioning" not in plan
 
 
 def test_small_and_empty_tables(spark, table):
