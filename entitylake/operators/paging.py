@@ -107,15 +107,16 @@ def _envelopes(pages: DataFrame, entity: str, last: int) -> DataFrame:
     )
 
 
-def page_links(
-    df: DataFrame, entity: str, order_by: OrderBy, size: int = PAGE_SIZE, rows_per_block: int = ROWS_PER_BLOCK
-) -> DataFrame:
-    """Number, record count and link of every page, without the records."""
-    keys = sort_keys(order_by)
-    paged = _cut(df.select(*[named(key.name) for key in keys]), keys, size, rows_per_block, None)
-    pages = paged.rows.groupBy(BLOCK, PAGE_NUMBER).agg(F.count("*").alias("n_records"))
-    link = page_link(F.lit(entity), F.col(PAGE_NUMBER), paged.pages)
-    return pages.select(F.col(PAGE_NUMBER), F.col("n_records"), link.alias("next_link"))
+def page_links(df: DataFrame, entity: str, size: int = PAGE_SIZE) -> DataFrame:
+    """Number, record count and link of every page. Only the rows' number is needed for it."""
+    total = df.count()
+    pages = max(1, -(-total // size))
+    number = F.col(PAGE_NUMBER)
+    return df.sparkSession.range(1, pages + 1).select(F.col("id").alias(PAGE_NUMBER)).select(
+        number,
+        F.least(F.lit(size), F.lit(total) - (number - 1) * size).cast("bigint").alias("n_records"),
+        page_link(F.lit(entity), number, pages).alias("next_link"),
+    )
 
 
 def first_page(df: DataFrame, order_by: OrderBy, size: int = PAGE_SIZE) -> DataFrame:

@@ -52,6 +52,7 @@ KEPT_ATTRIBUTES = [
 # --------------------------------------------------------------------------
 
 DISTINCT = "__distinct"
+LONG_TEXT = 64
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 TIMES = (T.DateType, T.TimestampType, T.TimestampNTZType)
 NESTED = (T.ArrayType, T.MapType, T.StructType)
@@ -124,7 +125,7 @@ def attribute_profiles(frames: Mapping[str, DataFrame]) -> DataFrame:
     spark = measured.sparkSession
     profile = spark.createDataFrame(rows, measured.schema).drop(DISTINCT)
     checks = [
-        _repeats(frames[row[ENTITY]], row["field"])
+        _repeats(frames[row[ENTITY]], row["field"], row["database_length"])
         .agg((F.count("*") == 0).alias("is_unique"))
         .select(F.lit(row[ENTITY]).alias(ENTITY), F.lit(row["field"]).alias("field"), "is_unique")
         for row in rows
@@ -142,18 +143,15 @@ def attribute_profile(df: DataFrame, entity: str) -> DataFrame:
     return attribute_profiles({entity: df})
 
 
-def _repeats(df: DataFrame, name: str) -> DataFrame:
+def _repeats(df: DataFrame, name: str, longest: int | None) -> DataFrame:
     """Values of a column that occur more than once.
 
-    Long values are not moved for it: their hashes are counted first, and only
-    rows with a repeated hash are compared by value.
+    Long texts are compared by their SHA-256 digests, so that they need not move.
     """
-    values = df.select(named(name).alias("v"))
-    if isinstance(df.schema[name].dataType, (T.StringType, T.BinaryType)):
-        values = values.withColumn("h", F.xxhash64("v"))
-        repeated = values.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h")
-        values = values.join(repeated, "h", "left_semi")
-    return values.groupBy("v").agg(F.count("*").alias("n")).filter("n > 1")
+    value = named(name)
+    if longest is not None and longest > LONG_TEXT:
+        value = F.unhex(F.sha2(value, 256))
+    return df.select(value.alias("v")).groupBy("v").agg(F.count("*").alias("n")).filter("n > 1")
 
 
 def _label(text: Column) -> Column:

@@ -12,9 +12,10 @@ from __future__ import annotations
 from collections.abc import Iterable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import DataStreamReader
 
 from entitylake.functions.columns import named
 from entitylake.functions.jsontext import READ_OPTIONS, json_text
@@ -56,21 +57,44 @@ def write_pages(envelopes: DataFrame | Iterable[DataFrame], path: str) -> None:
     _write_lines([page_lines(frame) for frame in frames], path)
 
 
-def _located(reader: DataFrame, schema: T.StructType, entity: str | None) -> DataFrame:
-    """Add status, and drop the raw text of the document unless it is corrupt."""
+def _page_schema(record: T.DataType | None, *more: T.StructField) -> T.StructType:
+    fields = [*envelope(record).fields, T.StructField(CORRUPT, T.StringType()), *more]
+    return T.StructType(fields)
+
+
+def _with_status(pages: DataFrame, entity: str | None) -> DataFrame:
     status = (
         F.when(F.col(CORRUPT).isNotNull(), "corrupt")
         .when(F.col(ERROR).isNotNull(), "error")
         .otherwise("ok")
     )
-    rows = reader.withColumn(STATUS, status)
+    rows = pages.withColumn(STATUS, status)
     return rows if entity is None else rows.filter(F.col(ENTITY) == entity)
 
 
-def _page_schema(record: T.DataType | None) -> T.StructType:
-    return T.StructType(
-        [*envelope(record).fields, T.StructField(CORRUPT, T.StringType()), T.StructField(ENTITY, T.StringType())]
+def load_pages(
+    reader: DataFrameReader | DataStreamReader, path: str, record: T.DataType | None = None, entity: str | None = None
+) -> DataFrame:
+    """Pages of a lake written by ``write_pages``, as a table or as a stream."""
+    schema = _page_schema(record, T.StructField(ENTITY, T.StringType()))
+    pages = reader.schema(schema).options(**READ_OPTIONS).option("columnNameOfCorruptRecord", CORRUPT)
+    return _with_status(pages.json(path), entity)
+
+
+def load_page_files(
+    reader: DataFrameReader | DataStreamReader, path: str, record: T.DataType | None = None, entity: str | None = None
+) -> DataFrame:
+    """Pages in the one-file-per-page layout, entity and number from the file names."""
+    schema = T.StructType([item for item in _page_schema(record).fields if item.name != PAGE_NUMBER])
+    options = {"columnNameOfCorruptRecord": CORRUPT, "multiLine": True, "recursiveFileLookup": True}
+    pages = reader.schema(schema).options(**READ_OPTIONS, **options).json(path)
+    file = F.url_decode("_metadata.file_path")
+    located = pages.select(
+        "*",
+        F.regexp_extract(file, PAGE_FILE, 1).alias(ENTITY),
+        F.regexp_extract(file, PAGE_FILE, 2).cast("bigint").alias(PAGE_NUMBER),
     )
+    return _with_status(located, entity)
 
 
 def read_pages(
@@ -79,32 +103,16 @@ def read_pages(
     """Pages of a lake written by ``write_pages``; ``entity`` prunes to its directory.
 
     ``record`` is the schema of the records; without it they stay JSON text.
+    ``status`` tells data, error envelopes and malformed text apart.
     """
-    schema = _page_schema(record)
-    pages = spark.read.schema(schema).options(**READ_OPTIONS).option("columnNameOfCorruptRecord", CORRUPT)
-    return _located(pages.json(path), schema, entity)
+    return load_pages(spark.read, path, record, entity)
 
 
 def read_page_files(
     spark: SparkSession, path: str, record: T.DataType | None = None, entity: str | None = None
 ) -> DataFrame:
-    """Pages in the one-file-per-page layout; entity and number come from the file names."""
-    schema = T.StructType([item for item in _page_schema(record).fields if item.name not in (ENTITY, PAGE_NUMBER)])
-    pages = (
-        spark.read.schema(schema)
-        .options(**READ_OPTIONS)
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("multiLine", True)
-        .option("recursiveFileLookup", True)
-        .json(path)
-    )
-    file = F.url_decode("_metadata.file_path")
-    located = pages.select(
-        "*",
-        F.regexp_extract(file, PAGE_FILE, 1).alias(ENTITY),
-        F.regexp_extract(file, PAGE_FILE, 2).cast("bigint").alias(PAGE_NUMBER),
-    )
-    return _located(located, schema, entity)
+    """As ``read_pages`` for the one-file-per-page layout."""
+    return load_page_files(spark.read, path, record, entity)
 
 
 def json_records(pages: DataFrame) -> DataFrame:

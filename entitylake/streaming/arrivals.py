@@ -7,22 +7,25 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from entitylake.functions.jsontext import READ_OPTIONS
 from entitylake.operators.paging import unpage
-from entitylake.schemas import ENTITY, PAGE_NUMBER, VALUE, envelope
+from entitylake.schemas import ENTITY, PAGE_NUMBER, VALUE
+from entitylake.sources.pages import load_page_files, load_pages
 
 BATCH = "batch_id"
 
 
 def page_stream(
-    spark: SparkSession, path: str, record: T.DataType | None = None, files_per_trigger: int | None = None
+    spark: SparkSession,
+    path: str,
+    record: T.DataType | None = None,
+    files_per_trigger: int | None = None,
+    file_per_page: bool = False,
 ) -> DataFrame:
-    """A stream of the pages landing under ``path`` (``entity=<name>`` directories)."""
-    schema = T.StructType([*envelope(record).fields, T.StructField(ENTITY, T.StringType())])
-    reader = spark.readStream.schema(schema).options(**READ_OPTIONS)
+    """A stream of the pages landing under ``path``, in either layout of the page lake."""
+    reader = spark.readStream
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.json(path)
+    return (load_page_files if file_per_page else load_pages)(reader, path, record)
 
 
 def append_records(pages: DataFrame, path: str, checkpoint: str) -> StreamingQuery:

@@ -260,7 +260,7 @@ def all_pages(t: Tables) -> DataFrame:
 
 @registered
 def page_links(t: Tables) -> DataFrame:
-    return paging.page_links(t.events, "events", "event_id", size=100)
+    return paging.page_links(t.events, "events", size=100)
 
 
 @registered

@@ -57,8 +57,9 @@ def test_empty_entity_is_one_empty_page(table):
 
 
 def test_links(table):
-    links = paging.page_links(table, "things", "id", 1000)
+    links = paging.page_links(table, "things", 1000)
     assert rows(links) == [(1, 1000, "things?page=2"), (2, 1000, "things?page=3"), (3, 500, None)]
+    assert rows(paging.page_links(table.filter("id < 0"), "things")) == [(1, 0, None)]
 
 
 def walk(df, order, size):

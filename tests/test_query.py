@@ -117,3 +117,17 @@ def test_filter_and_columns_reach_the_scan(spark, tmp_path):
     assert "PushedFilters: [EqualNullSafe(kind,x)]" in plan or "EqualTo(kind,x)" in plan
     assert "ReadSchema: struct<id:bigint,kind:string>" in plan
     assert "TakeOrderedAndProject" in plan_of(query(df, orderby="v", top=3))
+
+
+def test_equal_sort_values_are_spread(spark):
+    hot = F.col("id").bitwiseAND(F.lit(0))
+    df = spark.range(1000, numPartitions=4).withColumn("hot", hot).withColumn("m", F.create_map("id", "hot"))
+    found = query(df, select="id,hot", orderby="hot")
+    assert "rangepartitioning(hot" in plan_of(found) and "xxhash64(id" in plan_of(found)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        sizes = found.rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(sizes) == 4 and max(sizes) < 500
+    assert query(df, orderby="id desc").first()["id"] == 999

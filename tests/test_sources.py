@@ -179,3 +179,16 @@ def test_progress(spark, things, others, tmp_path):
     stream = arrivals.page_stream(spark, lake, files_per_trigger=1)
     arrivals.finish(arrivals.write_progress(stream, out, mark), 60)
     assert rows(arrivals.latest_progress(spark, out)) == [("others", 1, 3), ("things", 3, 25)]
+
+
+def test_stream_of_page_files(spark, tmp_path):
+    out, mark = (str(tmp_path / name) for name in ("out", "mark"))
+    folder = tmp_path / "in" / "account"
+    page_file(folder, "account_page_1.json", {"value": [{"id": 1}, {"id": 2}], "@odata.nextLink": "x"})
+    stream = arrivals.page_stream(spark, str(tmp_path / "in"), RECORD, file_per_page=True)
+    arrivals.finish(arrivals.append_records(stream, out, mark), 60)
+    page_file(folder, "account_page_2.json", {"value": [{"id": 3}]})
+    page_file(folder, "account_page_3.json", {"value": []})
+    arrivals.finish(arrivals.append_records(stream, out, mark), 60)
+    records = spark.read.parquet(out).select("entity", "page_number", "position", "id")
+    assert rows(records) == [("account", 1, 0, 1), ("account", 1, 1, 2), ("account", 2, 0, 3)]
