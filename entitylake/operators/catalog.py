@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from entitylake.functions.columns import lowered, named, text_or, without_spaces
 from entitylake.functions.labels import display_labels
 from entitylake.operators.paging import PAGE_SIZE, estimated_pages
-from entitylake.operators.upsert import last_wins
+from entitylake.operators.upsert import last_wins, skip_done
 from entitylake.schemas import ENTITY
 
 # --- fixed values: kinds of names and the definition fields they come from --
@@ -121,6 +122,12 @@ def resolve_endpoints(
     return pick_endpoints(definitions, candidates, available)
 
 
+def resolve_remaining(definitions: DataFrame, known: DataFrame, available: DataFrame, **options: Any) -> DataFrame:
+    """``known`` endpoints (MetadataId, endpoint) as they are, the other definitions resolved."""
+    todo = skip_done(definitions, known, [KEY])
+    return known.select(KEY, "endpoint").unionByName(resolve_endpoints(todo, available, **options))
+
+
 # --- record counts --------------------------------------------------------
 
 

@@ -126,6 +126,7 @@ LABELS = {
     "name": "CASE WHEN p_size <= 25 THEN p_name END",
     "collection": "CASE WHEN p_size <= 25 THEN p_type END",
 }
+LINES = "l_orderkey, l_linenumber, l_shipdate DESC, l_partkey, l_suppkey, l_extendedprice"
 STATUS = "CASE event_type WHEN 'error' THEN 'error' WHEN 'signup' THEN 'corrupt' ELSE 'ok' END"
 URGENT = "(SELECT count(*) FROM orders WHERE o_orderpriority = '1-URGENT')"
 DEFINED_LABEL = "CASE WHEN c.c_acctbal >= 0 THEN c.c_mktsegment ELSE 'None' END"
@@ -182,6 +183,8 @@ ORACLES: dict[str, str] = {
         {_page('o_orderpriority, o_orderdate DESC, o_orderkey', PAGE)} AS page_number,
         CAST(row_number() OVER (ORDER BY o_orderpriority, o_orderdate DESC, o_orderkey) AS BIGINT) AS position
         FROM orders""",
+    "paginate_lines": f"""SELECT l_orderkey, l_linenumber, l_partkey, {_page(LINES, 1000)} AS page_number,
+        CAST(row_number() OVER (ORDER BY {LINES}) AS BIGINT) AS position FROM lineitem""",
     "all_pages": f"""SELECT page_number, count(*) AS n_records, min(event_id) AS first_id, max(event_id) AS last_id,
         CASE WHEN page_number < max(page_number) OVER ()
              THEN concat('events?page=', CAST(page_number + 1 AS VARCHAR)) END AS next_link
@@ -244,6 +247,10 @@ ORACLES: dict[str, str] = {
     "endpoint_priority": f"""SELECT CAST(p_partkey AS VARCHAR) AS "MetadataId",
         CASE WHEN p_type IN (SELECT name FROM ({TYPES})) THEN p_type
              WHEN p_brand IN (SELECT name FROM ({BRANDS})) THEN p_brand END AS endpoint FROM part""",
+    "endpoint_remaining": f"""SELECT CAST(p.p_partkey AS VARCHAR) AS "MetadataId",
+        CASE WHEN p.p_size > 40 THEN 'known' ELSE e.endpoint END AS endpoint FROM part p
+        JOIN ({_longest({"lower(p_name)": "true", "lower(p_brand)": "true", "lower(p_type)": "true"}, ENDPOINTS)}) e
+        ON e."MetadataId" = CAST(p.p_partkey AS VARCHAR)""",
     "record_counts": f"""SELECT c_name AS entity, cnt AS record_count, updated AS last_updated
         FROM customer JOIN {SNAPSHOTS} ON c_custkey = code""",
     "record_count_default": f"""SELECT c_name AS entity, COALESCE(cnt, 0) AS record_count, updated AS last_updated

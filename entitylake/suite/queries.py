@@ -246,6 +246,13 @@ def paginate_composite(t: Tables) -> DataFrame:
     return rows.select("o_orderkey", PAGE_NUMBER, paging.POSITION)
 
 
+@registered
+def paginate_lines(t: Tables) -> DataFrame:
+    order = "l_orderkey, l_linenumber, l_shipdate desc, l_partkey, l_suppkey, l_extendedprice"
+    rows = paging.paginate(t.lineitem, order)
+    return rows.select("l_orderkey", "l_linenumber", "l_partkey", PAGE_NUMBER, paging.POSITION)
+
+
 @registered
 def all_pages(t: Tables) -> DataFrame:
     envelopes = paging.all_pages(t.events, "events", "event_id")
@@ -384,6 +391,14 @@ def endpoint_priority(t: Tables) -> DataFrame:
     return catalog.resolve_endpoints(definitions, available, rule="priority")
 
 
+@registered
+def endpoint_remaining(t: Tables) -> DataFrame:
+    known = t.part.filter("p_size > 40").select(
+        F.col("p_partkey").cast("string").alias("MetadataId"), F.lit("known").alias("endpoint")
+    )
+    return catalog.resolve_remaining(roles.part_definitions(t), known, roles.part_endpoints(t))
+
+
 @registered
 def record_counts(t: Tables) -> DataFrame:
     return catalog.record_counts(roles.customer_definitions(t), roles.order_snapshots(t), SNAPSHOT_ARRIVAL)

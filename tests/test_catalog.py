@@ -98,6 +98,12 @@ def test_priority_endpoint(definitions, available):
         catalog.resolve_endpoints(definitions, available, rule="shortest")
 
 
+def test_known_endpoints_are_kept(spark, definitions, available):
+    known = spark.createDataFrame([("1:accounts", "elsewhere"), ("99:ghosts", None)], "MetadataId string, endpoint string")
+    found = endpoints(catalog.resolve_remaining(definitions, known, available, rule="priority"))
+    assert found == {"accounts": "elsewhere", "contacts": "contact", "leads": "leads", "ghosts": None, "things": "things"}
+
+
 def test_equal_length_takes_the_first_in_the_alphabet(spark):
     made = [definition(1, "bbb", "aaa", "ccc", None, None, None)]
     df = spark.createDataFrame(made, DEFINITION)
