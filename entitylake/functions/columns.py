@@ -50,15 +50,25 @@ def page_file(entity: Column, number: Column) -> Column:
     return F.format_string("%s_page_%d.json", entity, number)
 
 
+# --- fixed values: notation of snapshot times ------------------------------
+SNAPSHOT_TIME = r"^\d{4}-\d\d-\d\d \d\d:\d\d:\d\d(\.\d{1,6})?$"
+SNAPSHOT_TIME_LENGTH = 26
+# --------------------------------------------------------------------------
+
+
 def parsed_time(text: Column) -> Column:
-    """A snapshot time, with or without fraction; unparsable text gives null."""
-    pattern = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
-    return F.try_to_timestamp(text, F.lit(pattern)).cast("timestamp_ntz")
+    """A snapshot time, with or without fraction; other text gives null.
+
+    It has no zone, and is read without one: no clock change can shift it.
+    """
+    return F.when(text.rlike(SNAPSHOT_TIME), text.try_cast("timestamp_ntz"))
 
 
 def printed_time(time: Column) -> Column:
     """A time in the notation of snapshots, always with six fraction digits."""
-    return F.date_format(time, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    text = time.cast("string")
+    dotted = F.when(F.contains(text, F.lit(".")), text).otherwise(F.concat(text, F.lit(".")))
+    return F.rpad(dotted, SNAPSHOT_TIME_LENGTH, "0")
 
 
 def time_literal(df: DataFrame, column: str, value: datetime) -> Column:

@@ -140,6 +140,10 @@ def next_page(
     return first_page(df.filter(behind), order_by, size)
 
 
+# Instants leave and enter Spark as text with their offset: no client time zone is involved.
+INSTANT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+
+
 def _literal(df: DataFrame, name: str, value: Any) -> Column:
     if isinstance(value, (date, datetime)):
         return time_literal(df, name, value)
@@ -154,7 +158,13 @@ def last_key(page: DataFrame, order_by: OrderBy) -> dict[str, Any] | None:
         named(key.name).asc_nulls_first() if key.descending else named(key.name).desc_nulls_last()
         for key in keys
     ]
-    row = page.select(*[named(name) for name in names]).orderBy(*flipped).first()
+    values = [
+        F.date_format(named(name), INSTANT).alias(name)
+        if isinstance(page.schema[name].dataType, T.TimestampType)
+        else named(name)
+        for name in names
+    ]
+    row = page.orderBy(*flipped).limit(1).select(*values).first()
     return None if row is None else dict(zip(names, row))
 
 

@@ -20,7 +20,7 @@ from entitylake.schemas import COUNT
 from entitylake.session import checkpoint_root
 
 MAX_ITEMS = 10_000
-MAX_BROADCAST_ROWS = 100_000
+MAX_BROADCAST_ROWS = 10_000
 
 
 @dataclass(frozen=True)
@@ -122,9 +122,7 @@ def _expanded(rows: DataFrame, navigations: Sequence[Navigation], top: int | Non
 
 def _restricted(nav: Navigation, parents: DataFrame, top: int) -> Navigation:
     wanted = parents.select(named(nav.left).alias(nav.right)).distinct()
-    if top <= MAX_BROADCAST_ROWS:
-        wanted = F.broadcast(wanted)
-    related = nav.df.join(wanted, nav.right, "left_semi")
+    related = nav.df.join(_small(wanted, top), nav.right, "left_semi")
     return Navigation(**{**nav.__dict__, "df": related})
 
 
@@ -182,7 +180,7 @@ def expand_many(parents: DataFrame, nav: Navigation) -> DataFrame:
     # Large groups: their related rows are dealt out over pages by a hash, so
     # every page is a group of its own; the few parents they belong to are sent
     # to the pages. The others go the usual way.
-    keys = F.broadcast(large) if n_large <= MAX_BROADCAST_ROWS else large
+    keys = _small(large, n_large)
     usual = _arrays(
         parents.join(keys.select(F.col("__key").alias(nav.left)), nav.left, "left_anti"),
         related.join(keys, "__key", "left_anti"),
@@ -195,12 +193,16 @@ def expand_many(parents: DataFrame, nav: Navigation) -> DataFrame:
         .agg(_collected().alias(nav.name))
     )
     owners = parents.join(keys.select(F.col("__key").alias(nav.left)), nav.left, "left_semi")
-    if n_large <= MAX_BROADCAST_ROWS:
-        owners = F.broadcast(owners)
-    split = paged.join(owners, F.col("__key") == named(nav.left))
+    n_owners = owners.select(nav.left).limit(MAX_BROADCAST_ROWS + 1).count()
+    split = paged.join(_small(owners, n_owners), F.col("__key") == named(nav.left))
     return usual.unionByName(split.select(*[named(name) for name in usual.columns]))
 
 
+def _small(df: DataFrame, rows: int) -> DataFrame:
+    """Ask for a broadcast of ``df`` if its number of ``rows`` allows it."""
+    return F.broadcast(df) if rows <= MAX_BROADCAST_ROWS else df
+
+
 def _large_groups(nav: Navigation) -> tuple[DataFrame, int]:
     """Keys with more related rows than one array may hold, and their pages (a key-only pass)."""
     checkpoint_root(nav.df.sparkSession)

@@ -34,10 +34,10 @@ class Collection:
     order_by: OrderBy
 
 
-def worklist(definitions: DataFrame, endpoints: DataFrame, counts: DataFrame) -> DataFrame:
-    """Entities with an endpoint, the smallest first."""
-    rows = definitions.select(KEY).join(endpoints, KEY).join(counts, KEY)
-    return rows.filter(F.col("endpoint").isNotNull()).orderBy("record_count", ENTITY)
+def worklist(endpoints: DataFrame, counts: DataFrame) -> DataFrame:
+    """Entities with an endpoint, the smallest first; both inputs are keyed by MetadataId."""
+    resolved = endpoints.filter(F.col("endpoint").isNotNull())
+    return resolved.join(counts, KEY).orderBy("record_count", ENTITY)
 
 
 def smallest_first(entries: DataFrame, count: str = "Count", name: str = "LogicalName") -> DataFrame:
@@ -76,7 +76,7 @@ def extract_all(
     """
     spark = definitions.sparkSession
     endpoints = resolve_endpoints(definitions, _names(spark, list(tables)))
-    todo = worklist(definitions, endpoints, record_counts_or_zero(definitions, snapshots))
+    todo = worklist(endpoints, record_counts_or_zero(definitions, snapshots))
     targets = [(row[ENTITY], tables[row["endpoint"]]) for row in todo.collect()]
     if targets:
         _save(targets, path, size)

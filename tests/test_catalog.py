@@ -185,6 +185,13 @@ def test_scalars(spark):
         c.parsed_time(F.lit("2023-05-01 10:11:12.123456")), c.parsed_time(F.lit("2023-05-01 10:11:12")),
         c.parsed_time(F.lit("None")), c.printed_time(F.lit("2023-05-01 10:11:12").cast("timestamp_ntz")),
     ).first()
+    gap = "2024-03-31 02:30:00"  # skipped by the clocks in Berlin
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+    try:
+        printed = spark.range(1).select(c.printed_time(c.parsed_time(F.lit(gap)))).first()[0]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert printed == gap + ".000000"
     assert tuple(row) == (
         "a b.c", "Ab.C", "C", None, "d", "A b.C_page_3.json",
         datetime(2023, 5, 1, 10, 11, 12, 123456), datetime(2023, 5, 1, 10, 11, 12), None,

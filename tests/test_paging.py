@@ -73,16 +73,22 @@ def walk(df, order, size):
         last = paging.last_key(page, order)
 
 
-@pytest.mark.parametrize("order", ["id", "k, id desc", "v desc, id", "v, id", "t desc"])
+@pytest.mark.parametrize("order", ["id", "k, id desc", "v desc, id", "v, id", "t desc", "z", "z desc"])
 def test_following_pages_visits_every_row_in_order(spark, order):
     df = spark.range(40).select(
         "id",
         (F.col("id") % 3).alias("k"),
         F.when(F.col("id") % 4 > 0, F.col("id") % 5).alias("v"),
         F.when(F.col("id") != 9, F.expr("timestamp_ntz'2024-01-01' + make_dt_interval(0, id)")).alias("t"),
+        # an hour that the clocks show twice
+        F.expr("timestamp'2024-10-27 00:30:00Z' + make_dt_interval(0, 0, 3 * id)").alias("z"),
     )
-    expected = paging.first_page(df, order, 100).collect()
-    assert walk(df, order, 7) == expected
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+    try:
+        expected = paging.first_page(df, order, 100).collect()
+        assert walk(df, order, 7) == expected
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
 def test_next_page_reaches_the_scan(spark, tmp_path):
