@@ -118,6 +118,8 @@ def cut_blocks(
     """Cut the order of ``df`` into equal blocks of a multiple of ``align`` rows.
 
     ``order_by`` must be unique. ``total`` saves a pass if the row count is known.
+    The keys are read up to four times, so an expensive ``df`` should be stored
+    first (``session.materialized``).
     """
     keys = sort_keys(order_by)
     if not keys:

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(
@@ -34,19 +34,24 @@ def checkpoint_root(spark: SparkSession) -> str:
     The cluster names it in ``spark.checkpoint.dir``. Only a local master may
     fall back to a folder of its own, since there driver and tasks share a disk.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
-        root = spark.sparkContext.getCheckpointDir()
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="entitylake-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(root)
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(root)
     return root.rstrip("/")
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A path for one intermediate table in the shared folder; never reused."""
     return f"{checkpoint_root(spark)}/entitylake/{name}-{uuid.uuid4().hex}"
+
+
+def materialized(df: DataFrame, name: str = "table") -> DataFrame:
+    """``df`` written once and read back: for results that several passes read."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

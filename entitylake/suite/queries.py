@@ -15,7 +15,7 @@ from entitylake.functions.jsontext import json_text
 from entitylake.operators import catalog, documents, numbering, paging, profile, query, reshape, upsert
 from entitylake.plans import dictionary, extract, reports
 from entitylake.schemas import COUNT, COUNTS_REPORT, ENTITY, NEXT_LINK, PAGE_NUMBER, VALUE
-from entitylake.session import scratch_dir
+from entitylake.session import materialized, scratch_dir
 from entitylake.sources import csvfiles, pages, snapshots, tables
 from entitylake.sources import documents as document_files
 from entitylake.streaming import arrivals
@@ -590,7 +590,7 @@ def worklist_filter(t: Tables) -> DataFrame:
 def worklist_order(t: Tables) -> DataFrame:
     counts = t.orders.groupBy("o_custkey").agg(F.count("*").alias("cnt"))
     named = catalog.strict_lookup(counts, t.customer, "o_custkey", "c_custkey").select("c_name", "cnt")
-    return numbering.number_rows(named, "cnt, c_name", out="turn")
+    return numbering.number_rows(materialized(named, "worklist"), "cnt, c_name", out="turn")
 
 
 # --- streams --------------------------------------------------------------
