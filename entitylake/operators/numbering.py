@@ -44,6 +44,7 @@ from entitylake.functions.ordering import (
 ROWS_PER_BLOCK = 200_000
 MAX_BLOCKS = 16_384
 MAX_BOUNDS = 65_536
+MAX_RANK = 1 << 32
 BLOCK = "__block"
 
 
@@ -180,18 +181,18 @@ def _keys_at(
     gaps: DataFrame, keys: Sequence[SortKey], names: Sequence[str], wanted: dict[int, list[int]]
 ) -> list[tuple]:
     """The keys at the wanted ranks of the wanted gaps; at most ``MAX_BLOCKS`` of them."""
-    spots = gaps.sparkSession.createDataFrame(
-        [(gap, rank) for gap, ranks in wanted.items() for rank in ranks], "gap int, wanted int"
-    )
     in_gap = W.partitionBy("gap").orderBy(*sort_columns(keys))
+    spots = [gap * MAX_RANK + rank for gap, ranks in wanted.items() for rank in ranks]
+    spot = F.col("gap") * F.lit(MAX_RANK).cast("bigint") + F.col("rank")
     rows = (
         gaps.filter(F.col("gap").isin(list(wanted)))
         .withColumn("rank", F.row_number().over(in_gap))
-        .join(F.broadcast(spots), "gap")
-        .filter(F.col("rank") == F.col("wanted"))
+        .filter(spot.isin(spots))
         .select("gap", "rank", *_collectable(gaps, names))
         .collect()
     )
+    if len(rows) != len(spots):
+        raise ValueError("the rows changed while they were numbered")
     return [tuple(row[name] for name in names) for row in sorted(rows, key=lambda r: (r["gap"], r["rank"]))]
 
 

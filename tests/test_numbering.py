@@ -60,6 +60,18 @@ def test_blocks_number_like_one_window(table, order):
     assert got == {row["id"]: row["n"] for row in expected.select("id", "n").collect()}
 
 
+@pytest.mark.parametrize("order", ["id", "hot, id desc"])
+def test_many_blocks_of_a_stored_table(spark, tmp_path, order):
+    path = str(tmp_path / "t")
+    spark.range(4000, numPartitions=4).withColumn("hot", F.expr("if(id % 3 = 0, 7, id)")).write.parquet(path)
+    stored = spark.read.parquet(path)
+    blocks = numbering.cut_blocks(stored, order, rows_per_block=50)
+    assert blocks.count == 80
+    numbered = numbering.number_in_blocks(stored, blocks, "n").select("id", "n").collect()
+    rows = sorted(((7 if i % 3 == 0 else i, -i) if "hot" in order else (i, i)) + (i,) for i in range(4000))
+    assert {r["id"]: r["n"] for r in numbered} == {row[-1]: n for n, row in enumerate(rows, 1)}
+
+
 def test_blocks_are_multiples_of_the_page_size(table):
     blocks = numbering.cut_blocks(table, "id", align=70, rows_per_block=250)
     assert blocks.size == 280
