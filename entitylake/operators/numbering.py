@@ -71,41 +71,26 @@ def _ordered(keys: Sequence[SortKey], names: Sequence[str]) -> list[SortKey]:
 
 
 def _with_position(
-    df: DataFrame,
-    keys: Sequence[SortKey],
-    columns: Sequence[tuple],
-    bounds: Sequence[tuple],
-    out: str,
-    folded: bool = False,
+    df: DataFrame, keys: Sequence[SortKey], columns: Sequence[tuple], bounds: Sequence[tuple], out: str
 ) -> DataFrame:
     """Add the number of bounds that sort strictly before each row (binary search).
 
     Each halving step is a projection of its own: Spark keeps them apart, as
     every step uses the previous one more than once, and compiles them together.
     Do not filter or join on the result: Spark would unfold all steps into the
-    condition. ``folded`` gives one expression, several times slower, that can
-    be filtered on.
+    condition.
     """
-    if not bounds:
-        return df.withColumn(out, F.lit(0))
+    df = df.withColumn(out, F.lit(0))
     arrays = [
         literal_array([bound[i] for bound in bounds], element, text)
         for i, (_, element, text) in enumerate(columns)
     ]
     values = [col for col, _, _ in columns]
-
-    def advanced(position: Column, step: Column) -> Column:
-        reached = position + step
+    for step in (1 << i for i in reversed(range(len(bounds).bit_length()))):
+        reached = F.col(out) + step
         found = [F.get(array, reached - 1) for array in arrays]
         behind = (reached <= len(bounds)) & sorts_after(keys, values, found)
-        return F.when(behind, reached).otherwise(position)
-
-    steps = [F.lit(1 << i) for i in reversed(range(len(bounds).bit_length()))]
-    if folded:
-        return df.withColumn(out, F.aggregate(F.array(*steps), F.lit(0), advanced))
-    df = df.withColumn(out, F.lit(0))
-    for step in steps:
-        df = df.withColumn(out, advanced(F.col(out), step))
+        df = df.withColumn(out, F.when(behind, reached).otherwise(F.col(out)))
     return df
 
 
@@ -146,8 +131,7 @@ def cut_blocks(
         raise ValueError("the rows changed, or total is not their number")
 
     wanted = _ranks_in_gaps(counts, [size * i for i in range(1, blocks)])
-    gaps = _with_position(plain, plain_keys, plain_columns, bounds, "gap", folded=True)
-    return Blocks(keys, total, size, _keys_at(gaps, plain_keys, names, wanted))
+    return Blocks(keys, total, size, _keys_at(found, plain_keys, names, wanted))
 
 
 def _sample_bounds(plain: DataFrame, keys: Sequence[SortKey], blocks: int, total: int) -> list[tuple]:
@@ -180,7 +164,12 @@ def _ranks_in_gaps(counts: dict[int, int], ranks: Sequence[int]) -> dict[int, li
 def _keys_at(
     gaps: DataFrame, keys: Sequence[SortKey], names: Sequence[str], wanted: dict[int, list[int]]
 ) -> list[tuple]:
-    """The keys at the wanted ranks of the wanted gaps; at most ``MAX_BLOCKS`` of them."""
+    """The keys at the wanted ranks of the wanted gaps; at most ``MAX_BLOCKS`` of them.
+
+    The gap passes through a generator, which keeps the filter from being
+    pushed into the search.
+    """
+    gaps = gaps.select(*names, F.explode(F.array("gap")).alias("gap"))
     in_gap = W.partitionBy("gap").orderBy(*sort_columns(keys))
     spots = [gap * MAX_RANK + rank for gap, ranks in wanted.items() for rank in ranks]
     spot = F.col("gap") * F.lit(MAX_RANK).cast("bigint") + F.col("rank")
