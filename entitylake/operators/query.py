@@ -29,9 +29,10 @@ class Navigation:
 
     ``left`` is the key column of the parent, ``right`` that of ``df``. To-many
     (``many``) gives an array of structs, to-one a struct. ``order_by`` orders
-    the array by columns of ``df`` (ascending); ``count_only`` replaces it by the
-    number of related rows. ``key`` is the primary key of ``df`` (default: all
-    its columns); it deals out the related rows of a parent with very many.
+    the array by columns of ``df`` (ascending, default: by ``key``); ``count_only``
+    replaces it by the number of related rows. ``key`` is the primary key of ``df``
+    (default: all its columns); it deals out the related rows of a parent with
+    very many.
     """
 
     name: str
@@ -158,11 +159,18 @@ def expand_many(parents: DataFrame, nav: Navigation) -> DataFrame:
     time with another page of them; ``<name>@page`` numbers the pages from 1.
     All other parents keep exactly one row.
     """
+    hashed = nav.key or [
+        item.name for item in nav.df.schema.fields if not isinstance(item.dataType, T.MapType)
+    ]
+    deal = F.xxhash64(*[named(name) for name in hashed])
+    # Plain fields lead, so that sorting an array hardly ever compares whole items.
+    order = [named(name).alias(f"__o{i}") for i, name in enumerate(nav.order_by or nav.key)]
     related = nav.df.select(
         named(nav.right).alias("__key"),
-        F.xxhash64(*[named(name) for name in nav.key or nav.df.columns]).alias("__deal"),
+        deal.alias("__deal"),
         F.struct(
-            *[named(name).alias(f"__o{i}") for i, name in enumerate(nav.order_by)],
+            *order,
+            deal.alias("__deal"),
             F.struct(*[named(name) for name in nav.fields()]).alias("item"),
         ).alias("__item"),
     ).filter(F.col("__key").isNotNull())
