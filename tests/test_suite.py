@@ -8,7 +8,9 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
-from check import bag
+from check import SAME_TYPES, bag
+from entitylake.suite.oracles import ORACLES
+from entitylake.suite.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -23,7 +25,9 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert driver.queries().keys() == driver.oracle_sql().keys()
+    assert QUERIES.keys() == ORACLES.keys()
+    assert QUERIES.items() <= driver.queries().items()
+    assert ORACLES.items() <= driver.oracle_sql().items()
 
 
 def test_entry(spark):
@@ -31,10 +35,11 @@ def test_entry(spark):
 
 
 @pytest.mark.skipif(not Path(FOLDER).exists(), reason="no test tables")
-@pytest.mark.parametrize("name", list(driver.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, duck, name):
-    df = driver.queries()[name](spark, FOLDER)
-    found = duck.execute(driver.oracle_sql()[name])
+    df = QUERIES[name](spark, FOLDER)
+    found = duck.execute(ORACLES[name])
     columns = [item[0] for item in found.description]
-    assert sorted(columns) == sorted(df.columns)
+    types = {item[0]: SAME_TYPES.get(str(item[1]), str(item[1])) for item in found.description}
+    assert types == dict(df.dtypes)
     assert bag(df.columns, [tuple(r) for r in df.collect()]) == bag(columns, found.fetchall())
