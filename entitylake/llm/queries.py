@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from entitylake.llm import simhash
+from entitylake.llm import simhash, substrings
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -17,8 +17,14 @@ def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+def op4_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    cut = substrings.without_repeats(table(spark, folder, "documents"))
+    return cut.select("row.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op4_substring_dedup": op4_substring_dedup,
 }
 
 ORACLES: dict[str, str] = {}
