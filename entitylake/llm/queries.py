@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from entitylake.llm import simhash, substrings
+from entitylake.llm import mixing, packing, simhash, substrings
+from entitylake.llm.sql import ORACLES
+
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -17,14 +21,26 @@ def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+def op3_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.packed(table(spark, folder, "documents"), BYTE_BPE)
+
+
 def op4_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     cut = substrings.without_repeats(table(spark, folder, "documents"))
     return cut.select("row.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op5_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mixed(table(spark, folder, "documents")).select(
+        "row.doc_id", "size", "source_size", "target", "taken"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op3_best_fit_packing": op3_best_fit_packing,
     "op4_substring_dedup": op4_substring_dedup,
+    "op5_source_mixing": op5_source_mixing,
 }
 
-ORACLES: dict[str, str] = {}
+__all__ = ["ORACLES", "QUERIES"]

@@ -1,0 +1,49 @@
+"""DuckDB SQL for the queries that SQL can express on whole tables."""
+
+from __future__ import annotations
+
+from entitylake.llm.mixing import SYMBOLS
+
+WORDS = r"len(regexp_extract_all({0}, '[^\x20\x09-\x0D]+'))"
+
+SOURCE_MIXING = rf"""
+WITH docs AS (
+    SELECT doc_id, source, coalesce({WORDS.format('text')}, 0)::BIGINT AS size,
+           -ln((('0x' || md5(coalesce(doc_id::VARCHAR, ''))[:13])::BIGINT + 0.5::DOUBLE) / 4503599627370496::DOUBLE)
+           / coalesce(0.1::DOUBLE + 0.9::DOUBLE * length(translate(text, '{SYMBOLS}', '')) / nullif(length(text), 0), 0.1::DOUBLE)
+           AS draw
+    FROM documents
+), sizes AS (
+    SELECT source, sum(size)::BIGINT AS source_size,
+           (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight
+    FROM docs GROUP BY source
+), ordered AS (  -- sources in the order in which they reach three times their size as the level rises
+    SELECT *, row_number() OVER w AS place,
+           sum(source_size * 3) OVER w - source_size * 3 AS held, sum(weight) OVER w - weight AS gone,
+           sum(source_size) OVER () AS total, sum(weight) OVER () AS every
+    FROM sizes
+    WINDOW w AS (ORDER BY source_size * 3::DOUBLE / weight, source NULLS LAST ROWS UNBOUNDED PRECEDING)
+), levels AS (
+    SELECT place, ((total - held) / (every - gone)::DOUBLE) AS level, source_size * 3 < weight * ((total - held) / (every - gone)::DOUBLE) AS above
+    FROM ordered
+), chosen AS (
+    SELECT level FROM levels WHERE NOT above ORDER BY place LIMIT 1
+), targets AS (
+    SELECT source, source_size, least((source_size * 3)::DOUBLE, weight * level) AS target FROM sizes, chosen
+), budgets AS (
+    SELECT *, coalesce(round(target)::BIGINT // nullif(source_size, 0), 0) AS epochs,
+           coalesce(round(target)::BIGINT % nullif(source_size, 0), 0) AS rest
+    FROM targets
+), placed AS (
+    SELECT doc_id, size, source_size, target, epochs, rest,
+           sum(size) OVER (PARTITION BY d.source ORDER BY draw, doc_id::VARCHAR, size ROWS UNBOUNDED PRECEDING) - size AS before
+    FROM docs d JOIN budgets b ON d.source IS NOT DISTINCT FROM b.source
+)
+SELECT doc_id, size, source_size, target,
+       (size * epochs + greatest(least(rest - before, size), 0))::BIGINT AS taken
+FROM placed
+"""
+
+ORACLES: dict[str, str] = {
+    "op5_source_mixing": SOURCE_MIXING,
+}
