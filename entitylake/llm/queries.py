@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from entitylake.llm import mixing, packing, simhash, substrings
+from entitylake.llm import mixing, packing, quality, simhash, substrings
 from entitylake.llm.sql import ORACLES
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -17,6 +17,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def trusted_ids(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents that the labels call good."""
+    return table(spark, folder, "labels").where("quality = 1").select("doc_id")
+
+
 def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
@@ -36,11 +41,20 @@ def op5_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    ratios = quality.likelihood_ratios(docs, trusted_ids(spark, folder))
+    return quality.judged(docs, ratios).select(
+        "row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_source_mixing": op5_source_mixing,
+    "op8_quality_rules": op8_quality_rules,
 }
 
 __all__ = ["ORACLES", "QUERIES"]
