@@ -15,7 +15,8 @@ from entitylake.llm.batches import blocks_of_words, column, share_code, slices,
 BITS = 16
 GRAM = 4
 TRUSTED = 20_000
-THRESHOLD = -0.15
+# Nats per n-gram; clean texts, also of a language the labels hardly cover, lie well above.
+THRESHOLD = -0.6
 SMOOTHING = 0.5
 SYMBOLS = b"#*$%&|<>"
 RUN = 5
