@@ -7,10 +7,11 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from entitylake.llm import mixing, packing, quality, simhash, substrings, vectors
+from entitylake.llm import langid, mixing, packing, quality, simhash, substrings, token_counts, vectors
 from entitylake.llm.sql import ORACLES
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -41,6 +42,12 @@ def op5_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    found = langid.identified(docs, langid.fitted(docs))
+    return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "cross_entropy", "rejected")
+
+
 def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     ratios = quality.likelihood_ratios(docs, trusted_ids(spark, folder))
@@ -49,6 +56,10 @@ def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, folder, "documents"), PIECES)
+
+
 def op10_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return vectors.near_duplicates(table(spark, folder, "embeddings"))
 
@@ -58,7 +69,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_source_mixing": op5_source_mixing,
+    "op7_language_id": op7_language_id,
     "op8_quality_rules": op8_quality_rules,
+    "op9_token_counts": op9_token_counts,
     "op10_embedding_dedup": op10_embedding_dedup,
 }
 
