@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from entitylake.llm import langid, mixing, packing, quality, simhash, substrings, token_counts, vectors
+from entitylake.llm import html, langid, mixing, packing, quality, simhash, substrings, token_counts, vectors
 from entitylake.llm.sql import ORACLES
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -27,6 +27,11 @@ def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+def op2_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    found = html.extracted(table(spark, folder, "pages"))
+    return found.select("row.page_id", "row.url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op3_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(table(spark, folder, "documents"), BYTE_BPE)
 
@@ -66,6 +71,7 @@ def op10_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op2_html_extraction": op2_html_extraction,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_source_mixing": op5_source_mixing,
