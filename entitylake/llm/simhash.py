@@ -162,6 +162,8 @@ def near_duplicates(
     labels = first.join(moved, F.col("fp") == F.col("moved"), "left").select(
         "fp", F.coalesce("least", "first").alias("component_id")
     )
+    # written, so that adaptive execution can split a fingerprint with many rows in the join
+    labels = materialized(labels, "labels")
     return own.join(labels, "fp").select(
         F.col("key").alias(key),
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
