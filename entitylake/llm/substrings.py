@@ -275,7 +275,8 @@ def without_repeats(
     named = with_id(docs, key, text)
     found = repeated_windows(named.select(*ID, "text"), window, **sizes)
     cut = F.pandas_udf(_cut, "n_words long, n_removed long, kept string")
-    joined = named.join(found, ID, "left").select("row", cut("text", "starts", F.lit(window)).alias("cut"))
+    own = F.col("row")[text].cast("string")
+    joined = named.drop("text").join(found, ID, "left").select("row", cut(own, "starts", F.lit(window)).alias("cut"))
     return joined.select("row", "cut.*")
 
 
