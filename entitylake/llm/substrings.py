@@ -208,9 +208,9 @@ def repeated_windows(
     """``(id1, id2, starts)``: where windows start that start elsewhere too; ``rows (id1, id2, text)``."""
     gram = min(gram, window)
     keys = materialized(_keys(rows, window, gram), "keys")
-    shared = (
-        keys.select(F.explode("keys").alias("key")).groupBy("key").count().where("count > 1").select("key")
-    )
+    shared = keys.select(F.explode("keys").alias("key")).groupBy("key").count().where("count > 1")
+    # written, so that adaptive execution can split a key with many rows in the join
+    shared = materialized(shared.select("key"), "shared")
     chosen = (
         keys.select(*ID, F.posexplode("keys").alias("place", "key"))
         .join(shared, "key", "left_semi")
