@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from entitylake.llm import html, langid, mixing, packing, quality, simhash, substrings, token_counts, vectors
+from entitylake.llm import html, langid, licenses, mixing, packing, quality, simhash, substrings, token_counts, vectors
 from entitylake.llm.sql import ORACLES
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -47,6 +47,11 @@ def op5_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = licenses.scanned(table(spark, folder, "documents"))
+    return found.select("row.doc_id", "license", "dice", F.array_join("licenses", ";").alias("licenses"))
+
+
 def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     found = langid.identified(docs, langid.fitted(docs))
@@ -75,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_source_mixing": op5_source_mixing,
+    "op6_license_scan": op6_license_scan,
     "op7_language_id": op7_language_id,
     "op8_quality_rules": op8_quality_rules,
     "op9_token_counts": op9_token_counts,

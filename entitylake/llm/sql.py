@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from entitylake.llm.licenses import NOTICES, THRESHOLD
 from entitylake.llm.mixing import SYMBOLS
 
 WORDS = r"len(regexp_extract_all({0}, '[^\x20\x09-\x0D]+'))"
@@ -44,6 +45,40 @@ SELECT doc_id, size, source_size, target,
 FROM placed
 """
 
+_NOTICES = ", ".join("({}, '{}', '{}')".format(i, name, text.replace("'", "''")) for i, (name, text) in enumerate(NOTICES))
+
+LICENSE_SCAN = f"""
+WITH notices(place, name, notice) AS (VALUES {_NOTICES}),
+worded AS (SELECT place, name, regexp_extract_all(lower(notice), '[a-z0-9]+') AS w FROM notices),
+templates AS (
+    SELECT place, name, list_distinct([w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))]) AS grams FROM worded
+),
+passages AS (
+    SELECT DISTINCT doc_id, unnest([t] || regexp_split_to_array(t, '\n[ \t\r]*\n') || string_split(t, chr(10))) AS passage
+    FROM (SELECT doc_id, coalesce(lower(text), '') AS t FROM documents)
+),
+cut AS (
+    SELECT doc_id, w, len(w) - 1 AS n FROM (SELECT doc_id, regexp_extract_all(passage, '[a-z0-9]+') AS w FROM passages)
+    WHERE len(w) - 1 BETWEEN 1 AND (SELECT max(len(grams)) * 2 FROM templates)
+),
+pairs AS (
+    SELECT doc_id, place, name, n, len(grams) AS size,
+           len(list_intersect([w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))], grams)) AS shared
+    FROM cut JOIN templates ON n BETWEEN len(grams) * {THRESHOLD} / (2 - {THRESHOLD}) - 1 AND len(grams) * (2 - {THRESHOLD}) / {THRESHOLD} + 1
+),
+found AS (
+    SELECT doc_id, place, name, 2.0::DOUBLE * shared / (n + size) AS dice FROM pairs
+    WHERE 2.0::DOUBLE * shared / (n + size) >= {THRESHOLD}::DOUBLE
+),
+best AS (
+    SELECT doc_id, first(name ORDER BY dice DESC, place) AS license, max(dice) AS dice,
+           string_agg(DISTINCT name, ';' ORDER BY name) AS licenses
+    FROM found GROUP BY doc_id
+)
+SELECT doc_id, license, dice, coalesce(licenses, '') AS licenses FROM documents LEFT JOIN best USING (doc_id)
+"""
+
 ORACLES: dict[str, str] = {
     "op5_source_mixing": SOURCE_MIXING,
+    "op6_license_scan": LICENSE_SCAN,
 }
