@@ -1,0 +1,109 @@
+from __future__ import annotations
+
+import bisect
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import given, settings, strategies as st
+from tokenizers import Tokenizer
+
+from entitylake.llm import packing, tokens
+
+from odd import odd_rows
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+
+
+@pytest.fixture(scope="module")
+def reference():
+    found = Tokenizer.from_file(PATH)
+    found.encode_special_tokens = True
+    return found
+
+
+TEXTS = ["", " ", "a", " a", "a ", "a  b", "a \n b", "a\tb c", "x  y z", "it's  we'll'd", "<|endoftext|> a", "é \x1c b", "1 22 333 4444", "日本 語", "\n\n a"]
+
+
+@pytest.mark.parametrize("text", TEXTS)
+def test_ids_of_odd_texts(reference, text):
+    assert np.frombuffer(tokens.encoder(PATH)(text), "<u4").tolist() == reference.encode(text, add_special_tokens=False).ids
+
+
+@settings(deadline=None, max_examples=300)
+@given(st.text(st.sampled_from("ab Z9'.,\n\té  \x1f漢🙂s"), max_size=40))
+def test_ids_of_any_text(text):
+    own = Tokenizer.from_file(PATH) if not hasattr(test_ids_of_any_text, "t") else test_ids_of_any_text.t
+    own.encode_special_tokens = True
+    test_ids_of_any_text.t = own
+    assert np.frombuffer(tokens.encoder(PATH)(text), "<u4").tolist() == own.encode(text, add_special_tokens=False).ids
+
+
+def test_other_tokenizers_are_used_as_they_are():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    own = Tokenizer.from_file(path)
+    own.encode_special_tokens = True
+    found = tokens.Encoder(path)("Two Words  here")
+    assert np.frombuffer(found, "<u4").tolist() == own.encode("Two Words  here", add_special_tokens=False).ids
+
+
+def one_by_one(lengths: list[int], capacity: int) -> list[int]:
+    rooms: list[int] = []
+    for length in sorted(lengths, reverse=True):
+        place = bisect.bisect_left(rooms, length)
+        room = rooms.pop(place) if place < len(rooms) else capacity
+        bisect.insort(rooms, room - length)
+    return rooms
+
+
+@settings(deadline=None, max_examples=200)
+@given(st.lists(st.integers(1, 20), max_size=120))
+def test_runs_pack_as_best_fit_decreasing_does(lengths):
+    counts = {n: lengths.count(n) for n in set(lengths)}
+    bins, ranks = defaultdict(list), defaultdict(list)
+    for length, rank, n, first, offset in packing.best_fit(counts, 20):
+        for i in range(n):
+            bins[first + i].append((offset, length))
+            ranks[length].append(rank + i)
+    assert {n: sorted(r) for n, r in ranks.items()} == {n: list(range(c)) for n, c in counts.items()}
+    for content in bins.values():
+        at = 0
+        for offset, length in sorted(content):
+            assert offset == at
+            at += length
+    rooms = sorted(20 - sum(length for _, length in content) for content in bins.values())
+    assert rooms == one_by_one(lengths, 20)
+
+
+def test_tightest_room():
+    tree = packing.Capacities(10)
+    for room in (3, 7, 7, 10):
+        tree.add(room, 1)
+    assert [tree.tightest(n) for n in range(1, 11)] == [3, 3, 3, 7, 7, 7, 7, 10, 10, 10]
+    tree.add(10, -1)
+    assert tree.tightest(8) is None
+
+
+def test_every_piece_is_placed(odd, none, reference):
+    found = packing.packed(odd, PATH, with_ids=True).collect()
+    expected, lengths = [], []
+    for row in odd_rows():
+        ids = [*reference.encode(row[1] or "", add_special_tokens=False).ids, 0]
+        first = len(ids) % 2048 or 2048
+        cuts = [0, *range(first, len(ids), 2048), len(ids)]
+        for i, (a, b) in enumerate(zip(cuts, cuts[1:])):
+            expected.append((row[0], i, a, b - a, zlib.crc32(np.array(ids[a:b], "<u4").tobytes()), ids[a:b]))
+            lengths.append(b - a)
+    own = [(r.doc_id, r.piece, r.start, r.length, r.ids_crc32, list(r.ids)) for r in found]
+    assert sorted(own, key=repr) == sorted(expected, key=repr)
+    bins = defaultdict(list)
+    for row in found:
+        bins[row.sequence_id].append((row.offset, row.length))
+    for content in bins.values():
+        content.sort()
+        assert [o for o, _ in content] == [sum(n for _, n in content[:i]) for i in range(len(content))]
+        assert sum(n for _, n in content) <= 2048
+    assert len(bins) == len(one_by_one(lengths, 2048))
+    assert packing.packed(none, PATH).count() == 0

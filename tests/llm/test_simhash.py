@@ -1,0 +1,94 @@
+from __future__ import annotations
+
+import re
+
+import numpy as np
+import xxhash
+
+from entitylake.llm import simhash
+from entitylake.llm.links import components
+
+from odd import odd_rows, prose
+
+
+def plain(text: str | None) -> int:
+    lower = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    words = re.findall(r"[^\x20\x09-\x0D]+", lower)
+    shingles = [" ".join(words[i : i + 3]) for i in range(len(words) - 2)] or ([" ".join(words)] if words else [])
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if sum(h >> b & 1 for h in hashes) * 2 > len(hashes))
+
+
+def groups(rows: list[tuple], prints: list[int], radius: int) -> list:
+    found = list(range(len(rows)))
+    for _ in rows:
+        for i in range(len(rows)):
+            for j in range(len(rows)):
+                if (prints[i] ^ prints[j]).bit_count() <= radius:
+                    found[i] = found[j] = min(found[i], found[j])
+    smallest = {}
+    for i, row in enumerate(rows):
+        if row[0] is not None:
+            smallest[found[i]] = min(smallest.get(found[i], row[0]), row[0])
+    return [smallest.get(found[i]) for i in range(len(rows))]
+
+
+def test_fingerprints_and_groups_match_brute_force(spark, odd):
+    rows = odd_rows()
+    prints = [plain(row[1]) for row in rows]
+    expected = sorted(
+        ((row[0], f"{p:016x}", c) for row, p, c in zip(rows, prints, groups(rows, prints, 2))), key=repr
+    )
+    for tile in (2, 2048):
+        found = simhash.near_duplicates(odd, tile=tile)
+        assert found.columns == ["doc_id", "fingerprint", "component_id"]
+        assert sorted(map(tuple, found.collect()), key=repr) == expected
+
+
+def test_long_texts_are_read_in_blocks(monkeypatch):
+    text = prose(9, 4000).encode()
+    whole = simhash.fingerprint(text)
+    original = simhash.blocks_of_words
+    monkeypatch.setattr(simhash, "blocks_of_words", lambda data: original(data, 100))
+    assert simhash.fingerprint(text) == whole == plain(text.decode())
+
+
+def test_links_of_random_and_close_fingerprints(spark):
+    draw = np.random.default_rng(5)
+    base = draw.integers(0, 2**63, 300, dtype=np.uint64)
+    flips = base ^ (np.uint64(1) << draw.integers(0, 64, 300).astype(np.uint64))
+    values = np.unique(np.r_[base, flips, flips ^ np.uint64(3)])
+    frame = spark.createDataFrame([(int(v),) for v in values.view(np.int64)], "fp long")
+    near = np.bitwise_count(values[:, None] ^ values[None, :]) <= 2
+    label = np.arange(len(values))
+    while True:
+        new = np.where(near, label[None, :], len(values)).min(axis=1)
+        if (new == label).all():
+            break
+        label = new
+    for tile in (4, 64):
+        found = {r.node: r.root for r in components(simhash.links(frame, tile=tile)).collect()}
+        root = [found.get(int(v), int(v)) for v in values.view(np.int64)]
+        pairs = {(a, b) for a, b in zip(label.tolist(), root)}
+        assert len({a for a, _ in pairs}) == len({b for _, b in pairs}) == len(pairs)
+
+
+def test_components_of_a_long_chain_a_star_and_nothing(spark):
+    chain = [(i, i + 1) for i in range(200)] + [(1000, i) for i in range(1001, 1100)] + [(5, 5), (None, 1)]
+    found = {r.node: r.root for r in components(spark.createDataFrame(chain, "a long, b long")).collect()}
+    assert len({found[i] for i in range(201)}) == 1
+    assert len({found[i] for i in range(1000, 1100)}) == 1
+    assert found[0] != found[1000] and len(found) == 301
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_one_row_of_each_group_stays(odd, none):
+    kept = simhash.keep_one(odd)
+    assert kept.columns == odd.columns
+    ids = [row.doc_id for row in kept.collect()]
+    known = [i for i in ids if i is not None]
+    rows = [row for row in odd_rows() if row[0] is not None]
+    prints = [plain(row[1]) for row in rows]
+    assert sorted(known) == sorted({c for c in groups(rows, prints, 2)})
+    assert ids.count(None) == 2
+    assert simhash.keep_one(none).count() == 0 and simhash.near_duplicates(none).count() == 0
