@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from entitylake.llm.batches import column, share_code, slices
 
 ORDER = 4
-TRAINING = 400
-CALIBRATION = 100
+SAMPLE = 500
+CALIBRATION = 5
 GRAMS = 2_000_000
 REJECTED = 6.0
 SHARPNESS = 20.0
@@ -179,14 +179,14 @@ def _grams(docs: DataFrame) -> DataFrame:
 
 def fitted(
     docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang",
-    training: int = TRAINING, calibration: int = CALIBRATION, grams: int = GRAMS,
+    sample: int = SAMPLE, grams: int = GRAMS,
 ) -> Model:
     """Models of all languages that the documents outside ``held_out`` are labelled with.
 
-    The fit is on a bounded sample: of each language the ``training`` labelled documents, whole,
-    whose keys have the least hashes; the next ``calibration`` ones set the limit above which a
-    cross-entropy is rejected, ``REJECTED`` standard deviations above their mean. Models hold at
-    most ``grams`` n-grams in all, the most frequent of each language; so the driver and a
+    The fit is on a bounded sample: of each language the ``sample`` labelled documents, whole,
+    whose keys have the least hashes. One in ``CALIBRATION`` of them is not trained on but sets the
+    limit above which a cross-entropy is rejected, ``REJECTED`` standard deviations above their
+    mean. Models hold at most ``grams`` n-grams in all, the most frequent of each language; so the driver and a
     broadcast hold no more either.
     """
     share_code(docs.sparkSession)
@@ -194,11 +194,12 @@ def fitted(
         column(docs, key).alias("key"), column(docs, text).cast("string").alias("text"), column(docs, lang).cast("string").alias("lang")
     ).where(F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("key")))
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("key"), "key"))
-    ranked = own.select("key", "lang", place.alias("place")).where(F.col("place") <= training + calibration)
-    # at most (training + calibration) keys per language
+    ranked = own.select("key", "lang", place.alias("place")).where(F.col("place") <= sample)
+    # at most ``sample`` keys per language
     chosen = ranked.select(F.col("key").alias("k"), F.col("lang").alias("l"), "place")
-    sample = own.join(F.broadcast(chosen), F.col("key").eqNullSafe(F.col("k")) & (F.col("lang") == F.col("l")))
-    counts = _grams(sample.where(F.col("place") <= training))
+    sampled = own.join(F.broadcast(chosen), F.col("key").eqNullSafe(F.col("k")) & (F.col("lang") == F.col("l")))
+    apart = F.col("place") % CALIBRATION == 0
+    counts = _grams(sampled.where(~apart))
     n = max(ranked.select("lang").distinct().count(), 1)
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
     kept = counts.withColumn("place", rank).where(F.col("place") <= grams // n).select("lang", "gram", "n").toPandas()
@@ -218,7 +219,7 @@ def fitted(
                 if own:
                     yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*own)], ["lang", "entropy"])
 
-    spread = sample.where(F.col("place") > training).select("text", "lang").mapInArrow(run, "lang string, entropy double")
+    spread = sampled.where(apart).select("text", "lang").mapInArrow(run, "lang string, entropy double")
     for row in spread.groupBy("lang").agg(F.avg("entropy"), F.stddev_pop("entropy"), F.count("*")).collect():
         if row[3] > 1:
             model.limits[names.index(row[0])] = row[1] + REJECTED * row[2]

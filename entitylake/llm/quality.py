@@ -16,7 +16,7 @@ BITS = 16
 GRAM = 4
 TRUSTED = 20_000
 # Nats per n-gram; clean texts, also of a language the labels hardly cover, lie well above.
-THRESHOLD = -0.6
+THRESHOLD = -0.5
 SMOOTHING = 0.5
 SYMBOLS = b"#*$%&|<>"
 RUN = 5
@@ -88,8 +88,9 @@ def likelihood_ratios(
     """For each of ``2 ** bits`` buckets: the log of its share in trusted texts over its share in all.
 
     All documents count towards the corpus. The trusted texts are whole texts of at most ``most``
-    documents whose keys ``trusted`` holds in its first column, those with the least hashes. Without
-    any, all ratios are 0. A task sends one row per bucket that it has met, and the driver gets one
+    documents whose keys ``trusted`` holds in its first column, those with the least hashes; both of a
+    ratio's counts, the trusted one and the one expected from the corpus, are raised by
+    ``SMOOTHING``. Without any trusted text, all ratios are 0. A task sends one row per bucket that it has met, and the driver gets one
     row per bucket.
     """
     share_code(docs.sparkSession)
@@ -121,8 +122,8 @@ def likelihood_ratios(
         both[:, row[0]] = row[1:]
     if not both[1].any():
         return np.zeros(1 << bits, np.float32)
-    logs = np.log((both + SMOOTHING) / (both.sum(axis=1, keepdims=True) + SMOOTHING * both.shape[1]))
-    return (logs[1] - logs[0]).astype(np.float32)
+    expected = both[0] * both[1].sum() / both[0].sum()
+    return np.log((both[1] + SMOOTHING) / (expected + SMOOTHING)).astype(np.float32)
 
 
 def judged(
