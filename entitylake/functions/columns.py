@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -71,12 +71,19 @@ def printed_time(time: Column) -> Column:
     return F.rpad(dotted, SNAPSHOT_TIME_LENGTH, "0")
 
 
-def time_literal(df: DataFrame, column: str, value: datetime) -> Column:
-    """``value`` in the very type of ``column``, so that comparisons reach the scan."""
+def time_literal(df: DataFrame, column: str, value: date) -> Column:
+    """``value`` in the very type of ``column``, so that comparisons reach the scan.
+
+    For dates it is the first that is not before ``value``: a date lies before a time
+    of its own day.
+    """
     dtype = df.schema[column].dataType
+    if not isinstance(value, datetime):
+        value = datetime(value.year, value.month, value.day)
     text = value.isoformat(sep=" ")
     if isinstance(dtype, T.TimestampNTZType):
         return F.expr(f"TIMESTAMP_NTZ'{text}'")
     if isinstance(dtype, T.DateType):
-        return F.expr(f"DATE'{value.date().isoformat()}'")
+        late = value.replace(tzinfo=None) > datetime(value.year, value.month, value.day)
+        return F.expr(f"DATE'{(value.date() + timedelta(days=late)).isoformat()}'")
     return F.expr(f"TIMESTAMP'{text}'")

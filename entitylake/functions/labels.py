@@ -27,6 +27,11 @@ def paired(
     )
 
 
+def description_label() -> Column:
+    """The description alone; null where there is none, or no path to it."""
+    return label("Description")
+
+
 def display_labels() -> tuple[Column, Column]:
     """Display name and display collection name; both null if one path is broken."""
     null = F.lit(None).cast("string")

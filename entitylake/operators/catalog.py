@@ -37,6 +37,7 @@ LABEL_KINDS = ["display_name", "display_collection_name"]
 SHORT_LABEL_KINDS = ["DisplayName", "DisplayCollectionName"]
 NOT_ENDPOINTS = ["display_name", "name"]
 ENDPOINT_PRIORITY = ["LogicalCollectionName", "LogicalName", "SchemaName"]
+PROFILE_LABEL = "%s<Endpoint=%s, Count=%d>"
 # --------------------------------------------------------------------------
 
 KEY = "MetadataId"
@@ -210,14 +211,11 @@ def field_listing(frames: Mapping[str, DataFrame]) -> DataFrame:
 def json_field_listing(records: DataFrame, column: str = "record") -> DataFrame:
     """The same from records as JSON text (entity, record), fields not known beforehand.
 
-    Records are first counted by their set of fields: there are few such sets,
-    so only a handful of rows per task is shuffled and unfolded.
+    A task sends one row per field that it has met, however many sets of fields
+    the records have.
     """
-    shapes = records.groupBy(ENTITY, F.json_object_keys(named(column)).alias("fields")).agg(
-        F.count("*").alias("n")
-    )
-    fields = shapes.select(ENTITY, F.explode("fields").alias("field"), "n")
-    return fields.groupBy(ENTITY, "field").agg(F.sum("n").alias("n_records"))
+    fields = records.select(ENTITY, F.explode(F.array_distinct(F.json_object_keys(named(column)))).alias("field"))
+    return fields.groupBy(ENTITY, "field").agg(F.count("*").alias("n_records"))
 
 
 def time_fields(listing: DataFrame) -> DataFrame:
@@ -236,12 +234,14 @@ def entity_profile(
     counts: DataFrame,
     fields: DataFrame | None = None,
     size: int = PAGE_SIZE,
+    names: DataFrame | None = None,
 ) -> DataFrame:
-    """One row per entity: endpoint, count, estimated pages, date and time fields, label.
+    """One row per entity: endpoint, count, estimated pages, date and time fields, names, label.
 
     ``endpoints`` and ``counts`` are keyed by MetadataId. ``fields`` is the output
     of ``time_fields`` for the records behind the endpoints, its entity being the
-    endpoint. ``catalog_size`` is the number of entities.
+    endpoint. ``names`` is the output of ``harvest_names``; the profile has the different
+    ones in order. ``catalog_size`` is the number of entities.
     """
     display, _ = display_labels()
     rows = (
@@ -259,6 +259,10 @@ def entity_profile(
         )
         rows = rows.join(lists.withColumnRenamed(ENTITY, "endpoint"), "endpoint", "left")
         extra = ["date_fields", "time_fields"]
+    if names is not None:
+        every = names.groupBy(KEY).agg(F.sort_array(F.collect_set("name")).alias("names"))
+        rows = rows.join(every, KEY, "left")
+        extra = [*extra, "names"]
     count = F.coalesce("record_count", F.lit(0))
     return rows.select(
         KEY,
@@ -270,7 +274,7 @@ def entity_profile(
         estimated_pages(count, size).alias("estimated_pages"),
         *extra,
         F.format_string(
-            "%s<Endpoint=%s, Count=%d>",
+            PROFILE_LABEL,
             F.coalesce("display_name", F.lit("None")),
             F.coalesce("endpoint", F.lit("None")),
             count,

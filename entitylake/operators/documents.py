@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,12 +41,13 @@ def parse_documents(df: DataFrame, column: str, schema: T.StructType, out: str =
     )
 
 
-def data_only(df: DataFrame, strict: bool = False) -> DataFrame:
-    """The documents that are data. ``strict`` fails the job at the first error envelope."""
+def data_only(df: DataFrame, strict: bool = False, failing: Sequence[str] = ("error",)) -> DataFrame:
+    """The documents that are data. ``strict`` fails the job at the first that is ``failing``."""
     good = F.col(STATUS) == "ok"
     if strict:
-        message = F.concat_ws(": ", F.lit("error page"), F.col(f"{ERROR}.code"), F.col(f"{ERROR}.message"))
-        good = F.when(F.col(STATUS) == "error", F.raise_error(message).cast("boolean")).otherwise(good)
+        known = [F.col(f"{ERROR}.{name}") for name in ERROR_BODY.names] if ERROR in df.columns else []
+        message = F.concat_ws(": ", F.concat(F.col(STATUS), F.lit(" page")), *known)
+        good = F.when(F.col(STATUS).isin(*failing), F.raise_error(message).cast("boolean")).otherwise(good)
     return df.filter(good)
 
 

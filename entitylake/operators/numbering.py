@@ -4,7 +4,7 @@
 Here the order is first cut into blocks of a known, equal number of rows:
 
 1. a Bernoulli sample of the sort keys gives fine bounds (at most ``MAX_BOUNDS``
-   keys reach the driver, whatever the table size);
+   keys, more or less, reach the driver, whatever the table size);
 2. one key-only pass counts the rows between the bounds, so the global rank of
    every bound is known;
 3. one key-only pass, over the few gaps that hold a block end, finds the exact
@@ -30,6 +30,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from entitylake.functions.columns import named
+from entitylake.functions.jsontext import json_text
 from entitylake.functions.ordering import (
     OrderBy,
     SortKey,
@@ -41,10 +42,15 @@ from entitylake.functions.ordering import (
     splittable,
 )
 
-ROWS_PER_BLOCK = 200_000
-MAX_BLOCKS = 16_384
-MAX_BOUNDS = 65_536
-MAX_RANK = 1 << 32
+BLOCK_BYTES = 128 << 20
+LEAST_ROWS = 100_000
+MEASURED_ROWS = 1000
+# Block ends are literals in the plan, so their number is bounded; beyond it blocks
+# grow, and a task sorts more than BLOCK_BYTES, with spilling.
+MAX_BLOCKS = 65_536
+MAX_BOUNDS = 4 * MAX_BLOCKS
+GAP_BITS = 32
+MOST_ROWS = (1 << 31) - 1  # what row_number() can count
 BLOCK = "__block"
 
 
@@ -98,12 +104,13 @@ def cut_blocks(
     df: DataFrame,
     order_by: OrderBy,
     align: int = 1,
-    rows_per_block: int = ROWS_PER_BLOCK,
+    rows_per_block: int | None = None,
     total: int | None = None,
 ) -> Blocks:
     """Cut the order of ``df`` into equal blocks of a multiple of ``align`` rows.
 
-    ``order_by`` must be unique. ``total`` saves a pass if the row count is known.
+    Without ``rows_per_block``, blocks are sized by the width of the rows and by
+    the cores. ``order_by`` must be unique. ``total`` saves a pass if the row count is known.
     The keys are read up to four times, so an expensive ``df`` should be stored
     first (``session.materialized``).
     """
@@ -112,8 +119,10 @@ def cut_blocks(
         raise ValueError("numbering needs an explicit, unique order_by")
     if total is None:
         total = df.count()
-    target = max(rows_per_block, ceil(total / MAX_BLOCKS))
+    target = max(rows_per_block or _rows_per_block(df, total), ceil(total / MAX_BLOCKS))
     size = max(1, ceil(target / align)) * align
+    if min(size, total) > MOST_ROWS:
+        raise ValueError(f"a block of {size} rows is more than can be numbered")
     blocks = max(1, ceil(total / size))
     if blocks == 1:
         return Blocks(keys, total, size, [])
@@ -131,11 +140,27 @@ def cut_blocks(
         raise ValueError("the rows changed, or total is not their number")
 
     wanted = _ranks_in_gaps(counts, [size * i for i in range(1, blocks)])
+    if any(counts[gap] > MOST_ROWS for gap in wanted):
+        raise ValueError("the sample left a gap with more rows than can be numbered")
     return Blocks(keys, total, size, _keys_at(found, plain_keys, names, wanted))
 
 
+def _rows_per_block(df: DataFrame, total: int) -> int:
+    """Rows of about ``BLOCK_BYTES``, fewer if there would be less than a block for every core.
+
+    The width is that of the first rows as JSON text.
+    """
+    if total <= LEAST_ROWS:
+        return LEAST_ROWS
+    first = df.limit(MEASURED_ROWS).select(F.octet_length(json_text(F.struct(*map(named, df.columns)))).alias("n"))
+    width = first.agg(F.avg("n")).first()[0] or 1
+    fair = max(LEAST_ROWS, ceil(total / df.sparkSession.sparkContext.defaultParallelism))
+    return max(1, min(fair, int(BLOCK_BYTES / width)))
+
+
 def _sample_bounds(plain: DataFrame, keys: Sequence[SortKey], blocks: int, total: int) -> list[tuple]:
     per_block = min(16, max(4, MAX_BOUNDS // blocks))
+    # of a random sample there may be a few more keys than asked for
     fraction = min(1.0, blocks * per_block / total)
     rows = (
         plain.sample(fraction=fraction, seed=17)
@@ -171,8 +196,8 @@ def _keys_at(
     """
     gaps = gaps.select(*names, F.explode(F.array("gap")).alias("gap"))
     in_gap = W.partitionBy("gap").orderBy(*sort_columns(keys))
-    spots = [gap * MAX_RANK + rank for gap, ranks in wanted.items() for rank in ranks]
-    spot = F.col("gap") * F.lit(MAX_RANK).cast("bigint") + F.col("rank")
+    spots = [(gap << GAP_BITS) + rank for gap, ranks in wanted.items() for rank in ranks]
+    spot = F.shiftleft(F.col("gap").cast("bigint"), GAP_BITS) + F.col("rank")
     rows = (
         gaps.filter(F.col("gap").isin(list(wanted)))
         .withColumn("rank", F.row_number().over(in_gap))
@@ -234,7 +259,7 @@ def number_rows(
     df: DataFrame,
     order_by: OrderBy,
     out: str = "row_number",
-    rows_per_block: int = ROWS_PER_BLOCK,
+    rows_per_block: int | None = None,
     total: int | None = None,
 ) -> DataFrame:
     """Add the position of each row in ``order_by``, from 1."""

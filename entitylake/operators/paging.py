@@ -13,9 +13,9 @@ from pyspark.sql import types as T
 
 from entitylake.functions.columns import named, quote, time_literal
 from entitylake.functions.ordering import OrderBy, after_row, sort_columns, sort_keys
+from entitylake.operators.documents import STATUS, data_only
 from entitylake.operators.numbering import (
     BLOCK,
-    ROWS_PER_BLOCK,
     Blocks,
     cut_blocks,
     number_in_blocks,
@@ -47,7 +47,7 @@ def _page_of(position: Column, size: int) -> Column:
     return F.floor((position - 1) / F.lit(size)).cast("bigint") + 1
 
 
-def _cut(df: DataFrame, order_by: OrderBy, size: int, rows_per_block: int, total: int | None) -> Paged:
+def _cut(df: DataFrame, order_by: OrderBy, size: int, rows_per_block: int | None, total: int | None) -> Paged:
     blocks = cut_blocks(df, order_by, align=size, rows_per_block=rows_per_block, total=total)
     rows = number_in_blocks(df, blocks, POSITION)
     return Paged(rows.withColumn(PAGE_NUMBER, _page_of(F.col(POSITION), size)), blocks, size)
@@ -57,7 +57,7 @@ def paginate(
     df: DataFrame,
     order_by: OrderBy,
     size: int = PAGE_SIZE,
-    rows_per_block: int = ROWS_PER_BLOCK,
+    rows_per_block: int | None = None,
     total: int | None = None,
 ) -> DataFrame:
     """Add ``page_number`` (from 1, ``size`` rows per page) and the row's ``position``."""
@@ -75,7 +75,7 @@ def all_pages(
     entity: str,
     order_by: OrderBy,
     size: int = PAGE_SIZE,
-    rows_per_block: int = ROWS_PER_BLOCK,
+    rows_per_block: int | None = None,
     total: int | None = None,
 ) -> DataFrame:
     """Every page as one envelope row: entity, page number, records, link.
@@ -168,11 +168,22 @@ def last_key(page: DataFrame, order_by: OrderBy) -> dict[str, Any] | None:
     return None if row is None else dict(zip(names, row))
 
 
-def unpage(pages: DataFrame) -> DataFrame:
-    """Envelope rows to record rows; an empty page gives none.
+def data_pages(pages: DataFrame, strict: bool = False) -> DataFrame:
+    """The pages that are data; others fail the job if ``strict``.
+
+    Pages that were read have a status, and one that is cut off or has a single malformed field
+    counts as no data as a whole. ``documents.quarantine`` gives the rest. Pages that were just
+    made have no status.
+    """
+    return data_only(pages, strict, ("error", "corrupt")) if STATUS in pages.columns else pages
+
+
+def unpage(pages: DataFrame, strict: bool = False) -> DataFrame:
+    """Envelope rows to record rows; an empty page gives none, nor does one that is no data.
 
     Adds the page's entity and number (where present) and the row's position.
     """
+    pages = data_pages(pages, strict)
     lead = [name for name in (ENTITY, PAGE_NUMBER) if name in pages.columns]
     fields = pages.schema[VALUE].dataType.elementType.fieldNames()
     rows = pages.select(*lead, F.posexplode(VALUE).alias(POSITION, "record"))
@@ -180,10 +191,10 @@ def unpage(pages: DataFrame) -> DataFrame:
     return rows.select(*kept, *[F.col(f"record.{quote(name)}").alias(name) for name in fields])
 
 
-def records_of(pages: DataFrame) -> DataFrame:
-    """Only the record columns of all pages."""
+def records_of(pages: DataFrame, strict: bool = False) -> DataFrame:
+    """Only the record columns of all pages that are data."""
     fields = pages.schema[VALUE].dataType.elementType.fieldNames()
-    return unpage(pages).select(*[named(name) for name in fields])
+    return unpage(pages, strict).select(*[named(name) for name in fields])
 
 
 def estimated_pages(records: Column, size: int = PAGE_SIZE, mode: str = "ceil") -> Column:
@@ -204,10 +215,10 @@ def page_stats(pages: DataFrame, counts: DataFrame, size: int = PAGE_SIZE) -> Da
     """Per entity: pages and records saved, against the estimate from ``counts``.
 
     ``counts`` has (entity, record_count). Sizes are taken per page before the
-    shuffle, so no records move.
+    shuffle, so no records move. Pages that are no data do not count as saved.
     """
     saved = (
-        pages.select(ENTITY, PAGE_NUMBER, F.size(VALUE).cast("bigint").alias("n"))
+        data_pages(pages).select(ENTITY, PAGE_NUMBER, F.size(VALUE).cast("bigint").alias("n"))
         .groupBy(ENTITY, PAGE_NUMBER)
         .agg(F.max("n").alias("n"))
         .groupBy(ENTITY)

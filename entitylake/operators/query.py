@@ -6,7 +6,7 @@ They apply in this order: filter, count, orderby, top, expand, select.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 from typing import Any
 
@@ -16,11 +16,12 @@ from pyspark.sql import types as T
 
 from entitylake.functions.columns import named, split_names
 from entitylake.functions.ordering import OrderBy, SortKey, sort_columns, sort_keys
+from entitylake.operators.ranking import ranked
 from entitylake.schemas import COUNT
-from entitylake.session import checkpoint_root
+from entitylake.session import materialized
 
-MAX_ITEMS = 10_000
-MAX_BROADCAST_ROWS = 10_000
+# Up to here ``top`` is a top-k, which one task finishes; more rows are cut by rank.
+TOP_IN_ONE_TASK = 100_000
 
 
 @dataclass(frozen=True)
@@ -29,10 +30,14 @@ class Navigation:
 
     ``left`` is the key column of the parent, ``right`` that of ``df``. To-many
     (``many``) gives an array of structs, to-one a struct. ``order_by`` orders
-    the array by columns of ``df`` (ascending, default: by ``key``); ``count_only``
-    replaces it by the number of related rows. ``key`` is the primary key of ``df``
-    (default: all its columns); it deals out the related rows of a parent with
-    very many.
+    the items by columns of ``df`` (ascending, default: by ``key``, the primary
+    key of ``df``); ``count_only`` replaces them by their number.
+
+    To-many comes in one of two forms, which the caller chooses. Without
+    ``max_items`` every parent keeps one row with all its items; one row must
+    then hold them. With ``max_items`` all parents come in item pages:
+    ``<name>@page`` k holds items ``(k - 1) * max_items + 1`` to ``k * max_items``
+    of the parent, and a parent without items has an empty page 1.
     """
 
     name: str
@@ -43,7 +48,7 @@ class Navigation:
     select: str | Sequence[str] | None = None
     order_by: Sequence[str] = field(default_factory=tuple)
     key: Sequence[str] = field(default_factory=tuple)
-    max_items: int = MAX_ITEMS
+    max_items: int | None = None
     count_only: bool = False
 
     def fields(self) -> list[str]:
@@ -67,11 +72,15 @@ def query(
     top: int | None = None,
     orderby: OrderBy | None = None,
     count: bool = False,
+    one_task: int = TOP_IN_ONE_TASK,
 ) -> DataFrame:
-    """The rows of an entity under query options, as one lazy DataFrame.
+    """The rows of an entity under query options, as a DataFrame.
 
     A falsy option does not apply (``top=0`` is no limit). ``count`` adds the
-    number of rows that match ``filter``, whatever ``top`` cuts off.
+    number of rows that match ``filter``, whatever ``top`` cuts off. Intermediate
+    rows are stored when the query is built in three cases: item pages, ``top``
+    together with ``expand``, and a ``top`` above ``one_task`` rows, which is cut by
+    rank instead of collecting all of it in one task.
     """
     navigations = [expand] if isinstance(expand, Navigation) else list(expand or [])
     chosen = split_names(select)
@@ -80,11 +89,14 @@ def query(
     if count:
         rows = rows.withColumn(COUNT, matching.agg(F.count("*")).scalar())
     keys = sort_keys(orderby)
-    if top:
+    large = (top or 0) > one_task
+    if large:
+        rows = ranked(rows, keys, "__rank").filter(F.col("__rank") <= top).drop("__rank")
+    elif top:
         rows = rows.orderBy(*sort_columns(keys)).limit(top) if keys else rows.limit(top)
     if navigations:
-        rows = _expanded(rows, navigations, top)
-    if keys and (navigations or not top):
+        rows = _expanded(rows, navigations, bool(top))
+    if keys and (navigations or not top or large):
         rows = _sorted(rows, keys, chosen or df.columns)
     if chosen:
         extra = [name for nav in navigations for name in _added(nav)] + ([COUNT] if count else [])
@@ -106,138 +118,118 @@ def _is_blank(text: Column | str) -> bool:
     return isinstance(text, str) and not text.strip()
 
 
-def _expanded(rows: DataFrame, navigations: Sequence[Navigation], top: int | None) -> DataFrame:
+def _expanded(rows: DataFrame, navigations: Sequence[Navigation], top: bool) -> DataFrame:
     """Expand, after cutting related rows down to those the ``top`` parents need.
 
-    The parents are checkpointed then: a limit may choose other rows when it is
+    The parents are stored then: a limit may choose other rows when it is
     evaluated again.
     """
     if top:
-        checkpoint_root(rows.sparkSession)
-        rows = rows.checkpoint()
-        navigations = [_restricted(nav, rows, top) for nav in navigations]
+        rows = materialized(rows, "top")
+        navigations = [_restricted(nav, rows) for nav in navigations]
     for nav in navigations:
         rows = expand_many(rows, nav) if nav.many else expand_one(rows, nav)
     return rows
 
 
-def _restricted(nav: Navigation, parents: DataFrame, top: int) -> Navigation:
+def _restricted(nav: Navigation, parents: DataFrame) -> Navigation:
     wanted = parents.select(named(nav.left).alias(nav.right)).distinct()
-    related = nav.df.join(_small(wanted, top), nav.right, "left_semi")
-    return Navigation(**{**nav.__dict__, "df": related})
+    return replace(nav, df=nav.df.join(wanted, nav.right, "left_semi"))
+
 
+def get_by_key(
+    df: DataFrame,
+    key: Mapping[str, Any],
+    select: str | Sequence[str] | None = None,
+    expand: Navigation | Sequence[Navigation] | None = None,
+) -> DataFrame:
+    """Exactly one record by primary or alternate key; none or several fail the job.
 
-def get_by_key(df: DataFrame, key: Mapping[str, Any], **options: Any) -> DataFrame:
-    """Exactly one record by primary or alternate key; none or several are an error."""
-    found = query(df.filter(keyed(key)), **options)
-    rows = df.filter(keyed(key)).select(F.lit(1)).limit(2).count()
-    if rows != 1:
-        raise LookupError(f"{'no' if rows == 0 else 'more than one'} record with key {dict(key)}")
-    return found
+    The check is part of the plan: at most two records are looked at, once.
+    """
+    navigations = [expand] if isinstance(expand, Navigation) else list(expand or [])
+    chosen = split_names(select) or df.columns
+    needed = dict.fromkeys([*chosen, *(nav.left for nav in navigations)])
+    record = F.struct(*[named(name) for name in needed])
+    found = df.filter(keyed(key)).select(record.alias("record")).limit(2).agg(F.collect_list("record").alias("found"))
+    wrong = F.when(F.size("found") == 0, F.lit("no record")).otherwise(F.lit("more than one record"))
+    message = F.concat(wrong, F.lit(f" with key {dict(key)}"))
+    checked = F.when(F.size("found") == 1, F.col("found")).otherwise(F.raise_error(message))
+    one = found.select(F.explode(checked).alias("record")).select("record.*")
+    return query(one, select=chosen, expand=navigations)
 
 
 def _added(nav: Navigation) -> list[str]:
     if not nav.many:
         return [nav.name]
-    return [f"{nav.name}{COUNT}"] if nav.count_only else [nav.name, f"{nav.name}@page"]
+    if nav.count_only:
+        return [f"{nav.name}{COUNT}"]
+    return [nav.name] if nav.max_items is None else [nav.name, f"{nav.name}@page"]
 
 
 def expand_one(parents: DataFrame, nav: Navigation) -> DataFrame:
-    """Add the related row as a struct, null where there is none."""
-    related = nav.df.select(
-        named(nav.right).alias("__key"),
-        F.struct(*[named(name) for name in nav.fields()]).alias(nav.name),
-    )
-    return parents.join(related, named(nav.left) == F.col("__key"), "left").drop("__key")
+    """Add the related row as a struct, null where there is none.
+
+    A key that occurs more than once fails the job: parents are never multiplied.
+    A parent key that very many rows share is left to adaptive execution.
+    """
+    item = F.struct(*[named(name) for name in nav.fields()])
+    related = nav.df.filter(named(nav.right).isNotNull()).groupBy(named(nav.right).alias("__key"))
+    found = related.agg(F.first(item).alias("__item"), F.count("*").alias("__n"))
+    message = F.concat(F.lit(f"{nav.right} of {nav.name} is not unique: "), F.col("__key").cast("string"))
+    one = F.when(F.col("__n") == 1, F.col("__item")).otherwise(F.raise_error(message))
+    joined = parents.join(found, named(nav.left) == F.col("__key"), "left")
+    checked = F.when(F.col("__key").isNotNull(), one).alias(nav.name)
+    return joined.select(*[named(name) for name in parents.columns], checked)
 
 
 def expand_many(parents: DataFrame, nav: Navigation) -> DataFrame:
-    """Add the related rows as an array, empty where there are none.
+    """Add the related rows as an array, empty where there are none; see ``Navigation``.
 
-    An array cannot hold any number of rows, and a task should not have to. A
-    parent with more than ``max_items`` related rows is therefore repeated, each
-    time with another page of them; ``<name>@page`` numbers the pages from 1.
-    All other parents keep exactly one row.
+    Item pages are cut by rank: the order runs on from page to page, no page has
+    more items than asked for, and no task gets all items of a parent.
     """
     hashed = nav.key or [
         item.name for item in nav.df.schema.fields if not isinstance(item.dataType, T.MapType)
     ]
-    deal = F.xxhash64(*[named(name) for name in hashed])
-    # Plain fields lead, so that sorting an array hardly ever compares whole items.
-    order = [named(name).alias(f"__o{i}") for i, name in enumerate(nav.order_by or nav.key)]
+    names = [f"__o{i}" for i in range(len(nav.order_by or nav.key))]
     related = nav.df.select(
         named(nav.right).alias("__key"),
-        deal.alias("__deal"),
-        F.struct(
-            *order,
-            deal.alias("__deal"),
-            F.struct(*[named(name) for name in nav.fields()]).alias("item"),
-        ).alias("__item"),
+        *[named(name).alias(out) for name, out in zip(nav.order_by or nav.key, names)],
+        F.xxhash64(*[named(name) for name in hashed]).alias("__deal"),
+        F.struct(*[named(name) for name in nav.fields()]).alias("__item"),
     ).filter(F.col("__key").isNotNull())
 
+    kept = [named(name) for name in parents.columns]
+    match = named(nav.left) == F.col("__key")
     if nav.count_only:
         sizes = related.groupBy("__key").agg(F.count("*").alias("__n"))
         number = F.coalesce(F.col("__n"), F.lit(0)).alias(f"{nav.name}{COUNT}")
-        joined = parents.join(sizes, named(nav.left) == F.col("__key"), "left")
-        return joined.select(*[named(name) for name in parents.columns], number)
-
-    large, n_large = _large_groups(nav)
-    if n_large == 0:
-        return _arrays(parents, related, nav)
-
-    # Large groups: their related rows are dealt out over pages by a hash, so
-    # every page is a group of its own; the few parents they belong to are sent
-    # to the pages. The others go the usual way.
-    keys = _small(large, n_large)
-    usual = _arrays(
-        parents.join(keys.select(F.col("__key").alias(nav.left)), nav.left, "left_anti"),
-        related.join(keys, "__key", "left_anti"),
-        nav,
-    )
-    page = F.pmod(F.col("__deal"), F.col("__pages")).cast("int") + 1
-    paged = (
-        related.join(keys, "__key")
-        .groupBy("__key", page.alias(f"{nav.name}@page"))
-        .agg(_collected().alias(nav.name))
+        return parents.join(sizes, match, "left").select(*kept, number)
+    if nav.max_items is None:
+        # Plain fields lead, so that sorting an array hardly ever compares whole items.
+        arrays = related.groupBy("__key").agg(_collected(*names, "__deal").alias("__items"))
+        items = F.coalesce(F.col("__items"), F.array()).alias(nav.name)
+        return parents.join(arrays, match, "left").select(*kept, items)
+    if nav.max_items < 1:
+        raise ValueError("max_items must be positive")
+    order = [SortKey(name) for name in [*names, "__deal"]]
+    page = F.floor((F.col("__rank") - 1) / F.lit(nav.max_items)).cast("int") + 1
+    pages = (
+        ranked(related, order, "__rank", group="__key")
+        .groupBy("__key", page.alias("__page"))
+        .agg(_collected("__rank").alias("__items"))
     )
-    owners = parents.join(keys.select(F.col("__key").alias(nav.left)), nav.left, "left_semi")
-    n_owners = owners.select(nav.left).limit(MAX_BROADCAST_ROWS + 1).count()
-    split = paged.join(_small(owners, n_owners), F.col("__key") == named(nav.left))
-    return usual.unionByName(split.select(*[named(name) for name in usual.columns]))
-
-
-def _small(df: DataFrame, rows: int) -> DataFrame:
-    """Ask for a broadcast of ``df`` if its number of ``rows`` allows it."""
-    return F.broadcast(df) if rows <= MAX_BROADCAST_ROWS else df
-
-
-def _large_groups(nav: Navigation) -> tuple[DataFrame, int]:
-    """Keys with more related rows than one array may hold, and their pages (a key-only pass)."""
-    checkpoint_root(nav.df.sparkSession)
-    large = (
-        nav.df.select(named(nav.right).alias("__key"))
-        .filter(F.col("__key").isNotNull())
-        .groupBy("__key")
-        .agg(F.count("*").alias("__n"))
-        .filter(F.col("__n") > nav.max_items)
-        .select("__key", F.ceil(F.col("__n") / F.lit(nav.max_items)).alias("__pages"))
-        .checkpoint()
+    return parents.join(pages, match, "left").select(
+        *kept,
+        F.coalesce(F.col("__items"), F.array()).alias(nav.name),
+        F.coalesce(F.col("__page"), F.lit(1)).alias(f"{nav.name}@page"),
     )
-    return large, large.count()
-
-
-def _collected() -> Column:
-    return F.transform(F.sort_array(F.collect_list("__item")), lambda one: one["item"])
 
 
-def _arrays(parents: DataFrame, related: DataFrame, nav: Navigation) -> DataFrame:
-    arrays = related.groupBy("__key").agg(_collected().alias("__items"))
-    joined = parents.join(arrays, named(nav.left) == F.col("__key"), "left")
-    return joined.select(
-        *[named(name) for name in parents.columns],
-        F.coalesce(F.col("__items"), F.array()).alias(nav.name),
-        F.lit(1).alias(f"{nav.name}@page"),
-    )
+def _collected(*order: str) -> Column:
+    items = F.sort_array(F.collect_list(F.struct(*order, "__item")))
+    return F.transform(items, lambda one: one["__item"])
 
 
 def counted(df: DataFrame, filter: Column | str | None = None) -> DataFrame:

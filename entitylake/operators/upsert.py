@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -24,15 +25,27 @@ def last_wins(df: DataFrame, keys: Sequence[str], arrival: OrderBy) -> DataFrame
     return df.withColumn("__rank", F.row_number().over(newest)).filter("__rank = 1").drop("__rank")
 
 
-def upsert(base: DataFrame, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """``rows`` replace rows of ``base`` with the same key; all other keys are kept."""
-    return skip_done(base, rows, keys).unionByName(rows)
+def upsert(
+    base: DataFrame, rows: DataFrame, keys: Sequence[str], arrival: OrderBy | None = None, unique: Sequence[str] | None = None
+) -> DataFrame:
+    """``rows`` replace rows of ``base`` with the same key; all other keys are kept.
+
+    Of several rows with equal ``unique`` columns (default: the key) the last wins, in the order ``arrival`` or, without
+    one, in the order in which the rows come. Null is a key like any other.
+    """
+    if arrival is None:
+        numbered = rows.withColumn("__arrival", F.monotonically_increasing_id())
+        newest = last_wins(numbered, unique or keys, "__arrival").drop("__arrival")
+    else:
+        newest = last_wins(rows, unique or keys, arrival)
+    return skip_done(base, newest, keys).unionByName(newest)
 
 
 def skip_done(work: DataFrame, done: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The rows of ``work`` whose key is not in ``done``."""
-    done_keys = done.select(*[named(key) for key in keys]).distinct()
-    return work.join(done_keys, list(keys), "left_anti")
+    """The rows of ``work`` whose key is not in ``done``; null counts as a key."""
+    done_keys = done.select(*[named(key).alias(f"__k{i}") for i, key in enumerate(keys)]).distinct()
+    same = [named(key).eqNullSafe(F.col(f"__k{i}")) for i, key in enumerate(keys)]
+    return work.join(done_keys, reduce(lambda a, b: a & b, same), "left_anti")
 
 
 def fresh_rows(df: DataFrame, column: str, as_of: datetime, ttl: timedelta) -> DataFrame:

@@ -1,14 +1,16 @@
 """Extraction of entities into a page lake.
 
-The catalogue decides which entities are taken; paging and writing all of them
-is one Spark job.
+The catalogue decides which entities are taken. Each is paged and written by jobs of
+its own, a few entities at a time.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,7 +18,6 @@ from entitylake.functions.ordering import OrderBy
 from entitylake.operators.catalog import (
     ENDPOINT_PRIORITY,
     KEY,
-    entity_counts,
     record_counts_or_zero,
     resolve_endpoints,
 )
@@ -25,6 +26,10 @@ from entitylake.schemas import COUNTS_REPORT, ENTITY
 from entitylake.sources.csvfiles import read_csv
 from entitylake.sources.pages import write_pages
 
+# --- fixed values: entities that are taken at the same time ----------------
+AT_ONCE = 10
+# --------------------------------------------------------------------------
+
 
 @dataclass(frozen=True)
 class Collection:
@@ -53,12 +58,23 @@ def _names(spark: SparkSession, names: list[str]) -> DataFrame:
     return spark.createDataFrame([(name,) for name in names], "name string")
 
 
-def _save(targets: list[tuple[str, Collection]], path: str, size: int) -> None:
-    counted = entity_counts({name: one.df for name, one in targets}).select(ENTITY, "record_count")
-    totals = {row[ENTITY]: row["record_count"] for row in counted.collect()}
-    write_pages(
-        [all_pages(one.df, name, one.order_by, size, total=totals[name]) for name, one in targets], path
-    )
+def _save(targets: list[tuple[str, Collection]], path: str, size: int, at_once: int) -> dict[str, str]:
+    """Save each entity in jobs of its own, a few entities at a time; ``saved`` or the error for each.
+
+    Their cuts and writes run side by side, and one that fails touches no other.
+    """
+
+    def save(target: tuple[str, Collection]) -> str:
+        name, one = target
+        try:
+            write_pages(all_pages(one.df, name, one.order_by, size), path)
+        except Exception as error:
+            return f"{type(error).__name__}: {error}"
+        return "saved"
+
+    with ThreadPoolExecutor(max_workers=at_once) as pool:
+        found = pool.map(inheritable_thread_target(targets[0][1].df.sparkSession)(save), targets) if targets else []
+        return {name: text for (name, _), text in zip(targets, found)}
 
 
 def extract_all(
@@ -67,10 +83,11 @@ def extract_all(
     tables: Mapping[str, Collection],
     path: str,
     size: int = PAGE_SIZE,
+    at_once: int = AT_ONCE,
 ) -> list[str]:
     """Save every entity of the catalogue whose endpoint is among ``tables``.
 
-    Returns the entity names in work list order. The work list reaches the
+    All are tried, ``at_once`` at a time; if any fails, an error names them at the end. Returns the entity names in work list order. The work list reaches the
     driver, as the tables to scan must be known there; it has at most one row
     per catalogue entry, no records.
     """
@@ -78,8 +95,10 @@ def extract_all(
     endpoints = resolve_endpoints(definitions, _names(spark, list(tables)))
     todo = worklist(endpoints, record_counts_or_zero(definitions, snapshots))
     targets = [(row[ENTITY], tables[row["endpoint"]]) for row in todo.collect()]
-    if targets:
-        _save(targets, path, size)
+    status = _save(targets, path, size, at_once)
+    failed = {name: text for name, text in status.items() if text != "saved"}
+    if failed:
+        raise RuntimeError(f"not saved: {failed}")
     return [name for name, _ in targets]
 
 
@@ -90,13 +109,13 @@ def extract_from_csv(
     tables: Mapping[str, Collection | Callable[[], Collection]],
     path: str,
     size: int = PAGE_SIZE,
+    at_once: int = AT_ONCE,
 ) -> dict[str, str]:
     """Save the entities of a work list CSV; a failing entity does not stop the others.
 
     The endpoint is the first of the definition's names, in fixed priority, that
     exists; without one the entity's own name is tried. Returns a status per
-    entity: ``saved`` or the error. All entities go in one job; only if that
-    fails, each is tried on its own.
+    entity: ``saved`` or the error.
     """
     entries = wanted(smallest_first(read_csv(spark, csv_path, COUNTS_REPORT)))
     resolved = resolve_endpoints(
@@ -117,20 +136,4 @@ def extract_from_csv(
             targets.append((name, table if isinstance(table, Collection) else table()))
         except Exception as error:  # a table that cannot be opened
             status[name] = f"{type(error).__name__}: {error}"
-    status.update(_save_apart(targets, path, size))
-    return status
-
-
-def _save_apart(targets: list[tuple[str, Collection]], path: str, size: int) -> dict[str, str]:
-    if not targets:
-        return {}
-    try:
-        _save(targets, path, size)
-        return {name: "saved" for name, _ in targets}
-    except Exception as error:
-        if len(targets) == 1:
-            return {targets[0][0]: f"{type(error).__name__}: {error}"}
-    status = {}
-    for target in targets:
-        status.update(_save_apart([target], path, size))
-    return status
+    return status | _save(targets, path, size, at_once)

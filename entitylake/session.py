@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_made: list[str] = []
+
 
 def local_session(
     app: str = "entitylake", cpus: int | str = "*", shuffle_partitions: int | None = None
@@ -32,7 +36,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
     The cluster names it in ``spark.checkpoint.dir``. Only a local master may
-    fall back to a folder of its own, since there driver and tasks share a disk.
+    fall back to a folder of its own, since there driver and tasks share a disk;
+    that folder goes when the process ends.
     """
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
@@ -40,6 +45,7 @@ def checkpoint_root(spark: SparkSession) -> str:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="entitylake-")
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
     if not context.getCheckpointDir():
         context.setCheckpointDir(root)
     return root.rstrip("/")
@@ -47,7 +53,20 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A path for one intermediate table in the shared folder; never reused."""
-    return f"{checkpoint_root(spark)}/entitylake/{name}-{uuid.uuid4().hex}"
+    path = f"{checkpoint_root(spark)}/entitylake/{name}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete the intermediate tables of this process, once the results that read them are written.
+
+    Results are lazy and may read these tables, so only the caller knows when they are done with.
+    """
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    while _made:
+        path = jvm.org.apache.hadoop.fs.Path(_made.pop())
+        path.getFileSystem(conf).delete(path, True)
 
 
 def materialized(df: DataFrame, name: str = "table") -> DataFrame:

@@ -12,14 +12,15 @@ from __future__ import annotations
 from collections.abc import Iterable
 from functools import reduce
 
-from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamReader
 
 from entitylake.functions.columns import named
 from entitylake.functions.jsontext import READ_OPTIONS, json_text
-from entitylake.operators.documents import STATUS
+from entitylake.operators.documents import STATUS, data_only, quarantine
+from entitylake.operators.paging import data_pages
 from entitylake.schemas import CORRUPT, ENTITY, ERROR, NEXT_LINK, PAGE_NUMBER, VALUE, envelope
 
 # --- fixed values: names of page files ------------------------------------
@@ -29,7 +30,7 @@ PAGE_FILE = r"([^/]+?)(?:_extract)?_page_(\d+)\.json$"
 LINE = "line"
 
 
-def _write_lines(lines: Iterable[DataFrame], path: str) -> None:
+def write_lines(lines: Iterable[DataFrame], path: str) -> None:
     """Write (entity, line) frames in one job; entities not among them are left alone.
 
     Each directory is replaced as a whole, so a shrunk entity leaves nothing
@@ -54,7 +55,7 @@ def write_pages(envelopes: DataFrame | Iterable[DataFrame], path: str) -> None:
     lines ready made. Pages stay in the tasks that built them.
     """
     frames = [envelopes] if isinstance(envelopes, DataFrame) else envelopes
-    _write_lines([page_lines(frame) for frame in frames], path)
+    write_lines([page_lines(frame) for frame in frames], path)
 
 
 def _page_schema(record: T.DataType | None, *more: T.StructField) -> T.StructType:
@@ -62,9 +63,20 @@ def _page_schema(record: T.DataType | None, *more: T.StructField) -> T.StructTyp
     return T.StructType(fields)
 
 
+def _malformed(names: Iterable[str]) -> Column:
+    """Whether a line has been found malformed, judged by the fields ``names``, all of them.
+
+    A reader parses only the fields that a query needs, and sees no fault in others. The second
+    condition never holds; it makes every query need them, so that all queries judge alike.
+    """
+    read = F.greatest(F.lit(0), F.lit(0), *[F.when(named(name).isNotNull(), 1).otherwise(0) for name in names])
+    return F.col(CORRUPT).isNotNull() | (read < 0)
+
+
 def _with_status(pages: DataFrame, entity: str | None) -> DataFrame:
+    fields = [name for name in pages.columns if name not in (CORRUPT, ENTITY)]
     status = (
-        F.when(F.col(CORRUPT).isNotNull(), "corrupt")
+        F.when(_malformed(fields), "corrupt")
         .when(F.col(ERROR).isNotNull(), "error")
         .otherwise("ok")
     )
@@ -115,9 +127,19 @@ def read_page_files(
     return load_page_files(spark.read, path, record, entity)
 
 
-def json_records(pages: DataFrame) -> DataFrame:
+def set_aside(pages: DataFrame) -> DataFrame:
+    """The pages that are no data: (entity, page_number, status, code, message, text).
+
+    ``text`` is the page as it stands in the file, for malformed ones.
+    """
+    return quarantine(pages).select(
+        ENTITY, PAGE_NUMBER, STATUS, f"{ERROR}.code", f"{ERROR}.message", F.col(CORRUPT).alias("text")
+    )
+
+
+def json_records(pages: DataFrame, strict: bool = False) -> DataFrame:
     """(entity, record) with records as JSON text, from pages read without a record schema."""
-    return pages.select(ENTITY, F.explode(VALUE).alias("record"))
+    return data_pages(pages, strict).select(ENTITY, F.explode(VALUE).alias("record"))
 
 
 def record_lines(df: DataFrame, entity: str) -> DataFrame:
@@ -127,11 +149,20 @@ def record_lines(df: DataFrame, entity: str) -> DataFrame:
 
 def write_records(frames: dict[str, DataFrame], path: str) -> None:
     """Save the records of entities as JSON, unpaged; an empty entity leaves no output."""
-    _write_lines([record_lines(df, entity) for entity, df in frames.items()], path)
+    write_lines([record_lines(df, entity) for entity, df in frames.items()], path)
 
 
-def read_records(spark: SparkSession, path: str, record: T.StructType, entity: str) -> DataFrame:
-    """The records of one entity of a folder written by ``write_records``."""
-    schema = T.StructType([*record.fields, T.StructField(ENTITY, T.StringType())])
-    rows = spark.read.schema(schema).options(**READ_OPTIONS).json(path)
-    return rows.filter(F.col(ENTITY) == entity).drop(ENTITY)
+def load_records(spark: SparkSession, path: str, record: T.StructType, entity: str) -> DataFrame:
+    """All lines of one entity of a folder written by ``write_records``, with their status."""
+    more = [T.StructField(CORRUPT, T.StringType()), T.StructField(ENTITY, T.StringType())]
+    reader = spark.read.schema(T.StructType([*record.fields, *more])).options(**READ_OPTIONS)
+    rows = reader.option("columnNameOfCorruptRecord", CORRUPT).json(path).filter(F.col(ENTITY) == entity)
+    return rows.withColumn(STATUS, F.when(_malformed(record.names), "corrupt").otherwise("ok"))
+
+
+def read_records(
+    spark: SparkSession, path: str, record: T.StructType, entity: str, strict: bool = False
+) -> DataFrame:
+    """The records of one entity; a malformed line is left out, or fails the job if ``strict``."""
+    good = data_only(load_records(spark, path, record, entity), strict, ("corrupt",))
+    return good.select(*[named(name) for name in record.names])

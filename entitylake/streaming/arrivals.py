@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from entitylake.operators.paging import unpage
+from entitylake.operators.paging import data_pages, unpage
 from entitylake.schemas import ENTITY, PAGE_NUMBER, VALUE
-from entitylake.sources.pages import load_page_files, load_pages
+from entitylake.sources.pages import load_page_files, load_pages, set_aside
 
 BATCH = "batch_id"
 
@@ -28,25 +28,29 @@ def page_stream(
     return (load_page_files if file_per_page else load_pages)(reader, path, record)
 
 
-def append_records(pages: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+def append_records(pages: DataFrame, path: str, checkpoint: str, strict: bool = False) -> StreamingQuery:
     """Append the records of all pages that have landed, then stop.
 
     The checkpoint remembers the files, so a restart continues with new ones
-    and no page is taken twice.
+    and no page is taken twice. Pages that are no data fail the stream if
+    ``strict``; otherwise ``append_set_aside`` keeps them.
     """
-    return (
-        unpage(pages)
-        .writeStream.format("parquet")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    return _append(unpage(pages, strict), path, checkpoint)
+
+
+def append_set_aside(pages: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Append the pages that are no data, with their status and text, then stop."""
+    return _append(set_aside(pages), path, checkpoint)
+
+
+def _append(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    writer = rows.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
+    return writer.trigger(availableNow=True).start()
 
 
 def progress(pages: DataFrame) -> DataFrame:
-    """Running pages and records per entity; the state is one row per entity."""
-    sizes = pages.select(ENTITY, PAGE_NUMBER, F.size(VALUE).cast("bigint").alias("n"))
+    """Running pages and records per entity; the state is one row per entity. Only data counts."""
+    sizes = data_pages(pages).select(ENTITY, PAGE_NUMBER, F.size(VALUE).cast("bigint").alias("n"))
     return sizes.groupBy(ENTITY).agg(F.count(PAGE_NUMBER).alias("pages"), F.sum("n").alias("records"))
 
 
@@ -75,8 +79,10 @@ def latest_progress(spark: SparkSession, path: str) -> DataFrame:
     return rows.groupBy(ENTITY).agg(F.max("pages").alias("pages"), F.max("records").alias("records"))
 
 
-def finish(query: StreamingQuery, seconds: int = 600) -> None:
-    """Wait for an available-now query; stop it and fail if it takes too long."""
-    if not query.awaitTermination(seconds):
+def finish(query: StreamingQuery, seconds: int | None = None) -> None:
+    """Wait for an available-now query, however long; with ``seconds``, stop it and fail after them."""
+    if seconds is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(seconds):
         query.stop()
         raise TimeoutError(f"stream did not finish within {seconds} s")

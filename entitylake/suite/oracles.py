@@ -57,6 +57,8 @@ def _measures(name: str, type_: str) -> dict[str, str]:
         "database_length": (text, f"max(strlen({name}))", "BIGINT"),
         "min_value": (number, f"min({name})", "DOUBLE"),
         "max_value": (number, f"max({name})", "DOUBLE"),
+        "min_exact": (type_ in ("bigint", "int"), f"min({name})", "VARCHAR"),
+        "max_exact": (type_ in ("bigint", "int"), f"max({name})", "VARCHAR"),
         "min_time": (time, f"min({name})", "VARCHAR"),
         "max_time": (time, f"max({name})", "VARCHAR"),
     }
@@ -78,7 +80,8 @@ TARGETS = {("orders", "o_custkey"): "customer", ("customer", "c_nationkey"): "na
 
 
 def _documented(entity: str, name: str, type_: str) -> str:
-    measures = ", ".join(f"{sql} AS {out}" for out, sql in _measures(name, type_).items())
+    kept = {out: sql for out, sql in _measures(name, type_).items() if not out.endswith("exact")}
+    measures = ", ".join(f"{sql} AS {out}" for out, sql in kept.items())
     target = TARGETS.get((entity, name))
     kind = "Lookup" if target else TYPE_NAMES[type_]
     label = " ".join(word.capitalize() for word in name.split("_"))
@@ -93,9 +96,10 @@ def _each(build, *entities: str) -> str:
     )
 
 
-# The newest low priority order of each customer, as a count snapshot.
+# The newest order of each customer, as a count snapshot; some customers have another code.
+CODE = "CASE WHEN c_custkey % 7 = 0 THEN -c_custkey ELSE c_custkey END"
 SNAPSHOTS = """(SELECT o_custkey AS code, CAST(floor(o_totalprice) AS BIGINT) AS cnt, o_orderdate AS updated
-    FROM orders WHERE o_orderpriority = '5-LOW'
+    FROM orders
     QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1)"""
 
 BRANDS = "SELECT p_brand AS name FROM part WHERE p_retailprice > 1000 AND p_size < 3"
@@ -132,6 +136,13 @@ URGENT = "(SELECT count(*) FROM orders WHERE o_orderpriority = '1-URGENT')"
 DEFINED_LABEL = "CASE WHEN c.c_acctbal >= 0 THEN c.c_mktsegment ELSE 'None' END"
 AVAILABLE = "CASE WHEN c.c_mktsegment <> 'MACHINERY' THEN lower(c.c_mktsegment) END"
 
+# Pages of events with an error, cut off, or with a bad field are set aside, the others have their records.
+DAMAGED = f"""WITH paged AS (SELECT event_id, {_page('event_id', 100)} AS page_number FROM events),
+    marked AS (SELECT *, CASE WHEN page_number % 5 = 0 THEN 'error'
+        WHEN page_number % 7 = 0 OR page_number % 11 = 0 THEN 'corrupt' ELSE 'ok' END AS status FROM paged)
+    SELECT page_number, event_id, status FROM marked WHERE status = 'ok'
+    UNION ALL SELECT DISTINCT page_number, CAST(NULL AS BIGINT), status FROM marked WHERE status <> 'ok'"""
+
 ORACLES: dict[str, str] = {
     # query options
     "q_select": "SELECT o_orderkey, o_orderstatus FROM orders",
@@ -150,21 +161,31 @@ ORACLES: dict[str, str] = {
         LEFT JOIN customer ON o_custkey = c_custkey""",
     "expand_one": """SELECT c_custkey, n_name, r_name FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey
         LEFT JOIN region ON n_regionkey = r_regionkey""",
-    "expand_many": """SELECT c_custkey, count(o_orderkey) AS n_children, min(o_orderkey) AS first_child,
-        max(o_orderkey) AS last_child FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY c_custkey""",
+    "expand_many": """SELECT c_custkey, coalesce(string_agg(o_orderkey, ' ' ORDER BY o_orderkey), '') AS children
+        FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY c_custkey""",
+    "expand_pages": """SELECT c_custkey, page, coalesce(string_agg(o_orderkey, ' ' ORDER BY n), '') AS children
+        FROM (SELECT *, CAST(floor((n - 1) / 4) + 1 AS INTEGER) AS page FROM (
+            SELECT c_custkey, o_orderkey,
+                row_number() OVER (PARTITION BY c_custkey ORDER BY o_totalprice, o_orderkey) AS n
+            FROM customer LEFT JOIN orders ON c_custkey = o_custkey)) GROUP BY c_custkey, page""",
+    "top_large": """SELECT l_orderkey, l_linenumber, l_extendedprice FROM lineitem
+        ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate
+        LIMIT (SELECT count(*) // 2 FROM lineitem)""",
     "expand_count": """SELECT c_custkey, count(o_orderkey) AS n_children FROM customer
         LEFT JOIN orders ON c_custkey = o_custkey GROUP BY c_custkey""",
     "get_by_key": "SELECT conv_id, turn, role FROM conversations WHERE conv_id = 0 AND turn = 0",
     # collections, reshaping
     "scan_collection": "SELECT * FROM orders",
-    "scan_many": """SELECT 'customer' AS entity, c_custkey AS id FROM customer
-        UNION ALL SELECT 'supplier', s_suppkey FROM supplier UNION ALL SELECT 'part', p_partkey FROM part
-        UNION ALL SELECT 'orders', o_orderkey FROM orders""",
-    "allow_list": """SELECT 'customer' AS entity, c_custkey AS id FROM customer
-        UNION ALL SELECT 'supplier', s_suppkey FROM supplier UNION ALL SELECT 'part', p_partkey FROM part""",
-    "union_entities": """SELECT 'customer' AS entity, c_custkey AS id, c_acctbal AS acctbal,
-        c_mktsegment AS mktsegment FROM customer
-        UNION ALL SELECT 'supplier', s_suppkey, s_acctbal, NULL FROM supplier""",
+    "scan_many": " UNION ALL BY NAME ".join(
+        f"SELECT '{entity}' AS entity, * FROM {entity}" for entity in ("customer", "supplier", "part", "orders")
+    ),
+    "allow_list": f"""SELECT * FROM ({" UNION ALL BY NAME ".join(
+        f"SELECT '{entity}' AS entity, * FROM {entity}" for entity in ("customer", "supplier", "part", "orders")
+    )}) WHERE entity <> 'orders'""",
+    "union_entities": """SELECT 'customer' AS entity, c_custkey AS custkey, c_name AS name, c_nationkey AS nationkey,
+        c_acctbal AS acctbal, c_mktsegment AS mktsegment FROM customer
+        UNION ALL BY NAME SELECT 'supplier' AS entity, s_suppkey AS suppkey, s_name AS name,
+        s_nationkey AS nationkey, s_acctbal AS acctbal FROM supplier""",
     "flatten_json": """SELECT event_id, event_type, CAST(json_extract_string(props, '$.k') AS BIGINT) AS props_k
         FROM events""",
     "keep_columns": "SELECT p_brand, p_partkey, p_size FROM part",
@@ -185,6 +206,14 @@ ORACLES: dict[str, str] = {
         FROM orders""",
     "paginate_lines": f"""SELECT l_orderkey, l_linenumber, l_partkey, {_page(LINES, 1000)} AS page_number,
         CAST(row_number() OVER (ORDER BY {LINES}) AS BIGINT) AS position FROM lineitem""",
+    "paginate_blocks": f"""SELECT o_orderkey,
+        {_page('o_orderpriority, o_orderdate DESC, o_orderkey', PAGE)} AS page_number,
+        CAST(row_number() OVER (ORDER BY o_orderpriority, o_orderdate DESC, o_orderkey) AS BIGINT) AS position
+        FROM orders""",
+    "all_pages_blocks": f"""SELECT page_number, count(*) AS n_records, min(event_id) AS first_id,
+        max(event_id) AS last_id, CASE WHEN page_number < max(page_number) OVER ()
+             THEN concat('events?page=', CAST(page_number + 1 AS VARCHAR)) END AS next_link
+        FROM (SELECT event_id, {_page('event_id', 100)} AS page_number FROM events) GROUP BY page_number""",
     "all_pages": f"""SELECT page_number, count(*) AS n_records, min(event_id) AS first_id, max(event_id) AS last_id,
         CASE WHEN page_number < max(page_number) OVER ()
              THEN concat('events?page=', CAST(page_number + 1 AS VARCHAR)) END AS next_link
@@ -201,9 +230,11 @@ ORACLES: dict[str, str] = {
     # page lake
     "read_pages": _pages("part", "p_partkey"),
     "unpage": f"""SELECT page_number, CAST(rn - (page_number - 1) * {PAGE} - 1 AS INTEGER) AS position,
-        doc_id, text, n_chars
+        doc_id, text, lang, source, n_chars
         FROM (SELECT *, {_page('doc_id', PAGE)} AS page_number, row_number() OVER (ORDER BY doc_id) AS rn
               FROM documents)""",
+    "unpage_quarantine": DAMAGED,
+    "stream_quarantine": DAMAGED,
     "page_roundtrip": "SELECT * FROM orders",
     "record_sink_roundtrip": "SELECT * FROM events",
     "page_stats": " UNION ALL ".join(
@@ -234,6 +265,8 @@ ORACLES: dict[str, str] = {
         CASE WHEN c_acctbal >= 0 AND c_nationkey <= 20 THEN c_mktsegment ELSE c_name END AS display_name,
         CASE WHEN c_acctbal >= 0 AND c_nationkey BETWEEN 5 AND 20 THEN c_mktsegment ELSE '' END AS description
         FROM customer""",
+    "description_label": """SELECT c_name AS entity,
+        CASE WHEN c_nationkey BETWEEN 5 AND 20 THEN c_mktsegment END AS description FROM customer""",
     "endpoint_longest": _longest(
         {"lower(p_name)": "true", "lower(p_brand)": "true", "lower(p_type)": "true"}, ENDPOINTS
     ),
@@ -252,9 +285,9 @@ ORACLES: dict[str, str] = {
         JOIN ({_longest({"lower(p_name)": "true", "lower(p_brand)": "true", "lower(p_type)": "true"}, ENDPOINTS)}) e
         ON e."MetadataId" = CAST(p.p_partkey AS VARCHAR)""",
     "record_counts": f"""SELECT c_name AS entity, cnt AS record_count, updated AS last_updated
-        FROM customer JOIN {SNAPSHOTS} ON c_custkey = code""",
+        FROM customer JOIN {SNAPSHOTS} ON {CODE} = code""",
     "record_count_default": f"""SELECT c_name AS entity, COALESCE(cnt, 0) AS record_count, updated AS last_updated
-        FROM customer LEFT JOIN {SNAPSHOTS} ON c_custkey = code""",
+        FROM customer LEFT JOIN {SNAPSHOTS} ON {CODE} = code""",
     "strict_lookup": "SELECT o_orderkey, c_name FROM orders JOIN customer ON o_custkey = c_custkey",
     "entity_counts": """SELECT 'customer' AS entity, count(*) AS record_count,
         CAST(NULL AS TIMESTAMP) AS last_updated FROM customer
@@ -266,10 +299,16 @@ ORACLES: dict[str, str] = {
         FROM ({_fields("orders", "lineitem", "events")})""",
     "entity_profile": f"""SELECT c.c_name AS entity, {AVAILABLE} AS endpoint, COALESCE(s.cnt, 0) AS record_count,
         CAST(ceil(COALESCE(s.cnt, 0) / 1000.0) AS BIGINT) AS estimated_pages,
+        CASE {AVAILABLE} WHEN 'building' THEN 'o_orderdate' WHEN 'household' THEN 'l_shipdate'
+            WHEN 'automobile' THEN 'updatetime' END AS date_fields,
+        CASE {AVAILABLE} WHEN 'building' THEN '' WHEN 'household' THEN ''
+            WHEN 'automobile' THEN 'updatetime' END AS time_fields,
+        array_to_string(list_sort([c.c_name, lower(c.c_mktsegment)] ||
+            CASE WHEN c.c_acctbal >= 0 THEN [c.c_mktsegment] ELSE [] END), ';') AS names,
         concat({DEFINED_LABEL}, '<Endpoint=', COALESCE({AVAILABLE}, 'None'), ', Count=',
                CAST(COALESCE(s.cnt, 0) AS VARCHAR), '>') AS label,
         (SELECT count(*) FROM customer) AS catalog_size
-        FROM customer c LEFT JOIN {SNAPSHOTS} s ON c.c_custkey = s.code""",
+        FROM customer c LEFT JOIN {SNAPSHOTS} s ON {CODE} = s.code""",
     "attribute_profile": _each(_profile, "customer", "orders", "pages"),
     # keyed tables and snapshots
     "last_wins": """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate FROM lineitem
@@ -283,7 +322,12 @@ ORACLES: dict[str, str] = {
         WHERE ts IS NULL OR ts < TIMESTAMP '2024-01-30 00:00:00' - INTERVAL 1 DAY""",
     "snapshot_upsert": """SELECT c_custkey AS code, c_acctbal AS balance FROM customer
         WHERE c_custkey NOT IN (SELECT s_suppkey FROM supplier)
-        UNION ALL SELECT s_suppkey, s_acctbal FROM supplier""",
+        UNION ALL SELECT s_suppkey, s_acctbal + 1 FROM supplier""",
+    "environment_upsert": """SELECT c_mktsegment AS base_url, c_name AS entity, c_custkey AS record_count,
+        CAST(NULL AS VARCHAR) AS last_updated FROM customer
+        WHERE c_mktsegment NOT IN (SELECT CASE WHEN s_suppkey % 2 = 0 THEN 'BUILDING' ELSE 'SUPPLIERS' END FROM supplier)
+        UNION ALL SELECT CASE WHEN s_suppkey % 2 = 0 THEN 'BUILDING' ELSE 'SUPPLIERS' END, s_name, s_suppkey,
+        '2024-01-01 00:00:00' FROM supplier""",
     "snapshot_load": """SELECT o_custkey AS entity, count(*) AS record_count, max(o_orderdate) AS last_updated
         FROM orders WHERE o_orderstatus = 'F' GROUP BY o_custkey""",
     "map_to_rows": """SELECT c_name AS entity, c_custkey AS record_count FROM customer
@@ -298,9 +342,9 @@ ORACLES: dict[str, str] = {
     "csv_worklist": """SELECT CAST(c_custkey AS VARCHAR) AS "Entity", c_name AS "LogicalName",
         concat(c_name, ', "', c_mktsegment, '"') AS "Name", c_mktsegment AS "Description",
         count(o_orderkey) AS "Count" FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY ALL""",
-    "csv_roundtrip": "SELECT doc_id, text, source, n_chars FROM documents",
+    "csv_roundtrip": "SELECT * FROM documents",
     "worklist_filter": f"""SELECT c_name AS entity, cnt AS record_count
-        FROM customer JOIN {SNAPSHOTS} ON c_custkey = code WHERE c_name <> '' AND cnt <> 0""",
+        FROM customer JOIN {SNAPSHOTS} ON {CODE} = code WHERE c_name <> '' AND cnt <> 0""",
     "worklist_order": """SELECT *, CAST(row_number() OVER (ORDER BY cnt, c_name) AS BIGINT) AS turn
         FROM (SELECT c_name, count(*) AS cnt FROM customer JOIN orders ON c_custkey = o_custkey
               GROUP BY c_custkey, c_name)""",
@@ -325,6 +369,6 @@ ORACLES: dict[str, str] = {
     "counts_report": f"""SELECT c_name AS "Entity", c_name AS "LogicalName",
         CASE WHEN c_acctbal >= 0 AND c_nationkey <= 20 THEN c_mktsegment ELSE c_name END AS "Name",
         CASE WHEN c_acctbal >= 0 AND c_nationkey BETWEEN 5 AND 20 THEN c_mktsegment ELSE '' END AS "Description",
-        cnt AS "Count" FROM customer JOIN {SNAPSHOTS} ON c_custkey = code""",
+        cnt AS "Count" FROM customer JOIN {SNAPSHOTS} ON {CODE} = code""",
     "attribute_dictionary": _each(_documented, "customer", "orders", "pages"),
 }

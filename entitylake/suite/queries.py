@@ -5,17 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from entitylake.functions import columns as c
 from entitylake.functions import labels
 from entitylake.functions.jsontext import json_text
-from entitylake.operators import catalog, documents, numbering, paging, profile, query, reshape, upsert
+from entitylake.operators import catalog, documents, numbering, paging, profile, query, ranking, reshape, upsert
 from entitylake.plans import dictionary, extract, reports
 from entitylake.schemas import COUNT, COUNTS_REPORT, ENTITY, NEXT_LINK, PAGE_NUMBER, VALUE
-from entitylake.session import materialized, scratch_dir
+from entitylake.session import scratch_dir
 from entitylake.sources import csvfiles, pages, snapshots, tables
 from entitylake.sources import documents as document_files
 from entitylake.streaming import arrivals
@@ -131,12 +131,29 @@ def expand_one(t: Tables) -> DataFrame:
 @registered
 def expand_many(t: Tables) -> DataFrame:
     rows = query.query(t.customer, select="c_custkey", expand=_orders(t))
-    ids = rows.select("c_custkey", F.col("orders.o_orderkey").alias("ids"))
-    return ids.groupBy("c_custkey").agg(
-        F.sum(F.size("ids")).alias("n_children"),
-        F.min(F.array_min("ids")).alias("first_child"),
-        F.max(F.array_max("ids")).alias("last_child"),
-    )
+    return rows.select("c_custkey", _listed("orders.o_orderkey").alias("children"))
+
+
+def _listed(keys: str) -> Column:
+    return F.array_join(F.transform(F.col(keys), lambda key: key.cast("string")), " ")
+
+
+@registered
+def expand_pages(t: Tables) -> DataFrame:
+    nav = query.Navigation(
+        "orders", t.orders, "c_custkey", "o_custkey", many=True, select="o_orderkey",
+        order_by=["o_totalprice", "o_orderkey"], max_items=4,
+    )
+    rows = query.query(t.customer, select="c_custkey", expand=nav)
+    return rows.select("c_custkey", c.named("orders@page").alias("page"), _listed("orders.o_orderkey").alias("children"))
+
+
+@registered
+def top_large(t: Tables) -> DataFrame:
+    order = "l_extendedprice desc, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate"
+    half = t.lineitem.count() // 2
+    chosen = "l_orderkey,l_linenumber,l_extendedprice"
+    return query.query(t.lineitem, select=chosen, orderby=order, top=half, one_task=1000)
 
 
 @registered
@@ -158,32 +175,29 @@ def scan_collection(t: Tables) -> DataFrame:
     return tables.read_collection(t.spark, t.folder, "orders")
 
 
-def _ids(t: Tables) -> dict[str, DataFrame]:
-    return {
-        "customer": t.customer.select(F.col("c_custkey").alias("id")),
-        "supplier": t.supplier.select(F.col("s_suppkey").alias("id")),
-        "part": t.part.select(F.col("p_partkey").alias("id")),
-        "orders": t.orders.select(F.col("o_orderkey").alias("id")),
-    }
+def _scanned(t: Tables) -> DataFrame:
+    return tables.scan_many({"customer": t.customer, "supplier": t.supplier, "part": t.part, "orders": t.orders})
 
 
 @registered
 def scan_many(t: Tables) -> DataFrame:
-    return tables.scan_many(_ids(t))
+    return _scanned(t)
 
 
 @registered
 def allow_list(t: Tables) -> DataFrame:
-    return reshape.only_entities(tables.scan_many(_ids(t)), ["customer", "supplier", "part"])
+    return reshape.only_entities(_scanned(t), ["customer", "supplier", "part"])
+
+
+def _without_prefix(df: DataFrame) -> DataFrame:
+    return df.select(*[F.col(name).alias(name.split("_", 1)[1]) for name in df.columns])
 
 
 @registered
 def union_entities(t: Tables) -> DataFrame:
-    customers = t.customer.select(
-        F.col("c_custkey").alias("id"), F.col("c_acctbal").alias("acctbal"), F.col("c_mktsegment").alias("mktsegment")
+    return reshape.union_entities(
+        {"customer": _without_prefix(t.customer), "supplier": _without_prefix(t.supplier)}
     )
-    suppliers = t.supplier.select(F.col("s_suppkey").alias("id"), F.col("s_acctbal").alias("acctbal"))
-    return reshape.union_entities({"customer": customers, "supplier": suppliers})
 
 
 @registered
@@ -253,9 +267,24 @@ def paginate_lines(t: Tables) -> DataFrame:
     return rows.select("l_orderkey", "l_linenumber", "l_partkey", PAGE_NUMBER, paging.POSITION)
 
 
+@registered
+def paginate_blocks(t: Tables) -> DataFrame:
+    order = "o_orderpriority, o_orderdate desc, o_orderkey"
+    rows = paging.paginate(t.orders, order, size=PAGE, rows_per_block=2 * PAGE)
+    return rows.select("o_orderkey", PAGE_NUMBER, paging.POSITION)
+
+
 @registered
 def all_pages(t: Tables) -> DataFrame:
-    envelopes = paging.all_pages(t.events, "events", "event_id")
+    return _outline(paging.all_pages(t.events, "events", "event_id"))
+
+
+@registered
+def all_pages_blocks(t: Tables) -> DataFrame:
+    return _outline(paging.all_pages(t.events, "events", "event_id", 100, rows_per_block=500))
+
+
+def _outline(envelopes: DataFrame) -> DataFrame:
     return envelopes.select(
         PAGE_NUMBER,
         F.size(VALUE).cast("bigint").alias("n_records"),
@@ -318,7 +347,39 @@ def read_pages(t: Tables) -> DataFrame:
 @registered
 def unpage(t: Tables) -> DataFrame:
     saved = pages.read_pages(t.spark, _saved_pages(t, "documents"), t.documents.schema, "documents")
-    return paging.unpage(saved).select(PAGE_NUMBER, paging.POSITION, "doc_id", "text", "n_chars")
+    return paging.unpage(saved).select(PAGE_NUMBER, paging.POSITION, *t.documents.columns)
+
+
+def _damaged_lake(t: Tables) -> str:
+    """Pages of events as they may land: some are error envelopes, cut off, or have a bad field."""
+    path = scratch_dir(t.spark, "arrivals")
+    pages_made = paging.all_pages(t.events, "events", "event_id", 100)
+    number = F.col(PAGE_NUMBER)
+    body = F.struct(F.lit("E1").alias("code"), F.concat(F.lit("page "), number).alias("message"))
+    failure = json_text(F.struct(number, body.alias("error")))
+    whole = json_text(F.struct(PAGE_NUMBER, VALUE))
+    line = (
+        F.when(number % 5 == 0, failure)
+        .when(number % 7 == 0, F.substring(whole, F.lit(1), F.length(whole) - 2))
+        .when(number % 11 == 0, F.regexp_replace(whole, '"user_id":[0-9]+', '"user_id":"x"'))
+        .otherwise(whole)
+    )
+    pages.write_lines([pages_made.select(ENTITY, line.alias(pages.LINE)).repartition(4)], path)
+    return path
+
+
+def _good_and_aside(good: DataFrame, aside: DataFrame) -> DataFrame:
+    number = F.regexp_extract(F.coalesce("text", "message"), r'(?:"page_number":|page )(\d+)', 1).cast("bigint")
+    event = F.lit(None).cast("bigint").alias("event_id")
+    return good.select(PAGE_NUMBER, "event_id", F.lit("ok").alias(documents.STATUS)).union(
+        aside.select(number.alias(PAGE_NUMBER), event, documents.STATUS)
+    )
+
+
+@registered
+def unpage_quarantine(t: Tables) -> DataFrame:
+    saved = pages.read_pages(t.spark, _damaged_lake(t), t.events.schema, "events")
+    return _good_and_aside(paging.unpage(saved), pages.set_aside(saved))
 
 
 @registered
@@ -369,6 +430,13 @@ def label_fallback(t: Tables) -> DataFrame:
     )
 
 
+@registered
+def description_label(t: Tables) -> DataFrame:
+    return roles.customer_definitions(t).select(
+        F.col("LogicalName").alias("entity"), labels.description_label().alias("description")
+    )
+
+
 @registered
 def endpoint_longest(t: Tables) -> DataFrame:
     return catalog.resolve_endpoints(roles.part_definitions(t), roles.part_endpoints(t))
@@ -444,8 +512,13 @@ def entity_profile(t: Tables) -> DataFrame:
     available = t.customer.filter("c_mktsegment <> 'MACHINERY'").select(F.lower("c_mktsegment").alias("name"))
     endpoints = catalog.resolve_endpoints(definitions, available, rule="priority")
     counts = catalog.record_counts_or_zero(definitions, roles.order_snapshots(t), SNAPSHOT_ARRIVAL)
-    rows = catalog.entity_profile(definitions, endpoints, counts)
-    return rows.select(ENTITY, "endpoint", "record_count", "estimated_pages", "label", "catalog_size")
+    behind = {"building": t.orders, "household": t.lineitem, "automobile": t.events.withColumnRenamed("ts", "updatetime")}
+    fields = catalog.time_fields(catalog.field_listing(behind))
+    rows = catalog.entity_profile(
+        definitions, endpoints, counts, fields, names=catalog.harvest_names(definitions)
+    )
+    lists = [F.array_join(name, ";").alias(name) for name in ("date_fields", "time_fields", "names")]
+    return rows.select(ENTITY, "endpoint", "record_count", "estimated_pages", *lists, "label", "catalog_size")
 
 
 @registered
@@ -481,11 +554,16 @@ def stale_rows(t: Tables) -> DataFrame:
 @registered
 def snapshot_upsert(t: Tables) -> DataFrame:
     first, second = scratch_dir(t.spark, "snapshot"), scratch_dir(t.spark, "snapshot")
-    base = t.customer.select(F.col("c_custkey").alias("code"), F.col("c_acctbal").alias("balance"))
-    newer = t.supplier.select(F.col("s_suppkey").alias("code"), F.col("s_acctbal").alias("balance"))
-    snapshots.write_snapshot(base, first)
-    snapshots.write_snapshot(newer, second, current=first, keys=("code",))
-    return t.spark.read.schema(base.schema).json(second)
+    base = t.customer.select(
+        F.col("c_custkey").alias("code"), F.col("c_acctbal").alias("balance"), F.lit(0).alias("arrived")
+    )
+    newer = t.supplier.select(
+        F.col("s_suppkey").alias("code"), F.col("s_acctbal").alias("balance"), F.lit(1).alias("arrived")
+    )
+    again = newer.select("code", (F.col("balance") + 1).alias("balance"), F.lit(2).alias("arrived"))
+    snapshots.write_snapshot(base, first, keys=("code",))
+    snapshots.write_snapshot(again.union(newer), second, current=first, keys=("code",), arrival="arrived")
+    return t.spark.read.schema(base.schema).parquet(second).select("code", "balance")
 
 
 @registered
@@ -505,19 +583,33 @@ def snapshot_load(t: Tables) -> DataFrame:
 @registered
 def map_to_rows(t: Tables) -> DataFrame:
     path = scratch_dir(t.spark, "environments")
-    state = F.struct(
-        F.col("c_custkey").alias("record_count"), F.lit(None).cast("string").alias("last_updated")
-    )
-    block = F.floor(F.col("c_custkey") / 1000)  # c_custkey is unique: at most 1000 entries per map
-    entries = F.map_from_entries(F.collect_list(F.struct(F.col("c_name"), state)))
-    rows = t.customer.groupBy(F.col("c_mktsegment").alias("base_url"), block.alias("block")).agg(
-        entries.alias("record_counts")
-    )
-    snapshots.write_environments(rows.drop("block"), path)
+    snapshots.write_environments(snapshots.count_documents(_customer_counts(t), max_entries=100), path)
     saved = snapshots.read_environments(t.spark, path, whole_files=False)
     return reports.counts_of(snapshots.environment(saved, "HOUSEHOLD"))
 
 
+def _customer_counts(t: Tables) -> DataFrame:
+    return t.customer.select(
+        F.col("c_mktsegment").alias("base_url"), F.col("c_name").alias(ENTITY),
+        F.col("c_custkey").alias("record_count"), F.lit(None).cast("string").alias("last_updated"),
+    )
+
+
+@registered
+def environment_upsert(t: Tables) -> DataFrame:
+    first, second = scratch_dir(t.spark, "environments"), scratch_dir(t.spark, "environments")
+    snapshots.write_environments(snapshots.count_documents(_customer_counts(t), max_entries=100), first)
+    url = F.when(F.col("s_suppkey") % 2 == 0, "BUILDING").otherwise("SUPPLIERS")
+    newer = t.supplier.select(
+        url.alias("base_url"), F.col("s_name").alias(ENTITY), F.col("s_suppkey").alias("record_count"),
+        F.lit("2024-01-01 00:00:00").alias("last_updated"),
+    )
+    snapshots.upsert_environments(snapshots.count_documents(newer, max_entries=100), second, first)
+    saved = snapshots.read_environments(t.spark, second, whole_files=False)
+    entries = reshape.map_rows(saved.select("base_url", "record_counts"), "record_counts", ENTITY, "state")
+    return entries.select("base_url", ENTITY, "state.record_count", "state.last_updated")
+
+
 # --- JSON documents, CSV --------------------------------------------------
 
 
@@ -573,9 +665,8 @@ def csv_worklist(t: Tables) -> DataFrame:
 @registered
 def csv_roundtrip(t: Tables) -> DataFrame:
     path = scratch_dir(t.spark, "csv")
-    rows = t.documents.select("doc_id", "text", "source", "n_chars")
-    csvfiles.write_csv(rows, path)
-    return csvfiles.read_csv(t.spark, path, rows.schema)
+    csvfiles.write_csv(t.documents, path, escaped=True)
+    return csvfiles.read_csv(t.spark, path, t.documents.schema, escaped=True)
 
 
 @registered
@@ -590,7 +681,8 @@ def worklist_filter(t: Tables) -> DataFrame:
 def worklist_order(t: Tables) -> DataFrame:
     counts = t.orders.groupBy("o_custkey").agg(F.count("*").alias("cnt"))
     named = catalog.strict_lookup(counts, t.customer, "o_custkey", "c_custkey").select("c_name", "cnt")
-    return numbering.number_rows(materialized(named, "worklist"), "cnt, c_name", out="turn")
+    ordered = extract.smallest_first(named, "cnt", "c_name").withColumn("place", F.monotonically_increasing_id())
+    return ranking.ranked(ordered, "place", "turn").drop("place")
 
 
 # --- streams --------------------------------------------------------------
@@ -618,6 +710,15 @@ def stream_progress(t: Tables) -> DataFrame:
     return arrivals.latest_progress(t.spark, out)
 
 
+@registered
+def stream_quarantine(t: Tables) -> DataFrame:
+    lake, good, aside = _damaged_lake(t), scratch_dir(t.spark, "records"), scratch_dir(t.spark, "aside")
+    for start, out in ((arrivals.append_records, good), (arrivals.append_set_aside, aside)):
+        stream = arrivals.page_stream(t.spark, lake, t.events.schema, files_per_trigger=1)
+        arrivals.finish(start(stream, out, scratch_dir(t.spark, "stream")))
+    return _good_and_aside(t.spark.read.parquet(good), t.spark.read.parquet(aside))
+
+
 # --- composites -----------------------------------------------------------
 
 

@@ -34,7 +34,7 @@ def _definitions(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
 
 
 def customer_definitions(t: Tables) -> DataFrame:
-    """Customers as entities; some label paths are broken, some leaves are null."""
+    """Customers as entities; some label paths are broken, some leaves are null, some have no snapshot."""
     return _definitions(
         t.customer,
         {
@@ -42,7 +42,7 @@ def customer_definitions(t: Tables) -> DataFrame:
             "LogicalName": F.col("c_name"),
             "SchemaName": F.col("c_name"),
             "LogicalCollectionName": F.lower("c_mktsegment"),
-            "ObjectTypeCode": F.col("c_custkey"),
+            "ObjectTypeCode": F.when(F.col("c_custkey") % 7 == 0, -F.col("c_custkey")).otherwise(F.col("c_custkey")),
             "DisplayName": F.when(F.col("c_acctbal") >= 0, _label(F.col("c_mktsegment"))),
             "DisplayCollectionName": _label(F.col("c_mktsegment")),
             "Description": F.when(
@@ -80,8 +80,8 @@ def part_endpoints(t: Tables) -> DataFrame:
 
 
 def order_snapshots(t: Tables) -> DataFrame:
-    """Low priority orders as count snapshots of their customers; several per customer."""
-    return t.orders.filter("o_orderpriority = '5-LOW'").select(
+    """Orders as count snapshots of their customers; several per customer."""
+    return t.orders.select(
         F.col("o_custkey").alias("objecttypecode"),
         F.floor("o_totalprice").alias("count"),
         F.col("o_orderdate").alias("lastupdated"),

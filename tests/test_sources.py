@@ -192,3 +192,66 @@ def test_stream_of_page_files(spark, tmp_path):
     arrivals.finish(arrivals.append_records(stream, out, mark), 60)
     records = spark.read.parquet(out).select("entity", "page_number", "position", "id")
     assert rows(records) == [("account", 1, 0, 1), ("account", 1, 1, 2), ("account", 2, 0, 3)]
+
+
+def test_malformed_lines_give_no_records(spark, tmp_path):
+    folder = tmp_path / "r" / "entity=x"
+    folder.mkdir(parents=True)
+    (folder / "a.json").write_text('{"id":1}\n{"id":\n{"id":"no"}\n{"id":2}\n')
+    schema = T.StructType.fromDDL("id bigint")
+    found = pages.read_records(spark, str(tmp_path / "r"), schema, "x")
+    assert rows(found) == [(1,), (2,)]
+    assert pages.load_records(spark, str(tmp_path / "r"), schema, "x").filter("status = 'corrupt'").count() == 2
+    with pytest.raises(Exception, match="corrupt"):
+        pages.read_records(spark, str(tmp_path / "r"), schema, "x", strict=True).collect()
+
+
+def test_damaged_pages_are_set_aside(spark, tmp_path):
+    folder = tmp_path / "p" / "entity=x"
+    folder.mkdir(parents=True)
+    lines = [
+        '{"page_number":1,"value":[{"id":1},{"id":2}]}', '{"page_number":2,"value":[{"id":3}', '{"page_number":3,"error":{"code":"E"}}',
+        '{"page_number":4,"value":[{"id":"no"}]}', '{"page_number":5,"value":[{"id":9}]}',
+    ]
+    (folder / "a.json").write_text("\n".join(lines))
+    saved = pages.read_pages(spark, str(tmp_path / "p"), T.StructType.fromDDL("id bigint"), "x")
+    assert rows(paging.records_of(saved)) == [(1,), (2,), (9,)]
+    aside = pages.set_aside(saved).collect()
+    assert sorted(r["status"] for r in aside) == ["corrupt", "corrupt", "error"]
+    assert {r["text"] for r in aside} == {lines[1], lines[3], None}
+    with pytest.raises(Exception, match="page"):
+        paging.records_of(saved, strict=True).collect()
+    plain = pages.read_pages(spark, str(tmp_path / "p"))
+    # without a record schema a field cannot be wrong
+    assert pages.json_records(plain).count() == 4
+
+
+def test_environments_are_upserted_as_wholes(spark, tmp_path):
+    schema = "base_url string, entity string, record_count bigint, last_updated string"
+    one, two = str(tmp_path / "1"), str(tmp_path / "2")
+    old = spark.createDataFrame([("u", f"e{i}", i, "t") for i in range(25)] + [("w", "a", 1, "t")], schema)
+    documents = snapshots.count_documents(old, max_entries=10)
+    assert sorted((r["base_url"], len(r["record_counts"])) for r in documents.collect()) == [("u", 5), ("u", 10), ("u", 10), ("w", 1)]
+    snapshots.write_environments(documents, one)
+    new = spark.createDataFrame([("u", "z", 7, "t"), ("v", "y", 8, "t")], schema)
+    snapshots.upsert_environments(snapshots.count_documents(new), two, one)
+    found = snapshots.read_environments(spark, two, whole_files=False).select("base_url", F.map_keys("record_counts"))
+    assert rows(found) == [("u", ["z"]), ("v", ["y"]), ("w", ["a"])]
+    with pytest.raises(ValueError):
+        snapshots.upsert_environments(documents, one, one)
+
+
+def test_one_environment_reads_its_directory_only(spark, tmp_path):
+    schema = "base_url string, entity string, record_count bigint, last_updated string"
+    df = spark.createDataFrame([("u", "a", 1, "2023-05-01 10:11:12"), ("w", "a", 2, None)], schema)
+    snapshots.write_snapshot(df, str(tmp_path / "s"))
+    found = snapshots.read_snapshot(spark, str(tmp_path / "s"), df.schema, "u")
+    assert found.count() == 1 and "PartitionFilters: [isnotnull(base_url" in plan_of(found)
+
+
+def test_escaped_csv_keeps_line_breaks(spark, tmp_path):
+    texts = ["a\nb", "c\\n", "\\", 'q"\r\n"x, y', " ", "\\s\n\\r", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, t string")
+    csvfiles.write_csv(df, str(tmp_path / "c"), escaped=True)
+    assert rows(csvfiles.read_csv(spark, str(tmp_path / "c"), df.schema, escaped=True)) == rows(df)
+    assert spark.read.text(str(tmp_path / "c")).count() >= len(texts) + 1

@@ -89,3 +89,21 @@ def test_union_and_allow_list(spark):
     both = reshape.union_entities({"one": one, "two": two})
     assert rows(both) == [("one", 1, "x", None), ("two", 2, None, 0.5)]
     assert reshape.only_entities(both, ["two"]).count() == 1
+
+
+def test_upsert_replaces_null_keys_and_keeps_the_last_of_repeated_rows(spark):
+    base = spark.createDataFrame([("a", 1), (None, 9)], "k string, v int")
+    new = spark.createDataFrame([("a", 5), (None, 7), ("a", 6), (None, 8)], "k string, v int").coalesce(1)
+    assert rows(upsert.upsert(base, new, ["k"])) == rows(spark.createDataFrame([("a", 6), (None, 8)], "k string, v int"))
+    assert rows(upsert.upsert(base, new, ["k"], arrival="v desc")) == rows(
+        spark.createDataFrame([("a", 5), (None, 7)], "k string, v int")
+    )
+
+
+def test_dates_lie_before_a_time_of_their_day(spark):
+    df = spark.sql("SELECT * FROM VALUES (DATE'2024-01-29'), (DATE'2024-01-30'), (NULL) AS t(d)")
+    noon, midnight = datetime(2024, 1, 30, 12), datetime(2024, 1, 30)
+    day = timedelta(days=1)
+    assert [str(r[0]) for r in upsert.fresh_rows(df, "d", noon, day).collect()] == ["2024-01-30"]
+    assert upsert.fresh_rows(df, "d", midnight, day).count() == 2
+    assert upsert.stale_rows(df, "d", noon, day).count() == 2
