@@ -17,6 +17,7 @@ TAG = re.compile(
 )
 ATTRIBUTE = re.compile(r"""([^\s"'>/=]++)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 TOKEN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+CUT_OFF = re.compile(r"<[a-zA-Z/!?][^>]*\Z")
 
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer "
@@ -35,11 +36,17 @@ ENDS = {
 SCOPES = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"}, "th": {"table"}}
 
 BOILERPLATE_TAGS = frozenset("nav footer aside form menu dialog search fieldset head".split())
+# Words in class, id and role ...
 BOILERPLATE_NAMES = frozenset(
-    "ad ads adv advert adverts advertisement adsense advertising sponsor sponsored promo promotion banner cookie cookies consent "
-    "gdpr notice notification alert sidebar aside menu nav navbar navigation breadcrumb breadcrumbs footer masthead comment "
-    "comments reply replies respond disqus discussion share sharing social related recommended recommendations newsletter "
-    "subscribe subscription signup login popup modal overlay widget pagination pager toolbar topbar copyright disclaimer".split()
+    "ad ads adv adsense nav side aside rail menu share social related reply replies respond responses reactions alert gdpr "
+    "login signup subscribe modal overlay pager toolbar topbar masthead logo tagline trending popular teaser search "
+    "complementary contentinfo dialog discussion privacy paywall announcement".split()
+)
+# ... and parts of words.
+BOILERPLATE_PARTS = re.compile(
+    "advert|adsby|adbox|adslot|adunit|sponsor|promo|banner|cookie|consent|notice|notification|sidebar|navbar|navigation|"
+    "subnav|topnav|breadcrumb|footer|comment|disqus|sharing|recommend|newsletter|subscription|popup|widget|paginat|copyright|"
+    "disclaimer"
 )
 CONTENT_NAMES = frozenset("article content post entry story body text main prose".split())
 
@@ -60,8 +67,27 @@ class _Open:
     tag: str
     number: int
     inside: float  # what the element and those around it say: content above 0, boilerplate below
-    article: bool
+    article: bool  # whether an article or main element is around it
     form: float = 0.0
+    own: bool = False  # whether it is an article element
+
+
+HIDDEN = "(hidden)"
+
+
+def names_in(attributes: str) -> set[str]:
+    """The words in a tag's class, id and role, and ``HIDDEN`` if the element does not show."""
+    names: set[str] = set()
+    for name, *values in ATTRIBUTE.findall(attributes):
+        value = values[0] or values[1] or values[2]
+        name = name.lower()
+        if name in ("class", "id", "role", "itemprop"):
+            names.update(map(str.lower, TOKEN.findall(value)))
+        elif name == "hidden" or name == "aria-hidden" and value == "true":
+            names.add(HIDDEN)
+        elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
+            names.add(HIDDEN)
+    return names
 
 
 @dataclass
@@ -106,34 +132,28 @@ class _Page:
         outer = self.stack[-1] if self.stack else None
         inside, article = (outer.inside, outer.article) if outer else (0.0, False)
         form = outer.form if outer else 0.0
-        if tag in ("article", "main"):
-            inside += 6.0 - form  # a form around the whole article says nothing
+        if tag in ("article", "main") and (tag == "main" or not self.boilerplate(names_in(attributes))):
+            # an article in an article is a reader's; a form around the whole article says nothing
+            inside += (2.0 if tag == "main" else -16.0 if outer and outer.own else 6.0) - form
             article, form = True, 0.0
         elif tag == "form":
             inside, form = inside - 16.0, form - 16.0
         elif tag in BOILERPLATE_TAGS or tag == "header" and not article:
             inside -= 16.0
         elif len(attributes) > 1 and tag not in ("html", "body"):
-            inside += self.named(tag, attributes, article)
+            names = names_in(attributes)
+            if self.boilerplate(names) or "header" in names and not article and not names & CONTENT_NAMES:
+                inside -= 16.0
+            elif names & CONTENT_NAMES:
+                inside += 3.0
         if tag == "a":
             self.links += 1
-        self.stack.append(_Open(tag, self.count, inside, article, form))
+        own = bool(outer and outer.own) or tag == "article"
+        self.stack.append(_Open(tag, self.count, inside, article, form, own))
 
     @staticmethod
-    def named(tag: str, attributes: str, article: bool) -> float:
-        names: set[str] = set()
-        for name, *values in ATTRIBUTE.findall(attributes):
-            value = values[0] or values[1] or values[2]
-            name = name.lower()
-            if name in ("class", "id", "role", "itemprop"):
-                names.update(map(str.lower, TOKEN.findall(value)))
-            elif name == "hidden" or name == "aria-hidden" and value == "true":
-                return -16.0
-            elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-                return -16.0
-        if names & BOILERPLATE_NAMES or "header" in names and not article and not names & CONTENT_NAMES:
-            return -16.0
-        return 3.0 if names & CONTENT_NAMES else 0.0
+    def boilerplate(names: set[str]) -> bool:
+        return HIDDEN in names or bool(names & BOILERPLATE_NAMES) or any(map(BOILERPLATE_PARTS.search, names))
 
     def pop(self) -> None:
         if self.stack.pop().tag == "a":
@@ -174,8 +194,9 @@ def blocks_of(html: str) -> list[Block]:
             else:
                 page.open(tag, found[3])
         found = TAG.search(html, place)
-    if place < len(html):
-        page.add(html[place:])
+    rest = CUT_OFF.sub("", html[place:])
+    if rest:
+        page.add(rest)
     page.flush()
     return page.blocks
 
