@@ -49,6 +49,7 @@ DEFINITION = T.StructType(
     + [T.StructField(name, LABEL) for name in DEFINITION_LABELS]
 )
 
+# --- fixed values: fields of an attribute; their types are our choice ------
 ATTRIBUTE = T.StructType(
     [
         T.StructField("LogicalName", T.StringType()),
@@ -73,6 +74,7 @@ ATTRIBUTE = T.StructType(
         T.StructField("Description", LABEL),
     ]
 )
+# --------------------------------------------------------------------------
 
 COUNT_SNAPSHOT = T.StructType(
     [
