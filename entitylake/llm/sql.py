@@ -45,6 +45,45 @@ SELECT doc_id, size, source_size, target,
 FROM placed
 """
 
+SUBSTRING_DEDUP = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS r, doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents
+), windows AS (
+    SELECT r, i, array_to_string(w[i : i + 34], ' ') AS words
+    FROM (SELECT r, w, unnest(range(1, len(w) - 33)) AS i FROM docs WHERE len(w) >= 35)
+), repeated AS (
+    SELECT r, i FROM windows QUALIFY count(*) OVER (PARTITION BY words) > 1
+), gone AS (
+    SELECT DISTINCT r, unnest(range(i, i + 35)) AS i FROM repeated
+), kept AS (
+    SELECT r, string_agg(w[i], ' ' ORDER BY i) AS text
+    FROM (SELECT r, w, unnest(range(1, len(w) + 1)) AS i FROM docs) ANTI JOIN gone USING (r, i) GROUP BY r
+), counts AS (
+    SELECT r, count(*) AS n FROM gone GROUP BY r
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (r) LEFT JOIN counts USING (r)
+"""
+
+EMBEDDING_DEDUP = """
+WITH RECURSIVE vectors AS (
+    SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+    WHERE label IS NOT NULL AND len(embedding) > 0 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+      AND len([x FOR x IN embedding IF x <> 0]) > 0
+), links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM vectors a JOIN vectors b ON a.label = b.label AND len(a.e) = len(b.e)
+    WHERE a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.98
+), reached(a, b) AS (
+    SELECT vec_id, vec_id FROM embeddings UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a
+), components AS (
+    SELECT a AS vec_id, min(b) AS component_id FROM reached GROUP BY a
+), counts AS (
+    SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a
+)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN components USING (vec_id) LEFT JOIN counts USING (vec_id)
+"""
+
 _NOTICES = ", ".join("({}, '{}', '{}')".format(i, name, text.replace("'", "''")) for i, (name, text) in enumerate(NOTICES))
 
 LICENSE_SCAN = f"""
@@ -79,6 +118,8 @@ SELECT doc_id, license, dice, coalesce(licenses, '') AS licenses FROM documents
 """
 
 ORACLES: dict[str, str] = {
+    "op4_substring_dedup": SUBSTRING_DEDUP,
     "op5_source_mixing": SOURCE_MIXING,
     "op6_license_scan": LICENSE_SCAN,
+    "op10_embedding_dedup": EMBEDDING_DEDUP,
 }
