@@ -52,8 +52,7 @@ def bounds(size: int, threshold: float) -> tuple[int, int]:
     return low, high
 
 
-def _bigrams(passage: Column) -> Column:
-    words = F.regexp_extract_all(passage, F.lit("[a-z0-9]+"), F.lit(0))
+def _bigrams(words: Column) -> Column:
     return F.zip_with(F.slice(words, F.lit(1), F.size(words) - 1), F.slice(words, 2, F.size(words)), lambda a, b: F.concat_ws(" ", a, b))
 
 
@@ -85,17 +84,22 @@ def scanned(
     lower = F.lower(column(docs, text).cast("string"))
     own = docs.select(row, F.coalesce(lower, F.lit("")).alias("text"))
     passages = F.concat(F.array("text"), F.split("text", "\n[ \t\r]*\n"), F.split("text", "\n"))
-    n_bigrams = lambda p: F.regexp_count(p, F.lit("[a-z0-9]+")) - 1
-    fitting = own.select("row", F.filter(F.array_distinct(passages), lambda p: n_bigrams(p).between(least, most)).alias("passages"))
+    # one transform after the other: what a lambda takes has been computed once, an
+    # expression that it repeats would be computed again each time
+    word = F.lit("[a-z0-9]+")
+    counted = F.transform(
+        F.array_distinct(passages), lambda p: F.struct(p.alias("text"), (F.regexp_count(p, word) - 1).alias("n"))
+    )
+    fitting = F.filter(counted, lambda s: (s["n"] >= least) & (s["n"] <= most))
+    words = F.transform(fitting, lambda s: F.regexp_extract_all(s["text"], word, F.lit(0)))
 
-    def scores(passage: Column) -> Column:
-        grams = _bigrams(passage)
-        fits = F.filter(templates, lambda t: F.size(grams).between(t["low"], t["high"]))
+    def scores(grams: Column) -> Column:
+        fits = F.filter(templates, lambda t: (F.size(grams) >= t["low"]) & (F.size(grams) <= t["high"]))
         dice = lambda t: 2.0 * F.size(F.array_intersect(grams, t["bigrams"])) / (F.size(grams) + t["size"])
         every = F.transform(fits, lambda t: F.struct(dice(t).alias("dice"), t["place"].alias("place"), t["name"].alias("name")))
         return F.filter(every, lambda s: s["dice"] >= threshold)
 
-    found = fitting.select("row", F.flatten(F.transform("passages", scores)).alias("found"))
+    found = own.select("row", F.flatten(F.transform(F.transform(words, _bigrams), scores)).alias("found"))
     best = F.array_max("found")
     return found.select(
         "row",
