@@ -90,8 +90,8 @@ def _keys(rows: DataFrame, window: int, gram: int) -> DataFrame:
 
 
 def _segments(rows: DataFrame, window: int, gram: int) -> DataFrame:
-    """A row for each chosen segment: its key, its place, its number of windows, its text."""
-    names = [*ID, "key", "start", "digest", "n", "segment"]
+    """A row for each chosen segment: its key, its place, its text."""
+    names = [*ID, "key", "start", "digest", "segment"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -107,13 +107,13 @@ def _segments(rows: DataFrame, window: int, gram: int) -> DataFrame:
                         start, end = int(first[place]), int(ends[place])
                         segment = b" ".join(words[start : end + window - 1])
                         key = int(keys[place].view(np.int64))
-                        rows.append((id1, id2, key, start, xxh3_128_digest(segment), end - start, segment))
+                        rows.append((id1, id2, key, start, xxh3_128_digest(segment), segment))
                 for i in range(0, len(rows), 10_000):
                     columns = [pa.array(values) for values in zip(*rows[i : i + 10_000])]
                     yield pa.RecordBatch.from_arrays(columns, names)
 
     return rows.mapInArrow(
-        run, "id1 long, id2 long, key long, start long, digest binary, n long, segment binary"
+        run, "id1 long, id2 long, key long, start long, digest binary, segment binary"
     )
 
 
@@ -140,42 +140,52 @@ def deep_leaves(segments: list[tuple[bytes, int]], window: int) -> list[list[int
     return found
 
 
+def runs(starts: list[int]) -> list[dict[str, int]]:
+    """Ascending numbers as runs, first to last."""
+    found: list[dict[str, int]] = []
+    for start in starts:
+        if found and start == found[-1]["last"] + 1:
+            found[-1]["last"] = start
+        else:
+            found.append({"first": start, "last": start})
+    return found
+
+
+RUNS = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
+
+
 def _by_tree(classes: DataFrame, window: int) -> DataFrame:
-    """``(digest, starts)`` for classes sorted by key; one group is in memory at a time."""
+    """``(digest, runs)`` of repeated starts, key by key; one group is in memory at a time."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, group = None, []
+    def table(rows: list[tuple[bytes, list[dict[str, int]]]]) -> pa.RecordBatch:
+        columns = [pa.array([r[0] for r in rows]), pa.array([r[1] for r in rows], RUNS)]
+        return pa.RecordBatch.from_arrays(columns, ["digest", "runs"])
 
-        def done() -> Iterator[tuple[bytes, list[int]]]:
-            found = deep_leaves([(segment, times) for _, segment, times in group], window)
-            return ((digest, starts) for (digest, _, _), starts in zip(group, found) if starts)
+    def done(group: list[tuple[bytes, bytes, int]]) -> Iterator[tuple[bytes, list[dict[str, int]]]]:
+        found = deep_leaves([(segment, times) for _, segment, times in group], window)
+        return ((digest, runs(sorted(starts))) for (digest, _, _), starts in zip(group, found) if starts)
 
-        out: list[tuple[bytes, list[int]]] = []
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, group, out = None, [], []
         for batch in batches:
             for own, digest, segment, times in zip(*(c.to_pylist() for c in batch.columns)):
                 if own != key:
-                    out.extend(done())
+                    out.extend(done(group))
                     key, group = own, []
                     if len(out) >= 10_000:
                         yield table(out)
                         out = []
                 group.append((digest, segment, times))
-        out.extend(done())
+        out.extend(done(group))
         if out:
             yield table(out)
 
-    def table(rows: list[tuple[bytes, list[int]]]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array([r[0] for r in rows]), pa.array([r[1] for r in rows], pa.list_(pa.int64()))],
-            ["digest", "starts"],
-        )
-
-    rows = classes.select("key", "digest", "segment", "times")
-    return rows.repartition("key").sortWithinPartitions("key").mapInArrow(run, "digest binary, starts array<long>")
+    rows = classes.select("key", "digest", "segment", "times").repartition("key").sortWithinPartitions("key")
+    return rows.mapInArrow(run, "digest binary, runs array<struct<first: long, last: long>>")
 
 
 def _by_whole_prefix(classes: DataFrame, window: int) -> DataFrame:
-    """``(digest, starts)`` for groups too large for memory: the prefix grows to the whole window.
+    """``(digest, runs)`` for groups too large for memory: the prefix grows to the whole window.
 
     All suffixes of such a group agree that far, so a count that combines on the map side is enough.
     """
@@ -199,13 +209,14 @@ def _by_whole_prefix(classes: DataFrame, window: int) -> DataFrame:
         "leaves",
     )
     deep = leaves.groupBy("prefix").agg(F.sum("times").alias("total")).where("total > 1").select("prefix")
-    return leaves.join(deep, "prefix", "left_semi").groupBy("digest").agg(F.collect_list("start").alias("starts"))
+    one = F.struct(F.col("start").alias("first"), F.col("start").alias("last"))
+    return leaves.join(deep, "prefix", "left_semi").groupBy("digest").agg(F.collect_list(one).alias("runs"))
 
 
 def repeated_windows(
     rows: DataFrame, window: int = WINDOW, gram: int = GRAM, group: int = GROUP
 ) -> DataFrame:
-    """``(id1, id2, starts)``: where windows start that start elsewhere too; ``rows (id1, id2, text)``."""
+    """``(id1, id2, runs)``: where windows start that start elsewhere too; ``rows (id1, id2, text)``."""
     gram = min(gram, window)
     keys = materialized(_keys(rows, window, gram), "keys")
     shared = keys.select(F.explode("keys").alias("key")).groupBy("key").count().where("count > 1")
@@ -220,41 +231,36 @@ def repeated_windows(
     members = materialized(_segments(rows.join(chosen, ID), window, gram), "segments")
     classes = materialized(
         members.groupBy("key", "digest").agg(
-            F.count("*").alias("times"), F.first("n").alias("n"), F.first("segment").alias("segment")
+            F.count("*").alias("times"), F.first("segment").alias("segment")
         ),
         "classes",
     )
-    sizes = classes.groupBy("key").agg(F.count("*").alias("n_classes"))
-    alone = sizes.where("n_classes = 1").select("key")
-    large = sizes.where(F.col("n_classes") > group).select("key")
-    small = sizes.where(F.col("n_classes").between(2, group)).select("key")
-    found = (
-        classes.join(alone, "key", "left_semi")
-        .where("times > 1")
-        .select("digest", F.sequence(F.lit(0).cast("long"), F.col("n") - 1).alias("starts"))
-        .union(_by_tree(classes.join(small, "key", "left_semi"), window))
-    )
-    if not large.isEmpty():
-        found = found.union(_by_whole_prefix(classes.join(large, "key", "left_semi"), window))
+    large = classes.groupBy("key").count().where(F.col("count") > group).select("key")
+    large = materialized(large, "large")
+    if large.isEmpty():
+        found = _by_tree(classes, window)
+    else:
+        trees = _by_tree(classes.join(large, "key", "left_anti"), window)
+        found = trees.union(_by_whole_prefix(classes.join(large, "key", "left_semi"), window))
+    moved = "transform(runs, r -> struct(r.first + start AS first, r.last + start AS last))"
     return (
         members.select(*ID, "start", "digest")
         .join(found, "digest")
         .groupBy(ID)
-        .agg(F.flatten(F.collect_list(F.expr("transform(starts, s -> s + start)"))).alias("starts"))
+        .agg(F.flatten(F.collect_list(F.expr(moved))).alias("runs"))
     )
 
 
-def _cut(text: pd.Series, starts: pd.Series, window: pd.Series) -> pd.DataFrame:
+def _cut(text: pd.Series, runs: pd.Series, window: pd.Series) -> pd.DataFrame:
     rows = []
-    for own, found, size in zip(text, starts, window):
+    for own, found, size in zip(text, runs, window):
         words = _words((own or "").encode())
         if found is None or not len(found):
             rows.append((len(words), 0, b" ".join(words).decode()))
             continue
         covered = np.zeros(len(words) + 1, np.int64)
-        found = np.unique(np.asarray(found, np.int64))
-        covered[found] += 1
-        np.add.at(covered, found + int(size), -1)
+        np.add.at(covered, [run["first"] for run in found], 1)
+        np.add.at(covered, [run["last"] + int(size) for run in found], -1)
         gone = np.cumsum(covered[:-1]) > 0
         kept = b" ".join(w for w, g in zip(words, gone.tolist()) if not g)
         rows.append((len(words), int(gone.sum()), kept.decode()))
@@ -276,7 +282,7 @@ def without_repeats(
     found = repeated_windows(named.select(*ID, "text"), window, **sizes)
     cut = F.pandas_udf(_cut, "n_words long, n_removed long, kept string")
     own = F.col("row")[text].cast("string")
-    joined = named.drop("text").join(found, ID, "left").select("row", cut(own, "starts", F.lit(window)).alias("cut"))
+    joined = named.drop("text").join(found, ID, "left").select("row", cut(own, "runs", F.lit(window)).alias("cut"))
     return joined.select("row", "cut.*")
 
 

@@ -69,3 +69,10 @@ def test_cleaned_keeps_rows_and_untouched_texts(odd, none):
             assert row.text == before[row.doc_id, row.lang, row.source]
         assert row.n_chars == (None if row.text is None else len(row.text))
     assert substrings.cleaned(none).count() == 0
+
+
+@given(st.sets(st.integers(0, 60)))
+def test_runs_cover_the_same_numbers(numbers):
+    found = substrings.runs(sorted(numbers))
+    assert [n for run in found for n in range(run["first"], run["last"] + 1)] == sorted(numbers)
+    assert all(a["last"] + 1 < b["first"] for a, b in zip(found, found[1:]))
