@@ -157,12 +157,12 @@ def near_duplicates(
     first = materialized(own.groupBy("fp").agg(F.min("key").alias("first")), "first")
     roots = materialized(components(links(first.select("fp"), radius, tile)), "roots")
     joined = first.join(roots, F.col("fp") == F.col("node")).select("fp", "root", "first")
-    least = joined.groupBy("root").agg(F.min("first").alias("least"))
+    # written, so that adaptive execution can split large groups in the joins
+    least = materialized(joined.groupBy("root").agg(F.min("first").alias("least")), "least")
     moved = joined.join(least, "root").select(F.col("fp").alias("moved"), "least")
     labels = first.join(moved, F.col("fp") == F.col("moved"), "left").select(
         "fp", F.coalesce("least", "first").alias("component_id")
     )
-    # written, so that adaptive execution can split a fingerprint with many rows in the join
     labels = materialized(labels, "labels")
     return own.join(labels, "fp").select(
         F.col("key").alias(key),
