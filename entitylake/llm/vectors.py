@@ -319,7 +319,8 @@ def near_duplicates(
     roots = components(found.select(F.col("node").alias("a"), F.col("other").alias("b")))
     slim = classes.select("node", "times", "least").join(counts, "node", "left").join(roots, "node", "left")
     slim = materialized(slim.withColumn("root", F.coalesce("root", "node")), "nodes")
-    first = slim.groupBy("root").agg(F.min("least").alias("component"))
+    # written, so that adaptive execution can split a large component in the join
+    first = materialized(slim.groupBy("root").agg(F.min("least").alias("component")), "first")
     named = materialized(
         slim.join(first, "root").select("node", "component", (F.col("times") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links")),
         "nodes",
