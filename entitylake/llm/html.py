@@ -48,6 +48,7 @@ BOILERPLATE_PARTS = re.compile(
     "subnav|topnav|breadcrumb|footer|comment|disqus|sharing|recommend|newsletter|subscription|popup|widget|paginat|copyright|"
     "disclaimer"
 )
+ARTICLE_NAMES = frozenset("article post story hentry".split())
 CONTENT_NAMES = frozenset("article content post entry story body text main prose".split())
 
 
@@ -132,7 +133,7 @@ class _Page:
         outer = self.stack[-1] if self.stack else None
         inside, article = (outer.inside, outer.article) if outer else (0.0, False)
         form = outer.form if outer else 0.0
-        if tag in ("article", "main") and (tag == "main" or not self.boilerplate(names_in(attributes))):
+        if tag in ("article", "main") and not (tag == "article" and self.readers(names_in(attributes))):
             # an article in an article is a reader's; a form around the whole article says nothing
             inside += (2.0 if tag == "main" else -16.0 if outer and outer.own else 6.0) - form
             article, form = True, 0.0
@@ -151,6 +152,11 @@ class _Page:
         own = bool(outer and outer.own) or tag == "article"
         self.stack.append(_Open(tag, self.count, inside, article, form, own))
 
+    @classmethod
+    def readers(cls, names: set[str]) -> bool:
+        """Whether an article element's names speak against it; topics in a post's do not."""
+        return HIDDEN in names or cls.boilerplate(names) and not names & ARTICLE_NAMES
+
     @staticmethod
     def boilerplate(names: set[str]) -> bool:
         return HIDDEN in names or bool(names & BOILERPLATE_NAMES) or any(map(BOILERPLATE_PARTS.search, names))

@@ -36,6 +36,7 @@ PAGES = {
     "cut off": (f"<article><p>{PARAGRAPH}</p><p>And a <b", f"{PARAGRAPH}\nAnd a"),
     "readers": (f"<main><article><p>{PARAGRAPH}</p><article><p>{PARAGRAPH}</p></article></article><div id=disqus_thread><p>{PARAGRAPH}</p></div></main>", PARAGRAPH),
     "article of a reader": (f"<article class='post'><p>{PARAGRAPH}</p></article><article class='comment'><p>{PARAGRAPH} Yes.</p></article>", PARAGRAPH),
+    "topics of a post": (f"<article class='hentry post tag-social category-notice'><p>{PARAGRAPH}</p></article>", PARAGRAPH),
     "no hints": (f"<div><div><a href=x>Home</a> <a href=y>News</a></div><div><p>{PARAGRAPH}</p><p>Short one.</p><p>{PARAGRAPH}</p></div><div>© me</div></div>", f"{PARAGRAPH}\nShort one.\n{PARAGRAPH}"),
     "compound names": (f"<div class='cookiebar'><p>{PARAGRAPH}</p></div><div id=topnav>{PARAGRAPH}</div><div role=complementary><p>{PARAGRAPH}</p></div><div class=entry><p>{PARAGRAPH}</p></div>", PARAGRAPH),
     "nothing": ("", ""),
