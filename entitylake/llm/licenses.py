@@ -1,8 +1,9 @@
-"""License notices by Dice coefficient over word bigrams, by built-in functions only."""
+"""License notices and texts by Dice coefficient over word bigrams, by built-in functions only."""
 
 from __future__ import annotations
 
 import re
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -37,10 +38,22 @@ NOTICES = (
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
 )
 
+# Whole license texts and the standard headers of files, one a file, named by SPDX identifier.
+TEXTS = tuple(
+    (file.name.removesuffix(".txt").removesuffix(".header"), file.read_text(encoding="utf-8"))
+    for file in sorted(Path(__file__).with_name("license_texts").glob("*.txt"))
+)
+# Windows of a text begin at every word pair, or at the SHARE-th part of the template if that is more.
+SHARE = 128
 
-def bigrams_of(notice: str) -> list[str]:
+
+def _pairs(notice: str) -> list[str]:
     words = re.findall("[a-z0-9]+", notice.lower())
-    return list(dict.fromkeys(f"{a} {b}" for a, b in zip(words, words[1:])))
+    return [f"{a} {b}" for a, b in zip(words, words[1:])]
+
+
+def bigrams_of(notice: str) -> list[str]:
+    return list(dict.fromkeys(_pairs(notice)))
 
 
 def bounds(size: int, threshold: float) -> tuple[int, int]:
@@ -56,17 +69,66 @@ def _bigrams(words: Column) -> Column:
     return F.zip_with(F.slice(words, F.lit(1), F.size(words) - 1), F.slice(words, 2, F.size(words)), lambda a, b: F.concat_ws(" ", a, b))
 
 
+def _in_windows(lower: Column, texts: tuple[tuple[str, str], ...], first: int, threshold: float) -> Column:
+    """The texts that a window reaches the threshold with, each with its best window."""
+    listed = [(name, _pairs(text), bigrams_of(text)) for name, text in texts]
+    templates = F.array(
+        *(
+            F.struct(
+                F.lit(name).alias("name"), F.lit(-place).alias("place"), F.split(F.lit("\n".join(own)), "\n").alias("bigrams"),
+                F.lit(len(own)).alias("size"), F.lit(bounds(len(own), threshold)[0]).alias("low"),
+                F.lit(len(pairs)).alias("pairs"), F.lit(max(1, len(pairs) // SHARE)).alias("step"),
+            )
+            for place, (name, pairs, own) in enumerate(listed, first)
+        )
+    )
+    every = sorted({gram for _, _, own in listed for gram in own})
+    least = min(bounds(len(own), threshold)[0] for _, _, own in listed)
+
+    def dice(grams: Column, start: Column, t: Column) -> Column:
+        window = F.array(F.array_distinct(F.slice(grams, start + 1, t["pairs"])))
+        return F.transform(window, lambda w: 2.0 * F.size(F.array_intersect(w, t["bigrams"])) / (F.size(w) + t["size"]))[0]
+
+    def scores(grams: Column, known: Column) -> Column:
+        # a window has no more bigrams of a template than the whole text
+        fits = F.filter(
+            templates, lambda t: (F.size(known) >= t["low"]) & (F.size(F.array_intersect(known, t["bigrams"])) >= t["low"])
+        )
+
+        def best(t: Column) -> Column:
+            last = F.greatest(F.size(grams) - t["pairs"], F.lit(0))
+            starts = F.array_distinct(F.concat(F.sequence(F.lit(0), last, t["step"]), F.array(last)))
+            return F.array_max(F.transform(starts, lambda start: dice(grams, start, t)))
+
+        return F.transform(fits, lambda t: F.struct(best(t).alias("dice"), t["place"].alias("place"), t["name"].alias("name")))
+
+    def of(grams: Column) -> Column:
+        known = F.array(F.array_distinct(F.filter(grams, lambda g: g.isin(every))))
+        return F.flatten(F.transform(F.filter(known, lambda k: F.size(k) >= least), lambda k: scores(grams, k)))
+
+    words = F.filter(F.array(F.regexp_extract_all(lower, F.lit("[a-z0-9]+"), F.lit(0))), lambda w: F.size(w) > 1)
+    found = F.flatten(F.transform(F.transform(words, _bigrams), of))
+    return F.filter(found, lambda s: s["dice"] >= threshold)
+
+
 def scanned(
-    docs: DataFrame, text: str = "text", notices: tuple[tuple[str, str], ...] = NOTICES, threshold: float = THRESHOLD
+    docs: DataFrame,
+    text: str = "text",
+    notices: tuple[tuple[str, str], ...] = NOTICES,
+    threshold: float = THRESHOLD,
+    texts: tuple[tuple[str, str], ...] = TEXTS,
 ) -> DataFrame:
     """``(row, license, dice, licenses)``; ``row`` is a struct of all columns of ``docs``.
 
     Passages are the whole text, its paragraphs (between blank lines) and its lines, in lower case,
     as sequences of ASCII letters and digits. A passage is compared with the notices whose size lets
     them reach the threshold: twice the number of different bigrams of the notice that it has, over
-    the bigrams of both. ``license`` is the best of all passages, of equals the first in
-    ``notices``; ``licenses`` are all that reach the threshold, in order. Both are null and empty
-    if there is none, or the text is null or empty.
+    the bigrams of both. Whole license texts and standard headers (``texts``) are looked for in
+    windows over the words of the whole text, wherever lines break: a window has as many bigrams as
+    the template, of which different ones count, and begins at every word, or at every 128th part of
+    a template that is longer than 255 bigrams. ``license`` is the best of all passages and windows,
+    of equals the first in ``notices``, then ``texts``; ``licenses`` are all that reach the
+    threshold, in order. Both are null and empty if there is none, or the text is null or empty.
     """
     sized = [(name, own, *bounds(len(own), threshold)) for name, own in ((n, bigrams_of(t)) for n, t in notices)]
     sized = [one for one in sized if one[1]]
@@ -99,7 +161,10 @@ def scanned(
         every = F.transform(fits, lambda t: F.struct(dice(t).alias("dice"), t["place"].alias("place"), t["name"].alias("name")))
         return F.filter(every, lambda s: s["dice"] >= threshold)
 
-    found = own.select("row", F.flatten(F.transform(F.transform(words, _bigrams), scores)).alias("found"))
+    found = F.flatten(F.transform(F.transform(words, _bigrams), scores))
+    if texts:
+        found = F.concat(found, _in_windows(F.col("text"), texts, len(notices), threshold))
+    found = own.select("row", found.alias("found"))
     best = F.array_max("found")
     return found.select(
         "row",

@@ -41,6 +41,36 @@ def test_matches_brute_force(spark, odd, none):
     assert licenses.scanned(none).count() == 0
 
 
+def in_windows(text: str) -> list[tuple]:
+    """Dice of the best window, by plain code."""
+    words, found = re.findall("[a-z0-9]+", text.lower()), []
+    grams = [f"{a} {b}" for a, b in zip(words, words[1:])]
+    for place, (name, template) in enumerate(licenses.TEXTS):
+        size = len(re.findall("[a-z0-9]+", template.lower())) - 1
+        own, last = set(licenses.bigrams_of(template)), max(len(grams) - size, 0)
+        windows = [set(grams[i : i + size]) for i in [*range(0, last, max(1, size // licenses.SHARE)), last]]
+        dice = max(2.0 * len(w & own) / (len(w) + len(own)) for w in windows)
+        if dice >= licenses.THRESHOLD:
+            found.append((dice, -place, name))
+    return found
+
+
+def test_whole_texts_and_headers_in_customary_lines(spark):
+    texts, names = [], []
+    for name, template in licenses.TEXTS:
+        comment = "\n".join(f" * {line}" for line in template.split("\n"))
+        texts.append(f"Some file. Copyright (c) 2020 Some One\n\n/*\n{comment}\n */\nint main() {{ return 0; }} // the end of it")
+        names.append(name)
+    texts += [texts[names.index("ISC")].replace("purpose", "aim"), " ".join(texts[names.index("MIT")].split()[:60])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    found = sorted(licenses.scanned(docs).select("row.doc_id", "license", "dice", "licenses").collect())
+    assert [r.license for r in found] == [*names, "ISC", None]
+    for row in found:
+        expected = in_windows(texts[row.doc_id])
+        assert set(row.licenses) >= {name for *_, name in expected}
+        assert row.dice == (max(expected)[0] if expected else None)
+
+
 def test_size_bounds_are_tight():
     for size in range(1, 40):
         low, high = licenses.bounds(size, 0.8)
