@@ -25,9 +25,13 @@ BLOCKS = frozenset(
     "tbody td tfoot th thead tr ul".split()
 )
 EMPTY = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-DROPPED = frozenset(
-    "script style textarea title template noscript iframe object svg math canvas audio video select button noframes xmp".split()
-)
+# Raw text: no tag counts before the end tag ...
+RAW = frozenset("script style textarea title iframe noframes xmp".split())
+# ... and elements with tags in them whose text is not shown as such.
+DROPPED = frozenset("template noscript object svg math canvas audio video select button".split())
+# No article is in one of these, and none is in itself.
+SHORT = frozenset("canvas audio video select button".split())
+DROPPED_ENDS = re.compile(rf"</({'|'.join(sorted(DROPPED))})(?=[\s/>])", re.I)
 # An open element of the key ends where one of the values begins.
 ENDS = {
     "p": BLOCKS, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "tbody", "tfoot"},
@@ -71,6 +75,8 @@ class _Open:
     article: bool  # whether an article or main element is around it
     form: float = 0.0
     own: bool = False  # whether it is an article element
+    dropped: bool = False
+    ended: bool = True  # whether an end tag of its name follows
 
 
 HIDDEN = "(hidden)"
@@ -99,30 +105,55 @@ class _Page:
     linked: int = 0
     links: int = 0
     count: int = 0
+    dropped: list[int] = field(default_factory=list)  # places of dropped elements in the stack
+
+    def shown(self) -> list[_Open]:
+        return self.stack[: self.dropped[0]] if self.dropped else self.stack
 
-    def flush(self) -> None:
+    def flush(self, stack: list[_Open] | None = None) -> None:
         if self.parts:
+            stack = self.shown() if stack is None else stack
             text = "".join(self.parts)
             self.parts.clear()
             total, linked, self.linked = len(text), self.linked, 0
             text = " ".join((unescape(text) if "&" in text else text).split())
             if text:
-                holder = next((o for o in reversed(self.stack) if o.tag in BLOCKS), None)
-                path = tuple(o.number for o in self.stack if o.tag in BLOCKS)
-                inside = self.stack[-1].inside if self.stack else 0.0
+                holder = next((o for o in reversed(stack) if o.tag in BLOCKS), None)
+                path = tuple(o.number for o in stack if o.tag in BLOCKS)
+                inside = stack[-1].inside if stack else 0.0
                 self.blocks.append(Block(text, holder.tag if holder else "", path, linked / total, inside))
 
     def add(self, text: str) -> None:
+        if self.dropped:
+            return
         self.parts.append(text)
         if self.links:
             self.linked += len(text)
 
+    def drop(self, tag: str, ended: bool) -> None:
+        """An element whose text is not added; it ends with its parent at the latest."""
+        if tag in SHORT:
+            self.close(tag)
+        self.count += 1
+        outer = self.stack[-1] if self.stack else _Open("", 0, 0.0, False)
+        self.dropped.append(len(self.stack))
+        self.stack.append(_Open(tag, self.count, outer.inside, outer.article, outer.form, outer.own, True, ended))
+
     def open(self, tag: str, attributes: str) -> None:
+        if self.dropped and tag in BLOCKS and tag != "option":  # a dropped element without an end does not take in what follows
+            for place in self.dropped:
+                held = self.stack[place]
+                if not held.ended or held.tag in SHORT and tag in ("article", "main"):
+                    while len(self.stack) > place:
+                        self.pop()
+                    break
         while self.stack and self.stack[-1].tag in ENDS and tag in ENDS[self.stack[-1].tag]:
             self.pop()
         if tag in BLOCKS:  # an unclosed inline element does not keep a paragraph open
             for place in range(len(self.stack) - 1, -1, -1):
                 own = self.stack[place].tag
+                if self.stack[place].dropped:
+                    break
                 if own in ENDS and tag in ENDS[own]:
                     while len(self.stack) > place:
                         self.pop()
@@ -162,22 +193,34 @@ class _Page:
         return HIDDEN in names or bool(names & BOILERPLATE_NAMES) or any(map(BOILERPLATE_PARTS.search, names))
 
     def pop(self) -> None:
-        if self.stack.pop().tag == "a":
+        last = self.stack.pop()
+        if last.tag == "a":
             self.links -= 1
+        if last.dropped:
+            self.dropped.pop()
 
     def close(self, tag: str) -> None:
+        if tag in DROPPED and not self.dropped:
+            return
         for place in range(len(self.stack) - 1, -1, -1):
             if self.stack[place].tag == tag:
                 while len(self.stack) > place:
                     self.pop()
                 return
-            if tag not in BLOCKS and self.stack[place].tag in BLOCKS:
+            if tag not in BLOCKS and tag not in DROPPED and self.stack[place].tag in BLOCKS:
                 return  # an inline end tag does not reach beyond its block
 
 
+def _closed(html: str, tag: str, place: int) -> bool:
+    """Whether an element has no end tag before the next of its kind: ``<tag/>`` is over, then."""
+    after = re.compile(rf"<(/?){tag}(?=[\s/>])", re.I).search(html, place)
+    return not (after and after[1])
+
+
 def blocks_of(html: str) -> list[Block]:
     """The text blocks of a page in order, however broken its markup is."""
     page, place = _Page(), 0
+    ends = {end[1].lower(): end.start() for end in DROPPED_ENDS.finditer(html)}
     found = TAG.search(html)
     while found:
         if found.start() > place:
@@ -186,12 +229,19 @@ def blocks_of(html: str) -> list[Block]:
         tag = found[2]
         if tag:
             tag = tag.lower()
-            block = tag in BLOCKS
-            if block:
+            block, over = tag in BLOCKS, found[0].endswith("/>")
+            held = page.shown() if page.dropped else None
+            if block and held is None:
                 page.flush()
             if found[1]:
                 page.close(tag)
+            elif tag in ("svg", "math") and over or over and tag in RAW | DROPPED and _closed(html, tag, place):
+                pass
             elif tag in DROPPED:
+                page.drop(tag, not _closed(html, tag, place) if tag in SHORT else ends.get(tag, -1) >= place)
+            elif over and page.dropped and not block:
+                pass
+            elif tag in RAW:
                 end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>?", re.I).search(html, place)
                 place = end.end() if end else len(html)
             elif tag in EMPTY:
@@ -199,6 +249,8 @@ def blocks_of(html: str) -> list[Block]:
                     page.add(" ")
             else:
                 page.open(tag, found[3])
+            if block and held is not None and not page.dropped:
+                page.flush(held)
         found = TAG.search(html, place)
     rest = CUT_OFF.sub("", html[place:])
     if rest:

@@ -41,6 +41,18 @@ PAGES = {
     "compound names": (f"<div class='cookiebar'><p>{PARAGRAPH}</p></div><div id=topnav>{PARAGRAPH}</div><div role=complementary><p>{PARAGRAPH}</p></div><div class=entry><p>{PARAGRAPH}</p></div>", PARAGRAPH),
     "nothing": ("", ""),
 }
+DROPPED = {
+    "closed at once": "<p>a <svg class='icon'/> b <math/> c <iframe src='x'/> d <object data='y'/> e <canvas id='z' /> f <textarea/> g</p>",
+    "without an end": "<div><p>a <button>no<p>b <select><option>no<p>c <video src=x>no</p><p>d <noscript>no</p><p>e <object>no <audio>no</p><p>f</p></div><button>no<article><p>g</p></article><button>no</button>",
+    "in each other": "<p>a <svg><svg><text>no</text></svg>no</svg> b <object><object>no</object>no</object> c <object><svg><path/></svg><p>no<p>no</object> d</p><p>e <template><article>no</article></template> f g</p>",
+    "blocks in them": "<p>a b <button><div>no</div></button> c d <select><option>no<option>no</select> e f g</p>",
+    "raw text": "<p>a b <script/>no</script> c <iframe><p>no</iframe> d <style>p { }</style> e <xmp><b></xmp> f <script src=x /> g <script>no</script></p>",
+}
+
+
+@pytest.mark.parametrize("name", DROPPED)
+def test_only_the_text_of_dropped_elements_goes(name):
+    assert " ".join(b.text for b in html.blocks_of(DROPPED[name])) == "a b c d e f g"
 
 
 @pytest.mark.parametrize("name", PAGES)
