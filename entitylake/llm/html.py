@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Set
 from dataclasses import dataclass, field
 from html import unescape
 
@@ -49,9 +50,14 @@ BOILERPLATE_NAMES = frozenset(
 # ... and parts of words.
 BOILERPLATE_PARTS = re.compile(
     "advert|adsby|adbox|adslot|adunit|sponsor|promo|banner|cookie|consent|notice|notification|sidebar|navbar|navigation|"
-    "subnav|topnav|breadcrumb|footer|comment|disqus|sharing|recommend|newsletter|subscription|popup|widget|paginat|copyright|"
+    "subnav|topnav|breadcrumb|footer|comment(?!ar|at)|disqus|sharing|recommend|newsletter|subscription|popup|widget|paginat|copyright|"
     "disclaimer"
 )
+# Names that a page's layout may have too: with one of LAYOUT beside them, around the page's text.
+LAYOUT_PARTS = re.compile("sidebar|widget|banner")
+LAYOUT = frozenset("wrap wrapper container content layout inner outer element elementor page site main".split())
+# What follows one of these in a class says what a page has.
+HAVING = frozenset("has no with without".split())
 ARTICLE_NAMES = frozenset("article post story hentry".split())
 CONTENT_NAMES = frozenset("article content post entry story body text main prose".split())
 
@@ -64,17 +70,24 @@ class Block:
     tag: str
     path: tuple[int, ...]
     linked: float
-    inside: float
+    holder: _Open | None
+    inside: float = 0.0  # what the elements around it say: content above 0, boilerplate below
 
 
 @dataclass
 class _Open:
     tag: str
     number: int
-    inside: float  # what the element and those around it say: content above 0, boilerplate below
     article: bool  # whether an article or main element is around it
-    form: float = 0.0
-    own: bool = False  # whether it is an article element
+    outer: _Open | None = None
+    names: frozenset[str] = frozenset()
+    own: bool = False  # whether it is in an article element, or is one
+    text: int = 0  # characters in it, without links; of the whole page in _Page.weigh
+    holds: bool = False  # whether it is or holds the main element or an article with much of the text
+    good: float = 0.0  # what the element and those around it say for content ...
+    form: bool = False  # ... and against it
+    bad: bool = False
+    hidden: bool = False
     dropped: bool = False
     ended: bool = True  # whether an end tag of its name follows
 
@@ -89,7 +102,9 @@ def names_in(attributes: str) -> set[str]:
         value = values[0] or values[1] or values[2]
         name = name.lower()
         if name in ("class", "id", "role", "itemprop"):
-            names.update(map(str.lower, TOKEN.findall(value)))
+            for one in value.split():
+                words = list(map(str.lower, TOKEN.findall(one)))
+                names.update(words[: next((i for i, word in enumerate(words) if word in HAVING), len(words))])
         elif name == "hidden" or name == "aria-hidden" and value == "true":
             names.add(HIDDEN)
         elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
@@ -101,10 +116,12 @@ def names_in(attributes: str) -> set[str]:
 class _Page:
     blocks: list[Block] = field(default_factory=list)
     stack: list[_Open] = field(default_factory=list)
+    opened: list[_Open] = field(default_factory=list)
     parts: list[str] = field(default_factory=list)
     linked: int = 0
     links: int = 0
     count: int = 0
+    whole: int = 0  # characters of the page, without links
     dropped: list[int] = field(default_factory=list)  # places of dropped elements in the stack
 
     def shown(self) -> list[_Open]:
@@ -120,8 +137,11 @@ class _Page:
             if text:
                 holder = next((o for o in reversed(stack) if o.tag in BLOCKS), None)
                 path = tuple(o.number for o in stack if o.tag in BLOCKS)
-                inside = stack[-1].inside if stack else 0.0
-                self.blocks.append(Block(text, holder.tag if holder else "", path, linked / total, inside))
+                inner, alone = stack[-1] if stack else None, round(len(text) * (1 - linked / total))
+                self.whole += alone
+                if inner:
+                    inner.text += alone
+                self.blocks.append(Block(text, holder.tag if holder else "", path, linked / total, inner))
 
     def add(self, text: str) -> None:
         if self.dropped:
@@ -135,9 +155,10 @@ class _Page:
         if tag in SHORT:
             self.close(tag)
         self.count += 1
-        outer = self.stack[-1] if self.stack else _Open("", 0, 0.0, False)
+        outer = self.stack[-1] if self.stack else None
         self.dropped.append(len(self.stack))
-        self.stack.append(_Open(tag, self.count, outer.inside, outer.article, outer.form, outer.own, True, ended))
+        article, own = (outer.article, outer.own) if outer else (False, False)
+        self.stack.append(_Open(tag, self.count, article, outer, own=own, dropped=True, ended=ended))
 
     def open(self, tag: str, attributes: str) -> None:
         if self.dropped and tag in BLOCKS and tag != "option":  # a dropped element without an end does not take in what follows
@@ -162,34 +183,71 @@ class _Page:
                     break
         self.count += 1
         outer = self.stack[-1] if self.stack else None
-        inside, article = (outer.inside, outer.article) if outer else (0.0, False)
-        form = outer.form if outer else 0.0
-        if tag in ("article", "main") and not (tag == "article" and self.readers(names_in(attributes))):
-            # an article in an article is a reader's; a form around the whole article says nothing
-            inside += (2.0 if tag == "main" else -16.0 if outer and outer.own else 6.0) - form
-            article, form = True, 0.0
-        elif tag == "form":
-            inside, form = inside - 16.0, form - 16.0
-        elif tag in BOILERPLATE_TAGS or tag == "header" and not article:
-            inside -= 16.0
-        elif len(attributes) > 1 and tag not in ("html", "body"):
-            names = names_in(attributes)
-            if self.boilerplate(names) or "header" in names and not article and not names & CONTENT_NAMES:
-                inside -= 16.0
-            elif names & CONTENT_NAMES:
-                inside += 3.0
+        article = bool(outer and outer.article)
+        names = frozenset(names_in(attributes)) if len(attributes) > 1 and tag not in ("html", "body") else frozenset()
         if tag == "a":
             self.links += 1
         own = bool(outer and outer.own) or tag == "article"
-        self.stack.append(_Open(tag, self.count, inside, article, form, own))
+        self.stack.append(_Open(tag, self.count, article or self.heart(tag, names), outer, names, own))
+        self.opened.append(self.stack[-1])
+
+    def weigh(self) -> None:
+        """What elements say of the text in them, once it is known how much of the page's text they hold."""
+        for one in reversed(self.opened):
+            if one.outer:
+                one.outer.text += one.text
+        whole = self.whole
+        for one in reversed(self.opened):
+            one.holds = one.holds or one.tag == "main" or self.heart(one.tag, one.names) and 4 * one.text >= whole
+            if one.outer:
+                one.outer.holds = one.outer.holds or one.holds
+        for one in self.opened:
+            self.judge(one, whole)
+        for block in self.blocks:
+            if block.holder:
+                one = block.holder
+                block.inside = (min(one.good, 8.0) - 16.0 if one.form or one.bad else one.good) - 16.0 * one.hidden
+
+    @classmethod
+    def judge(cls, one: _Open, whole: int) -> None:
+        tag, names, outer = one.tag, one.names, one.outer
+        if outer:
+            one.good, one.form, one.bad, one.hidden = outer.good, outer.form, outer.bad, outer.hidden
+        one.hidden = one.hidden or HIDDEN in names
+        most = 2 * one.text > whole
+        if cls.heart(tag, names):
+            if tag == "article" and outer and outer.own and not most:  # a reader's
+                one.bad = True
+            else:
+                one.good += 2.0 if tag == "main" else 6.0
+                # what is around the main element or the article says nothing; a small one may be a teaser
+                one.form, one.bad = False, one.bad and not (tag == "main" or 4 * one.text >= whole)
+        elif tag == "form":
+            one.form = True
+        elif tag in BOILERPLATE_TAGS or tag == "header" and not (outer and outer.article):
+            one.bad = True
+        elif names:
+            around = bool(names & LAYOUT) and (most or one.holds)
+            if "elementor" in names:  # there, every block is a widget
+                names = names - {"widget"}
+            if cls.boilerplate({n for n in names if not LAYOUT_PARTS.search(n)} if around else names):
+                one.bad = True
+            elif "header" in names and not (outer and outer.article) and not names & CONTENT_NAMES:
+                one.bad = True
+            elif names & CONTENT_NAMES and not one.bad:
+                one.good += 3.0
+
+    @classmethod
+    def heart(cls, tag: str, names: frozenset[str]) -> bool:
+        return tag == "main" or tag == "article" and not cls.readers(names)
 
     @classmethod
-    def readers(cls, names: set[str]) -> bool:
+    def readers(cls, names: Set[str]) -> bool:
         """Whether an article element's names speak against it; topics in a post's do not."""
         return HIDDEN in names or cls.boilerplate(names) and not names & ARTICLE_NAMES
 
     @staticmethod
-    def boilerplate(names: set[str]) -> bool:
+    def boilerplate(names: Set[str]) -> bool:
         return HIDDEN in names or bool(names & BOILERPLATE_NAMES) or any(map(BOILERPLATE_PARTS.search, names))
 
     def pop(self) -> None:
@@ -256,6 +314,7 @@ def blocks_of(html: str) -> list[Block]:
     if rest:
         page.add(rest)
     page.flush()
+    page.weigh()
     return page.blocks
 
 

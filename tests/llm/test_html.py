@@ -41,6 +41,28 @@ PAGES = {
     "compound names": (f"<div class='cookiebar'><p>{PARAGRAPH}</p></div><div id=topnav>{PARAGRAPH}</div><div role=complementary><p>{PARAGRAPH}</p></div><div class=entry><p>{PARAGRAPH}</p></div>", PARAGRAPH),
     "nothing": ("", ""),
 }
+TEXT = " ".join([PARAGRAPH] * 3)
+TEASER = "<article><p>A card.</p></article>"
+COMMENTS = f"<div id=comments><div class=comment><div class='content text'><p>{PARAGRAPH}</p></div></div></div>"
+WRAPPED = {
+    "elementor": f"<div class=elementor-widget-wrap><div class='elementor-element elementor-widget'><div class=elementor-widget-container><p>{TEXT}</p><p>{TEXT}</p></div></div></div>",
+    "two widgets": "".join(f"<div class='elementor-element elementor-widget'><div class=elementor-widget-container><p>{TEXT}</p></div></div>" for _ in "ab"),
+    "genesis": f"<div class=content-sidebar-wrap><main class=content><article class='post entry'><div class=entry-content><p>{TEXT}</p><p>{TEXT}</p></div></article>{COMMENTS}</main><aside class=sidebar><p>{PARAGRAPH}</p></aside></div>",
+    "has a sidebar": f"<div class=has-sidebar><p>{TEXT}</p><p>{TEXT}</p><div class='sidebar widget'><p>{PARAGRAPH}</p></div></div>",
+    "no sidebar": f"<div class='no-sidebar'><div class=entry><p>{TEXT}</p><p>{TEXT}</p></div>{COMMENTS}</div>",
+    "with a banner": f"<div class=page-with-banner><div class=banner-wrap><p>{PARAGRAPH}</p></div><p>{TEXT}</p><p>{TEXT}</p></div>",
+    "commentary": f"<section class=commentary><p>{TEXT}</p><p>{TEXT}</p></section><section class=comments><p>{PARAGRAPH}</p></section>",
+    "article in an article": f"<article><div><article><p>{TEXT}</p><p>{TEXT}</p></article></div></article>",
+    "names around": f"<div class=nav-open><div id=social><article><p>{TEXT}</p><p>{TEXT}</p>{COMMENTS}</article><div class=related>{TEASER}</div></div></div>",
+    "hidden": f"<main><p>{TEXT}</p><p>{TEXT}</p></main><div hidden><article><p>{TEXT}</p></article></div>",
+}
+
+
+@pytest.mark.parametrize("name", WRAPPED)
+def test_names_of_wrappers_do_not_empty_a_page(name):
+    assert html.main_text(f"<body>{WRAPPED[name]}</body>")[0] == f"{TEXT}\n{TEXT}"
+
+
 DROPPED = {
     "closed at once": "<p>a <svg class='icon'/> b <math/> c <iframe src='x'/> d <object data='y'/> e <canvas id='z' /> f <textarea/> g</p>",
     "without an end": "<div><p>a <button>no<p>b <select><option>no<p>c <video src=x>no</p><p>d <noscript>no</p><p>e <object>no <audio>no</p><p>f</p></div><button>no<article><p>g</p></article><button>no</button>",
