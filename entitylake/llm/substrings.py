@@ -117,26 +117,62 @@ def _segments(rows: DataFrame, window: int, gram: int) -> DataFrame:
     )
 
 
+def _common(a: bytes, b: bytes) -> int:
+    """How many first words are equal; every word ends with a space."""
+    if b.startswith(a):
+        return a.count(b" ")
+    n = 0
+    for x, y in zip(a.split(b" "), b.split(b" ")):
+        if x != y:
+            break
+        n += 1
+    return n
+
+
+def inner_nodes(suffixes: list[bytes], window: int) -> list[tuple[int, int, int]]:
+    """The inner nodes of the suffix tree at least ``window`` words deep: ``(depth, first, last)``.
+
+    ``suffixes`` are the leaves in order, with a space after every word. The words that neighbours
+    have in common are the depth of the node in which they meet; ``first`` to ``last`` are the
+    leaves below a node, whose path from the root is a repeat that no word prolongs to the right.
+    """
+    nodes: list[tuple[int, int, int]] = []
+    path: list[tuple[int, int]] = []  # the nodes from the root to the last leaf, with their first leaf
+    for i in range(1, len(suffixes) + 1):
+        depth = _common(suffixes[i - 1], suffixes[i]) if i < len(suffixes) else 0
+        first = i - 1
+        while path and path[-1][0] > depth:
+            ended, first = path.pop()
+            nodes.append((ended, first, i - 1))
+        if depth >= window and (not path or path[-1][0] < depth):
+            path.append((depth, first))
+    return nodes
+
+
 def deep_leaves(segments: list[tuple[bytes, int]], window: int) -> list[list[int]]:
     """For each ``(segment, times)``: the starts of suffixes that are leaves below a deep node.
 
-    The suffixes of all segments are put in order, which lays out the leaves of their suffix
-    tree; neighbours that agree in ``window`` words hang below one inner node of that depth.
+    A segment that occurs several times has as many leaves in place of one, below a node of their own.
     """
     leaves = []
     for place, (segment, times) in enumerate(segments):
+        whole = segment + b" "
         words = segment.split(b" ")
-        at = np.cumsum([0] + [len(word) + 1 for word in words]).tolist()
+        at = 0
         for start in range(len(words) - window + 1):
-            leaves.append((segment[at[start] : at[start + window] - 1], place, start, times))
+            leaves.append((whole[at:], place, start, times))
+            at += len(words[start]) + 1
     leaves.sort()
+    below = [0] * (len(leaves) + 1)
+    for _, first, last in inner_nodes([leaf[0] for leaf in leaves], window):
+        below[first] += 1
+        below[last + 1] -= 1
     found: list[list[int]] = [[] for _ in segments]
-    previous = None
-    for i, (prefix, place, start, times) in enumerate(leaves):
-        following = leaves[i + 1][0] if i + 1 < len(leaves) else None
-        if times > 1 or prefix == previous or prefix == following:
+    nodes = 0
+    for i, (_, place, start, times) in enumerate(leaves):
+        nodes += below[i]
+        if times > 1 or nodes:
             found[place].append(start)
-        previous = prefix
     return found
 
 
@@ -187,7 +223,8 @@ def _by_tree(classes: DataFrame, window: int) -> DataFrame:
 def _by_whole_prefix(classes: DataFrame, window: int) -> DataFrame:
     """``(digest, runs)`` for groups too large for memory: the prefix grows to the whole window.
 
-    All suffixes of such a group agree that far, so a count that combines on the map side is enough.
+    All suffixes of such a group agree that far, so that they meet in a node deep enough; no tree
+    is built, as a count of its leaves, which combines on the map side, is enough.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

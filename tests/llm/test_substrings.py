@@ -46,6 +46,21 @@ def test_deep_leaves_are_the_repeated_windows(texts, window):
         assert sorted(found) == expected
 
 
+@settings(deadline=None, max_examples=100)
+@given(st.lists(st.lists(st.sampled_from(["a", "b", "a\x01"]), min_size=1, max_size=20), min_size=1, max_size=5), st.integers(1, 4))
+def test_inner_nodes_are_the_repeats_that_end_where_texts_part(texts, window):
+    suffixes = sorted("".join(w + " " for w in t[i:]).encode() for t in texts for i in range(len(t)))
+    words = [s.split() for s in suffixes]
+    after: dict[tuple, list] = {}
+    for own in words:
+        for n in range(window, len(own) + 1):
+            after.setdefault(tuple(own[:n]), []).append(own[n] if n < len(own) else None)
+    expected = {r: len(a) for r, a in after.items() if len(a) > 1 and (len(set(a)) > 1 or None in a)}
+    nodes = substrings.inner_nodes(suffixes, window)
+    assert {tuple(words[first][:depth]): last - first + 1 for depth, first, last in nodes} == expected
+    assert len(nodes) == len(expected)
+
+
 def test_equal_windows_have_equal_anchors():
     words = prose(11, 400).split()
     hashes = substrings._hashes([w.encode() for w in words])
