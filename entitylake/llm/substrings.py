@@ -284,7 +284,7 @@ def repeated_windows(
         members.select(*ID, "start", "digest")
         .join(found, "digest")
         .groupBy(ID)
-        .agg(F.flatten(F.collect_list(F.expr(moved))).alias("runs"))
+        .agg(F.flatten(F.collect_set(F.expr(moved))).alias("runs"))  # equal rows have one name: each run once
     )
 
 

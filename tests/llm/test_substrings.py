@@ -61,6 +61,14 @@ def test_inner_nodes_are_the_repeats_that_end_where_texts_part(texts, window):
     assert len(nodes) == len(expected)
 
 
+def test_runs_of_equal_rows_are_not_gathered_for_each_copy(spark):
+    docs = spark.createDataFrame([(None, prose(21, 200))] * 40 + [(1, prose(22, 50))], "doc_id long, text string")
+    found = substrings.repeated_windows(substrings.with_id(docs, "doc_id", "text").select("id1", "id2", "text")).collect()
+    assert len(found) == 1
+    spans = [tuple(run) for run in found[0].runs]
+    assert len(spans) == len(set(spans)) and {n for a, b in spans for n in range(a, b + 1)} == set(range(166))
+
+
 def test_equal_windows_have_equal_anchors():
     words = prose(11, 400).split()
     hashes = substrings._hashes([w.encode() for w in words])
