@@ -5,7 +5,8 @@ from pathlib import Path
 
 import pytest
 
-sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
+HERE = Path(__file__).resolve().parent
+sys.path[:0] = [str(HERE.parent), str(HERE)]
 
 from entitylake.session import local_session  # noqa: E402
 
@@ -16,11 +17,3 @@ def spark():
     session.sparkContext.setLogLevel("OFF")
     yield session
     session.stop()
-
-
-def plan_of(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()
-
-
-def rows(df) -> list[tuple]:
-    return sorted((tuple(row) for row in df.collect()), key=repr)

@@ -4,7 +4,7 @@ from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
-from conftest import plan_of
+from helpers import plan_of
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 

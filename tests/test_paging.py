@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import plan_of, rows
+from helpers import plan_of, rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F

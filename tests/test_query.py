@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import plan_of, rows
+from helpers import plan_of, rows
 from pyspark.sql import functions as F
 
 from entitylake.operators.query import Navigation, counted, equals, get_by_key, query
