@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from entitylake.llm import html, langid, licenses, mixing, packing, quality, simhash, substrings, token_counts, vectors
+from entitylake.llm import ann, centroids, html, langid, licenses, merkle, mixing, packing, quality, simhash, substrings, token_counts, vectors
 from entitylake.llm.sql import ORACLES
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -74,6 +74,18 @@ def op10_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return vectors.near_duplicates(table(spark, folder, "embeddings"))
 
 
+def op11_centroid_clustering(spark: SparkSession, folder: str) -> DataFrame:
+    return centroids.clustered(table(spark, folder, "embeddings"))
+
+
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.audited(table(spark, folder, "documents"))
+
+
+def op13_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return ann.nearest(table(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_html_extraction": op2_html_extraction,
@@ -85,6 +97,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_token_counts": op9_token_counts,
     "op10_embedding_dedup": op10_embedding_dedup,
+    "op11_centroid_clustering": op11_centroid_clustering,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_nearest_neighbours": op13_nearest_neighbours,
 }
 
 __all__ = ["ORACLES", "QUERIES"]

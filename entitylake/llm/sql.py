@@ -117,9 +117,107 @@ best AS (
 SELECT doc_id, license, dice, coalesce(licenses, '') AS licenses FROM documents LEFT JOIN best USING (doc_id)
 """
 
+def _leaf(text: str) -> str:
+    """Digest of a row of ``documents`` with ``text`` for its text."""
+    values = ["doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR", text]
+    parts = [f"coalesce(strlen({v}) || ':' || {v}, '-')" for v in values]
+    return f"sha256({' || '.join(parts)})"
+
+
+MERKLE_MANIFEST = rf"""
+WITH RECURSIVE crcs AS (  -- crc32 of every byte
+    SELECT list(crc ORDER BY byte) AS crc FROM (
+        SELECT byte, list_reduce(list_prepend(byte, range(8)), LAMBDA c, i: xor(c >> 1, (c & 1) * 3988292384)) AS crc
+        FROM (SELECT unnest(range(256)) AS byte)
+    )
+), leaves AS (
+    SELECT row_number() OVER () AS r, doc_id, source, {_leaf("text")} AS leaf,
+           CASE WHEN xor(4294967295, list_reduce(
+               list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), LAMBDA x: ascii(x)::BIGINT)),
+               LAMBDA c, x: xor(c >> 8, crc[(xor(c, x) & 255) + 1]))) % 5 = 0
+           THEN {_leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} END AS tampered
+    FROM documents, crcs
+), nodes(level, source, pos, h, n, r) AS (  -- the trees of the sources
+    SELECT 0, source, row_number() OVER w - 1, leaf, count(*) OVER (PARTITION BY source), r
+    FROM leaves WINDOW w AS (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf)
+    UNION ALL
+    SELECT level + 1, source, pos // 16, sha256(string_agg(h, '' ORDER BY pos)), (n + 15) // 16, NULL
+    FROM nodes WHERE n > 1 GROUP BY level, source, pos // 16, n
+), tops(level, pos, h, n, source) AS (  -- the tree over the sources
+    SELECT 0, row_number() OVER (ORDER BY source NULLS FIRST) - 1, h, count(*) OVER (), source FROM nodes WHERE n = 1
+    UNION ALL
+    SELECT level + 1, pos // 16, sha256(string_agg(h, '' ORDER BY pos)), (n + 15) // 16, NULL
+    FROM tops WHERE n > 1 GROUP BY level, pos // 16, n
+), runs AS (
+    SELECT level, source, pos // 16 AS run, string_agg(h, '' ORDER BY pos) AS members
+    FROM nodes WHERE n > 1 GROUP BY level, source, pos // 16
+), top_runs AS (
+    SELECT level, pos // 16 AS run, string_agg(h, '' ORDER BY pos) AS members FROM tops WHERE n > 1 GROUP BY level, pos // 16
+), places AS (
+    SELECT l.r, runs.level, ((l.pos // (16 ** runs.level)::BIGINT) % 16)::BIGINT AS place, members
+    FROM nodes l JOIN runs ON l.source IS NOT DISTINCT FROM runs.source AND (l.pos // (16 ** runs.level)::BIGINT) // 16 = runs.run
+    WHERE l.level = 0
+    UNION ALL
+    SELECT l.r, 100 + t.level, ((s.pos // (16 ** t.level)::BIGINT) % 16)::BIGINT, members
+    FROM leaves l JOIN tops s ON s.level = 0 AND l.source IS NOT DISTINCT FROM s.source
+    JOIN top_runs t ON (s.pos // (16 ** t.level)::BIGINT) // 16 = t.run
+), paths AS (
+    SELECT r, list({{'before': substr(members, 1, 64 * place), 'after': substr(members, 64 * place + 65)}} ORDER BY level) AS path
+    FROM places GROUP BY r
+), folds(r, i, h) AS (
+    SELECT r, 0, coalesce(tampered, leaf) FROM leaves
+    UNION ALL
+    SELECT f.r, i + 1, sha256(path[i + 1].before || h || path[i + 1].after) FROM folds f JOIN paths USING (r) WHERE i < len(path)
+)
+SELECT doc_id, leaf, t.h AS subroot, root.h AS root,
+       sha256(coalesce(array_to_string(list_transform(path, LAMBDA p: p.before || p.after), ''), '')) AS proof_sha256,
+       folds.h AS folded_root, folds.h = root.h AS verified
+FROM leaves l LEFT JOIN paths USING (r) JOIN folds ON folds.r = l.r AND folds.i = coalesce(len(path), 0)
+JOIN tops t ON t.level = 0 AND t.source IS NOT DISTINCT FROM l.source
+JOIN (SELECT h FROM tops WHERE n = 1) root ON true
+"""
+
+_NEAREST = """
+    SELECT r, cluster, d FROM (
+        SELECT p.r, c.cluster, list_sum([(p.v[i] - c.v[i]) * (p.v[i] - c.v[i]) FOR i IN range(1, 65)])::BIGINT AS d
+        FROM points p, centroids_{0} c
+    ) QUALIFY row_number() OVER (PARTITION BY r ORDER BY d, cluster) = 1
+"""
+
+
+def _clustering(rounds: int) -> str:
+    steps = [f"nearest_0 AS ({_NEAREST.format(0)})"]
+    for i in range(rounds):
+        steps.append(f"""centroids_{i + 1} AS (
+    SELECT c.cluster, coalesce(means.v, c.v) AS v FROM centroids_{i} c LEFT JOIN (
+        SELECT cluster, list((total - ((total % n) + n) % n) // n ORDER BY i) AS v FROM (
+            SELECT cluster, i, sum(v[i])::BIGINT AS total, count(*) AS n
+            FROM nearest_{i} JOIN points USING (r), (SELECT unnest(range(1, 65)) AS i) GROUP BY cluster, i)
+        GROUP BY cluster) means USING (cluster)
+), nearest_{i + 1} AS ({_NEAREST.format(i + 1)})""")
+    return ", ".join(steps)
+
+
+CENTROID_CLUSTERING = f"""
+WITH points AS (
+    SELECT row_number() OVER () AS r, vec_id, [floor(64 * x::DOUBLE)::BIGINT FOR x IN embedding] AS v FROM embeddings
+    WHERE len(embedding) = 64 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), centroids_0 AS (
+    SELECT row_number() OVER w - 1 AS cluster, v FROM points
+    WINDOW w AS (ORDER BY sha256('1:' || vec_id::VARCHAR) NULLS LAST, v) QUALIFY row_number() OVER w <= 16
+), {_clustering(3)}, inertias AS (
+    SELECT cluster, sum(d) AS inertia FROM nearest_3 GROUP BY cluster
+)
+SELECT vec_id, cluster::INTEGER AS cluster, d AS distance, inertia::BIGINT AS cluster_inertia,
+       (SELECT sum(d) FROM nearest_3)::BIGINT AS inertia, sha256(array_to_string(c.v, ',')) AS centroid_sha256
+FROM nearest_3 JOIN points USING (r) JOIN centroids_3 c USING (cluster) JOIN inertias USING (cluster)
+"""
+
 ORACLES: dict[str, str] = {
     "op4_substring_dedup": SUBSTRING_DEDUP,
     "op5_source_mixing": SOURCE_MIXING,
     "op6_license_scan": LICENSE_SCAN,
     "op10_embedding_dedup": EMBEDDING_DEDUP,
+    "op11_centroid_clustering": CENTROID_CLUSTERING,
+    "op12_merkle_manifest": MERKLE_MANIFEST,
 }

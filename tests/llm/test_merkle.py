@@ -1,0 +1,109 @@
+from __future__ import annotations
+
+from hashlib import sha256
+from zlib import crc32
+
+import pytest
+from pyspark.sql import functions as F
+
+from entitylake.llm import merkle
+
+
+def digest(*parts: str) -> str:
+    return sha256("".join(parts).encode()).hexdigest()
+
+
+def leaf(row, text) -> str:
+    values = [row.doc_id, row.source, row.lang, row.n_chars, text]
+    return digest(*("-" if v is None else f"{len(str(v).encode())}:{v}" for v in values))
+
+
+def tree(level: list[str], fanout: int) -> list[list[str]]:
+    levels = [level]
+    while len(levels[-1]) > 1:
+        levels.append([digest(*levels[-1][i : i + fanout]) for i in range(0, len(levels[-1]), fanout)])
+    return levels
+
+
+def path(levels: list[list[str]], i: int, fanout: int) -> list[tuple[list[str], list[str]]]:
+    steps = []
+    for level in levels[:-1]:
+        start = i // fanout * fanout
+        steps.append((level[start:i], level[i + 1 : start + fanout]))
+        i //= fanout
+    return steps
+
+
+def plain(rows: list, fanout: int = 16) -> list[tuple]:
+    sources: dict = {}
+    for row in rows:
+        sources.setdefault(row.source, []).append(row)
+    order = sorted(sources, key=lambda s: (s is not None, (s or "").encode()))
+    for own in sources.values():
+        own.sort(key=lambda r: (r.doc_id is not None, r.doc_id or 0, leaf(r, r.text)))
+    trees = {s: tree([leaf(r, r.text) for r in sources[s]], fanout) for s in order}
+    top = tree([trees[s][-1][0] for s in order], fanout)
+    found = []
+    for k, s in enumerate(order):
+        for i, row in enumerate(sources[s]):
+            steps = path(trees[s], i, fanout) + path(top, k, fanout)
+            own = trees[s][0][i]
+            folded = own
+            if row.doc_id is not None and crc32(str(row.doc_id).encode()) % 5 == 0 and row.text is not None:
+                folded = leaf(row, "".join(c.lower() if "A" <= c <= "Z" else c for c in row.text))
+            for before, after in steps:
+                folded = digest(*before, folded, *after)
+            siblings = digest(*(x for before, after in steps for x in before + after))
+            root = top[-1][0]
+            found.append((row.doc_id, own, trees[s][-1][0], root, siblings, folded, folded == root))
+    return sorted(found, key=repr)
+
+
+def result(frame) -> list[tuple]:
+    return sorted(map(tuple, merkle.audited(frame).collect()), key=repr)
+
+
+def test_odd_rows(odd):
+    assert result(odd) == plain(odd.collect())
+
+
+def test_nothing(none):
+    assert result(none) == []
+
+
+@pytest.mark.parametrize("n", [1, 2, 16, 17, 257])
+def test_sizes_around_the_fanout(spark, n):
+    rows = [(i, f"Text {i}", "en", "s" if i % 9 else None, i) for i in range(n)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    assert result(docs) == plain(docs.collect())
+
+
+@pytest.mark.parametrize("fanout, stride", [(2, 1), (2, 3), (3, 2)])
+def test_deep_trees_and_any_stride(spark, fanout, stride):
+    rows = [(i, f"Text {i}", "en", f"s{min(i % 40, 7)}", i) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    found = merkle.manifest(docs, fanout=fanout, stride=stride)
+    checked = found.withColumn("again", merkle.folded(F.col("leaf"), F.col("path"))).collect()
+    expected = {row[0]: row for row in plain(docs.collect(), fanout)}
+    assert len(checked) == 200
+    for row in checked:
+        assert (row.leaf, row.subroot, row.root) == expected[row.doc_id][1:4] and row.again == row.root
+        assert digest(*(step.before + step.after for step in row.path)) == expected[row.doc_id][4]
+
+
+def test_only_every_third_level_is_stored(spark):
+    leaves = spark.range(5000).select(
+        F.lit("g").alias("grp"), F.unhex(F.sha2(F.col("id").cast("string"), 256)).alias("digest"), "id", F.col("id").alias("row")
+    )
+    grown = merkle.grown(leaves, "id")
+    assert [level.count() for level in grown.levels] == [5000, 2, 1]
+    # one node remains four levels up, so the second step of three levels ends there
+    hashes = [digest(str(i)) for i in range(5000)]
+    assert grown.tops.collect()[0].digest.hex() == tree(hashes, 16)[-1][0]
+
+
+def test_a_changed_row_does_not_verify(spark):
+    rows = [(i, f"Text {i}", "en", f"s{i % 3}", i) for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    changed = {row.doc_id for row in merkle.audited(docs).collect() if not row.verified}
+    assert changed == {i for i in range(100) if crc32(str(i).encode()) % 5 == 0}
