@@ -12,7 +12,8 @@ from entitylake.functions.ordering import OrderBy
 from entitylake.operators import catalog, paging, query
 from entitylake.plans.extract import Collection, extract_all
 from entitylake.plans.reports import counts_report
-from entitylake.sources.pages import write_pages, write_records
+from entitylake.sources.pageindex import followed, save_entity, saved_page_behind, saved_pages
+from entitylake.sources.pages import write_records
 
 
 class Lake:
@@ -101,7 +102,24 @@ class Lake:
         return paging.all_pages(table.df, entity, table.order_by, size)
 
     def save_pages(self, path: str, entities: Sequence[str] | None = None, size: int = paging.PAGE_SIZE) -> None:
-        write_pages([self.get_all_pages(name, size) for name in entities or self.tables], path)
+        for name in entities or self.tables:
+            table = self._table(name)
+            save_entity(table.df, name, table.order_by, path, size)
+
+    def get_saved_pages(self, path: str, entity: str, first: int, last: int | None = None) -> DataFrame:
+        """Saved pages by number; only the blocks that hold them are read."""
+        return saved_pages(self.spark, path, entity, first, last, self._table(entity).df.schema)
+
+    def follow(self, path: str, link: str) -> DataFrame:
+        """The saved page that a page's link names."""
+        return followed(self.spark, path, link, self._table(link.rpartition("?page=")[0]).df.schema)
+
+    def get_saved_next_page(
+        self, path: str, entity: str, last: Mapping[str, Any] | None, size: int = paging.PAGE_SIZE
+    ) -> DataFrame:
+        """As ``get_next_page``, from saved pages."""
+        table = self._table(entity)
+        return saved_page_behind(self.spark, path, entity, table.df.schema, table.order_by, last, size)
 
     def save_records(self, path: str, entities: Sequence[str] | None = None) -> None:
         write_records({name: self._table(name).df for name in entities or self.tables}, path)
@@ -128,5 +146,5 @@ class Lake:
         counts = self.get_record_counts().select("entity", "record_count")
         return counts_report(counts, self.definitions, path)
 
-    def extract_all(self, path: str, size: int = paging.PAGE_SIZE) -> list[str]:
-        return extract_all(self.definitions, self.snapshots, self.tables, path, size)
+    def extract_all(self, path: str, size: int = paging.PAGE_SIZE, run: str | None = None) -> list[str]:
+        return extract_all(self.definitions, self.snapshots, self.tables, path, size, run=run)

@@ -25,9 +25,10 @@ from dataclasses import dataclass
 from math import ceil
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from entitylake.functions.columns import named
 from entitylake.functions.jsontext import json_text
@@ -67,6 +68,11 @@ class Blocks:
     def count(self) -> int:
         return max(1, ceil(self.total / self.size))
 
+    def part(self, first: int, stop: int) -> Blocks:
+        """The blocks from ``first`` up to ``stop`` as a cut of their own rows."""
+        rows = min(self.total, stop * self.size) - first * self.size
+        return Blocks(self.keys, rows, self.size, self.ends[first : stop - 1])
+
 
 def _key_columns(df: DataFrame, keys: Sequence[SortKey]) -> list[tuple]:
     return [splittable(key.name, df.schema[key.name].dataType) for key in keys]
@@ -237,6 +243,62 @@ def with_block(df: DataFrame, blocks: Blocks) -> DataFrame:
     return marked.repartitionById(max(2, blocks.count), F.col(BLOCK))
 
 
+def rows_of_blocks(df: DataFrame, blocks: Blocks, first: int, stop: int) -> DataFrame:
+    """The rows of the blocks from ``first`` up to ``stop``.
+
+    The leading key is bounded on its own as well, so that a scan of sorted files skips the rest.
+    """
+    columns = _key_columns(df, blocks.keys)
+    values, lead = [col for col, _, _ in columns], blocks.keys[0]
+
+    def behind(end: tuple) -> Column:
+        return sorts_after(blocks.keys, values, _literals(columns, end))
+
+    def lead_at(end: tuple, later: bool) -> Column:
+        if end[0] is None:
+            return F.lit(True)
+        bound = _literals(columns, end)[0]
+        if later == lead.descending:  # null sorts lowest
+            return (values[0] <= bound) | values[0].isNull()
+        return values[0] >= bound
+
+    if first > 0:
+        df = df.filter(lead_at(blocks.ends[first - 1], True) & behind(blocks.ends[first - 1]))
+    if stop < blocks.count:
+        df = df.filter(lead_at(blocks.ends[stop - 1], False) & ~behind(blocks.ends[stop - 1]))
+    return df
+
+
+def _literals(columns: Sequence[tuple], key: Sequence[Any]) -> list[Column]:
+    """One key as literals to compare with the stand-ins of its columns."""
+    return [F.get(literal_array([value], element, text), F.lit(0)) for value, (_, element, text) in zip(key, columns)]
+
+
+def stored_key(df: DataFrame, keys: Sequence[SortKey], key: Sequence[Any]) -> list[Any]:
+    """A collected key as JSON can hold it; as the end of a block it compares as before."""
+    return [None if value is None else text(value) for value, (_, _, text) in zip(key, _key_columns(df, keys))]
+
+
+def keys_by_block(spark: SparkSession, df: DataFrame, blocks: Blocks) -> DataFrame:
+    """``(block, k0, k1, ...)``: the last key of every block but the last, as it is compared with."""
+    numbers = spark.range(0, len(blocks.ends), 1, 1).select(F.col("id").cast("int").alias("block"))
+    arrays = [
+        F.get(literal_array([end[i] for end in blocks.ends], element, text), F.col("block")).alias(f"k{i}")
+        for i, (_, element, text) in enumerate(_key_columns(df, blocks.keys))
+    ]
+    return numbers.select("block", *arrays)
+
+
+def compared_key(spark: SparkSession, schema: T.StructType, keys: Sequence[SortKey], key: Sequence[Column]) -> list[Column]:
+    """One key, given by literals, as literals to compare with those of ``keys_by_block``."""
+    one = spark.range(1).select(*[value.cast(schema[k.name].dataType).alias(k.name) for k, value in zip(keys, key)])
+    columns = _key_columns(one, keys)
+    names = [f"k{i}" for i in range(len(keys))]
+    plain = one.select(*[col.alias(name) for (col, _, _), name in zip(columns, names)])
+    row = plain.select(*_collectable(plain, names)).first()
+    return _literals(columns, tuple(row))
+
+
 def number_in_blocks(df: DataFrame, blocks: Blocks, out: str) -> DataFrame:
     """Number the rows of ``df`` from 1; keeps the block column.
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date, datetime
 from typing import Any
@@ -12,13 +12,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from entitylake.functions.columns import named, quote, time_literal
-from entitylake.functions.ordering import OrderBy, after_row, sort_columns, sort_keys
+from entitylake.functions.ordering import OrderBy, SortKey, after_row, sort_columns, sort_keys
 from entitylake.operators.documents import STATUS, data_only
 from entitylake.operators.numbering import (
     BLOCK,
     Blocks,
     cut_blocks,
     number_in_blocks,
+    rows_of_blocks,
 )
 from entitylake.schemas import ENTITY, NEXT_LINK, PAGE_NUMBER, VALUE
 
@@ -38,10 +39,6 @@ class Paged:
     blocks: Blocks
     size: int
 
-    @property
-    def pages(self) -> int:
-        return -(-self.blocks.total // self.size)
-
 
 def _page_of(position: Column, size: int) -> Column:
     return F.floor((position - 1) / F.lit(size)).cast("bigint") + 1
@@ -84,27 +81,27 @@ def all_pages(
     that numbered the rows: the records are shuffled once. An empty entity has
     one page without records.
     """
-    paged = _cut(df, order_by, size, rows_per_block, total)
+    blocks = cut_blocks(df, order_by, align=size, rows_per_block=rows_per_block, total=total)
+    return pages_of_blocks(df, entity, blocks, size, 0, blocks.count).drop(BLOCK)
+
+
+def pages_of_blocks(df: DataFrame, entity: str, blocks: Blocks, size: int, first: int, stop: int) -> DataFrame:
+    """The envelopes of some consecutive blocks of a cut, with the block of each."""
+    pages = -(-blocks.total // size)
+    name, number = F.lit(entity), F.col(PAGE_NUMBER)
+    fields = [BLOCK, name.alias(ENTITY), number, F.col(VALUE), page_link(name, number, max(1, pages)).alias(NEXT_LINK)]
+    if blocks.total == 0:
+        empty = df.sparkSession.range(1).select(F.lit(0).alias(BLOCK), F.lit(1).cast("bigint").alias(PAGE_NUMBER))
+        return empty.withColumn(VALUE, F.array().cast(T.ArrayType(df.schema))).select(*fields)
+    part = blocks.part(first, stop)
+    # the numbers in a part start at its own first row
+    rows = number_in_blocks(rows_of_blocks(df, blocks, first, stop), part, POSITION)
+    rows = rows.withColumn(POSITION, F.col(POSITION) + first * blocks.size).withColumn(BLOCK, F.col(BLOCK) + first)
     record = F.struct(*[named(name) for name in df.columns])
-    if paged.blocks.total == 0:
-        empty = df.sparkSession.range(1).select(F.lit(1).cast("bigint").alias(PAGE_NUMBER))
-        value = F.array().cast(T.ArrayType(df.schema))
-        return _envelopes(empty.withColumn(VALUE, value), entity, last=1)
     in_order = F.sort_array(F.collect_list(F.struct(F.col(POSITION), record.alias("record"))))
-    pages = paged.rows.groupBy(BLOCK, PAGE_NUMBER).agg(
-        F.transform(in_order, lambda item: item["record"]).alias(VALUE)
-    )
-    return _envelopes(pages, entity, paged.pages)
-
-
-def _envelopes(pages: DataFrame, entity: str, last: int) -> DataFrame:
-    name = F.lit(entity)
-    return pages.select(
-        name.alias(ENTITY),
-        F.col(PAGE_NUMBER),
-        F.col(VALUE),
-        page_link(name, F.col(PAGE_NUMBER), last).alias(NEXT_LINK),
-    )
+    numbered = rows.withColumn(PAGE_NUMBER, _page_of(F.col(POSITION), size))
+    value = F.transform(in_order, lambda item: item["record"]).alias(VALUE)
+    return numbered.groupBy(BLOCK, PAGE_NUMBER).agg(value).select(*fields)
 
 
 def page_links(df: DataFrame, entity: str, size: int = PAGE_SIZE) -> DataFrame:
@@ -135,11 +132,15 @@ def next_page(
     if last is None:
         return first_page(df, order_by, size)
     keys = sort_keys(order_by)
-    literals = [_literal(df, key.name, last[key.name]) for key in keys]
-    behind = after_row(keys, literals, lead_is_null=last[keys[0].name] is None)
+    behind = after_row(keys, key_literals(df, keys, last), lead_is_null=last[keys[0].name] is None)
     return first_page(df.filter(behind), order_by, size)
 
 
+def key_literals(df: DataFrame, keys: Sequence[SortKey], last: Mapping[str, Any]) -> list[Column]:
+    """The sort key values of one row as literals of the columns' types."""
+    return [_literal(df, key.name, last[key.name]) for key in keys]
+
+
 # Instants leave and enter Spark as text with their offset: no client time zone is involved.
 INSTANT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 

@@ -2,7 +2,8 @@
 
 A line of a file is one page (or one record). Pages are rows, not files: a
 directory or file per page would mean hundreds of millions of them for a large
-entity. ``entity=<name>`` directories prune reads to the entities asked for.
+entity. ``entity=<name>`` directories prune reads to the entities asked for;
+``pageindex`` adds directories per block of pages below them, and an index.
 Readers also take the one-file-per-page layout, ``<entity>_page_<n>.json`` or
 ``<entity>_extract_page_<n>.json``, indented or not.
 """
@@ -28,6 +29,7 @@ PAGE_FILE = r"([^/]+?)(?:_extract)?_page_(\d+)\.json$"
 # --------------------------------------------------------------------------
 
 LINE = "line"
+BLOCK_DIR = "block"  # of a lake with a page index
 
 
 def write_lines(lines: Iterable[DataFrame], path: str) -> None:
@@ -85,12 +87,21 @@ def _with_status(pages: DataFrame, entity: str | None) -> DataFrame:
 
 
 def load_pages(
-    reader: DataFrameReader | DataStreamReader, path: str, record: T.DataType | None = None, entity: str | None = None
+    reader: DataFrameReader | DataStreamReader,
+    path: str | list[str],
+    record: T.DataType | None = None,
+    entity: str | None = None,
 ) -> DataFrame:
-    """Pages of a lake written by ``write_pages``, as a table or as a stream."""
+    """Pages of a lake written by ``write_pages`` or ``pageindex``, as a table or as a stream."""
     schema = _page_schema(record, T.StructField(ENTITY, T.StringType()))
     pages = reader.schema(schema).options(**READ_OPTIONS).option("columnNameOfCorruptRecord", CORRUPT)
-    return _with_status(pages.json(path), entity)
+    return _with_status(pages.json(path).drop(BLOCK_DIR), entity)
+
+
+def no_pages(spark: SparkSession, record: T.DataType | None = None) -> DataFrame:
+    """An empty table of pages, as readers give it."""
+    schema = _page_schema(record, T.StructField(ENTITY, T.StringType()))
+    return _with_status(spark.createDataFrame([], schema), None)
 
 
 def load_page_files(

@@ -42,6 +42,11 @@ def _pages(entity: str, key: str) -> str:
     FROM (SELECT {_page(key, PAGE)} AS page_number FROM {entity}) GROUP BY page_number"""
 
 
+LINES_IN_ORDER = f"""SELECT *, (rn + {PAGE - 1}) // {PAGE} AS page_number, (count(*) OVER () + {PAGE - 1}) // {PAGE} AS pages
+    FROM (SELECT *, row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_shipdate DESC, l_partkey, l_suppkey,
+          l_extendedprice) AS rn FROM lineitem)"""
+
+
 def _fields(*entities: str) -> str:
     return " UNION ALL ".join(
         f"SELECT '{entity}' AS entity, '{name}' AS field, count({name}) AS n_records FROM {entity}"
@@ -233,6 +238,11 @@ ORACLES: dict[str, str] = {
         doc_id, text, lang, source, n_chars
         FROM (SELECT *, {_page('doc_id', PAGE)} AS page_number, row_number() OVER (ORDER BY doc_id) AS rn
               FROM documents)""",
+    "saved_page": f"""SELECT page_number, CAST(rn - (page_number - 1) * {PAGE} - 1 AS INTEGER) AS position,
+        l_orderkey, l_linenumber, l_partkey, l_shipdate FROM ({LINES_IN_ORDER})
+        WHERE page_number IN (pages // 2, pages // 2 + 1)""",
+    "saved_page_behind": f"""SELECT l_orderkey, l_linenumber, l_partkey, l_shipdate FROM ({LINES_IN_ORDER})
+        WHERE rn > pages * 3 // 4 * {PAGE} AND rn <= (pages * 3 // 4 + 12) * {PAGE}""",
     "unpage_quarantine": DAMAGED,
     "stream_quarantine": DAMAGED,
     "page_roundtrip": "SELECT * FROM orders",
@@ -360,6 +370,13 @@ ORACLES: dict[str, str] = {
             "documents": "doc_id",
         }.items()
     ),
+    "extract_resumed": "SELECT *, entity NOT IN ('customer', 'supplier') AS second_time FROM (" + " UNION ALL ".join(
+        _pages(entity, key)
+        for entity, key in {
+            "customer": "c_custkey", "supplier": "s_suppkey", "part": "p_partkey", "orders": "o_orderkey",
+            "documents": "doc_id",
+        }.items()
+    ) + ")",
     "csv_driven_extract": " UNION ALL ".join(
         _pages(entity, key)
         for entity, key in {

@@ -16,7 +16,7 @@ from entitylake.operators import catalog, documents, numbering, paging, profile,
 from entitylake.plans import dictionary, extract, reports
 from entitylake.schemas import COUNT, COUNTS_REPORT, ENTITY, NEXT_LINK, PAGE_NUMBER, VALUE
 from entitylake.session import scratch_dir
-from entitylake.sources import csvfiles, pages, snapshots, tables
+from entitylake.sources import csvfiles, pageindex, pages, snapshots, tables
 from entitylake.sources import documents as document_files
 from entitylake.streaming import arrivals
 from entitylake.suite import roles
@@ -344,6 +344,38 @@ def read_pages(t: Tables) -> DataFrame:
     )
 
 
+def _indexed_lake(t: Tables) -> str:
+    """Lines in pages of 500, ten pages to a block."""
+    path = scratch_dir(t.spark, "pages")
+    pageindex.save_entity(t.lineitem, "lineitem", LINES, path, PAGE, rows_per_block=10 * PAGE)
+    return path
+
+
+LINES = "l_orderkey, l_linenumber, l_shipdate desc, l_partkey, l_suppkey, l_extendedprice"
+LINE_FIELDS = ["l_orderkey", "l_linenumber", "l_partkey", "l_shipdate"]
+
+
+@registered
+def saved_page(t: Tables) -> DataFrame:
+    """The middle page of a saved entity, and the one that its link names."""
+    path, schema = _indexed_lake(t), t.lineitem.schema
+    middle = pageindex.read_index(t.spark, path, "lineitem").agg(F.max("last_page")).first()[0] // 2
+    found = pageindex.saved_pages(t.spark, path, "lineitem", middle, record=schema)
+    behind = pageindex.followed(t.spark, path, found.select(c.named(NEXT_LINK)).first()[0], schema)
+    return paging.unpage(found.union(behind)).select(PAGE_NUMBER, paging.POSITION, *LINE_FIELDS)
+
+
+@registered
+def saved_page_behind(t: Tables) -> DataFrame:
+    """The records behind a key in the last quarter of a saved entity; they cross a block's end."""
+    path, schema = _indexed_lake(t), t.lineitem.schema
+    number = pageindex.read_index(t.spark, path, "lineitem").agg(F.max("last_page")).first()[0] * 3 // 4
+    page = paging.unpage(pageindex.saved_pages(t.spark, path, "lineitem", number, record=schema))
+    last = paging.last_key(page, LINES)
+    found = pageindex.saved_page_behind(t.spark, path, "lineitem", schema, LINES, last, 12 * PAGE)
+    return found.select(*LINE_FIELDS)
+
+
 @registered
 def unpage(t: Tables) -> DataFrame:
     saved = pages.read_pages(t.spark, _saved_pages(t, "documents"), t.documents.schema, "documents")
@@ -738,6 +770,17 @@ def extract_all(t: Tables) -> DataFrame:
     return _page_sizes(t, path)
 
 
+@registered
+def extract_resumed(t: Tables) -> DataFrame:
+    """An extraction that got as far as two entities, and is started again under its name."""
+    path = scratch_dir(t.spark, "lake")
+    catalogue = roles.collection_definitions(t), roles.collection_snapshots(t)
+    whole = roles.collections(t)
+    extract.extract_all(*catalogue, {name: whole[name] for name in ("customer", "supplier")}, path, PAGE, run="nightly")
+    again = extract.extract_all(*catalogue, whole, path, PAGE, run="nightly")
+    return _page_sizes(t, path).withColumn("second_time", F.col(ENTITY).isin(again))
+
+
 @registered
 def csv_driven_extract(t: Tables) -> DataFrame:
     path, csv_path = scratch_dir(t.spark, "lake"), scratch_dir(t.spark, "worklist")

@@ -1,0 +1,162 @@
+from __future__ import annotations
+
+import os
+from datetime import date, datetime
+from decimal import Decimal
+
+import pytest
+from helpers import rows
+from pyspark.sql import functions as F
+
+from entitylake import Lake
+from entitylake.operators import paging
+from entitylake.plans.extract import Collection, extract_all
+from entitylake.plans.runs import Run
+from entitylake.sources import pageindex, pages
+from entitylake.sources.files import Files
+from entitylake.sources.tables import read_collection
+
+
+@pytest.fixture(scope="module")
+def things(spark):
+    """Null keys, ties in the leading key, types that JSON holds as text."""
+    n = F.col("id")
+    return spark.range(95).select(
+        F.when(n % 10 > 1, (n % 7).cast("int")).alias("kind"),
+        F.when(n % 9 > 0, F.timestamp_micros(n * 86_400_000_001)).cast("timestamp_ntz").alias("at"),
+        F.date_add(F.lit(date(2024, 1, 1)), (n % 5).cast("int")).alias("day"),
+        (n.cast("decimal(12,3)") / 8).cast("decimal(12,3)").alias("price"),
+        "id",
+    )
+
+
+ORDERS = ["id", "id desc", "kind, id", "kind desc, at desc, id", "day, price desc", "at, id", "price"]
+
+
+def files(df) -> set[str]:
+    return {os.path.basename(os.path.dirname(name)) for name in df.inputFiles()}
+
+
+@pytest.mark.parametrize("order", ORDERS)
+def test_pages_and_the_page_behind_any_key(spark, things, tmp_path, order):
+    path = str(tmp_path / "lake")
+    pageindex.save_entity(things, "things", order, path, 7, rows_per_block=14, blocks_per_job=3)
+    expected = rows(paging.all_pages(things, "things", order, 7).select("page_number", "value", "`@odata.nextLink`"))
+    saved = pages.read_pages(spark, path, things.schema, "things")
+    assert saved.columns == pages.no_pages(spark, things.schema).columns
+    assert rows(saved.select("page_number", "value", "`@odata.nextLink`")) == expected
+    for number in (1, 2, 9, 14):
+        found = pageindex.saved_pages(spark, path, "things", number, record=things.schema)
+        assert rows(found.select("page_number", "value", "`@odata.nextLink`")) == [r for r in expected if r[0] == number]
+        assert files(found) == {f"block={(number - 1) // 2}"}
+    ordered = paging.first_page(things, order, 1000).collect()
+    for i in (0, 6, 13, 20, 50, 93):
+        last = ordered[i].asDict()
+        found = pageindex.saved_page_behind(spark, path, "things", things.schema, order, last, 5)
+        assert found.collect() == ordered[i + 1 : i + 6]
+        assert len(files(found)) <= 2
+    assert pageindex.saved_page_behind(spark, path, "things", things.schema, order, None, 3).collect() == ordered[:3]
+    assert pageindex.saved_page_behind(spark, path, "things", things.schema, order, ordered[-1].asDict(), 3).collect() == []
+    far = pageindex.saved_page_behind(spark, path, "things", things.schema, order, ordered[9].asDict(), 60)
+    assert far.collect() == ordered[10:70]
+
+
+def test_several_pages_links_and_none(spark, things, tmp_path):
+    path = str(tmp_path / "lake")
+    pageindex.save_entity(things, "a b=c", "id", path, 10, rows_per_block=20)
+    some = pageindex.saved_pages(spark, path, "a b=c", 2, 5, things.schema)
+    assert [r[0] for r in rows(some.select("page_number"))] == [2, 3, 4, 5] and files(some) == {"block=0", "block=1", "block=2"}
+    assert pageindex.followed(spark, path, "a b=c?page=10", things.schema).first()["page_number"] == 10
+    assert pageindex.saved_pages(spark, path, "a b=c", 11, record=things.schema).collect() == []
+    with pytest.raises(ValueError):
+        pageindex.followed(spark, path, "a b=c")
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        pageindex.saved_pages(spark, path, "other", 1).collect()
+
+
+def test_an_empty_and_a_shrunk_entity(spark, things, tmp_path):
+    path = str(tmp_path / "lake")
+    pageindex.save_entity(things, "things", "id", path, 5, rows_per_block=10)
+    pageindex.save_entity(things.limit(0), "things", "id", path, 5)
+    assert rows(pages.read_pages(spark, path, things.schema).select("page_number", "value")) == [(1, [])]
+    assert pageindex.saved_pages(spark, path, "things", 1, record=things.schema).first()["value"] == []
+    assert pageindex.saved_page_behind(spark, path, "things", things.schema, "id", {"id": 3}).collect() == []
+
+
+def test_lake_reads_what_it_saved(spark, things, tmp_path):
+    path, lake = str(tmp_path / "lake"), Lake(spark, {"things": Collection(things, "id")})
+    lake.save_pages(path, size=10)
+    assert lake.get_saved_pages(path, "things", 3).first()["value"][0]["id"] == 20
+    assert lake.follow(path, "things?page=4").first()["value"][0]["id"] == 30
+    assert [r["id"] for r in lake.get_saved_next_page(path, "things", {"id": 41}, 3).collect()] == [42, 43, 44]
+
+
+def written(path: str) -> dict[str, tuple]:
+    found = {}
+    for folder, _, names in os.walk(path):
+        for name in names:
+            if name.startswith("part-"):
+                state = os.stat(os.path.join(folder, name))
+                found[os.path.join(folder, name)] = (state.st_ino, state.st_mtime_ns)
+    return found
+
+
+def test_a_stopped_entity_goes_on_behind_its_last_part(spark, things, tmp_path):
+    path = str(tmp_path / "lake")
+    bad = things.withColumn("kind", F.when(F.col("id") == 60, F.raise_error(F.lit("lost"))).otherwise(F.col("kind")).cast("int"))
+    run = Run(spark, path, "monday")
+    sizes = {"rows_per_block": 10, "blocks_per_job": 2}
+    with pytest.raises(Exception, match="lost"):
+        run.save(bad, "things", "id", 5, **sizes)
+    before = written(path)
+    assert {os.path.basename(os.path.dirname(name)) for name in before} == {f"block={i}" for i in range(6)}
+    assert run.finished().collect() == []
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):  # an entity with an index is whole
+        pageindex.read_index(spark, path, "things")
+    assert Run(spark, path, "monday").save(things, "things", "id", 5, **sizes)
+    after = written(path)
+    assert all(after[name] == state for name, state in before.items())
+    assert rows(paging.records_of(pages.read_pages(spark, path, things.schema))) == rows(things)
+    assert pageindex.saved_pages(spark, path, "things", 19, record=things.schema).count() == 1
+    assert not Run(spark, path, "monday").save(things, "things", "id", 5, **sizes)
+    assert [tuple(r) for r in run.finished().collect()] == [("things", 95, 10)]
+    # another run, or rows that have changed in number, start anew
+    assert Run(spark, path, "tuesday").save(things.filter("id < 7"), "things", "id", 5, **sizes)
+    assert pages.read_pages(spark, path, things.schema).count() == 2
+
+
+@pytest.mark.parametrize("order", ORDERS)
+def test_stored_cuts_compare_as_before(spark, things, tmp_path, order):
+    path = str(tmp_path / "lake")
+    bad = things.withColumn("price", F.when(F.col("id") == 44, F.raise_error(F.lit("lost"))).otherwise(F.col("price")).cast("decimal(12,3)"))
+    if "price" in order:
+        bad = bad.withColumn("price", F.col("price"))
+    run = Run(spark, path, "r")
+    with pytest.raises(Exception, match="lost"):
+        run.save(bad, "things", order, 5, rows_per_block=10, blocks_per_job=1)
+    run.save(things, "things", order, 5, rows_per_block=10, blocks_per_job=1)
+    got = rows(pages.read_pages(spark, path, things.schema).select("page_number", "value"))
+    assert got == rows(paging.all_pages(things, "things", order, 5).select("page_number", "value"))
+
+
+def test_rows_that_changed_start_anew(spark, things, tmp_path):
+    path, run = str(tmp_path / "lake"), None
+    bad = things.withColumn("kind", F.when(F.col("id") == 60, F.raise_error(F.lit("lost"))).otherwise(F.col("kind")).cast("int"))
+    run = Run(spark, path, "r")
+    with pytest.raises(Exception, match="lost"):
+        run.save(bad, "things", "id", 5, rows_per_block=10, blocks_per_job=2)
+    fewer = things.filter("id < 33")
+    run.save(fewer, "things", "id", 5, rows_per_block=10, blocks_per_job=2)
+    assert rows(paging.records_of(pages.read_pages(spark, path, things.schema))) == rows(fewer)
+
+
+def test_files_appear_whole_and_once(spark, tmp_path):
+    files = Files(spark, str(tmp_path / "notes"))
+    assert files.names() == [] and files.get("a") is None
+    files.put("a", "one")
+    files.put("a", "zwei ü")
+    assert files.get("a") == "zwei ü" and files.names() == ["a"]
+    with pytest.raises(FileExistsError):
+        files.put("a", "three", replace=False)
+    files.put("sub/b", "x", replace=False)
+    assert files.names("sub") == ["b"] and files.get("a") == "zwei ü"
