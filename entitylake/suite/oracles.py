@@ -362,6 +362,9 @@ ORACLES: dict[str, str] = {
     "stream_unpage": "SELECT * FROM events",
     "stream_progress": """SELECT 'events' AS entity, CAST(ceil(count(*) / 100.0) AS BIGINT) AS pages,
         count(*) AS records FROM events""",
+    "stream_unpage_again": "SELECT * FROM events",
+    "stream_progress_again": """SELECT 'events' AS entity, CAST(ceil(count(*) / 100.0) AS BIGINT) AS pages,
+        count(*) AS records FROM events""",
     # composites
     "extract_all": " UNION ALL ".join(
         _pages(entity, key)

@@ -742,6 +742,31 @@ def stream_progress(t: Tables) -> DataFrame:
     return arrivals.latest_progress(t.spark, out)
 
 
+def _landing_twice(t: Tables) -> str:
+    """The event lake, with every third page a second time under another name."""
+    path = _event_lake(t)
+    again = pages.read_pages(t.spark, path, t.events.schema).filter(F.col(PAGE_NUMBER) % 3 == 0)
+    lines = pages.page_lines(again.select(ENTITY, PAGE_NUMBER, VALUE, c.named(NEXT_LINK)))
+    lines.write.mode("append").partitionBy(ENTITY).text(path)
+    return path
+
+
+@registered
+def stream_unpage_again(t: Tables) -> DataFrame:
+    out, checkpoint = scratch_dir(t.spark, "records"), scratch_dir(t.spark, "stream")
+    stream = arrivals.page_stream(t.spark, _landing_twice(t), t.events.schema, files_per_trigger=4)
+    arrivals.finish(arrivals.append_records(stream, out, checkpoint))
+    return t.spark.read.parquet(out).select(*t.events.columns)
+
+
+@registered
+def stream_progress_again(t: Tables) -> DataFrame:
+    out, checkpoint = scratch_dir(t.spark, "progress"), scratch_dir(t.spark, "stream")
+    stream = arrivals.page_stream(t.spark, _landing_twice(t), files_per_trigger=4)
+    arrivals.finish(arrivals.write_progress(stream, out, checkpoint))
+    return arrivals.latest_progress(t.spark, out)
+
+
 @registered
 def stream_quarantine(t: Tables) -> DataFrame:
     lake, good, aside = _damaged_lake(t), scratch_dir(t.spark, "records"), scratch_dir(t.spark, "aside")

@@ -167,10 +167,51 @@ def test_streams_take_every_page_once(spark, things, others, tmp_path):
     assert spark.read.parquet(out).count() == 12
     arrivals.finish(arrivals.append_records(stream, out, mark), 60)
     assert spark.read.parquet(out).count() == 12
-    more = paging.all_pages(things.filter("id >= 12"), "things", "id", 5)
-    pages.page_lines(more).write.mode("append").partitionBy("entity").text(lake)
-    arrivals.finish(arrivals.append_records(stream, out, mark), 60)
-    assert rows(spark.read.parquet(out).drop("entity", "page_number", "position")) == rows(things)
+    more = paging.all_pages(things.filter("id >= 12"), "things", "id", 5).withColumn("page_number", F.col("page_number") + 3)
+    for _ in range(2):  # the second time under other names
+        pages.page_lines(more).write.mode("append").partitionBy("entity").text(lake)
+        arrivals.finish(arrivals.append_records(stream, out, mark), 60)
+        assert rows(spark.read.parquet(out).drop("entity", "page_number", "position")) == rows(things)
+
+
+def test_pages_that_land_again_count_once(spark, tmp_path):
+    """In one batch, in a later one, after a restart, and after a cut-off copy of the page."""
+    out, counts = str(tmp_path / "out"), str(tmp_path / "counts")
+    lake = tmp_path / "lake"
+    record = T.StructType.fromDDL("id bigint")
+
+    def land(name, *lines):
+        (lake / "entity=x").mkdir(parents=True, exist_ok=True)
+        (lake / "entity=x" / name).write_text("\n".join(lines) + "\n")
+
+    def run():
+        stream = arrivals.page_stream(spark, str(lake), record, files_per_trigger=1)
+        arrivals.finish(arrivals.append_records(stream, out, str(tmp_path / "m1")), 60)
+        arrivals.finish(arrivals.write_progress(stream, counts, str(tmp_path / "m2")), 60)
+        records = spark.read.parquet(out)
+        return rows(records.select("page_number", "id")), rows(arrivals.latest_progress(spark, counts))
+
+    one, two, three = ('{"page_number":%d,"value":[{"id":%d}]}' % (n, 10 * n) for n in (1, 2, 3))
+    land("a.json", one, one, three[:-3])
+    land("b.json", one, two)
+    assert run() == ([(1, 10), (2, 20)], [("x", 2, 2)])
+    land("c.json", two, three)
+    land("d.json", three, three)
+    assert run() == ([(1, 10), (2, 20), (3, 30)], [("x", 3, 3)])
+    land("e.json", one)
+    assert run() == ([(1, 10), (2, 20), (3, 30)], [("x", 3, 3)])
+
+
+def test_pages_by_files_alone(spark, things, tmp_path):
+    lake, out, mark = (str(tmp_path / name) for name in ("lake", "out", "mark"))
+    made = pages.page_lines(paging.all_pages(things.filter("id < 5"), "things", "id", 5))
+    for _ in range(2):
+        made.write.mode("append").partitionBy("entity").text(lake)
+    stream = arrivals.page_stream(spark, lake, things.schema)
+    kept = arrivals.once_per_page(stream, remembered=None)
+    assert "dropDuplicates" not in str(kept._jdf.queryExecution().logical())
+    arrivals.finish(arrivals.append_records(stream, out, mark, remembered=None), 60)
+    assert spark.read.parquet(out).count() == 10
 
 
 def test_progress(spark, things, others, tmp_path):
