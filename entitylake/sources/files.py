@@ -58,6 +58,13 @@ class Files:
         found = [status.getPath().getName() for status in self._fs.listStatus(path) if status.isFile()]
         return sorted(name for name in found if not name.endswith((".tmp", ".crc")))
 
+    def folders(self, folder: str = "") -> list[str]:
+        """The folders of a folder, in order."""
+        path = self._path(folder)
+        if not self._fs.exists(path):
+            return []
+        return sorted(status.getPath().getName() for status in self._fs.listStatus(path) if status.isDirectory())
+
     def remove(self, name: str = "") -> None:
         self._fs.delete(self._path(name), True)
 

@@ -340,6 +340,17 @@ ORACLES: dict[str, str] = {
         '2024-01-01 00:00:00' FROM supplier""",
     "snapshot_load": """SELECT o_custkey AS entity, count(*) AS record_count, max(o_orderdate) AS last_updated
         FROM orders WHERE o_orderstatus = 'F' GROUP BY o_custkey""",
+    "snapshot_versions": """WITH first AS (
+            SELECT o_orderstatus AS base_url, o_custkey AS entity, count(*) AS record_count, max(o_orderdate) AS last_updated
+            FROM orders GROUP BY ALL
+        ), second AS (
+            SELECT CASE WHEN o_orderstatus = 'P' THEN 'N' ELSE o_orderstatus END AS base_url, o_custkey AS entity,
+                   count(*) AS record_count, max(o_orderdate) AS last_updated
+            FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderstatus <> 'F' GROUP BY ALL
+        )
+        SELECT 1 AS version, * FROM first
+        UNION ALL SELECT 2, * FROM second
+        UNION ALL SELECT 2, * FROM first WHERE base_url NOT IN (SELECT base_url FROM second)""",
     "map_to_rows": """SELECT c_name AS entity, c_custkey AS record_count FROM customer
         WHERE c_mktsegment = 'HOUSEHOLD'""",
     # JSON documents, CSV

@@ -16,7 +16,7 @@ from entitylake.operators import catalog, documents, numbering, paging, profile,
 from entitylake.plans import dictionary, extract, reports
 from entitylake.schemas import COUNT, COUNTS_REPORT, ENTITY, NEXT_LINK, PAGE_NUMBER, VALUE
 from entitylake.session import scratch_dir
-from entitylake.sources import csvfiles, pageindex, pages, snapshots, tables
+from entitylake.sources import csvfiles, pageindex, pages, snapshots, tables, versions
 from entitylake.sources import documents as document_files
 from entitylake.streaming import arrivals
 from entitylake.suite import roles
@@ -598,20 +598,33 @@ def snapshot_upsert(t: Tables) -> DataFrame:
     return t.spark.read.schema(base.schema).parquet(second).select("code", "balance")
 
 
-@registered
-def snapshot_load(t: Tables) -> DataFrame:
-    path = scratch_dir(t.spark, "snapshot")
-    counts = t.orders.groupBy("o_orderstatus", "o_custkey").agg(
+def _order_snapshot(t: Tables, orders: DataFrame) -> DataFrame:
+    counts = orders.groupBy("o_orderstatus", "o_custkey").agg(
         F.count("*").alias("n"), F.max("o_orderdate").alias("latest")
     )
-    rows = snapshots.snapshot_rows(
-        counts, F.col("o_orderstatus"), F.col("o_custkey"), F.col("n"), F.col("latest")
-    )
-    snapshots.write_snapshot(rows, path)
-    loaded = snapshots.read_snapshot(t.spark, path, rows.schema, "F")
+    return snapshots.snapshot_rows(counts, F.col("o_orderstatus"), F.col("o_custkey"), F.col("n"), F.col("latest"))
+
+
+@registered
+def snapshot_load(t: Tables) -> DataFrame:
+    path, rows = scratch_dir(t.spark, "snapshot"), _order_snapshot(t, t.orders)
+    versions.commit(rows, path)
+    loaded = versions.read_version(t.spark, path, rows.schema, "F")
     return loaded.select("entity", "record_count", "last_updated")
 
 
+@registered
+def snapshot_versions(t: Tables) -> DataFrame:
+    """Two versions of a snapshot; the second replaces one environment and adds one."""
+    path, rows = scratch_dir(t.spark, "snapshot"), _order_snapshot(t, t.orders)
+    versions.commit(rows, path)
+    urgent = t.orders.filter("o_orderpriority = '1-URGENT' and o_orderstatus <> 'F'")
+    renamed = F.when(F.col("o_orderstatus") == "P", "N").otherwise(F.col("o_orderstatus"))
+    versions.commit(_order_snapshot(t, urgent.withColumn("o_orderstatus", renamed)), path)
+    both = [versions.read_version(t.spark, path, rows.schema, version=i).withColumn("version", F.lit(i)) for i in (1, 2)]
+    return both[0].union(both[1]).select("version", "base_url", "entity", "record_count", "last_updated")
+
+
 @registered
 def map_to_rows(t: Tables) -> DataFrame:
     path = scratch_dir(t.spark, "environments")
