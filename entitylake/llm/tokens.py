@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 
 import numpy as np
 import tiktoken
@@ -39,6 +40,15 @@ def _ranks(path: str) -> dict[bytes, int] | None:
     return {bytes(written[c] for c in token): i for token, i in vocab.items() if token not in special}
 
 
+def _added(path: str) -> dict[str, int] | None:
+    """The tokens that the file adds, with their ids; None if one of them takes more than its own text."""
+    with open(path, encoding="utf-8") as file:
+        tokens = json.load(file).get("added_tokens") or []
+    if any(t.get("lstrip") or t.get("rstrip") or t.get("single_word") for t in tokens):
+        return None
+    return {t["content"]: t["id"] for t in tokens if t["content"]}
+
+
 class _Words(dict):
     """Ids of a word with a space before it; ``None`` for what cannot stand for itself."""
 
@@ -56,28 +66,38 @@ class _Words(dict):
 
 
 class Encoder:
-    """Ids of whole texts, as little-endian unsigned 32-bit numbers; special tokens count as text.
+    """Ids of whole texts, as little-endian unsigned 32-bit numbers.
 
-    Ids are those of the ``tokenizers`` library for the same file. Where the file allows, a text
-    is cut at its single spaces, at which such a tokenizer always cuts too, and the ids of words
-    come from a cache of bounded size.
+    Ids are those of the ``tokenizers`` library for the same file, by its default settings: a text
+    is cut at the tokens that the file adds to its vocabulary, special ones too, and each gets its id.
+    Where the file allows, what lies between is cut at its single spaces, at which such a tokenizer
+    always cuts too, and the ids of words come from a cache of bounded size.
     """
 
     def __init__(self, path: str) -> None:
-        ranks = _ranks(path)
-        if ranks:
+        ranks, added = _ranks(path), _added(path)
+        self._ids = {}
+        if ranks and added is not None:
+            self._ids = {token: np.array([i], "<u4").tobytes() for token, i in added.items()}
             core = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
             self._whole = lambda text: np.array(core.encode_ordinary(text), "<u4").tobytes()
             self._words = _Words(self._whole)
         else:
             tokenizer = Tokenizer.from_file(path)
-            tokenizer.encode_special_tokens = True
             self._whole = lambda text: np.array(
                 tokenizer.encode(text, add_special_tokens=False).ids, "<u4"
             ).tobytes()
             self._words = None
+        # the longest of the tokens that begin at a place
+        self._cut = re.compile("(" + "|".join(map(re.escape, sorted(self._ids, key=len, reverse=True))) + ")")
 
     def __call__(self, text: str) -> bytes:
+        if any(token in text for token in self._ids):
+            parts = self._cut.split(text)  # every second one is a token
+            return b"".join(self._ids[part] if i % 2 else self._plain(part) for i, part in enumerate(parts) if part)
+        return self._plain(text)
+
+    def _plain(self, text: str) -> bytes:
         if self._words is not None:
             first, *words = text.split(" ")
             if not first[-1:].isspace():

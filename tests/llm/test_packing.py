@@ -20,11 +20,10 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 @pytest.fixture(scope="module")
 def reference():
     found = Tokenizer.from_file(PATH)
-    found.encode_special_tokens = True
     return found
 
 
-TEXTS = ["", " ", "a", " a", "a ", "a  b", "a \n b", "a\tb c", "x  y z", "it's  we'll'd", "<|endoftext|> a", "é \x1c b", "1 22 333 4444", "日本 語", "\n\n a"]
+TEXTS = ["", " ", "a", " a", "a ", "a  b", "a \n b", "a\tb c", "x  y z", "it's  we'll'd", "<|endoftext|> a", "a <|endoftext|> b", "<|endoftext|><|endoftext|>", "x<|endoftext|>\n", "<|endoftext| >", "é \x1c b", "1 22 333 4444", "日本 語", "\n\n a"]
 
 
 @pytest.mark.parametrize("text", TEXTS)
@@ -36,7 +35,6 @@ def test_ids_of_odd_texts(reference, text):
 @given(st.text(st.sampled_from("ab Z9'.,\n\té  \x1f漢🙂s"), max_size=40))
 def test_ids_of_any_text(text):
     own = Tokenizer.from_file(PATH) if not hasattr(test_ids_of_any_text, "t") else test_ids_of_any_text.t
-    own.encode_special_tokens = True
     test_ids_of_any_text.t = own
     assert np.frombuffer(tokens.encoder(PATH)(text), "<u4").tolist() == own.encode(text, add_special_tokens=False).ids
 
@@ -44,7 +42,6 @@ def test_ids_of_any_text(text):
 def test_other_tokenizers_are_used_as_they_are():
     path = public_tokenizers.path("word_bpe_49k.json")
     own = Tokenizer.from_file(path)
-    own.encode_special_tokens = True
     found = tokens.Encoder(path)("Two Words  here")
     assert np.frombuffer(found, "<u4").tolist() == own.encode("Two Words  here", add_special_tokens=False).ids
 
