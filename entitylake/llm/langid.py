@@ -11,11 +11,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from entitylake.llm.batches import column, share_code, slices
+from entitylake.session import materialized
 
 ORDER = 4
 SAMPLE = 500
 CALIBRATION = 5
-GRAMS = 2_000_000
 REJECTED = 6.0
 SHARPNESS = 20.0
 UNKNOWN = "und"
@@ -178,31 +178,29 @@ def _grams(docs: DataFrame) -> DataFrame:
 
 
 def fitted(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang",
-    sample: int = SAMPLE, grams: int = GRAMS,
-) -> Model:
+    docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = SAMPLE
+) -> Model:
     """Models of all languages that the documents outside ``held_out`` are labelled with.
 
     The fit is on a bounded sample: of each language the ``sample`` labelled documents, whole,
-    whose keys have the least hashes. One in ``CALIBRATION`` of them is not trained on but sets the
-    limit above which a cross-entropy is rejected, ``REJECTED`` standard deviations above their
-    mean. Models hold at most ``grams`` n-grams in all, the most frequent of each language; so the driver and a
-    broadcast hold no more either.
+    with the least hashes of key and text; equal rows count once. One in ``CALIBRATION`` of them
+    is not trained on but sets the limit above which a cross-entropy is rejected, ``REJECTED``
+    standard deviations above their mean. Models hold all n-grams of these documents; the driver
+    and a broadcast hold no more either.
     """
     share_code(docs.sparkSession)
     own = docs.select(
         column(docs, key).alias("key"), column(docs, text).cast("string").alias("text"), column(docs, lang).cast("string").alias("lang")
     ).where(F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("key")))
-    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("key"), "key"))
-    ranked = own.select("key", "lang", place.alias("place")).where(F.col("place") <= sample)
-    # at most ``sample`` keys per language
-    chosen = ranked.select(F.col("key").alias("k"), F.col("lang").alias("l"), "place")
-    sampled = own.join(F.broadcast(chosen), F.col("key").eqNullSafe(F.col("k")) & (F.col("lang") == F.col("l")))
+    own = own.select("text", "lang", F.xxhash64("key", "text").alias("drawn"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("drawn"))
+    ranked = own.select("lang", "drawn").distinct().withColumn("place", place).where(F.col("place") <= sample)
+    # at most ``sample`` rows per language
+    chosen = F.broadcast(ranked.withColumnRenamed("lang", "l").withColumnRenamed("drawn", "d"))
+    sampled = own.join(chosen, (F.col("drawn") == F.col("d")) & (F.col("lang") == F.col("l")))
+    sampled = materialized(sampled.groupBy("lang", "place").agg(F.first("text").alias("text")), "sample")
     apart = F.col("place") % CALIBRATION == 0
-    counts = _grams(sampled.where(~apart))
-    n = max(ranked.select("lang").distinct().count(), 1)
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
-    kept = counts.withColumn("place", rank).where(F.col("place") <= grams // n).select("lang", "gram", "n").toPandas()
+    kept = _grams(sampled.where(~apart)).toPandas().sort_values(["lang", "gram"])
     names, points, numbers = [], [], []
     for name, group in sorted(kept.groupby("lang"), key=lambda g: g[0]):
         names.append(name)

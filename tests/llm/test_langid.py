@@ -58,7 +58,7 @@ def test_model_matches_the_definition(docs):
     model = langid.fitted(docs, sample=12)
     assert model.names == ["de", "en", "fr"] and np.isfinite(model.limits).all()
     rows = [r for r in docs.collect() if zlib.crc32(str(r.doc_id).encode()) % 4 != 2]
-    ranks = {r.doc_id: r.h for r in docs.selectExpr("doc_id", "xxhash64(doc_id) h").collect()}
+    ranks = {r.doc_id: r.h for r in docs.selectExpr("doc_id", "xxhash64(doc_id, text) h").collect()}
     for place, lang in enumerate(model.names):
         own = sorted((r for r in rows if r.lang == lang), key=lambda r: ranks[r.doc_id])[:12]
         own = [r for place, r in enumerate(own, 1) if place % langid.CALIBRATION]
@@ -113,6 +113,26 @@ def test_odd_rows(odd, none):
     assert {r.lang_pred for r in langid.identified(odd, nothing).collect()} == {"und"}
 
 
-def test_few_grams_are_kept_on_demand(docs):
-    model = langid.fitted(docs, grams=300)
-    assert len(model.grams) <= 300
+def test_null_and_repeated_keys_do_not_multiply_the_sample(spark, monkeypatch):
+    """300 rows without a key are 300 rows to draw from; equal rows count once."""
+    rows = [(None, text("en", i, 8), "en") for i in range(300)] + [(1, text("de", i % 3, 9), "de") for i in range(60)]
+    trained = []
+    monkeypatch.setattr(langid, "_grams", lambda docs, grams=langid._grams: trained.append(docs.collect()) or grams(docs))
+    model = langid.fitted(spark.createDataFrame(rows, "doc_id long, text string, lang string"), sample=1000)
+    count = Counter(row.lang for row in trained[0])
+    assert count["en"] == 240 and count["de"] == 3 and model.names == ["de", "en"]
+    assert max(Counter((row.lang, row.text) for row in trained[0]).values()) == 1
+
+
+def test_no_n_gram_is_dropped(docs):
+    model = langid.fitted(docs, sample=40)
+    rows = [r for r in docs.collect() if zlib.crc32(str(r.doc_id).encode()) % 4 != 2]
+    ranks = {r.doc_id: r.h for r in docs.selectExpr("doc_id", "xxhash64(doc_id, text) h").collect()}
+    for place, lang in enumerate(model.names):
+        own = sorted((r for r in rows if r.lang == lang), key=lambda r: ranks[r.doc_id])[:40]
+        grams = set()
+        for n, row in enumerate(own, 1):
+            if n % langid.CALIBRATION:
+                points = langid.letters(row.text).tobytes().decode("utf-32-le")
+                grams |= {points[i : i + langid.ORDER] for i in range(len(points) - langid.ORDER + 1)}
+        assert len(model.languages[place].levels[-1].grams) == len(grams)
