@@ -20,9 +20,9 @@ def quality(text: Column) -> Column:
     return F.coalesce(F.lit(0.1) + F.lit(0.9) * plain / F.nullif(F.length(text), F.lit(0)), F.lit(0.1))
 
 
-def exponential(key: Column, weight: Column) -> Column:
-    """An exponential variate over ``weight``; the draw follows from the key alone."""
-    digits = F.substring(F.md5(F.coalesce(key.cast("string"), F.lit(""))), 1, 13)
+def exponential(key: Column, text: Column, weight: Column) -> Column:
+    """An exponential variate over ``weight``; the draw follows from the key, without one from the text."""
+    digits = F.substring(F.md5(F.coalesce(key.cast("string"), F.md5(text), F.lit(""))), 1, 13)
     drawn = (F.conv(digits, 16, 10).cast("double") + F.lit(0.5)) / F.lit(float(1 << 52))
     return -F.log(drawn) / weight
 
@@ -82,9 +82,10 @@ def mixed(
     """``(row, size, source_size, target, taken)``; ``row`` is a struct of all columns of ``docs``.
 
     Each source gets its target in words: first as many complete epochs as fit, then documents in
-    the order of their exponential keys over their quality weights, until the rest is used up; of
-    the document that crosses the end only the first words are taken. Keys are drawn from the
-    document's key, so reruns agree. A hot source's prefix sums are cut into buckets of keys, in
+    the order of their exponential keys over their quality weights, until the rest is used up. The
+    document that crosses the end is taken whole if at least half of it lies before the end, else
+    not at all, so a source misses its target by at most half that document. Keys are drawn from the
+    document's key, without one from its text, so reruns agree. A hot source's prefix sums are cut into buckets of keys, in
     two levels; only the rows of the last bucket are ordered one by one. Null texts have size 0
     and are never taken; a null source is one more source.
     """
@@ -94,7 +95,7 @@ def mixed(
         column(docs, source).alias("source"),
         column(docs, key).cast("string").alias("key"),
         word_count(body).alias("size"),
-        exponential(column(docs, key), quality(body)).alias("draw"),
+        exponential(column(docs, key), body, quality(body)).alias("draw"),
     )
     slim = materialized(own.select("source", "size", "draw"), "sizes")
     sizes = slim.groupBy("source").agg(F.sum("size").alias("source_size"))
@@ -124,29 +125,17 @@ def mixed(
     whole = joined.where(~on_edge).select(
         *names, (F.col("size") * (F.col("epochs") + inside.cast("long"))).alias("taken")
     )
-    order = Window.partitionBy("source").orderBy("draw", "key", "size").rowsBetween(Window.unboundedPreceding, 0)
+    text_hash = F.md5(F.col("row")[text].cast("string"))
+    order = Window.partitionBy("source").orderBy("draw", "key", "size", text_hash).rowsBetween(Window.unboundedPreceding, 0)
     before = F.sum("size").over(order) - F.col("size")
-    part = F.greatest(F.least(F.col("rest") - before, F.col("size")), F.lit(0))
-    edge = joined.where(on_edge).select(*names, (F.col("size") * F.col("epochs") + part).alias("taken"))
+    taken = (2 * (F.col("rest") - before) >= F.col("size")).cast("long")
+    edge = joined.where(on_edge).select(*names, (F.col("size") * (F.col("epochs") + taken)).alias("taken"))
     return whole.union(edge)
 
 
-def rows_of_mix(docs: DataFrame, text: str = "text", n_chars: str = "n_chars", **names: str) -> DataFrame:
-    """The mix itself, with the columns of ``docs``: a document comes once for each time it is taken whole.
-
-    The one document a source takes in part comes with its first words, joined by one space.
-    """
-    mix = mixed(docs, text=text, **names)
-    size = F.nullif(F.col("size"), F.lit(0))
-    times = F.coalesce(F.floor(F.col("taken") / size), F.lit(0)).cast("int")
-    copies = mix.select("row", F.col("row")[text].cast("string").alias("text"), F.explode(F.array_repeat(F.lit(0), times)))
-    rest = F.col("taken") % size
-    words = F.regexp_extract_all("text", F.lit("[^\\x20\\x09-\\x0D]+"), F.lit(0))
-    part = (
-        mix.where(rest > 0)
-        .select("row", F.col("row")[text].cast("string").alias("text"), rest.cast("int").alias("n"))
-        .select("row", F.array_join(F.slice(words, F.lit(1), F.col("n")), " ").alias("text"))
-    )
-    every = copies.select("row", "text").union(part)
-    values = {text: F.col("text"), n_chars: F.length("text").cast("long")}
-    return every.select(*(values.get(name, F.col("row")[name]).alias(name) for name in docs.columns))
+def rows_of_mix(docs: DataFrame, **names: str) -> DataFrame:
+    """The mix itself: a document comes once, unchanged, for each time it is taken."""
+    mix = mixed(docs, **names)
+    times = F.coalesce(F.col("taken") / F.nullif(F.col("size"), F.lit(0)), F.lit(0)).cast("int")
+    copies = mix.select("row", F.explode(F.array_repeat(F.lit(0), times)))
+    return copies.select(*(F.col("row")[name].alias(name) for name in docs.columns))

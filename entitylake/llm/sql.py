@@ -9,8 +9,8 @@ WORDS = r"len(regexp_extract_all({0}, '[^\x20\x09-\x0D]+'))"
 
 SOURCE_MIXING = rf"""
 WITH docs AS (
-    SELECT doc_id, source, coalesce({WORDS.format('text')}, 0)::BIGINT AS size,
-           -ln((('0x' || md5(coalesce(doc_id::VARCHAR, ''))[:13])::BIGINT + 0.5::DOUBLE) / 4503599627370496::DOUBLE)
+    SELECT doc_id, text, source, coalesce({WORDS.format('text')}, 0)::BIGINT AS size,
+           -ln((('0x' || md5(coalesce(doc_id::VARCHAR, md5(text), ''))[:13])::BIGINT + 0.5::DOUBLE) / 4503599627370496::DOUBLE)
            / coalesce(0.1::DOUBLE + 0.9::DOUBLE * length(translate(text, '{SYMBOLS}', '')) / nullif(length(text), 0), 0.1::DOUBLE)
            AS draw
     FROM documents
@@ -37,11 +37,11 @@ WITH docs AS (
     FROM targets
 ), placed AS (
     SELECT doc_id, size, source_size, target, epochs, rest,
-           sum(size) OVER (PARTITION BY d.source ORDER BY draw, doc_id::VARCHAR, size ROWS UNBOUNDED PRECEDING) - size AS before
+           sum(size) OVER (PARTITION BY d.source ORDER BY draw, doc_id::VARCHAR, size, md5(text) ROWS UNBOUNDED PRECEDING) - size AS before
     FROM docs d JOIN budgets b ON d.source IS NOT DISTINCT FROM b.source
 )
 SELECT doc_id, size, source_size, target,
-       (size * epochs + greatest(least(rest - before, size), 0))::BIGINT AS taken
+       size * (epochs + (2 * (rest - before) >= size)::BIGINT)::BIGINT AS taken
 FROM placed
 """
 
