@@ -44,6 +44,8 @@ from entitylake.functions.ordering import (
 )
 
 BLOCK_BYTES = 128 << 20
+# Less is not worth the passes that find where to cut.
+LEAST_BYTES = 32 << 20
 LEAST_ROWS = 100_000
 MEASURED_ROWS = 1000
 # Block ends are literals in the plan, so their number is bounded; beyond it blocks
@@ -74,15 +76,15 @@ class Blocks:
         return Blocks(self.keys, rows, self.size, self.ends[first : stop - 1])
 
 
-def _key_columns(df: DataFrame, keys: Sequence[SortKey]) -> list[tuple]:
+def key_columns(df: DataFrame, keys: Sequence[SortKey]) -> list[tuple]:
     return [splittable(key.name, df.schema[key.name].dataType) for key in keys]
 
 
-def _ordered(keys: Sequence[SortKey], names: Sequence[str]) -> list[SortKey]:
+def renamed(keys: Sequence[SortKey], names: Sequence[str]) -> list[SortKey]:
     return [SortKey(name, key.descending) for key, name in zip(keys, names)]
 
 
-def _with_position(
+def with_position(
     df: DataFrame, keys: Sequence[SortKey], columns: Sequence[tuple], bounds: Sequence[tuple], out: str
 ) -> DataFrame:
     """Add the number of bounds that sort strictly before each row (binary search).
@@ -133,14 +135,14 @@ def cut_blocks(
     if blocks == 1:
         return Blocks(keys, total, size, [])
 
-    columns = _key_columns(df, keys)
+    columns = key_columns(df, keys)
     names = [f"k{i}" for i in range(len(keys))]
     plain = df.select(*[col.alias(name) for (col, _, _), name in zip(columns, names)])
-    plain_keys = _ordered(keys, names)
+    plain_keys = renamed(keys, names)
     plain_columns = [(F.col(name), element, text) for name, (_, element, text) in zip(names, columns)]
 
     bounds = _sample_bounds(plain, plain_keys, blocks, total)
-    found = _with_position(plain, plain_keys, plain_columns, bounds, "gap")
+    found = with_position(plain, plain_keys, plain_columns, bounds, "gap")
     counts = {row["gap"]: row["n"] for row in found.groupBy("gap").agg(F.count("*").alias("n")).collect()}
     if sum(counts.values()) != total:
         raise ValueError("the rows changed, or total is not their number")
@@ -154,13 +156,13 @@ def cut_blocks(
 def _rows_per_block(df: DataFrame, total: int) -> int:
     """Rows of about ``BLOCK_BYTES``, fewer if there would be less than a block for every core.
 
-    The width is that of the first rows as JSON text.
+    No fewer than ``LEAST_BYTES`` hold. The width is that of the first rows as JSON text.
     """
     if total <= LEAST_ROWS:
         return LEAST_ROWS
     first = df.limit(MEASURED_ROWS).select(F.octet_length(json_text(F.struct(*map(named, df.columns)))).alias("n"))
     width = first.agg(F.avg("n")).first()[0] or 1
-    fair = max(LEAST_ROWS, ceil(total / df.sparkSession.sparkContext.defaultParallelism))
+    fair = max(LEAST_ROWS, ceil(LEAST_BYTES / width), ceil(total / df.sparkSession.sparkContext.defaultParallelism))
     return max(1, min(fair, int(BLOCK_BYTES / width)))
 
 
@@ -171,7 +173,7 @@ def _sample_bounds(plain: DataFrame, keys: Sequence[SortKey], blocks: int, total
     rows = (
         plain.sample(fraction=fraction, seed=17)
         .orderBy(*sort_columns(keys))
-        .select(*_collectable(plain, [key.name for key in keys]))
+        .select(*collectable(plain, [key.name for key in keys]))
         .collect()
     )
     bounds = [tuple(row) for row in rows]
@@ -208,7 +210,7 @@ def _keys_at(
         gaps.filter(F.col("gap").isin(list(wanted)))
         .withColumn("rank", F.row_number().over(in_gap))
         .filter(spot.isin(spots))
-        .select("gap", "rank", *_collectable(gaps, names))
+        .select("gap", "rank", *collectable(gaps, names))
         .collect()
     )
     if len(rows) != len(spots):
@@ -216,7 +218,7 @@ def _keys_at(
     return [tuple(row[name] for name in names) for row in sorted(rows, key=lambda r: (r["gap"], r["rank"]))]
 
 
-def _collectable(df: DataFrame, names: Sequence[str]) -> list[Column]:
+def collectable(df: DataFrame, names: Sequence[str]) -> list[Column]:
     """Key columns for collecting: times as text, so that no client time zone is involved."""
     types = {field.name: field.dataType.typeName() for field in df.schema.fields}
     return [
@@ -236,7 +238,7 @@ def with_block(df: DataFrame, blocks: Blocks) -> DataFrame:
     partition per entity, Spark would run a union of many entities in one task.
     """
     if blocks.ends:
-        marked = _with_position(df, blocks.keys, _key_columns(df, blocks.keys), blocks.ends, BLOCK)
+        marked = with_position(df, blocks.keys, key_columns(df, blocks.keys), blocks.ends, BLOCK)
     else:
         zero = F.xxhash64(named(blocks.keys[0].name)).bitwiseAND(F.lit(0)).cast("int")
         marked = df.withColumn(BLOCK, zero)
@@ -248,16 +250,16 @@ def rows_of_blocks(df: DataFrame, blocks: Blocks, first: int, stop: int) -> Data
 
     The leading key is bounded on its own as well, so that a scan of sorted files skips the rest.
     """
-    columns = _key_columns(df, blocks.keys)
+    columns = key_columns(df, blocks.keys)
     values, lead = [col for col, _, _ in columns], blocks.keys[0]
 
     def behind(end: tuple) -> Column:
-        return sorts_after(blocks.keys, values, _literals(columns, end))
+        return sorts_after(blocks.keys, values, key_literals(columns, end))
 
     def lead_at(end: tuple, later: bool) -> Column:
         if end[0] is None:
             return F.lit(True)
-        bound = _literals(columns, end)[0]
+        bound = key_literals(columns, end)[0]
         if later == lead.descending:  # null sorts lowest
             return (values[0] <= bound) | values[0].isNull()
         return values[0] >= bound
@@ -269,14 +271,14 @@ def rows_of_blocks(df: DataFrame, blocks: Blocks, first: int, stop: int) -> Data
     return df
 
 
-def _literals(columns: Sequence[tuple], key: Sequence[Any]) -> list[Column]:
+def key_literals(columns: Sequence[tuple], key: Sequence[Any]) -> list[Column]:
     """One key as literals to compare with the stand-ins of its columns."""
     return [F.get(literal_array([value], element, text), F.lit(0)) for value, (_, element, text) in zip(key, columns)]
 
 
 def stored_key(df: DataFrame, keys: Sequence[SortKey], key: Sequence[Any]) -> list[Any]:
     """A collected key as JSON can hold it; as the end of a block it compares as before."""
-    return [None if value is None else text(value) for value, (_, _, text) in zip(key, _key_columns(df, keys))]
+    return [None if value is None else text(value) for value, (_, _, text) in zip(key, key_columns(df, keys))]
 
 
 def keys_by_block(spark: SparkSession, df: DataFrame, blocks: Blocks) -> DataFrame:
@@ -284,7 +286,7 @@ def keys_by_block(spark: SparkSession, df: DataFrame, blocks: Blocks) -> DataFra
     numbers = spark.range(0, len(blocks.ends), 1, 1).select(F.col("id").cast("int").alias("block"))
     arrays = [
         F.get(literal_array([end[i] for end in blocks.ends], element, text), F.col("block")).alias(f"k{i}")
-        for i, (_, element, text) in enumerate(_key_columns(df, blocks.keys))
+        for i, (_, element, text) in enumerate(key_columns(df, blocks.keys))
     ]
     return numbers.select("block", *arrays)
 
@@ -292,11 +294,11 @@ def keys_by_block(spark: SparkSession, df: DataFrame, blocks: Blocks) -> DataFra
 def compared_key(spark: SparkSession, schema: T.StructType, keys: Sequence[SortKey], key: Sequence[Column]) -> list[Column]:
     """One key, given by literals, as literals to compare with those of ``keys_by_block``."""
     one = spark.range(1).select(*[value.cast(schema[k.name].dataType).alias(k.name) for k, value in zip(keys, key)])
-    columns = _key_columns(one, keys)
+    columns = key_columns(one, keys)
     names = [f"k{i}" for i in range(len(keys))]
     plain = one.select(*[col.alias(name) for (col, _, _), name in zip(columns, names)])
-    row = plain.select(*_collectable(plain, names)).first()
-    return _literals(columns, tuple(row))
+    row = plain.select(*collectable(plain, names)).first()
+    return key_literals(columns, tuple(row))
 
 
 def number_in_blocks(df: DataFrame, blocks: Blocks, out: str) -> DataFrame:

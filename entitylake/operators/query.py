@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from entitylake.functions.columns import named, split_names
 from entitylake.functions.ordering import OrderBy, SortKey, sort_columns, sort_keys
 from entitylake.operators.ranking import ranked
+from entitylake.operators.selection import first_rows
 from entitylake.schemas import COUNT
 from entitylake.session import materialized
 
@@ -78,9 +79,9 @@ def query(
 
     A falsy option does not apply (``top=0`` is no limit). ``count`` adds the
     number of rows that match ``filter``, whatever ``top`` cuts off. Intermediate
-    rows are stored when the query is built in three cases: item pages, ``top``
-    together with ``expand``, and a ``top`` above ``one_task`` rows, which is cut by
-    rank instead of collecting all of it in one task.
+    rows are stored when the query is built in two cases: item pages, and ``top``
+    together with ``expand``. A ``top`` above ``one_task`` rows is not collected in one
+    task: the last key it reaches is found when the query is built, see ``selection``.
     """
     navigations = [expand] if isinstance(expand, Navigation) else list(expand or [])
     chosen = split_names(select)
@@ -91,7 +92,7 @@ def query(
     keys = sort_keys(orderby)
     large = (top or 0) > one_task
     if large:
-        rows = ranked(rows, keys, "__rank").filter(F.col("__rank") <= top).drop("__rank")
+        rows = _first(rows, keys, top)
     elif top:
         rows = rows.orderBy(*sort_columns(keys)).limit(top) if keys else rows.limit(top)
     if navigations:
@@ -104,6 +105,15 @@ def query(
     return rows
 
 
+def _first(rows: DataFrame, keys: Sequence[SortKey], top: int) -> DataFrame:
+    if keys:
+        try:
+            return first_rows(rows, keys, top)
+        except TypeError:  # keys that cannot be written as literals
+            pass
+    return ranked(rows, keys, "__rank").filter(F.col("__rank") <= top).drop("__rank")
+
+
 def _sorted(rows: DataFrame, keys: Sequence[SortKey], shown: Sequence[str]) -> DataFrame:
     """Sort all rows. Rows with equal keys are spread by a hash of what is shown of them.
 
