@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -125,27 +125,66 @@ def attribute_profiles(frames: Mapping[str, DataFrame], least_share: float = LEA
     One pass per table measures all its columns. Whether a column identifies its
     records needs an exact answer, which a sketch cannot give; but the sketch of
     that pass, which is some 5 % off, rules out all columns with fewer different
-    values than ``least_share`` of the records (0: none). Only the rest are grouped,
-    one narrow scan each. What comes to the driver between the two is a row per column.
+    values than ``least_share`` of the records (0: none). The rest are answered
+    together, see ``unique_columns``. What comes to the driver is a row per column.
     """
     measured = reduce(DataFrame.unionByName, [_measured(df, entity) for entity, df in frames.items()])
     rows = measured.collect()
-    spark = measured.sparkSession
-    profile = spark.createDataFrame(rows, measured.schema).drop(DISTINCT)
-    checks = [
-        _repeats(frames[row[ENTITY]], row["field"])
-        .agg((F.count("*") == 0).alias("is_unique"))
-        .select(F.lit(row[ENTITY]).alias(ENTITY), F.lit(row["field"]).alias("field"), "is_unique")
-        for row in rows
-        if row["n_nulls"] == 0 and row["n_records"] > 0 and (row[DISTINCT] or 0) >= row["n_records"] * least_share
-        and row[DISTINCT] is not None
+    candidates: dict[str, list[str]] = {}
+    for row in rows:
+        if row[DISTINCT] is not None and row["n_nulls"] == 0 and row["n_records"] > 0:
+            if row[DISTINCT] >= row["n_records"] * least_share:
+                candidates.setdefault(row[ENTITY], []).append(row["field"])
+    unique = unique_columns(frames, candidates)
+    profile = measured.sparkSession.createDataFrame(rows, measured.schema).drop(DISTINCT)
+    known = F.array(*[F.struct(F.lit(entity).alias(ENTITY), F.lit(name).alias("field")) for entity, name in sorted(unique)])
+    found = F.array_contains(known, F.struct(ENTITY, "field")) if unique else F.lit(False)
+    return profile.withColumn("is_unique", found)
+
+
+def unique_columns(frames: Mapping[str, DataFrame], candidates: Mapping[str, list[str]]) -> set[tuple[str, str]]:
+    """The candidate columns, by entity, in which no value occurs twice.
+
+    One job counts 64-bit hashes of all candidates' values. A column without a repeated hash has no
+    repeated value. Of every other column one repeated hash is looked at: if rows with it have equal values,
+    the column is not unique, and only if they do not are all its values grouped.
+    """
+    hashes = [
+        _each(frames[entity], entity, names, lambda df, name: F.xxhash64(named(name))) for entity, names in candidates.items()
     ]
-    if not checks:
-        return profile.withColumn("is_unique", F.lit(False))
-    unique = reduce(DataFrame.unionByName, checks)
-    return profile.join(F.broadcast(unique), [ENTITY, "field"], "left").withColumn(
-        "is_unique", F.coalesce("is_unique", F.lit(False))
-    )
+    if not hashes:
+        return set()
+    repeated = reduce(DataFrame.union, hashes).groupBy(ENTITY, "field", "v").agg(F.count("*").alias("n")).filter("n > 1")
+    witness = {(row[ENTITY], row["field"]): row["v"] for row in repeated.groupBy(ENTITY, "field").agg(F.min("v").alias("v")).collect()}
+    repeats = set()
+    if witness:
+        values = []
+        for entity in candidates:
+            names = [name for name in candidates[entity] if (entity, name) in witness]
+            if names:
+                same = lambda df, name: F.when(F.xxhash64(named(name)) == witness[entity, name], _exact(df, name))
+                values.append(_each(frames[entity], entity, names, same).filter(F.col("v").isNotNull()))
+        twice = reduce(DataFrame.union, values).groupBy(ENTITY, "field", "v").agg(F.count("*").alias("n")).filter("n > 1")
+        repeats = {(row[ENTITY], row["field"]) for row in twice.select(ENTITY, "field").distinct().collect()}
+    every = {(entity, name) for entity, names in candidates.items() for name in names}
+    unclear = witness.keys() - repeats
+    return {one for one in every - repeats if one not in unclear or _repeats(frames[one[0]], one[1]).isEmpty()}
+
+
+def _each(df: DataFrame, entity: str, names: list[str], value: Callable[[DataFrame, str], Column]) -> DataFrame:
+    """``(entity, field, v)``: a row per record and column, from one scan."""
+    items = F.array(*[F.struct(F.lit(name).alias("field"), value(df, name).alias("v")) for name in names])
+    return df.select(F.lit(entity).alias(ENTITY), F.inline(items))
+
+
+def _exact(df: DataFrame, name: str) -> Column:
+    """A text that is equal for equal values; texts are compared by their SHA-256 digests."""
+    kind = df.schema[name].dataType
+    if isinstance(kind, T.StringType):
+        return F.sha2(named(name), 256)
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        return (named(name) + F.lit(0.0)).cast("string")  # no negative zero
+    return F.hex(named(name)) if isinstance(kind, T.BinaryType) else named(name).cast("string")
 
 
 def attribute_profile(df: DataFrame, entity: str) -> DataFrame:
@@ -153,11 +192,8 @@ def attribute_profile(df: DataFrame, entity: str) -> DataFrame:
 
 
 def _repeats(df: DataFrame, name: str) -> DataFrame:
-    """Values of a column that occur more than once; texts are compared by their SHA-256 digests."""
-    value = named(name)
-    if isinstance(df.schema[name].dataType, T.StringType):
-        value = F.unhex(F.sha2(value, 256))
-    return df.select(value.alias("v")).groupBy("v").agg(F.count("*").alias("n")).filter("n > 1")
+    """Values of a column that occur more than once."""
+    return df.select(_exact(df, name).alias("v")).groupBy("v").agg(F.count("*").alias("n")).filter("n > 1")
 
 
 def _label(text: Column) -> Column:

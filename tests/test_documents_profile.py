@@ -110,3 +110,21 @@ def test_attribute_dictionary(spark, table, tmp_path):
     again = attribute_dictionary(frames, ["two"], str(tmp_path / "docs"))
     assert rows(again.select("EntityLogicalName", "SchemaName")) == [("two", "id")]
     assert (tmp_path / "docs" / "entity=one").is_dir()
+
+
+def test_hashes_that_collide_are_looked_at(spark, monkeypatch):
+    """With a hash of one bit nearly all values collide, and every answer is exact all the same."""
+    df = spark.range(40).select(
+        "id",
+        F.concat(F.lit("t"), F.col("id") % 39).alias("once_again"),
+        (F.col("id") / 3).alias("share"),
+        F.date_add(F.lit("2024-01-01").cast("date"), F.col("id").cast("int")).alias("day"),
+        F.encode(F.col("id").cast("string"), "utf-8").alias("raw"),
+    )
+    candidates = {"e": df.columns, "f": ["id", "once_again"]}
+    expected = {("e", name) for name in ("id", "share", "day", "raw")} | {("f", "id")}
+    assert profile.unique_columns({"e": df, "f": df}, candidates) == expected
+    real = F.xxhash64
+    monkeypatch.setattr(profile.F, "xxhash64", lambda *cols: real(*cols) % 2)
+    assert profile.unique_columns({"e": df, "f": df}, candidates) == expected
+    assert profile.unique_columns({"e": df}, {}) == set()
