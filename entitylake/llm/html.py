@@ -45,7 +45,7 @@ BOILERPLATE_TAGS = frozenset("nav footer aside form menu dialog search fieldset
 BOILERPLATE_NAMES = frozenset(
     "ad ads adv adsense nav side aside rail menu share social related reply replies respond responses reactions alert gdpr "
     "login signup subscribe modal overlay pager toolbar topbar masthead logo tagline trending popular teaser search "
-    "complementary contentinfo dialog discussion privacy paywall announcement".split()
+    "complementary contentinfo dialog discussion feedback privacy paywall announcement".split()
 )
 # ... and parts of words.
 BOILERPLATE_PARTS = re.compile(
@@ -53,13 +53,28 @@ BOILERPLATE_PARTS = re.compile(
     "subnav|topnav|breadcrumb|footer|comment(?!ar|at)|disqus|sharing|recommend|newsletter|subscription|popup|widget|paginat|copyright|"
     "disclaimer"
 )
-# Names that a page's layout may have too: with one of LAYOUT beside them, around the page's text.
+# Of these, the names of what readers write ...
+READERS_NAMES = frozenset("reply replies respond responses reactions discussion feedback".split())
+READERS_PARTS = re.compile("comment(?!ar|at)|disqus")
+# ... and of what a page's layout may be called too: with one of LAYOUT beside them, around the page's text.
 LAYOUT_PARTS = re.compile("sidebar|widget|banner")
 LAYOUT = frozenset("wrap wrapper container content layout inner outer element elementor page site main".split())
 # What follows one of these in a class says what a page has.
 HAVING = frozenset("has no with without".split())
 ARTICLE_NAMES = frozenset("article post story hentry".split())
 CONTENT_NAMES = frozenset("article content post entry story body text main prose".split())
+# What an element that is called boilerplate takes from the blocks in it, up to FULL of the page's text
+# without links; from there on less, and nothing at FREE, as a page is seldom mostly boilerplate.
+PENALTY, FULL, FREE = 16.0, 1 / 3, 1 / 2
+# Of the text in the main element, the share in links that makes it a list of links.
+LISTING = 0.7
+# Headings of lists that lead away from an article.
+ELSEWHERE = re.compile(
+    r"(?:(?:more|other|latest|popular|top|recent|related|recommended|similar|trending) "
+    r"(?:stories|articles|posts|news|reading|content|links|pages|topics|from .*|on .*|in .*|for you)|related|read more|read next|up next|"
+    r"see also|more like this|most (?:read|popular|viewed)|you (?:may|might) (?:also )?(?:like|enjoy)|recommended(?: for you)?|trending(?: now)?)\W*",
+    re.I,
+)
 
 
 @dataclass
@@ -72,6 +87,8 @@ class Block:
     linked: float
     holder: _Open | None
     inside: float = 0.0  # what the elements around it say: content above 0, boilerplate below
+    in_article: bool = False
+    in_listing: bool = False
 
 
 @dataclass
@@ -83,10 +100,12 @@ class _Open:
     names: frozenset[str] = frozenset()
     own: bool = False  # whether it is in an article element, or is one
     text: int = 0  # characters in it, without links; of the whole page in _Page.weigh
+    every: int = 0  # characters in it
+    listing: bool = False  # whether it is in a main element that is a list of links
     holds: bool = False  # whether it is or holds the main element or an article with much of the text
     good: float = 0.0  # what the element and those around it say for content ...
-    form: bool = False  # ... and against it
-    bad: bool = False
+    form: float = 0.0  # ... and against it
+    bad: float = 0.0
     hidden: bool = False
     dropped: bool = False
     ended: bool = True  # whether an end tag of its name follows
@@ -141,6 +160,7 @@ class _Page:
                 self.whole += alone
                 if inner:
                     inner.text += alone
+                    inner.every += len(text)
                 self.blocks.append(Block(text, holder.tag if holder else "", path, linked / total, inner))
 
     def add(self, text: str) -> None:
@@ -196,6 +216,7 @@ class _Page:
         for one in reversed(self.opened):
             if one.outer:
                 one.outer.text += one.text
+                one.outer.every += one.every
         whole = self.whole
         for one in reversed(self.opened):
             one.holds = one.holds or one.tag == "main" or self.heart(one.tag, one.names) and 4 * one.text >= whole
@@ -206,37 +227,49 @@ class _Page:
         for block in self.blocks:
             if block.holder:
                 one = block.holder
-                block.inside = (min(one.good, 8.0) - 16.0 if one.form or one.bad else one.good) - 16.0 * one.hidden
+                against = max(one.form, one.bad)
+                block.inside = (min(one.good, 8.0) - against if against else one.good) - PENALTY * one.hidden
+                block.in_article, block.in_listing = one.article and not against, one.listing and not against
 
     @classmethod
     def judge(cls, one: _Open, whole: int) -> None:
         tag, names, outer = one.tag, one.names, one.outer
         if outer:
-            one.good, one.form, one.bad, one.hidden = outer.good, outer.form, outer.bad, outer.hidden
+            one.good, one.form, one.bad, one.hidden, one.listing = outer.good, outer.form, outer.bad, outer.hidden, outer.listing
         one.hidden = one.hidden or HIDDEN in names
         most = 2 * one.text > whole
+        share = one.text / whole if whole else 0.0
+        # what holds the main element or the article may be called anything: these speak for themselves
+        scaled = PENALTY if one.holds else PENALTY * min(1.0, max(0.0, (FREE - share) / (FREE - FULL)))
         if cls.heart(tag, names):
             if tag == "article" and outer and outer.own and not most:  # a reader's
-                one.bad = True
+                one.bad = PENALTY
             else:
                 one.good += 2.0 if tag == "main" else 6.0
                 # what is around the main element or the article says nothing; a small one may be a teaser
-                one.form, one.bad = False, one.bad and not (tag == "main" or 4 * one.text >= whole)
+                one.form, one.bad = 0.0, 0.0 if tag == "main" or 4 * one.text >= whole else one.bad
+                one.listing = tag == "main" and one.text <= (1 - LISTING) * one.every
         elif tag == "form":
-            one.form = True
+            one.form = max(one.form, scaled)
         elif tag in BOILERPLATE_TAGS or tag == "header" and not (outer and outer.article):
-            one.bad = True
+            one.bad = PENALTY
         elif names:
             around = bool(names & LAYOUT) and (most or one.holds)
             if "elementor" in names:  # there, every block is a widget
                 names = names - {"widget"}
-            if cls.boilerplate({n for n in names if not LAYOUT_PARTS.search(n)} if around else names):
-                one.bad = True
+            called = {n for n in names if not LAYOUT_PARTS.search(n)} if around else names
+            if cls.boilerplate(called):
+                # readers may write more than the author
+                one.bad = max(one.bad, PENALTY if cls.of_readers(called) else scaled)
             elif "header" in names and not (outer and outer.article) and not names & CONTENT_NAMES:
-                one.bad = True
-            elif names & CONTENT_NAMES and not one.bad:
+                one.bad = max(one.bad, scaled)
+            if names & CONTENT_NAMES and not one.bad:
                 one.good += 3.0
 
+    @staticmethod
+    def of_readers(names: Set[str]) -> bool:
+        return bool(names & READERS_NAMES) or any(map(READERS_PARTS.search, names))
+
     @classmethod
     def heart(cls, tag: str, names: frozenset[str]) -> bool:
         return tag == "main" or tag == "article" and not cls.readers(names)
@@ -321,7 +354,7 @@ def blocks_of(html: str) -> list[Block]:
 def gain(block: Block) -> float:
     """The classifier's evidence that a block is content, negative for boilerplate."""
     words = block.text.count(" ") + 1
-    found = block.inside - 0.5 + min(words, 40) * 0.08 - 4.0 * block.linked
+    found = block.inside - 0.5 + min(words, 40) * 0.08 - (0.0 if block.in_listing else 4.0) * block.linked
     if block.tag in ("p", "blockquote", "pre", "h1", "h2", "h3"):
         found += 1.0
     if block.text[-1] in ".!?…:;\"'”»":
@@ -331,6 +364,20 @@ def gain(block: Block) -> float:
     return found
 
 
+def gains(blocks: list[Block]) -> list[float]:
+    """The evidence for all blocks; in an article, a list of links under a heading that leads elsewhere goes with it."""
+    found = [gain(block) for block in blocks]
+    for i, block in enumerate(blocks):
+        if block.in_article and len(block.text) < 60 and ELSEWHERE.fullmatch(block.text):
+            end = i + 1
+            while end < len(blocks) and blocks[end].linked > 0.8:
+                end += 1
+            if end > i + 1:
+                for k in range(i, end):
+                    found[k] -= PENALTY
+    return found
+
+
 def edges(blocks: list[Block]) -> list[tuple[int, int, float]]:
     """Smoothness: neighbours in the text, the more the closer in the tree, and children of one element."""
     found, last = [], {}
@@ -354,7 +401,7 @@ def edges(blocks: list[Block]) -> list[tuple[int, int, float]]:
 def main_text(html: str | None) -> tuple[str, int, int]:
     """The content blocks joined by line breaks, how many they are, and how many blocks there are."""
     blocks = blocks_of(html or "")
-    content = minimum_cut([gain(block) for block in blocks], edges(blocks))
+    content = minimum_cut(gains(blocks), edges(blocks))
     kept = [block.text for block, yes in zip(blocks, content) if yes]
     return "\n".join(kept), len(kept), len(blocks)
 

@@ -58,6 +58,39 @@ WRAPPED = {
 }
 
 
+AROUND = f"<nav><a href=x>Home</a></nav>{{}}<div class=social><p>{PARAGRAPH}</p></div><div class=newsletter>Your mail, please. It is free.</div><footer>© me</footer>"
+LONG = "".join(f"<p>{TEXT}</p>" for _ in "abc")
+CALLED = {
+    "social page": f"<div class=social-page>{LONG}</div>",
+    "sponsored content": f"<div class=sponsored-content>{LONG}</div>",
+    "nav open": f"<div id=app class=nav-open><div class=story-body>{LONG}</div></div>",
+    "modal ready": f"<div class=modal-ready><div class=article-body>{LONG}</div></div>",
+    "search page": f"<div class=search-page><div class=entry-content>{LONG}</div></div>",
+    "promotion history": f"<section class=promotion-history>{LONG}</section>",
+    "form around all": f"<form id=aspnetForm><div id=content>{LONG}</div></form>",
+    "many comments": f"<div class=story-body>{LONG}</div><section class=comments>{LONG}{LONG}</section>",
+    "feedback": f"<div class=story-body>{LONG}</div><section class=feedback>{LONG}</section>",
+    "two columns": f"<div class=story-body>{LONG}</div><div class=sidebar><p>{TEXT}</p></div>",
+    "more stories": f"<article>{LONG}<h3>More stories</h3><ul><li><a href=x>One thing that happened</a></li><li><a href=y>Another</a></li></ul></article>",
+}
+
+
+@pytest.mark.parametrize("name", CALLED)
+def test_names_count_less_the_more_they_hold(name):
+    assert html.main_text(f"<body>{AROUND.format(CALLED[name])}</body>")[0] == "\n".join([TEXT] * 3)
+
+
+def test_a_main_element_of_links_is_a_list():
+    links = "".join(f"<li><a href={i}>Entry number {i}</a></li>" for i in range(5))
+    page = f"<nav><ul><li><a href=x>Home</a></li></ul></nav><main><h1>All entries</h1><ul>{links}</ul><nav><a href=n>Next</a></nav></main>"
+    assert html.main_text(page)[0] == "\n".join(["All entries", *(f"Entry number {i}" for i in range(5))])
+
+
+def test_links_in_an_article_stay():
+    page = f"<article>{LONG}<h2>Related work</h2><p>See also <a href=x>this one</a>, of which much is said here.</p></article>"
+    assert html.main_text(page)[0].endswith("Related work\nSee also this one, of which much is said here.")
+
+
 @pytest.mark.parametrize("name", WRAPPED)
 def test_names_of_wrappers_do_not_empty_a_page(name):
     assert html.main_text(f"<body>{WRAPPED[name]}</body>")[0] == f"{TEXT}\n{TEXT}"
