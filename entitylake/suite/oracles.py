@@ -184,6 +184,9 @@ ORACLES: dict[str, str] = {
     "scan_many": " UNION ALL BY NAME ".join(
         f"SELECT '{entity}' AS entity, * FROM {entity}" for entity in ("customer", "supplier", "part", "orders")
     ),
+    "scan_union": " UNION ALL BY NAME ".join(
+        f"SELECT '{entity}' AS entity, * FROM {entity}" for entity in ("customer", "supplier", "part", "orders")
+    ),
     "allow_list": f"""SELECT * FROM ({" UNION ALL BY NAME ".join(
         f"SELECT '{entity}' AS entity, * FROM {entity}" for entity in ("customer", "supplier", "part", "orders")
     )}) WHERE entity <> 'orders'""",

@@ -181,12 +181,18 @@ def _scanned(t: Tables) -> DataFrame:
 
 @registered
 def scan_many(t: Tables) -> DataFrame:
+    return tables.read_many(t.spark, t.folder, ["customer", "supplier", "part", "orders"])
+
+
+@registered
+def scan_union(t: Tables) -> DataFrame:
     return _scanned(t)
 
 
 @registered
 def allow_list(t: Tables) -> DataFrame:
-    return reshape.only_entities(_scanned(t), ["customer", "supplier", "part"])
+    every = tables.read_many(t.spark, t.folder, ["customer", "supplier", "part", "orders"])
+    return reshape.only_entities(every, ["customer", "supplier", "part"])
 
 
 def _without_prefix(df: DataFrame) -> DataFrame:
