@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping
 
 from pyspark.errors import AnalysisException
@@ -39,11 +40,11 @@ def entities_in(spark: SparkSession, folder: str) -> list[str]:
 
 
 def _entity_of_file(folder: str) -> Column:
-    path = F.url_decode("_metadata.file_path")
-    top = F.lit(folder.rstrip("/").rsplit("/", 1)[-1])
+    # the path is a URL, in which a plus sign stands for itself
+    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
     # what comes before the folder's own name may be written in more than one way
-    inside = F.substring_index(F.concat(F.lit("/"), path), F.concat(F.lit("/"), top, F.lit("/")), -1)
-    return F.regexp_extract(inside, r"^([^/]+?)\.parquet(?:/|$)", 1)
+    top = re.escape(folder.rsplit("/", 1)[-1])
+    return F.regexp_extract(path, rf"^(?:.*/)?{top}/([^/]+?){re.escape(SUFFIX)}(?:/|$)", 1)
 
 
 def read_many(spark: SparkSession, folder: str, entities: Iterable[str] | None = None) -> DataFrame:
