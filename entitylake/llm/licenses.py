@@ -69,46 +69,57 @@ def _bigrams(words: Column) -> Column:
     return F.zip_with(F.slice(words, F.lit(1), F.size(words) - 1), F.slice(words, 2, F.size(words)), lambda a, b: F.concat_ws(" ", a, b))
 
 
-def _in_windows(lower: Column, texts: tuple[tuple[str, str], ...], first: int, threshold: float) -> Column:
-    """The texts that a window reaches the threshold with, each with its best window."""
-    listed = [(name, _pairs(text), bigrams_of(text)) for name, text in texts]
-    templates = F.array(
-        *(
-            F.struct(
-                F.lit(name).alias("name"), F.lit(-place).alias("place"), F.split(F.lit("\n".join(own)), "\n").alias("bigrams"),
-                F.lit(len(own)).alias("size"), F.lit(bounds(len(own), threshold)[0]).alias("low"),
-                F.lit(len(pairs)).alias("pairs"), F.lit(max(1, len(pairs) // SHARE)).alias("step"),
-            )
-            for place, (name, pairs, own) in enumerate(listed, first)
-        )
-    )
-    every = sorted({gram for _, _, own in listed for gram in own})
-    least = min(bounds(len(own), threshold)[0] for _, _, own in listed)
-
-    def dice(grams: Column, start: Column, t: Column) -> Column:
-        window = F.array(F.array_distinct(F.slice(grams, start + 1, t["pairs"])))
-        return F.transform(window, lambda w: 2.0 * F.size(F.array_intersect(w, t["bigrams"])) / (F.size(w) + t["size"]))[0]
-
-    def scores(grams: Column, known: Column) -> Column:
-        # a window has no more bigrams of a template than the whole text
-        fits = F.filter(
-            templates, lambda t: (F.size(known) >= t["low"]) & (F.size(F.array_intersect(known, t["bigrams"])) >= t["low"])
+def _templates(listed: tuple[tuple[str, str], ...], first: int, threshold: float) -> tuple[Column, list[str], int, int]:
+    """The templates as one literal, all their bigrams, and the least and most bigrams of passages that fit one."""
+    known = [(place, name, _pairs(text), bigrams_of(text)) for place, (name, text) in enumerate(listed, first)]
+    known = [one for one in known if one[3]]
+    limits = [bounds(len(own), threshold) for *_, own in known]
+    structs = [
+        F.struct(
+            F.lit(name).alias("name"), F.lit(-place).alias("place"), F.split(F.lit("\n".join(own)), "\n").alias("bigrams"),
+            F.lit(len(own)).alias("size"), F.lit(low).alias("low"), F.lit(high).alias("high"),
+            F.lit(len(pairs)).alias("pairs"), F.lit(max(1, len(pairs) // SHARE)).alias("step"),
         )
+        for (place, name, pairs, own), (low, high) in zip(known, limits)
+    ]
+    every = sorted({gram for *_, own in known for gram in own})
+    return F.array(*structs), every, min(low for low, _ in limits), max(high for _, high in limits)
+
+
+def _among(grams: list[str]) -> str:
+    """SQL for being one of ``grams``: letters and digits, so nothing needs to be quoted in them."""
+    return "IN (" + ", ".join(f"'{gram}'" for gram in grams) + ")"
+
+
+def _score(grams: Column, t: Column) -> Column:
+    """What counts of different ``grams`` held against a template: Dice coefficient and shared bigrams."""
+    shared = F.transform(F.array(F.size(F.array_intersect(grams, t["bigrams"]))), lambda n: F.struct(
+        (2.0 * n / (F.size(grams) + t["size"])).alias("dice"), n.alias("shared")
+    ))
+    return shared[0]
 
-        def best(t: Column) -> Column:
-            last = F.greatest(F.size(grams) - t["pairs"], F.lit(0))
-            starts = F.array_distinct(F.concat(F.sequence(F.lit(0), last, t["step"]), F.array(last)))
-            return F.array_max(F.transform(starts, lambda start: dice(grams, start, t)))
 
-        return F.transform(fits, lambda t: F.struct(best(t).alias("dice"), t["place"].alias("place"), t["name"].alias("name")))
+def _best_window(starts: Column, t: Column) -> Column:
+    """The best of the windows of ``grams`` that begin at ``starts`` and are as long as the template."""
 
-    def of(grams: Column) -> Column:
-        known = F.array(F.array_distinct(F.filter(grams, lambda g: g.isin(every))))
-        return F.flatten(F.transform(F.filter(known, lambda k: F.size(k) >= least), lambda k: scores(grams, k)))
+    def window(start: Column) -> Column:
+        own = F.array(F.array_distinct(F.slice("grams", start + 1, t["pairs"])))
+        return F.transform(own, lambda w: _score(w, t))[0]
 
-    words = F.filter(F.array(F.regexp_extract_all(lower, F.lit("[a-z0-9]+"), F.lit(0))), lambda w: F.size(w) > 1)
-    found = F.flatten(F.transform(F.transform(words, _bigrams), of))
-    return F.filter(found, lambda s: s["dice"] >= threshold)
+    return F.array_max(F.transform(starts, window))
+
+
+def _fitting(known: Column, templates: Column) -> Column:
+    """The templates that a window can reach: it has no more bigrams of one than the whole text has."""
+    enough = lambda t: (F.size(known) >= t["low"]) & (F.size(F.array_intersect(known, t["bigrams"])) >= t["low"])
+    return F.filter(templates, enough)
+
+
+def _found(score: Column, t: Column) -> Column:
+    return F.transform(
+        F.array(score),
+        lambda s: F.struct(s["shared"].alias("shared"), s["dice"].alias("dice"), t["place"].alias("place"), t["name"].alias("name")),
+    )[0]
 
 
 def scanned(
@@ -120,51 +131,70 @@ def scanned(
 ) -> DataFrame:
     """``(row, license, dice, licenses)``; ``row`` is a struct of all columns of ``docs``.
 
-    Passages are the whole text, its paragraphs (between blank lines) and its lines, in lower case,
-    as sequences of ASCII letters and digits. A passage is compared with the notices whose size lets
-    them reach the threshold: twice the number of different bigrams of the notice that it has, over
-    the bigrams of both. Whole license texts and standard headers (``texts``) are looked for in
-    windows over the words of the whole text, wherever lines break: a window has as many bigrams as
-    the template, of which different ones count, and begins at every word, or at every 128th part of
-    a template that is longer than 255 bigrams. ``license`` is the best of all passages and windows,
-    of equals the first in ``notices``, then ``texts``; ``licenses`` are all that reach the
-    threshold, in order. Both are null and empty if there is none, or the text is null or empty.
+    Texts are taken in lower case, as sequences of ASCII letters and digits, and compared by twice
+    the number of different bigrams of the template that they have, over the bigrams of both.
+    What is compared:
+
+    * Passages with ``notices``: the whole text, its paragraphs (between blank lines) and its lines,
+      if their size lets them reach the threshold.
+    * Windows of the whole text, wherever lines break, with ``notices``: a window begins at a bigram
+      of the notice and has as many bigrams as it, of which different ones count. So a notice is
+      found inside a longer line.
+    * Such windows with whole license texts and standard headers (``texts``); these begin at every
+      word, or at every 128th part of a template that is longer than 255 bigrams.
+
+    ``license`` is the one found with the most bigrams, of equals the one with the higher ``dice``,
+    then the first in ``notices``, then ``texts``: a whole license text counts more than a sentence
+    in it. ``licenses`` are all that reach the threshold, in order. Both are null and empty if there
+    is none, or the text is null or empty.
     """
-    sized = [(name, own, *bounds(len(own), threshold)) for name, own in ((n, bigrams_of(t)) for n, t in notices)]
-    sized = [one for one in sized if one[1]]
-    templates = F.array(
-        *(
-            F.struct(
-                F.lit(name).alias("name"), F.lit(-place).alias("place"), F.array(*map(F.lit, own)).alias("bigrams"),
-                F.lit(len(own)).alias("size"), F.lit(low).alias("low"), F.lit(high).alias("high"),
-            )
-            for place, (name, own, low, high) in enumerate(sized)
-        )
-    )
-    least, most = min(one[2] for one in sized), max(one[3] for one in sized)
     row = F.struct(*(column(docs, name) for name in docs.columns)).alias("row")
     lower = F.lower(column(docs, text).cast("string"))
     own = docs.select(row, F.coalesce(lower, F.lit("")).alias("text"))
-    passages = F.concat(F.array("text"), F.split("text", "\n[ \t\r]*\n"), F.split("text", "\n"))
+    word = F.lit("[a-z0-9]+")
+    worded = own.select("row", "text", F.regexp_extract_all("text", word, F.lit(0)).alias("words"))
+    none = F.array().cast("array<string>")
+    cut = worded.select("row", "text", F.when(F.size("words") > 1, _bigrams(F.col("words"))).otherwise(none).alias("grams"))
+
     # one transform after the other: what a lambda takes has been computed once, an
     # expression that it repeats would be computed again each time
-    word = F.lit("[a-z0-9]+")
-    counted = F.transform(
-        F.array_distinct(passages), lambda p: F.struct(p.alias("text"), (F.regexp_count(p, word) - 1).alias("n"))
-    )
-    fitting = F.filter(counted, lambda s: (s["n"] >= least) & (s["n"] <= most))
-    words = F.transform(fitting, lambda s: F.regexp_extract_all(s["text"], word, F.lit(0)))
+    parts = []
+    if notices:
+        sentences, every, least, most = _templates(notices, 0, threshold)
+        passages = F.concat(F.array("text"), F.split("text", "\n[ \t\r]*\n"), F.split("text", "\n"))
+        counted = F.transform(
+            F.array_distinct(passages), lambda p: F.struct(p.alias("text"), (F.regexp_count(p, word) - 1).alias("n"))
+        )
+        fitting = F.filter(counted, lambda s: (s["n"] >= least) & (s["n"] <= most))
+        words = F.transform(fitting, lambda s: F.regexp_extract_all(s["text"], word, F.lit(0)))
+
+        def of_passage(grams: Column) -> Column:
+            fits = F.filter(sentences, lambda t: (F.size(grams) >= t["low"]) & (F.size(grams) <= t["high"]))
+            return F.transform(fits, lambda t: _found(_score(grams, t), t))
+
+        def of_hits(hits: Column) -> Column:
+            known = F.array(F.array_distinct(F.transform(hits, lambda i: F.get("grams", i))))
+            starts = lambda t: F.filter(hits, lambda i: F.array_contains(t["bigrams"], F.get("grams", i)))
+            scores = lambda k: F.transform(_fitting(k, sentences), lambda t: _found(_best_window(starts(t), t), t))
+            return F.flatten(F.transform(known, scores))
+
+        places = "CASE WHEN size(grams) > 0 THEN sequence(0, size(grams) - 1) ELSE array() END"
+        hits = F.expr(f"array(filter({places}, i -> grams[i] {_among(every)}))")
+        parts += [F.flatten(F.transform(F.transform(words, _bigrams), of_passage)), F.flatten(F.transform(hits, of_hits))]
+    if texts:
+        whole, every, least, _ = _templates(texts, len(notices), threshold)
 
-    def scores(grams: Column) -> Column:
-        fits = F.filter(templates, lambda t: (F.size(grams) >= t["low"]) & (F.size(grams) <= t["high"]))
-        dice = lambda t: 2.0 * F.size(F.array_intersect(grams, t["bigrams"])) / (F.size(grams) + t["size"])
-        every = F.transform(fits, lambda t: F.struct(dice(t).alias("dice"), t["place"].alias("place"), t["name"].alias("name")))
-        return F.filter(every, lambda s: s["dice"] >= threshold)
+        def starts_of(t: Column) -> Column:
+            last = F.greatest(F.size("grams") - t["pairs"], F.lit(0))
+            return F.array_distinct(F.concat(F.sequence(F.lit(0), last, t["step"]), F.array(last)))
 
-    found = F.flatten(F.transform(F.transform(words, _bigrams), scores))
-    if texts:
-        found = F.concat(found, _in_windows(F.col("text"), texts, len(notices), threshold))
-    found = own.select("row", found.alias("found"))
+        def of_known(known: Column) -> Column:
+            return F.transform(_fitting(known, whole), lambda t: _found(_best_window(starts_of(t), t), t))
+
+        known = F.expr(f"array(array_distinct(filter(grams, g -> g {_among(every)})))")
+        parts.append(F.flatten(F.transform(F.filter(known, lambda k: F.size(k) >= least), of_known)))
+
+    found = cut.select("row", F.filter(F.concat(*parts), lambda s: s["dice"] >= threshold).alias("found"))
     best = F.array_max("found")
     return found.select(
         "row",

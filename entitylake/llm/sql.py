@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from entitylake.llm.licenses import NOTICES, THRESHOLD
+import re
+
+from entitylake.llm.licenses import NOTICES, SHARE, TEXTS, THRESHOLD
 from entitylake.llm.mixing import SYMBOLS
 
 WORDS = r"len(regexp_extract_all({0}, '[^\x20\x09-\x0D]+'))"
@@ -84,39 +86,71 @@ SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS
 FROM embeddings JOIN components USING (vec_id) LEFT JOIN counts USING (vec_id)
 """
 
-_NOTICES = ", ".join("({}, '{}', '{}')".format(i, name, text.replace("'", "''")) for i, (name, text) in enumerate(NOTICES))
+_TEMPLATES = ", ".join(
+    "({}, '{}', {}, '{}')".format(place, name, place >= len(NOTICES), " ".join(re.findall("[a-z0-9]+", text.lower())))
+    for place, (name, text) in enumerate(NOTICES + TEXTS)
+)
 
 LICENSE_SCAN = f"""
-WITH notices(place, name, notice) AS (VALUES {_NOTICES}),
-worded AS (SELECT place, name, regexp_extract_all(lower(notice), '[a-z0-9]+') AS w FROM notices),
+WITH listed(place, name, is_text, words) AS (VALUES {_TEMPLATES}),
+worded AS (SELECT place, name, is_text, string_split(words, ' ') AS w FROM listed),
 templates AS (
-    SELECT place, name, list_distinct([w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))]) AS grams FROM worded
+    SELECT place, name, is_text, len(w) - 1 AS pairs, greatest(1, (len(w) - 1) // {SHARE}) AS step,
+           list_distinct([w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))]) AS grams
+    FROM worded
 ),
+docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(lower(text), '') AS t FROM documents),
 passages AS (
-    SELECT DISTINCT doc_id, unnest([t] || regexp_split_to_array(t, '\n[ \t\r]*\n') || string_split(t, chr(10))) AS passage
-    FROM (SELECT doc_id, coalesce(lower(text), '') AS t FROM documents)
+    SELECT DISTINCT r, unnest([t] || regexp_split_to_array(t, '\n[ \t\r]*\n') || string_split(t, chr(10))) AS passage FROM docs
 ),
 cut AS (
-    SELECT doc_id, w, len(w) - 1 AS n FROM (SELECT doc_id, regexp_extract_all(passage, '[a-z0-9]+') AS w FROM passages)
-    WHERE len(w) - 1 BETWEEN 1 AND (SELECT max(len(grams)) * 2 FROM templates)
+    SELECT r, w, len(w) - 1 AS n FROM (SELECT r, regexp_extract_all(passage, '[a-z0-9]+') AS w FROM passages)
+    WHERE len(w) - 1 BETWEEN 1 AND (SELECT max(len(grams)) * 2 FROM templates WHERE NOT is_text)
 ),
-pairs AS (
-    SELECT doc_id, place, name, n, len(grams) AS size,
+in_passages AS (
+    SELECT r, place, name, n, len(grams) AS size,
            len(list_intersect([w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))], grams)) AS shared
-    FROM cut JOIN templates ON n BETWEEN len(grams) * {THRESHOLD} / (2 - {THRESHOLD}) - 1 AND len(grams) * (2 - {THRESHOLD}) / {THRESHOLD} + 1
+    FROM cut JOIN templates ON NOT is_text
+     AND n BETWEEN len(grams) * {THRESHOLD} / (2 - {THRESHOLD}) - 1 AND len(grams) * (2 - {THRESHOLD}) / {THRESHOLD} + 1
+),
+whole AS (
+    SELECT r, [w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))] AS g
+    FROM (SELECT r, regexp_extract_all(t, '[a-z0-9]+') AS w FROM docs)
+),
+hits AS (  -- bigrams of a template in a text
+    SELECT r, i, place, is_text FROM (SELECT r, unnest(g) AS gram, unnest(range(1, len(g) + 1)) AS i FROM whole)
+    JOIN (SELECT place, is_text, unnest(grams) AS gram FROM templates) USING (gram)
+),
+starts AS (
+    SELECT r, place, i FROM hits WHERE NOT is_text
+    UNION ALL
+    SELECT DISTINCT r, place, unnest(range(1, last + 2, step) || [last + 1]) FROM (
+        SELECT r, place, step, greatest(len(g) - pairs, 0) AS last FROM whole
+        JOIN (SELECT r, place, count(*) AS n FROM hits WHERE is_text GROUP BY ALL) USING (r) JOIN templates USING (place)
+        WHERE 2 * n >= len(grams)
+    )
+),
+in_windows AS (
+    SELECT r, place, name, len(w) AS n, len(grams) AS size, len(list_intersect(w, grams)) AS shared FROM (
+        SELECT r, place, name, grams, list_distinct(g[i : i + pairs - 1]) AS w FROM starts JOIN whole USING (r) JOIN templates USING (place)
+    )
+),
+best_windows AS (
+    SELECT * FROM in_windows QUALIFY row_number() OVER (PARTITION BY r, place ORDER BY 2.0::DOUBLE * shared / (n + size) DESC, shared DESC) = 1
 ),
 found AS (
-    SELECT doc_id, place, name, 2.0::DOUBLE * shared / (n + size) AS dice FROM pairs
-    WHERE 2.0::DOUBLE * shared / (n + size) >= {THRESHOLD}::DOUBLE
+    SELECT r, place, name, shared, 2.0::DOUBLE * shared / (n + size) AS dice
+    FROM (FROM in_passages UNION ALL FROM best_windows) WHERE 2.0::DOUBLE * shared / (n + size) >= {THRESHOLD}::DOUBLE
 ),
 best AS (
-    SELECT doc_id, first(name ORDER BY dice DESC, place) AS license, max(dice) AS dice,
+    SELECT r, first(name ORDER BY shared DESC, dice DESC, place) AS license, first(dice ORDER BY shared DESC, dice DESC, place) AS dice,
            string_agg(DISTINCT name, ';' ORDER BY name) AS licenses
-    FROM found GROUP BY doc_id
+    FROM found GROUP BY r
 )
-SELECT doc_id, license, dice, coalesce(licenses, '') AS licenses FROM documents LEFT JOIN best USING (doc_id)
+SELECT doc_id, license, dice, coalesce(licenses, '') AS licenses FROM docs LEFT JOIN best USING (r)
 """
 
+
 def _leaf(text: str) -> str:
     """Digest of a row of ``documents`` with ``text`` for its text."""
     values = ["doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR", text]
