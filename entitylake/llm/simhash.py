@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from math import ceil, log2
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from xxhash import xxh64_intdigest
 
 from entitylake.llm.batches import blocks_of_words, column, share_code, slices, texts
@@ -41,19 +42,26 @@ def fingerprint(text: bytes, size: int = SHINGLE) -> int:
     return int.from_bytes(np.packbits(ones * 2 > total, bitorder="little").tobytes(), "little")
 
 
+def _digest(docs: DataFrame, text: str) -> Column:
+    return F.coalesce(F.md5(column(docs, text).cast("string")), F.lit(""))
+
+
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(key, fp)`` per row, the 64 bits as a signed long; a null text counts as empty."""
+    """``(key, digest, fp)`` per row: a digest of the text, and the 64 bits as a signed long; a null text counts as empty."""
     share_code(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
                 found = np.array([fingerprint(t) for t in texts(part, "text")], np.uint64)
-                yield pa.RecordBatch.from_arrays([part.column("key"), pa.array(found.view(np.int64))], ["key", "fp"])
+                columns = [part.column("key"), part.column("digest"), pa.array(found.view(np.int64))]
+                yield pa.RecordBatch.from_arrays(columns, ["key", "digest", "fp"])
 
-    chosen = docs.select(column(docs, key).alias("key"), column(docs, text).cast("string").alias("text"))
+    chosen = docs.select(
+        column(docs, key).alias("key"), _digest(docs, text).alias("digest"), column(docs, text).cast("string").alias("text")
+    )
     kind = chosen.schema["key"].dataType.simpleString()
-    return chosen.mapInArrow(run, f"key {kind}, fp long")
+    return chosen.mapInArrow(run, f"key {kind}, digest string, fp long")
 
 
 def _linked(a: np.ndarray, b: np.ndarray, radius: int) -> np.ndarray:
@@ -143,6 +151,20 @@ def links(prints: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFram
     return pairs.mapInArrow(run, "a long, b long")
 
 
+def _labels(own: DataFrame, radius: int, tile: int) -> DataFrame:
+    """``(fp, component_id, root)`` per fingerprint of ``own (key, fp)``; ``root`` names its component."""
+    first = materialized(own.groupBy("fp").agg(F.min("key").alias("first")), "first")
+    roots = materialized(components(links(first.select("fp"), radius, tile)), "roots")
+    joined = first.join(roots, F.col("fp") == F.col("node")).select("fp", "root", "first")
+    # written, so that adaptive execution can split large groups in the joins
+    least = materialized(joined.groupBy("root").agg(F.min("first").alias("least")), "least")
+    moved = joined.join(least, "root").select(F.col("fp").alias("moved"), "root", "least")
+    labels = first.join(moved, F.col("fp") == F.col("moved"), "left").select(
+        "fp", F.coalesce("least", "first").alias("component_id"), F.coalesce("root", "fp").alias("root")
+    )
+    return materialized(labels, "labels")
+
+
 def near_duplicates(
     docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int = RADIUS, tile: int = TILE
 ) -> DataFrame:
@@ -154,31 +176,28 @@ def near_duplicates(
     ``component_id``, unless no linked row has another. Repeated rows stay, each with its row.
     """
     own = materialized(fingerprints(docs, key, text), "fingerprints")
-    first = materialized(own.groupBy("fp").agg(F.min("key").alias("first")), "first")
-    roots = materialized(components(links(first.select("fp"), radius, tile)), "roots")
-    joined = first.join(roots, F.col("fp") == F.col("node")).select("fp", "root", "first")
-    # written, so that adaptive execution can split large groups in the joins
-    least = materialized(joined.groupBy("root").agg(F.min("first").alias("least")), "least")
-    moved = joined.join(least, "root").select(F.col("fp").alias("moved"), "least")
-    labels = first.join(moved, F.col("fp") == F.col("moved"), "left").select(
-        "fp", F.coalesce("least", "first").alias("component_id")
-    )
-    labels = materialized(labels, "labels")
-    return own.join(labels, "fp").select(
+    return own.join(_labels(own, radius, tile), "fp").select(
         F.col("key").alias(key),
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         "component_id",
     )
 
 
-def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", **sizes: int) -> DataFrame:
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int = RADIUS, tile: int = TILE) -> DataFrame:
     """The documents without near-duplicates: of each group the row with the smallest key stays.
 
-    Rows that repeat a kept key go too; rows without a key cannot be told apart and all stay.
+    Of several rows of a group with that key one stays: that with the smallest fingerprint, then
+    digest of its text, then the first by its other columns (but maps, which have no order). Rows of
+    another group stay, whatever their key. Rows without a key cannot be told apart and all stay.
     """
     known = docs.where(column(docs, key).isNotNull())
-    groups = near_duplicates(known, key, text, **sizes)
-    kept = groups.where(column(groups, key) == F.col("component_id")).select(column(groups, key).alias("_kept")).distinct()
-    joined = known.join(kept, column(known, key) == F.col("_kept"), "left_semi")
-    one = joined.dropDuplicates([key]) if "." not in key and "`" not in key else joined
-    return one.select(docs.columns).union(docs.where(column(docs, key).isNull()))
+    own = materialized(fingerprints(known, key, text), "fingerprints")
+    least = own.join(_labels(own, radius, tile), "fp").where(F.col("key") == F.col("component_id"))
+    one = least.groupBy("key", "root").agg(F.min(F.struct("fp", "digest")).alias("one")).select("key", "one.digest")
+    whole = F.struct(*(column(known, name) for name in docs.columns)).alias("row")
+    rows = known.select(whole, column(known, key).alias("key"), _digest(known, text).alias("digest"))
+    ordered = [item.name for item in docs.schema.fields if not re.search("map<|variant|interval", item.dataType.simpleString())]
+    order = W.partitionBy("key", "digest").orderBy(*(F.col("row")[name] for name in ordered if name != text), F.lit(0))
+    kept = rows.join(one, ["key", "digest"], "left_semi").withColumn("place", F.row_number().over(order)).where("place = 1")
+    found = kept.select(*(F.col("row")[name].alias(name) for name in docs.columns))
+    return found.union(docs.where(column(docs, key).isNull()))

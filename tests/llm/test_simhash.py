@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from hashlib import md5
+
 import re
 
 import numpy as np
@@ -92,3 +94,15 @@ def test_one_row_of_each_group_stays(odd, none):
     assert sorted(known) == sorted({c for c in groups(rows, prints, 2)})
     assert ids.count(None) == 2
     assert simhash.keep_one(none).count() == 0 and simhash.near_duplicates(none).count() == 0
+
+
+def test_one_key_on_texts_of_several_groups(spark):
+    """A key that repeats takes no row of another group away, and of equal texts the first row stays."""
+    a, b = prose(21, 80), prose(22, 90)
+    rows = [(1, a, "x"), (1, b, "y"), (1, b, "w"), (2, b, "y"), (1, a + " ", "v"), (3, a, "a"), (None, a, "n")]
+    for order in (rows, rows[::-1]):
+        docs = spark.createDataFrame(order, "doc_id int, text string, lang string").repartition(3)
+        kept = sorted(map(tuple, simhash.keep_one(docs).collect()), key=repr)
+        texts = [row[1].strip() for row in kept if row[0] is not None]
+        assert sorted(texts) == sorted([a, b]) and [r for r in kept if r[0] is None] == [(None, a, "n")]
+        assert (1, b, "w") in kept and (1, min([a, a + " "], key=lambda t: md5(t.encode()).hexdigest()), "x" if md5(a.encode()).hexdigest() < md5((a + " ").encode()).hexdigest() else "v") in kept
