@@ -55,6 +55,17 @@ def _fields(*entities: str) -> str:
     )
 
 
+def _json_types(*entities: str) -> str:
+    """Fields of records as JSON text: numbers with a decimal point are decimals, times are texts."""
+    return " UNION ALL ".join(
+        f"""SELECT '{entity}' AS entity, '{name}' AS field, count(*) AS n_records, count(*) - count({name}) AS n_nulls,
+            CASE WHEN count({name}) = 0 THEN 'VOID' WHEN any_value(typeof({name})) IN ('BIGINT', 'INTEGER') THEN 'BIGINT'
+                 WHEN any_value(typeof({name})) = 'DOUBLE' THEN 'DECIMAL' ELSE 'STRING' END AS kind FROM {entity}"""
+        for entity in entities
+        for name in COLUMNS[entity]
+    )
+
+
 def _measures(name: str, type_: str) -> dict[str, str]:
     text, time, number = type_ == "string", type_ == "timestamp", type_ in ("bigint", "int", "double")
     found = {
@@ -258,6 +269,8 @@ ORACLES: dict[str, str] = {
         for entity, key in {"customer": "c_custkey", "supplier": "s_suppkey", "part": "p_partkey"}.items()
     ),
     "attribute_listing_json": _fields("orders", "customer"),
+    "attribute_types_json": _json_types("orders", "customer"),
+    "found_schema": "SELECT o_orderkey, o_custkey, o_orderpriority, o_totalprice FROM orders",
     # catalogue
     "name_harvest": _harvest(
         {

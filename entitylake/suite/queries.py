@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from entitylake.functions import columns as c
 from entitylake.functions import labels
 from entitylake.functions.jsontext import json_text
-from entitylake.operators import catalog, documents, numbering, paging, profile, query, ranking, reshape, upsert
+from entitylake.operators import catalog, documents, numbering, paging, profile, query, ranking, reshape, upsert, variants
 from entitylake.plans import dictionary, extract, reports
 from entitylake.schemas import COUNT, COUNTS_REPORT, ENTITY, NEXT_LINK, PAGE_NUMBER, VALUE
 from entitylake.session import scratch_dir
@@ -447,6 +447,20 @@ def attribute_listing_json(t: Tables) -> DataFrame:
     return catalog.json_field_listing(pages.json_records(saved))
 
 
+@registered
+def attribute_types_json(t: Tables) -> DataFrame:
+    saved = pages.read_pages(t.spark, _saved_pages(t, "orders", "customer"))
+    found = variants.field_types(pages.json_records(saved))
+    return found.select(ENTITY, "field", "n_records", "n_nulls", variants.kind(F.col("type")).alias("kind"))
+
+
+@registered
+def found_schema(t: Tables) -> DataFrame:
+    records = pages.json_records(pages.read_pages(t.spark, _saved_pages(t, "orders", "customer")))
+    rows = variants.typed(records, variants.found_schemas(records)["orders"], "orders")
+    return rows.select("o_orderkey", "o_custkey", "o_orderpriority", F.col("o_totalprice").cast("double").alias("o_totalprice"))
+
+
 # --- catalogue ------------------------------------------------------------
 
 
