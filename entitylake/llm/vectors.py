@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 from math import sqrt
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from xxhash import xxh3_128_digest
 
 from entitylake.llm.batches import column, share_code
@@ -18,7 +19,10 @@ from entitylake.session import materialized
 LEAST = 0.98
 TILE = 2048
 LEAF = 16
-SLACK = 1e-9  # bounds are loosened by this much, so that rounding never prunes a link
+FANOUT = 64
+SAMPLE = 1024
+DEPTH = 12
+SLACK = 1e-7  # bounds are loosened by this much, so that rounding never prunes a link
 
 
 @dataclass
@@ -183,22 +187,146 @@ def _units(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, f"key {kind}, label string, unit binary, node binary")
 
 
-def _rings(classes: DataFrame, roots: DataFrame, reach: float) -> DataFrame:
-    """Adds the ring around its group's root in which a vector lies; rings are ``reach`` wide."""
-    joined = classes.join(roots, ["label", "dim"])
-    names = ["label", "dim", "node", "times", "unit"]
+def _net(points: np.ndarray, most: int) -> np.ndarray:
+    """Places of points, each the farthest from those before, until all lie within half the radius
+    that the first one has, or there are ``most``."""
+    far = np.sqrt(np.maximum(2 - 2 * (points @ points[0]), 0))
+    half, chosen = float(far.max()) / 2, [0]
+    while len(chosen) < most and far.max() > max(half, SLACK):
+        chosen.append(int(far.argmax()))
+        far = np.minimum(far, np.sqrt(np.maximum(2 - 2 * (points @ points[chosen[-1]]), 0)))
+    return np.array(chosen)
+
+
+def _centres(sampled: DataFrame) -> DataFrame:
+    """``(cell, centres)`` of ``(cell, dim, most, units)``: the centres of a cell's children, in a row of bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rings = []
-            for own, root in zip(batch.column("unit").to_pylist(), batch.column("root").to_pylist()):
-                dot = float(np.frombuffer(own, "<f8") @ np.frombuffer(root, "<f8"))
-                rings.append(int(sqrt(max(2 - 2 * dot, 0)) / (reach * (1 + 1e-6) + SLACK)))
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(name) for name in names), pa.array(rings, pa.int32())], [*names, "ring"]
-            )
+            found = []
+            for row in batch.to_pylist():
+                points = np.frombuffer(b"".join(sorted(row["units"])), "<f8").reshape(-1, row["dim"])
+                found.append(points[_net(points, row["most"])].tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column("cell"), pa.array(found, pa.binary())], ["cell", "centres"])
+
+    return sampled.mapInArrow(run, "cell string, centres binary")
+
+
+def _dealt(chunks: DataFrame) -> DataFrame:
+    """The members of ``(cell, dim, members, centres)`` with the child whose centre is nearest, and how far that is."""
+    names = ["cell", "dim", "node", "times", "unit", "parent", "centre", "far"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for place in range(batch.num_rows):
+                parent, dim = batch.column("cell")[place].as_py(), batch.column("dim")[place].as_py()
+                members = batch.column("members")[place].values.flatten()
+                centres = np.frombuffer(batch.column("centres")[place].as_py(), "<f8").reshape(-1, dim)
+                points = np.frombuffer(b"".join(members[2].to_pylist()), "<f8").reshape(-1, dim)
+                dots = points @ centres.T
+                near = dots.argmax(axis=1)
+                far = np.sqrt(np.maximum(2 - 2 * dots[np.arange(len(near)), near], 0))
+                n = len(near)
+                cells, ends = [f"{parent}.{i}" for i in range(len(centres))], [row.tobytes() for row in centres]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([cells[i] for i in near]), pa.array([dim] * n, pa.int32()), *members,
+                        pa.array([parent] * n), pa.array([ends[i] for i in near], pa.binary()), pa.array(far),
+                    ],
+                    names,
+                )
+
+    return chunks.mapInArrow(
+        run, "cell string, dim int, node binary, times long, unit binary, parent string, centre binary, far double"
+    )
+
 
-    return joined.mapInArrow(run, "label string, dim int, node binary, times long, unit binary, ring int")
+def _root() -> Column:
+    """The cell of all vectors of a label and dimension."""
+    return F.concat(F.col("dim").cast("string"), F.lit(":"), F.sha2("label", 256))
+
+
+def _upper_levels(classes: DataFrame, tile: int) -> tuple[DataFrame, DataFrame, list[DataFrame]]:
+    """``points (cell, dim, node, times, unit)``, ``sizes (cell, n_tiles)`` and, level by level,
+    the families ``(parent, members)`` of the upper tree, members with cell, centre and radius.
+
+    A group of equal label and dimension is the root's cell. A cell with more than ``tile`` vectors has
+    children around centres at half its radius, as far as ``FANOUT`` centres cover a sample of it by a hash; every
+    vector goes to the nearest, and the covering radius is that of all vectors. Cells beyond ``DEPTH``
+    levels, and those whose vectors agree but for rounding, are cut by a hash. At a level, a cell without children
+    is a family of its own, so pairs of families of one level cover all pairs.
+    """
+    points = classes.select(
+        _root().alias("cell"), "dim", "node", "times", "unit",
+        F.lit(None).cast("string").alias("parent"), F.lit(b"").alias("centre"), F.lit(2.0).alias("far"),
+    )
+    settled, counts, families = [], [], []
+    done = None
+    for depth in range(DEPTH + 1):
+        points = materialized(points, "level")
+        sizes = points.groupBy("cell").agg(
+            F.count("*").alias("n"), F.max("far").alias("radius"), F.first("centre").alias("centre"),
+            F.first("parent").alias("parent"),
+        )
+        wide = (F.col("n") > tile) & (F.col("radius") > SLACK) & F.lit(depth < DEPTH)
+        sizes = materialized(sizes.withColumn("inner", wide), "cells")
+        if depth:
+            own = sizes.select("parent", "cell", "centre", "radius")
+            if done is not None:  # cells of higher levels without children stand for themselves
+                own = own.union(done.select(F.col("cell").alias("parent"), "cell", "centre", "radius"))
+            member = F.sort_array(F.collect_list(F.struct("cell", "centre", "radius")))
+            family = own.groupBy("parent").agg(member.alias("members"))
+            families.append(materialized(family, "families"))
+        leaves = sizes.where(~F.col("inner"))
+        settled.append(points.join(leaves.select("cell"), "cell"))
+        counts.append(leaves.select("cell", F.ceil(F.col("n") / tile).cast("int").alias("n_tiles")))
+        done = leaves if done is None else done.union(leaves)
+        inner = sizes.where("inner")
+        if inner.isEmpty():
+            break
+        most = F.least(F.lit(FANOUT), F.greatest(F.lit(2), F.ceil(4 * F.col("n") / tile))).cast("int")
+        chunk = F.expr(f"pmod(xxhash64(node, 'chunk'), int(ceil(n / {tile})))")
+        rows = points.drop("parent", "centre", "far").join(inner.select("cell", "n", most.alias("most")), "cell")
+        drawn = F.expr(f"pmod(xxhash64(node, {depth}), greatest(n div {SAMPLE}, 1)) = 0")
+        sampled = rows.where(drawn).groupBy("cell").agg(
+            F.first("dim").alias("dim"), F.first("most").alias("most"), F.collect_list("unit").alias("units")
+        )
+        members = rows.groupBy("cell", "dim", chunk.alias("chunk")).agg(
+            F.collect_list(F.struct("node", "times", "unit")).alias("members")
+        )
+        centres = materialized(_centres(sampled), "centres")
+        points = _dealt(members.join(centres, "cell").select("cell", "dim", "members", "centres"))
+    names = ["cell", "dim", "node", "times", "unit"]
+    union = lambda frames: reduce(DataFrame.union, frames)
+    return union([frame.select(*names) for frame in settled]), union(counts), families
+
+
+def _close_families(pairs: DataFrame, families: DataFrame, reach: float) -> DataFrame:
+    """One level down: the pairs of children of ``pairs (a, b)`` whose covers do not lie apart, each once."""
+    own = lambda side: families.select(F.col("parent").alias(side), F.col("members").alias(f"of_{side}"))
+    joined = pairs.join(own("a"), "a").join(own("b"), "b").select("a", "b", "of_a", "of_b")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                sides = []
+                for members in (row["of_a"], row["of_b"]):
+                    centres = np.frombuffer(b"".join(m["centre"] for m in members), "<f8").reshape(len(members), -1)
+                    sides.append(([m["cell"] for m in members], centres, np.array([m["radius"] for m in members])))
+                (a, at_a, wide_a), (b, at_b, wide_b) = sides
+                if at_a.shape[1] and at_b.shape[1]:
+                    apart = np.sqrt(np.maximum(2 - 2 * (at_a @ at_b.T), 0))
+                    close = apart <= reach + SLACK + wide_a[:, None] + wide_b[None, :]
+                else:  # a root has no centre
+                    close = np.ones((len(a), len(b)), bool)
+                if row["a"] == row["b"]:
+                    close = np.triu(close)
+                x, y = np.nonzero(close)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([a[i] for i in x], pa.string()), pa.array([b[i] for i in y], pa.string())], ["a", "b"]
+                )
+
+    return joined.mapInArrow(run, "a string, b string")
 
 
 def _grown(tiles: DataFrame, place: list[str]) -> DataFrame:
@@ -216,13 +344,13 @@ def _grown(tiles: DataFrame, place: list[str]) -> DataFrame:
                 nodes, times = [m["node"] for m in ordered], [m["times"] for m in ordered]
                 values = [[nodes], [times], [tree.points.astype("<f8").tobytes()], *([x] for x in _tree_columns(tree))]
                 yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(name).slice(row, 1) for name in [*place, "tile"]), *map(pa.array, values)],
-                    [*place, "tile", "nodes", "times", "points", *parts],
+                    [*(batch.column(name).slice(row, 1) for name in place), *map(pa.array, values)],
+                    [*place, "nodes", "times", "points", *parts],
                 )
 
     return tiles.mapInArrow(
         run,
-        "label string, dim int, ring int, tile int, nodes array<binary>, times array<long>, points binary, "
+        "cell string, dim int, tile int, nodes array<binary>, times array<long>, points binary, "
         "start binary, end binary, radius binary, first binary, last binary",
     )
 
@@ -234,35 +362,35 @@ def links(classes: DataFrame, least: float = LEAST, tile: int = TILE) -> DataFra
     ``other`` is one node that links reach. A node may have several rows. Only vectors of equal
     label and dimension are compared.
 
-    A group's tree has its root at one vector. The root's children are rings as wide as the
-    reach of a link, so links join only equal and neighbouring rings; a ring with more than
-    ``tile`` vectors is dealt out to several tiles by a hash. Each tile has its own cover tree,
-    and pairs of tiles are walked together.
+    The upper levels of a group's cover tree are tables of cells (``_upper_levels``); each cell without
+    children is a tile with its own tree. Pairs of cells are walked down from the roots, level by
+    level, on centres and radii alone; the points of two tiles meet only if their covers do.
     """
     share_code(classes.sparkSession)
     reach = sqrt(2 - 2 * least)
-    roots = classes.groupBy("label", "dim").agg(F.min_by("unit", "node").alias("root"))
-    ringed = materialized(_rings(classes, roots, reach), "rings")
-    place = ["label", "dim", "ring"]
-    sizes = ringed.groupBy(place).count()
-    sizes = materialized(sizes.select(*place, F.ceil(F.col("count") / tile).cast("int").alias("n_tiles")), "rings")
+    points, sizes, families = _upper_levels(classes, tile)
+    place = ["cell", "dim", "tile"]
     packed = (
-        ringed.join(sizes, place)
-        .groupBy(*place, F.expr("pmod(xxhash64(node), n_tiles)").cast("int").alias("tile"))
+        points.join(sizes, "cell")
+        .groupBy("cell", "dim", F.expr("pmod(xxhash64(node), n_tiles)").cast("int").alias("tile"))
         .agg(F.collect_list(F.struct("node", "times", "unit")).alias("members"))
     )
     trees = materialized(_grown(packed, place), "trees")
-    own = [F.col(name).alias(f"a_{name}") for name in trees.columns if name not in ("label", "dim")]
+    pairs = classes.select(_root().alias("a")).distinct().withColumn("b", F.col("a"))
+    for level in families:
+        pairs = materialized(_close_families(pairs, level, reach), "pairs")
+    tiles = lambda side: sizes.select(F.col("cell").alias(side), F.col("n_tiles").alias(f"n_{side}"))
+    own = [F.col(name).alias(f"a_{name}") for name in trees.columns if name not in ("cell", "dim", "tile")]
     pairs = (
-        trees.select("label", "dim", *own, F.explode(F.array(F.lit(0), F.lit(1))).alias("step"))
-        .withColumn("ring", F.col("a_ring") + F.col("step"))
-        .join(sizes, place)
-        .withColumn("tile", F.explode(F.sequence(F.lit(0), F.col("n_tiles") - 1)))
-        .where((F.col("step") > 0) | (F.col("tile") >= F.col("a_tile")))
-        .withColumn("same", (F.col("step") == 0) & (F.col("tile") == F.col("a_tile")))
-        .join(trees, [*place, "tile"])
-        .drop("label", "ring", "tile", "step", "n_tiles", "a_ring", "a_tile")
-    )
+        pairs.join(tiles("a"), "a").join(tiles("b"), "b")
+        .withColumn("i", F.explode(F.sequence(F.lit(0), F.col("n_a") - 1)))
+        .withColumn("j", F.explode(F.sequence(F.lit(0), F.col("n_b") - 1)))
+        .where((F.col("a") != F.col("b")) | (F.col("j") >= F.col("i")))
+        .select("a", "b", "i", "j", ((F.col("a") == F.col("b")) & (F.col("i") == F.col("j"))).alias("same"))
+        .join(trees.select(F.col("cell").alias("a"), F.col("tile").alias("i"), *own), ["a", "i"])
+        .join(trees.select(F.col("cell").alias("b"), F.col("tile").alias("j"), "dim", *(n for n in trees.columns if n not in place)), ["b", "j"])
+        .drop("a", "b", "i", "j")
+    )
 
     def read(row: dict, dim: int, prefix: str = "") -> CoverTree:
         points = np.frombuffer(row[prefix + "points"], "<f8").reshape(-1, dim)

@@ -63,6 +63,40 @@ def test_matches_brute_force(spark, sizes):
     assert result(frame, **sizes) == plain(rows, sizes.get("least", 0.98))
 
 
+def test_labels_that_look_like_cells(spark):
+    rows = [(i, v, label, "t", "n", 1) for i, v in enumerate(clusters(3, 90, 3, 0.05)) for label in ("x", "x.0", "3:x", "")]
+    rows = [(i, *row[1:]) for i, row in enumerate(rows)]
+    frame = spark.createDataFrame(rows, SCHEMA.replace("label int", "label string"))
+    assert result(frame, tile=9) == plain(rows)
+
+
+def test_one_dense_cluster_is_cut_until_it_fits(spark):
+    """Radii at the limit of rounding: cells are cut by a hash, and no link is lost."""
+    base = np.random.default_rng(5).normal(size=6)
+    rows = [(i, (base + 1e-9 * np.eye(6)[i % 6] * i).tolist(), 1, "t", "n", 1) for i in range(60)]
+    frame = spark.createDataFrame(rows, SCHEMA.replace("array<float>", "array<double>"))
+    different = len({tuple(row[1]) for row in rows})
+    assert different > 8
+    assert sorted(result(frame, tile=8)) == [(i, 59, 0, i == 0) for i in range(60)]
+
+
+def test_tiles_that_lie_apart_do_not_meet(spark):
+    """The pairs of tiles come from the upper levels; of clusters far apart only their own tiles are left."""
+    draw = np.random.default_rng(7)
+    points = np.concatenate([c + 0.001 * draw.normal(size=(40, 16)) for c in draw.normal(size=(12, 16))])
+    rows = [(i, v, 1, "t", "n", 1) for i, v in enumerate(points.astype(np.float32).tolist())]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    assert result(frame, tile=40) == plain(rows)
+    units = vectors._units(frame.select(frame.vec_id.alias("key"), frame.label.cast("string"), frame.embedding.cast("array<double>")))
+    classes = units.selectExpr("label", "16 as dim", "node", "1L as times", "unit")
+    _, sizes, families = vectors._upper_levels(classes, 40)
+    pairs = classes.select(vectors._root().alias("a")).distinct().selectExpr("a", "a as b")
+    for level in families:
+        pairs = vectors._close_families(pairs, level, 0.2)
+    tiles = sizes.count()
+    assert tiles >= 12 and pairs.count() <= 3 * tiles < tiles * (tiles + 1) // 2
+
+
 def test_nothing(spark):
     assert result(spark.createDataFrame([], SCHEMA)) == []
 
