@@ -187,26 +187,27 @@ def _units(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, f"key {kind}, label string, unit binary, node binary")
 
 
-def _net(points: np.ndarray, most: int) -> np.ndarray:
+def _net(points: np.ndarray, fewest: int, most: int = FANOUT) -> np.ndarray:
     """Places of points, each the farthest from those before, until all lie within half the radius
-    that the first one has, or there are ``most``."""
+    that the first one has. If ``most`` do not get that far, the first ``fewest``: more would
+    prune nothing, but make more pairs."""
     far = np.sqrt(np.maximum(2 - 2 * (points @ points[0]), 0))
     half, chosen = float(far.max()) / 2, [0]
     while len(chosen) < most and far.max() > max(half, SLACK):
         chosen.append(int(far.argmax()))
         far = np.minimum(far, np.sqrt(np.maximum(2 - 2 * (points @ points[chosen[-1]]), 0)))
-    return np.array(chosen)
+    return np.array(chosen if far.max() <= max(half, SLACK) else chosen[:fewest])
 
 
 def _centres(sampled: DataFrame) -> DataFrame:
-    """``(cell, centres)`` of ``(cell, dim, most, units)``: the centres of a cell's children, in a row of bytes."""
+    """``(cell, centres)`` of ``(cell, dim, fewest, units)``: the centres of a cell's children, in a row of bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = []
             for row in batch.to_pylist():
                 points = np.frombuffer(b"".join(sorted(row["units"])), "<f8").reshape(-1, row["dim"])
-                found.append(points[_net(points, row["most"])].tobytes())
+                found.append(points[_net(points, row["fewest"])].tobytes())
             yield pa.RecordBatch.from_arrays([batch.column("cell"), pa.array(found, pa.binary())], ["cell", "centres"])
 
     return sampled.mapInArrow(run, "cell string, centres binary")
@@ -251,7 +252,8 @@ def _upper_levels(classes: DataFrame, tile: int) -> tuple[DataFrame, DataFrame,
     the families ``(parent, members)`` of the upper tree, members with cell, centre and radius.
 
     A group of equal label and dimension is the root's cell. A cell with more than ``tile`` vectors has
-    children around centres at half its radius, as far as ``FANOUT`` centres cover a sample of it by a hash; every
+    children around centres that cover a sample of it, drawn by a hash, at half its radius, if up to ``FANOUT``
+    do, else around as few as make tiles; every
     vector goes to the nearest, and the covering radius is that of all vectors. Cells beyond ``DEPTH``
     levels, and those whose vectors agree but for rounding, are cut by a hash. At a level, a cell without children
     is a family of its own, so pairs of families of one level cover all pairs.
@@ -284,12 +286,12 @@ def _upper_levels(classes: DataFrame, tile: int) -> tuple[DataFrame, DataFrame,
         inner = sizes.where("inner")
         if inner.isEmpty():
             break
-        most = F.least(F.lit(FANOUT), F.greatest(F.lit(2), F.ceil(4 * F.col("n") / tile))).cast("int")
+        fewest = F.least(F.lit(FANOUT), F.greatest(F.lit(2), F.ceil(1.5 * F.col("n") / tile))).cast("int")
         chunk = F.expr(f"pmod(xxhash64(node, 'chunk'), int(ceil(n / {tile})))")
-        rows = points.drop("parent", "centre", "far").join(inner.select("cell", "n", most.alias("most")), "cell")
+        rows = points.drop("parent", "centre", "far").join(inner.select("cell", "n", fewest.alias("fewest")), "cell")
         drawn = F.expr(f"pmod(xxhash64(node, {depth}), greatest(n div {SAMPLE}, 1)) = 0")
         sampled = rows.where(drawn).groupBy("cell").agg(
-            F.first("dim").alias("dim"), F.first("most").alias("most"), F.collect_list("unit").alias("units")
+            F.first("dim").alias("dim"), F.first("fewest").alias("fewest"), F.collect_list("unit").alias("units")
         )
         members = rows.groupBy("cell", "dim", chunk.alias("chunk")).agg(
             F.collect_list(F.struct("node", "times", "unit")).alias("members")
