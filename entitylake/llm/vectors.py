@@ -128,6 +128,20 @@ class Links:
             for place in np.flatnonzero(labels < len(near)):
                 self.join(int(a.start[i] + labels[place]), int(begin + place))
 
+    def single(self, own: np.ndarray, right: np.ndarray, near: np.ndarray) -> np.ndarray:
+        """Which pairs of nodes are of one point each; of these, those that are ``near`` get their links at once."""
+        a, b = self.a, self.b
+        alone = (a.end[own] - a.start[own] == 1)[:, None] & (b.end[right] - b.start[right] == 1)[None, :]
+        x, y = np.nonzero(near & alone)
+        x, y = a.start[own[x]], b.start[right[y]]
+        if self.same:
+            x, y = x[x != y], y[x != y]
+        np.add.at(self.n_a, x, self.times_b[y])
+        np.add.at(self.n_b, y, self.times_a[x])
+        for one, other in zip(x.tolist(), (y if self.same else y + len(self.n_a)).tolist()):
+            self.join(one, other)
+        return alone
+
     def traverse(self) -> None:
         """From the roots down: pairs of nodes whose covers lie apart are pruned; others are split,
         the wider node first, and pairs of leaves compared."""
@@ -153,6 +167,7 @@ class Links:
                 close = apart <= bound
                 if self.same and i == j:  # each pair of children once
                     close &= own[:, None] <= right[None, :]
+                close &= ~self.single(own, right, close & (dots >= self.least))
                 x, y = np.nonzero(close)
                 pairs.extend(zip(own[x].tolist(), right[y].tolist()))
 
