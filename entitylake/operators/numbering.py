@@ -4,7 +4,9 @@
 Here the order is first cut into blocks of a known, equal number of rows:
 
 1. a Bernoulli sample of the sort keys gives fine bounds (at most ``MAX_BOUNDS``
-   keys, more or less, reach the driver, whatever the table size);
+   keys, more or less, reach the driver, whatever the table size). If the order is one
+   column of whole numbers, dates, times or truth values, the pass that counts the rows gives
+   the bounds as well, as quantiles of mergeable KLL sketches, and nothing is sampled;
 2. one key-only pass counts the rows between the bounds, so the global rank of
    every bound is known;
 3. one key-only pass, over the few gaps that hold a block end, finds the exact
@@ -52,6 +54,12 @@ MEASURED_ROWS = 1000
 # grow, and a task sorts more than BLOCK_BYTES, with spilling.
 MAX_BLOCKS = 65_536
 MAX_BOUNDS = 4 * MAX_BLOCKS
+# A KLL sketch of this size misses a rank by less than a thousandth of the rows, so its quantiles
+# serve as bounds for blocks that are a few times as large.
+SKETCH = 4096
+QUANTILES = 1024
+SKETCHED_BLOCKS = QUANTILES // 4
+SKETCH_GROUPS = 64
 GAP_BITS = 32
 MOST_ROWS = (1 << 31) - 1  # what row_number() can count
 BLOCK = "__block"
@@ -119,14 +127,19 @@ def cut_blocks(
 
     Without ``rows_per_block``, blocks are sized by the width of the rows and by
     the cores. ``order_by`` must be unique. ``total`` saves a pass if the row count is known.
-    The keys are read up to four times, so an expensive ``df`` should be stored
+    The keys are read up to four times, three if sketches give the bounds, so an expensive ``df`` should be stored
     first (``session.materialized``).
     """
     keys = sort_keys(order_by)
     if not keys:
         raise ValueError("numbering needs an explicit, unique order_by")
+    quantiles = None
     if total is None:
-        total = df.count()
+        columns = key_columns(df, keys)
+        if len(columns) == 1 and columns[0][1] == "bigint":
+            total, quantiles = _count_with_quantiles(df.select(columns[0][0].alias("k0")), keys[0].descending)
+        else:
+            total = df.count()
     target = max(rows_per_block or _rows_per_block(df, total), ceil(total / MAX_BLOCKS))
     size = max(1, ceil(target / align)) * align
     if min(size, total) > MOST_ROWS:
@@ -141,7 +154,8 @@ def cut_blocks(
     plain_keys = renamed(keys, names)
     plain_columns = [(F.col(name), element, text) for name, (_, element, text) in zip(names, columns)]
 
-    bounds = _sample_bounds(plain, plain_keys, blocks, total)
+    sketched = quantiles and blocks <= SKETCHED_BLOCKS
+    bounds = quantiles if sketched else _sample_bounds(plain, plain_keys, blocks, total)
     found = with_position(plain, plain_keys, plain_columns, bounds, "gap")
     counts = {row["gap"]: row["n"] for row in found.groupBy("gap").agg(F.count("*").alias("n")).collect()}
     if sum(counts.values()) != total:
@@ -153,6 +167,35 @@ def cut_blocks(
     return Blocks(keys, total, size, _keys_at(found, plain_keys, names, wanted))
 
 
+def _count_with_quantiles(keys: DataFrame, descending: bool) -> tuple[int, list[tuple]]:
+    """The number of rows and evenly spread values of ``k0``, in order, in one pass.
+
+    Sketches of the tasks are merged in groups first, so that no task merges all of them.
+    Nulls are in no sketch. There are no quantiles if there is no value, or if among many values
+    one is so frequent that it comes twice; the sample then shows whether the order is unique.
+    """
+    ranks = F.array(*[F.lit(i / QUANTILES) for i in range(1, QUANTILES)])
+    parts = (
+        keys.withColumn("part", F.spark_partition_id() % SKETCH_GROUPS)
+        .groupBy("part")
+        .agg(
+            F.count("*").alias("n"), F.count("k0").alias("n_values"),
+            F.kll_sketch_agg_bigint("k0", F.lit(SKETCH)).alias("sketch"),
+        )
+        .withColumn("sketch", F.when(F.col("n_values") > 0, F.col("sketch")))
+    )
+    whole = parts.agg(
+        F.sum("n").alias("n"), F.sum("n_values").alias("n_values"),
+        F.kll_merge_agg_bigint("sketch", F.lit(SKETCH)).alias("sketch"),
+    )
+    found = F.when(F.col("n_values") > 0, F.kll_sketch_get_quantile_bigint("sketch", ranks))
+    row = whole.select("n", "n_values", found.alias("quantiles")).first()
+    values = sorted(set(row["quantiles"] or ()), reverse=descending)
+    if (row["n_values"] or 0) >= 2 * QUANTILES and len(values) < QUANTILES - 1:
+        values = []
+    return row["n"] or 0, [(value,) for value in values]
+
+
 def _rows_per_block(df: DataFrame, total: int) -> int:
     """Rows of about ``BLOCK_BYTES``, fewer if there would be less than a block for every core.
 

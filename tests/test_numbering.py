@@ -131,3 +131,28 @@ def test_literal_types(spark):
     blocks = numbering.cut_blocks(df, "d, t desc, p, i desc", rows_per_block=1)
     numbered = numbering.number_in_blocks(df, blocks, "n")
     assert sorted(numbered.select("i", "n").collect()) == [(0, 2), (1, 1)]
+
+
+@pytest.mark.parametrize("order", ["id", "id desc", "day", "instant desc", "id2 desc"])
+def test_sketches_give_the_bounds_of_one_whole_number(table, order, monkeypatch):
+    """Nothing is sampled, and the blocks are the same as those of a known total, which samples."""
+    rows = table.filter("id < 60" if order == "day" else "true").withColumn("id2", F.expr("nullif(id, 5)"))
+    size = 7 if order == "day" else 250
+    sampled = numbering.cut_blocks(rows, order, rows_per_block=size, total=rows.count())
+    monkeypatch.setattr(numbering, "_sample_bounds", lambda *_: pytest.fail("sampled"))
+    assert numbering.cut_blocks(rows, order, rows_per_block=size) == sampled
+    assert sampled.count > 5
+
+
+def test_sketches_without_values(table):
+    nulls = table.limit(1).select(F.lit(None).cast("long").alias("id"))
+    assert numbering.cut_blocks(nulls, "id").total == 1
+    assert numbering.cut_blocks(nulls.limit(0), "id").total == 0
+    two = nulls.union(nulls.select(F.lit(3).cast("long")))
+    assert numbering.cut_blocks(two, "id", rows_per_block=1).ends == [(None,)]
+
+
+def test_many_blocks_are_sampled(table):
+    blocks = numbering.cut_blocks(table, "id", rows_per_block=10)
+    assert blocks.count == 300 > numbering.SKETCHED_BLOCKS
+    assert blocks.ends == [(10 * i - 1,) for i in range(1, 300)]
