@@ -18,6 +18,9 @@ block. The data itself is shuffled once. Blocks are equal however the keys are
 distributed; they can be aligned to whole pages, so that pages never straddle
 two tasks. All bounds are literals, hence a recomputed task gives the same rows
 the same numbers.
+
+Many small blocks are not cut one by one: consecutive ones make a group, of no more rows than
+suit a task, only the ends of groups are searched for, and a task numbers all blocks of its group.
 """
 
 from __future__ import annotations
@@ -53,6 +56,9 @@ MEASURED_ROWS = 1000
 # Block ends are literals in the plan, so their number is bounded; beyond it blocks
 # grow, and a task sorts more than BLOCK_BYTES, with spilling.
 MAX_BLOCKS = 65_536
+# More blocks than these are cut in groups, unless they are too large for it.
+SINGLE_BLOCKS = 512
+GROUPS = 256
 MAX_BOUNDS = 4 * MAX_BLOCKS
 # A KLL sketch of this size misses a rank by less than a thousandth of the rows, so its quantiles
 # serve as bounds for blocks that are a few times as large.
@@ -63,25 +69,50 @@ SKETCH_GROUPS = 64
 GAP_BITS = 32
 MOST_ROWS = (1 << 31) - 1  # what row_number() can count
 BLOCK = "__block"
+GROUP = "__block_group"
 
 
 @dataclass(frozen=True)
 class Blocks:
-    """The cut of one DataFrame's order; ``ends`` holds the last key of all blocks but the last."""
+    """The cut of one DataFrame's order into blocks of ``size`` rows, ``grouped`` of them to a task.
+
+    ``ends`` holds the last key of all groups but the last; with one block to a group, of all blocks.
+    """
 
     keys: list[SortKey]
     total: int
     size: int
     ends: list[tuple[Any, ...]]
+    grouped: int = 1
 
     @property
     def count(self) -> int:
         return max(1, ceil(self.total / self.size))
 
+    @property
+    def groups(self) -> int:
+        return ceil(self.count / self.grouped)
+
+    def parts(self, blocks_per_part: int) -> list[tuple[int, int]]:
+        """Runs of blocks, first and stop, of about ``blocks_per_part`` in whole groups."""
+        step = max(1, blocks_per_part // self.grouped) * self.grouped
+        return [(first, min(first + step, self.count)) for first in range(0, self.count, step)]
+
     def part(self, first: int, stop: int) -> Blocks:
-        """The blocks from ``first`` up to ``stop`` as a cut of their own rows."""
+        """The blocks from ``first`` up to ``stop``, whole groups, as a cut of their own rows."""
+        self._whole_groups(first, stop)
         rows = min(self.total, stop * self.size) - first * self.size
-        return Blocks(self.keys, rows, self.size, self.ends[first : stop - 1])
+        ends = self.ends[first // self.grouped : ceil(stop / self.grouped) - 1]
+        return Blocks(self.keys, rows, self.size, ends, self.grouped)
+
+    def end_before(self, block: int) -> tuple[Any, ...]:
+        """The last key before ``block``, the first one of a group."""
+        self._whole_groups(block, self.count)
+        return self.ends[block // self.grouped - 1]
+
+    def _whole_groups(self, first: int, stop: int) -> None:
+        if first % self.grouped or (stop % self.grouped and stop != self.count):
+            raise ValueError(f"blocks {first} to {stop} are not whole groups of {self.grouped}")
 
 
 def key_columns(df: DataFrame, keys: Sequence[SortKey]) -> list[tuple]:
@@ -126,7 +157,8 @@ def cut_blocks(
     """Cut the order of ``df`` into equal blocks of a multiple of ``align`` rows.
 
     Without ``rows_per_block``, blocks are sized by the width of the rows and by
-    the cores. ``order_by`` must be unique. ``total`` saves a pass if the row count is known.
+    the cores. More than ``SINGLE_BLOCKS`` smaller ones make ``GROUPS`` groups, or more if groups would be larger
+    than such blocks. ``order_by`` must be unique. ``total`` saves a pass if the row count is known.
     The keys are read up to four times, three if sketches give the bounds, so an expensive ``df`` should be stored
     first (``session.materialized``).
     """
@@ -144,9 +176,12 @@ def cut_blocks(
     size = max(1, ceil(target / align)) * align
     if min(size, total) > MOST_ROWS:
         raise ValueError(f"a block of {size} rows is more than can be numbered")
-    blocks = max(1, ceil(total / size))
-    if blocks == 1:
-        return Blocks(keys, total, size, [])
+    blocks, grouped = max(1, ceil(total / size)), 1
+    if rows_per_block and blocks > SINGLE_BLOCKS:
+        grouped = max(1, min(ceil(blocks / GROUPS), _rows_per_block(df, total) // size, MOST_ROWS // size))
+    groups = ceil(blocks / grouped)
+    if groups == 1:
+        return Blocks(keys, total, size, [], grouped)
 
     columns = key_columns(df, keys)
     names = [f"k{i}" for i in range(len(keys))]
@@ -154,17 +189,17 @@ def cut_blocks(
     plain_keys = renamed(keys, names)
     plain_columns = [(F.col(name), element, text) for name, (_, element, text) in zip(names, columns)]
 
-    sketched = quantiles and blocks <= SKETCHED_BLOCKS
-    bounds = quantiles if sketched else _sample_bounds(plain, plain_keys, blocks, total)
+    sketched = quantiles and groups <= SKETCHED_BLOCKS
+    bounds = quantiles if sketched else _sample_bounds(plain, plain_keys, groups, total)
     found = with_position(plain, plain_keys, plain_columns, bounds, "gap")
     counts = {row["gap"]: row["n"] for row in found.groupBy("gap").agg(F.count("*").alias("n")).collect()}
     if sum(counts.values()) != total:
         raise ValueError("the rows changed, or total is not their number")
 
-    wanted = _ranks_in_gaps(counts, [size * i for i in range(1, blocks)])
+    wanted = _ranks_in_gaps(counts, [size * grouped * i for i in range(1, groups)])
     if any(counts[gap] > MOST_ROWS for gap in wanted):
         raise ValueError("the sample left a gap with more rows than can be numbered")
-    return Blocks(keys, total, size, _keys_at(found, plain_keys, names, wanted))
+    return Blocks(keys, total, size, _keys_at(found, plain_keys, names, wanted), grouped)
 
 
 def _count_with_quantiles(keys: DataFrame, descending: bool) -> tuple[int, list[tuple]]:
@@ -270,26 +305,26 @@ def collectable(df: DataFrame, names: Sequence[str]) -> list[Column]:
     ]
 
 
-def with_block(df: DataFrame, blocks: Blocks) -> DataFrame:
-    """Add the index of each row's block, and make every block one partition.
+def with_group(df: DataFrame, blocks: Blocks) -> DataFrame:
+    """Add the index of each row's group of blocks, and make every group one partition.
 
-    Blocks go to partitions by their index; by a hash, some tasks would get
+    Groups go to partitions by their index; by a hash, some tasks would get
     several of them and others none.
 
-    A single block is treated alike, though its index is computed as zero from a
+    A single group is treated alike, though its index is computed as zero from a
     key and there is an empty second partition. With a constant, and so a single
     partition per entity, Spark would run a union of many entities in one task.
     """
     if blocks.ends:
-        marked = with_position(df, blocks.keys, key_columns(df, blocks.keys), blocks.ends, BLOCK)
+        marked = with_position(df, blocks.keys, key_columns(df, blocks.keys), blocks.ends, GROUP)
     else:
         zero = F.xxhash64(named(blocks.keys[0].name)).bitwiseAND(F.lit(0)).cast("int")
-        marked = df.withColumn(BLOCK, zero)
-    return marked.repartitionById(max(2, blocks.count), F.col(BLOCK))
+        marked = df.withColumn(GROUP, zero)
+    return marked.repartitionById(max(2, blocks.groups), F.col(GROUP))
 
 
 def rows_of_blocks(df: DataFrame, blocks: Blocks, first: int, stop: int) -> DataFrame:
-    """The rows of the blocks from ``first`` up to ``stop``.
+    """The rows of the blocks from ``first`` up to ``stop``, whole groups.
 
     The leading key is bounded on its own as well, so that a scan of sorted files skips the rest.
     """
@@ -308,9 +343,11 @@ def rows_of_blocks(df: DataFrame, blocks: Blocks, first: int, stop: int) -> Data
         return values[0] >= bound
 
     if first > 0:
-        df = df.filter(lead_at(blocks.ends[first - 1], True) & behind(blocks.ends[first - 1]))
+        end = blocks.end_before(first)
+        df = df.filter(lead_at(end, True) & behind(end))
     if stop < blocks.count:
-        df = df.filter(lead_at(blocks.ends[stop - 1], False) & ~behind(blocks.ends[stop - 1]))
+        end = blocks.end_before(stop)
+        df = df.filter(lead_at(end, False) & ~behind(end))
     return df
 
 
@@ -325,7 +362,15 @@ def stored_key(df: DataFrame, keys: Sequence[SortKey], key: Sequence[Any]) -> li
 
 
 def keys_by_block(spark: SparkSession, df: DataFrame, blocks: Blocks) -> DataFrame:
-    """``(block, k0, k1, ...)``: the last key of every block but the last, as it is compared with."""
+    """``(block, k0, k1, ...)``: the last key of every block but the last, as it is compared with.
+
+    Within groups the cut does not know it: it is found by a pass over the keys.
+    """
+    if blocks.grouped > 1:
+        numbered = number_in_blocks(df.select(*[named(key.name) for key in blocks.keys]), blocks, "__number")
+        last = (F.col("__number") % blocks.size == 0) & (F.col(BLOCK) < blocks.count - 1)
+        ends = [col.alias(f"k{i}") for i, (col, _, _) in enumerate(key_columns(df, blocks.keys))]
+        return numbered.filter(last).select(F.col(BLOCK).alias("block"), *ends)
     numbers = spark.range(0, len(blocks.ends), 1, 1).select(F.col("id").cast("int").alias("block"))
     arrays = [
         F.get(literal_array([end[i] for end in blocks.ends], element, text), F.col("block")).alias(f"k{i}")
@@ -345,21 +390,24 @@ def compared_key(spark: SparkSession, schema: T.StructType, keys: Sequence[SortK
 
 
 def number_in_blocks(df: DataFrame, blocks: Blocks, out: str) -> DataFrame:
-    """Number the rows of ``df`` from 1; keeps the block column.
+    """Number the rows of ``df`` from 1; adds the index of the block, and that of the group, by which they are partitioned.
 
     Equal sort keys would leave their order, and with it the numbers, to chance
     when a task is repeated. They are adjacent here, so they are found for free
     and fail the job.
     """
-    in_block = W.partitionBy(BLOCK).orderBy(*sort_columns(blocks.keys))
+    in_group = W.partitionBy(GROUP).orderBy(*sort_columns(blocks.keys))
     values = [named(key.name) for key in blocks.keys]
-    rank = F.row_number().over(in_block)
-    repeated = (rank > 1) & all_equal([F.lag(value).over(in_block) for value in values], values)
-    number = F.col(BLOCK) * F.lit(blocks.size).cast("bigint") + rank
+    rank = F.row_number().over(in_group)
+    repeated = (rank > 1) & all_equal([F.lag(value).over(in_group) for value in values], values)
+    number = F.col(GROUP) * F.lit(blocks.grouped * blocks.size).cast("bigint") + rank
     names = ", ".join(key.name for key in blocks.keys)
-    return with_block(df, blocks).withColumn(
+    numbered = with_group(df, blocks).withColumn(
         out, F.when(repeated, F.raise_error(F.lit(f"order_by is not unique: {names}"))).otherwise(number)
     )
+    if blocks.grouped == 1:
+        return numbered.withColumn(BLOCK, F.col(GROUP))
+    return numbered.withColumn(BLOCK, F.floor((F.col(out) - 1) / F.lit(blocks.size)).cast("int"))
 
 
 def number_rows(
@@ -371,4 +419,4 @@ def number_rows(
 ) -> DataFrame:
     """Add the position of each row in ``order_by``, from 1."""
     blocks = cut_blocks(df, order_by, rows_per_block=rows_per_block, total=total)
-    return number_in_blocks(df, blocks, out).drop(BLOCK)
+    return number_in_blocks(df, blocks, out).drop(GROUP, BLOCK)

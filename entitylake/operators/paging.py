@@ -16,6 +16,7 @@ from entitylake.functions.ordering import OrderBy, SortKey, after_row, sort_colu
 from entitylake.operators.documents import STATUS, data_only
 from entitylake.operators.numbering import (
     BLOCK,
+    GROUP,
     Blocks,
     cut_blocks,
     number_in_blocks,
@@ -58,7 +59,7 @@ def paginate(
     total: int | None = None,
 ) -> DataFrame:
     """Add ``page_number`` (from 1, ``size`` rows per page) and the row's ``position``."""
-    return _cut(df, order_by, size, rows_per_block, total).rows.drop(BLOCK)
+    return _cut(df, order_by, size, rows_per_block, total).rows.drop(GROUP, BLOCK)
 
 
 def page_link(entity: Column, number: Column, pages: int) -> Column:
@@ -77,7 +78,7 @@ def all_pages(
 ) -> DataFrame:
     """Every page as one envelope row: entity, page number, records, link.
 
-    Blocks hold whole pages, so grouping by (block, page) stays in the tasks
+    Blocks hold whole pages, so grouping by (group, block, page) stays in the tasks
     that numbered the rows: the records are shuffled once. An empty entity has
     one page without records.
     """
@@ -86,7 +87,7 @@ def all_pages(
 
 
 def pages_of_blocks(df: DataFrame, entity: str, blocks: Blocks, size: int, first: int, stop: int) -> DataFrame:
-    """The envelopes of some consecutive blocks of a cut, with the block of each."""
+    """The envelopes of some consecutive blocks of a cut, in whole groups, with the block of each."""
     pages = -(-blocks.total // size)
     name, number = F.lit(entity), F.col(PAGE_NUMBER)
     fields = [BLOCK, name.alias(ENTITY), number, F.col(VALUE), page_link(name, number, max(1, pages)).alias(NEXT_LINK)]
@@ -101,7 +102,7 @@ def pages_of_blocks(df: DataFrame, entity: str, blocks: Blocks, size: int, first
     in_order = F.sort_array(F.collect_list(F.struct(F.col(POSITION), record.alias("record"))))
     numbered = rows.withColumn(PAGE_NUMBER, _page_of(F.col(POSITION), size))
     value = F.transform(in_order, lambda item: item["record"]).alias(VALUE)
-    return numbered.groupBy(BLOCK, PAGE_NUMBER).agg(value).select(*fields)
+    return numbered.groupBy(GROUP, BLOCK, PAGE_NUMBER).agg(value).select(*fields)
 
 
 def page_links(df: DataFrame, entity: str, size: int = PAGE_SIZE) -> DataFrame:

@@ -65,11 +65,12 @@ class Run:
                 self.files.remove(f"parts/{name}/{old}")
             clear_entity(self.spark, self.path, entity)
             ends = [stored_key(df, blocks.keys, end) for end in blocks.ends]
-            self.files.put(f"cuts/{name}", json.dumps({**shape, "total": blocks.total, "rows": blocks.size, "ends": ends}))
+            cut = {**shape, "total": blocks.total, "rows": blocks.size, "grouped": blocks.grouped, "ends": ends}
+            self.files.put(f"cuts/{name}", json.dumps(cut))
         written = set(self.files.names(f"parts/{name}"))
-        for first in range(0, blocks.count, blocks_per_job):
+        for first, stop in blocks.parts(blocks_per_job):
             if str(first) not in written:
-                write_blocks(df, entity, blocks, self.path, size, first, min(first + blocks_per_job, blocks.count))
+                write_blocks(df, entity, blocks, self.path, size, first, stop)
                 self.files.put(f"parts/{name}/{first}", "")
         write_index(df, entity, blocks, self.path, size)
         told = {ENTITY: entity, "records": blocks.total, "blocks": blocks.count}
@@ -83,4 +84,5 @@ class Run:
         cut = json.loads(text)
         if any(cut[key] != value for key, value in shape.items()) or cut["total"] != df.count():
             return None
-        return Blocks(sort_keys(order_by), cut["total"], cut["rows"], [tuple(end) for end in cut["ends"]])
+        ends = [tuple(end) for end in cut["ends"]]
+        return Blocks(sort_keys(order_by), cut["total"], cut["rows"], ends, cut.get("grouped", 1))

@@ -4,7 +4,8 @@
 of an entity is a table below ``_index`` with a row per block: its directory, its first and last
 page, and the last key in it, so that a page, or the page behind a key, is found by reading one
 or two directories; the rest of the entity is not even listed. All of it comes from the cut that
-numbered the rows, so the index costs no pass over the data. Readers that know nothing of the index
+numbered the rows, so the index costs no pass over the data, but where many small blocks were cut in
+groups one over the keys. Readers that know nothing of the index
 read the same lake.
 
 The index is removed before its entity is written again and written last: an entity with an index
@@ -83,8 +84,8 @@ def save_entity(
     """Save all pages of an entity with their index; what the lake had of it before is removed."""
     blocks = cut_blocks(df, order_by, align=size, rows_per_block=rows_per_block)
     clear_entity(df.sparkSession, path, entity)
-    for first in range(0, blocks.count, blocks_per_job):
-        write_blocks(df, entity, blocks, path, size, first, min(first + blocks_per_job, blocks.count))
+    for first, stop in blocks.parts(blocks_per_job):
+        write_blocks(df, entity, blocks, path, size, first, stop)
     write_index(df, entity, blocks, path, size)
     return blocks
 

@@ -156,3 +156,50 @@ def test_many_blocks_are_sampled(table):
     blocks = numbering.cut_blocks(table, "id", rows_per_block=10)
     assert blocks.count == 300 > numbering.SKETCHED_BLOCKS
     assert blocks.ends == [(10 * i - 1,) for i in range(1, 300)]
+
+
+@pytest.mark.parametrize("order", ["id", "text desc, id"])
+@pytest.mark.parametrize("groups", [1, 5])
+def test_very_many_blocks_go_to_tasks_in_groups(table, order, groups, monkeypatch):
+    """No bound, end or task for each of them; numbers, blocks and last keys are those of single blocks."""
+    monkeypatch.setattr(numbering, "GROUPS", groups)
+    blocks = numbering.cut_blocks(table, order, rows_per_block=2)
+    assert blocks.count == 1500 > numbering.SINGLE_BLOCKS
+    assert len(blocks.ends) + 1 == blocks.groups == groups
+    numbered = numbering.number_in_blocks(table, blocks, "n")
+    assert numbered.rdd.getNumPartitions() <= max(2, groups)
+    window = W.orderBy(*sort_columns(sort_keys(order)))
+    expected = table.withColumn("n", F.row_number().over(window).cast("bigint")).select("id", "n").collect()
+    got = numbered.select("id", "n", numbering.BLOCK).collect()
+    assert sorted((r["id"], r["n"]) for r in got) == sorted(map(tuple, expected))
+    assert all(r[numbering.BLOCK] == (r["n"] - 1) // 2 for r in got)
+    last = {(r["n"] - 1) // 2: r["id"] for r in expected if r["n"] % 2 == 0 and r["n"] < 3000}
+    ends = numbering.keys_by_block(table.sparkSession, table, blocks)
+    assert {r["block"]: r["k0" if order == "id" else "k1"] for r in ends.collect()} == last
+
+
+def test_groups_are_no_larger_than_a_task_needs(table, monkeypatch):
+    monkeypatch.setattr(numbering, "GROUPS", 2)
+    monkeypatch.setattr(numbering, "_rows_per_block", lambda *_: 100)
+    blocks = numbering.cut_blocks(table, "id", rows_per_block=2)
+    assert (blocks.grouped, blocks.groups, len(blocks.ends)) == (50, 30, 29)
+
+
+def test_parts_are_whole_groups(table, monkeypatch):
+    monkeypatch.setattr(numbering, "GROUPS", 5)
+    blocks = numbering.cut_blocks(table, "id", rows_per_block=2)
+    assert blocks.grouped == 300
+    assert blocks.parts(800) == [(0, 600), (600, 1200), (1200, 1500)]
+    assert blocks.parts(1)[:2] == [(0, 300), (300, 600)]
+    part = numbering.number_in_blocks(numbering.rows_of_blocks(table, blocks, 600, 1200), blocks.part(600, 1200), "n")
+    assert {r["id"]: r["n"] for r in part.select("id", "n").collect()} == {i: i - 1199 for i in range(1200, 2400)}
+    with pytest.raises(ValueError, match="whole groups"):
+        blocks.part(600, 1000)
+    with pytest.raises(ValueError, match="whole groups"):
+        numbering.rows_of_blocks(table, blocks, 1, 600)
+
+
+def test_repeated_keys_in_a_group_fail_in_the_job(table):
+    twice = table.select("id").union(table.select("id").filter("id = 2000"))
+    with pytest.raises(Exception, match="not unique: id"):
+        numbering.number_rows(twice, "id", rows_per_block=2).collect()

@@ -6,7 +6,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from entitylake.operators import paging
+from entitylake.operators import numbering, paging
 from entitylake.schemas import NEXT_LINK, VALUE
 
 
@@ -38,6 +38,17 @@ def test_records_are_shuffled_once(table):
     assert "SinglePartition" not in plan
 
 
+def test_pages_of_very_many_blocks(table, monkeypatch):
+    """Blocks of two pages each, many of them to a task: the same pages, and the records are shuffled once."""
+    monkeypatch.setattr(numbering, "GROUPS", 5)
+    expected = paging.all_pages(table, "things", "k desc, id", 2)
+    found = paging.all_pages(table, "things", "k desc, id", 2, rows_per_block=4)
+    plan = plan_of(found)
+    assert plan.count("Exchange") == 1 and "SinglePartition" not in plan
+    assert found.rdd.getNumPartitions() <= 5
+    assert found.columns == expected.columns and rows(found) == rows(expected)
+
+
 def test_unpage_gives_the_records_back(table):
     pages = paging.all_pages(table, "things", "id", 300, rows_per_block=600)
     assert rows(paging.records_of(pages)) == rows(table)
