@@ -49,6 +49,14 @@ def test_pages_of_very_many_blocks(table, monkeypatch):
     assert found.columns == expected.columns and rows(found) == rows(expected)
 
 
+def test_numbers_of_very_many_blocks(table, monkeypatch):
+    monkeypatch.setattr(numbering, "GROUPS", 5)
+    numbered = paging.paginate(table, "k desc, id", 2, rows_per_block=4)
+    assert numbered.columns == [*table.columns, "position", "page_number"]
+    assert numbered.rdd.getNumPartitions() <= 5
+    assert rows(numbered) == rows(paging.paginate(table, "k desc, id", 2))
+
+
 def test_unpage_gives_the_records_back(table):
     pages = paging.all_pages(table, "things", "id", 300, rows_per_block=600)
     assert rows(paging.records_of(pages)) == rows(table)
