@@ -9,7 +9,7 @@ from helpers import rows
 from pyspark.sql import functions as F
 
 from entitylake import Lake
-from entitylake.operators import paging
+from entitylake.operators import numbering, paging
 from entitylake.plans.extract import Collection, extract_all
 from entitylake.plans.runs import Run
 from entitylake.sources import pageindex, pages
@@ -150,6 +150,36 @@ def test_rows_that_changed_start_anew(spark, things, tmp_path):
     assert rows(paging.records_of(pages.read_pages(spark, path, things.schema))) == rows(fewer)
 
 
+@pytest.mark.parametrize("order", ["id", "kind desc, at desc, id"])
+def test_an_index_of_blocks_cut_in_groups(spark, things, tmp_path, order, monkeypatch):
+    """The cut knows the ends of groups alone; directories, pages and the index are still those of blocks."""
+    monkeypatch.setattr(numbering, "SINGLE_BLOCKS", 4)
+    monkeypatch.setattr(numbering, "GROUPS", 3)
+    path = str(tmp_path / "lake")
+    blocks = pageindex.save_entity(things, "things", order, path, 5, rows_per_block=10, blocks_per_job=5)
+    assert (blocks.count, blocks.grouped, len(blocks.ends)) == (10, 4, 2)
+    expected = rows(paging.all_pages(things, "things", order, 5).select("page_number", "value", "`@odata.nextLink`"))
+    saved = pages.read_pages(spark, path, things.schema, "things")
+    assert rows(saved.select("page_number", "value", "`@odata.nextLink`")) == expected
+    found = pageindex.saved_pages(spark, path, "things", 9, record=things.schema)
+    assert [r["page_number"] for r in found.collect()] == [9] and files(found) == {"block=4"}
+
+
+def test_a_stopped_entity_of_groups_goes_on(spark, things, tmp_path, monkeypatch):
+    monkeypatch.setattr(numbering, "SINGLE_BLOCKS", 4)
+    monkeypatch.setattr(numbering, "GROUPS", 3)
+    path, sizes = str(tmp_path / "lake"), {"rows_per_block": 10, "blocks_per_job": 4}
+    bad = things.withColumn("kind", F.when(F.col("id") == 60, F.raise_error(F.lit("lost"))).otherwise(F.col("kind")).cast("int"))
+    with pytest.raises(Exception, match="lost"):
+        Run(spark, path, "r").save(bad, "things", "id", 5, **sizes)
+    before = written(path)
+    assert {os.path.basename(os.path.dirname(name)) for name in before} == {f"block={i}" for i in range(4)}
+    assert Run(spark, path, "r").save(things, "things", "id", 5, **sizes)
+    after = written(path)
+    assert all(after[name] == state for name, state in before.items())
+    assert rows(paging.records_of(pages.read_pages(spark, path, things.schema))) == rows(things)
+
+
 def test_files_appear_whole_and_once(spark, tmp_path):
     files = Files(spark, str(tmp_path / "notes"))
     assert files.names() == [] and files.get("a") is None
