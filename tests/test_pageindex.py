@@ -165,6 +165,20 @@ def test_an_index_of_blocks_cut_in_groups(spark, things, tmp_path, order, monkey
     assert [r["page_number"] for r in found.collect()] == [9] and files(found) == {"block=4"}
 
 
+@pytest.mark.parametrize("order", ["id", "kind desc, at desc, id"])
+def test_the_page_behind_a_key_where_blocks_were_cut_in_groups(spark, things, tmp_path, order, monkeypatch):
+    """The index has the last keys within groups as well, so no more than two blocks are read."""
+    monkeypatch.setattr(numbering, "SINGLE_BLOCKS", 4)
+    monkeypatch.setattr(numbering, "GROUPS", 3)
+    path = str(tmp_path / "lake")
+    pageindex.save_entity(things, "things", order, path, 5, rows_per_block=10)
+    ordered = paging.first_page(things, order, 1000).collect()
+    for i in (9, 10, 50, 93):
+        found = pageindex.saved_page_behind(spark, path, "things", things.schema, order, ordered[i].asDict(), 5)
+        assert found.collect() == ordered[i + 1 : i + 6]
+        assert len(files(found)) <= 2
+
+
 def test_a_stopped_entity_of_groups_goes_on(spark, things, tmp_path, monkeypatch):
     monkeypatch.setattr(numbering, "SINGLE_BLOCKS", 4)
     monkeypatch.setattr(numbering, "GROUPS", 3)
