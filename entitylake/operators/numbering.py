@@ -128,23 +128,26 @@ def with_position(
 ) -> DataFrame:
     """Add the number of bounds that sort strictly before each row (binary search).
 
-    Each halving step is a projection of its own: Spark keeps them apart, as
-    every step uses the previous one more than once, and compiles them together.
+    A halving step compares with one of the bounds at odd multiples of its width, and only these are in
+    its literals, so that the plan holds every bound once. The bound is a projection of its own, and so is
+    the step: Spark keeps them apart, as each is used more than once, and compiles them together.
     Do not filter or join on the result: Spark would unfold all steps into the
     condition.
     """
-    df = df.withColumn(out, F.lit(0))
-    arrays = [
-        literal_array([bound[i] for bound in bounds], element, text)
-        for i, (_, element, text) in enumerate(columns)
-    ]
     values = [col for col, _, _ in columns]
+    at = [f"{out}_at{i}" for i in range(len(columns))]
+    df = df.withColumn(out, F.lit(0))
     for step in (1 << i for i in reversed(range(len(bounds).bit_length()))):
-        reached = F.col(out) + step
-        found = [F.get(array, reached - 1) for array in arrays]
-        behind = (reached <= len(bounds)) & sorts_after(keys, values, found)
-        df = df.withColumn(out, F.when(behind, reached).otherwise(F.col(out)))
-    return df
+        spot = F.shiftright(F.col(out), step.bit_length())
+        picked = bounds[step - 1 :: 2 * step]
+        found = {
+            name: F.get(literal_array([bound[i] for bound in picked], element, text), spot)
+            for i, (name, (_, element, text)) in enumerate(zip(at, columns))
+        }
+        behind = (F.col(out) + step <= len(bounds)) & sorts_after(keys, values, list(map(F.col, at)))
+        position = F.when(behind, F.col(out) + step).otherwise(F.col(out))
+        df = df.withColumns(found).withColumn(out, position)
+    return df.drop(*at)
 
 
 def cut_blocks(

@@ -203,3 +203,29 @@ def test_repeated_keys_in_a_group_fail_in_the_job(table):
     twice = table.select("id").union(table.select("id").filter("id = 2000"))
     with pytest.raises(Exception, match="not unique: id"):
         numbering.number_rows(twice, "id", rows_per_block=2).collect()
+
+
+def test_the_plan_holds_every_bound_once(table):
+    """Not once for every step of the search and every comparison in it."""
+    keys = sort_keys("text, id desc")
+    bounds = [(f"bound-{i:04}", 7_000_000 + i) for i in range(1000)]
+    found = numbering.with_position(table, keys, numbering.key_columns(table, keys), bounds, "gap")
+    assert found.columns == [*table.columns, "gap"]
+    plan = plan_of(found.groupBy("gap").count())
+    times = [max(plan.count(text), plan.count(str(number))) for text, number in bounds]
+    # the first step compares with the same bound for all rows, a constant
+    assert times[:511] + times[512:] == [1] * 999
+
+
+@pytest.mark.parametrize("n_bounds", [0, 1, 2, 3, 4, 7, 8, 9, 64])
+@pytest.mark.parametrize("order", ["num, id", "num desc, id desc"])
+def test_positions_among_any_number_of_bounds(table, order, n_bounds):
+    keys = sort_keys(order)
+    some = table.filter("id < 400").select("id", "num")
+    ordered = [tuple(row) for row in some.orderBy(*sort_columns(keys)).select("num", "id").collect()]
+    places = sorted({(i + 1) * len(ordered) // (n_bounds + 1) for i in range(n_bounds)})
+    bounds = [ordered[place] for place in places]
+    assert len(bounds) == n_bounds
+    found = numbering.with_position(some, keys, numbering.key_columns(some, keys), bounds, "gap")
+    got = {row["id"]: row["gap"] for row in found.collect()}
+    assert got == {id: sum(place < at for place in places) for at, (_, id) in enumerate(ordered)}
