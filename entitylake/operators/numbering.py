@@ -124,32 +124,67 @@ def renamed(keys: Sequence[SortKey], names: Sequence[str]) -> list[SortKey]:
 
 
 def with_position(
-    df: DataFrame, keys: Sequence[SortKey], columns: Sequence[tuple], bounds: Sequence[tuple], out: str
+    df: DataFrame,
+    keys: Sequence[SortKey],
+    columns: Sequence[tuple],
+    bounds: Sequence[tuple],
+    out: str,
+    by_leading: bool = False,
 ) -> DataFrame:
     """Add the number of bounds that sort strictly before each row (binary search).
 
-    A halving step compares with one of the bounds at odd multiples of its width, and only these are in
-    its literals, so that the plan holds every bound once. The bound is a projection of its own, and so is
-    the step: Spark keeps them apart, as each is used more than once, and compiles them together.
+    A halving step meets one of the bounds at odd multiples of its width, and only these are in
+    its literals, so that the plan holds every bound once, or twice. The bound is a projection of its own, and
+    so is the step: Spark keeps them apart, as each is used more than once, and compiles them together.
     Do not filter or join on the result: Spark would unfold all steps into the
     condition.
+
+    ``by_leading`` searches by as many leading columns as tell the bounds apart; of all bounds, only the next
+    one can then have the values of the row in them, and it is compared with by all columns at the end. It is for
+    rows that have more than keys: their steps become a single method, which is slow if it is large. Rows
+    of keys alone have a method for every step, as long as the step compares all columns.
     """
-    values = [col for col, _, _ in columns]
     at = [f"{out}_at{i}" for i in range(len(columns))]
-    df = df.withColumn(out, F.lit(0))
-    for step in (1 << i for i in reversed(range(len(bounds).bit_length()))):
-        spot = F.shiftright(F.col(out), step.bit_length())
-        picked = bounds[step - 1 :: 2 * step]
+    collations = _collations(df, keys)
+
+    def moved(df: DataFrame, width: int, picked: Sequence[tuple], spot: Column, step: int) -> DataFrame:
         found = {
             name: F.get(literal_array([bound[i] for bound in picked], element, text), spot)
-            for i, (name, (_, element, text)) in enumerate(zip(at, columns))
+            for i, (name, (_, element, text)) in enumerate(zip(at[:width], columns))
         }
-        behind = (F.col(out) + step <= len(bounds)) & sorts_after(keys, values, list(map(F.col, at)))
-        position = F.when(behind, F.col(out) + step).otherwise(F.col(out))
-        df = df.withColumns(found).withColumn(out, position)
+        found |= {name: F.collate(found[name], how) for name, how in zip(at[:width], collations) if how}
+        values = [col for col, _, _ in columns[:width]]
+        behind = (F.col(out) + step <= len(bounds)) & sorts_after(keys[:width], values, list(map(F.col, at[:width])))
+        return df.withColumns(found).withColumn(out, F.when(behind, F.col(out) + step).otherwise(F.col(out)))
+
+    # where a collation decides what is equal, all columns are needed
+    leading = _telling_apart(bounds, len(keys)) if by_leading and not any(collations) else len(keys)
+    df = df.withColumn(out, F.lit(0))
+    for step in (1 << i for i in reversed(range(len(bounds).bit_length()))):
+        df = moved(df, leading, bounds[step - 1 :: 2 * step], F.shiftright(F.col(out), step.bit_length()), step)
+    if bounds and leading < len(columns):
+        # not the bare column, for which Spark would put the literals into every comparison
+        df = moved(df, len(columns), bounds, F.least(F.col(out), F.lit(len(bounds) - 1)), 1)
     return df.drop(*at)
 
 
+def _collations(df: DataFrame, keys: Sequence[SortKey]) -> list[str | None]:
+    """The collation of each sort column, if it is text in another one than the usual."""
+    types = [df.schema[key.name].dataType for key in keys]
+    own = [dtype.collation if isinstance(dtype, T.StringType) else None for dtype in types]
+    return [None if how == T.StringType().collation else how for how in own]
+
+
+def _telling_apart(bounds: Sequence[tuple], most: int) -> int:
+    """How many leading columns are enough to tell the bounds, given in order, from each other."""
+    shared = 0
+    for one, other in zip(bounds, bounds[1:]):
+        # a NaN equals a NaN in Spark
+        alike = [x == y or (x != x and y != y) for x, y in zip(one, other)]
+        shared = max(shared, alike.index(False) if False in alike else len(alike))
+    return min(shared + 1, most)
+
+
 def cut_blocks(
     df: DataFrame,
     order_by: OrderBy,
@@ -319,7 +354,8 @@ def with_group(df: DataFrame, blocks: Blocks) -> DataFrame:
     partition per entity, Spark would run a union of many entities in one task.
     """
     if blocks.ends:
-        marked = with_position(df, blocks.keys, key_columns(df, blocks.keys), blocks.ends, GROUP)
+        wide = len(df.columns) > len(blocks.keys)
+        marked = with_position(df, blocks.keys, key_columns(df, blocks.keys), blocks.ends, GROUP, by_leading=wide)
     else:
         zero = F.xxhash64(named(blocks.keys[0].name)).bitwiseAND(F.lit(0)).cast("int")
         marked = df.withColumn(GROUP, zero)

@@ -205,27 +205,52 @@ def test_repeated_keys_in_a_group_fail_in_the_job(table):
         numbering.number_rows(twice, "id", rows_per_block=2).collect()
 
 
-def test_the_plan_holds_every_bound_once(table):
+def test_the_plan_holds_a_bound_once_or_twice(table):
     """Not once for every step of the search and every comparison in it."""
     keys = sort_keys("text, id desc")
     bounds = [(f"bound-{i:04}", 7_000_000 + i) for i in range(1000)]
-    found = numbering.with_position(table, keys, numbering.key_columns(table, keys), bounds, "gap")
-    assert found.columns == [*table.columns, "gap"]
-    plan = plan_of(found.groupBy("gap").count())
-    times = [max(plan.count(text), plan.count(str(number))) for text, number in bounds]
-    # the first step compares with the same bound for all rows, a constant
-    assert times[:511] + times[512:] == [1] * 999
 
+    def times(**options):
+        found = numbering.with_position(table, keys, numbering.key_columns(table, keys), bounds, "gap", **options)
+        assert found.columns == [*table.columns, "gap"]
+        plan = plan_of(found.groupBy("gap").count())
+        counts = [(plan.count(text), plan.count(str(number))) for text, number in bounds]
+        # the first step compares with the same bound for all rows, a constant
+        return set(counts[:511] + counts[512:])
 
-@pytest.mark.parametrize("n_bounds", [0, 1, 2, 3, 4, 7, 8, 9, 64])
-@pytest.mark.parametrize("order", ["num, id", "num desc, id desc"])
+    assert times() == {(1, 1)}
+    assert times(by_leading=True) == {(2, 1)}
+
+
+@pytest.mark.parametrize("n_bounds", [0, 1, 2, 7, 8, 63])
+@pytest.mark.parametrize("order", ["num desc, id desc", "id desc, num"])
 def test_positions_among_any_number_of_bounds(table, order, n_bounds):
     keys = sort_keys(order)
     some = table.filter("id < 400").select("id", "num")
-    ordered = [tuple(row) for row in some.orderBy(*sort_columns(keys)).select("num", "id").collect()]
-    places = sorted({(i + 1) * len(ordered) // (n_bounds + 1) for i in range(n_bounds)})
-    bounds = [ordered[place] for place in places]
-    assert len(bounds) == n_bounds
-    found = numbering.with_position(some, keys, numbering.key_columns(some, keys), bounds, "gap")
+    ordered = [tuple(row) for row in some.orderBy(*sort_columns(keys)).select(*[key.name for key in keys]).collect()]
+    places = [(i + 1) * len(ordered) // (n_bounds + 1) for i in range(n_bounds)]
+    columns, bounds = numbering.key_columns(some, keys), [ordered[i] for i in places]
+    found = numbering.with_position(some, keys, columns, bounds, "gap", by_leading=n_bounds % 2 > 0)
     got = {row["id"]: row["gap"] for row in found.collect()}
-    assert got == {id: sum(place < at for place in places) for at, (_, id) in enumerate(ordered)}
+    at = [key.name for key in keys].index("id")
+    assert got == {row[at]: sum(place < rank for place in places) for rank, row in enumerate(ordered)}
+
+
+def test_columns_that_tell_bounds_apart():
+    nan = float("nan")
+
+    def needed(*bounds):
+        return numbering._telling_apart(bounds, 3)
+
+    assert needed() == needed((1.0, 1, "x")) == 1
+    assert needed((1.0, 1, "x"), (2.0, 1, "x"), (3.0, 1, "x")) == 1
+    assert needed((None, 1, "x"), (None, 2, "x"), (0.5, 1, "x")) == 2
+    assert needed((-0.0, 1, "x"), (0.0, 2, "x")) == needed((nan, 1, "x"), (float("nan"), 2, "x")) == 2
+    assert needed((1.0, 1, "x"), (1.0, 1, "y")) == needed((1.0, 1, "x"), (1.0, 1, "x")) == 3
+
+
+def test_positions_where_a_collation_makes_bounds_alike(spark):
+    df = spark.createDataFrame([("a", 1), ("A", 2), ("a", 3), ("A", 4), ("b", 5)], "d string collate UTF8_LCASE, n long")
+    keys = sort_keys("d, n")
+    found = numbering.with_position(df, keys, numbering.key_columns(df, keys), [("a", 1), ("A", 2), ("a", 3)], "gap")
+    assert {row["n"]: row["gap"] for row in found.collect()} == {1: 0, 2: 1, 3: 2, 4: 3, 5: 3}
