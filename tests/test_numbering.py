@@ -254,3 +254,12 @@ def test_positions_where_a_collation_makes_bounds_alike(spark):
     keys = sort_keys("d, n")
     found = numbering.with_position(df, keys, numbering.key_columns(df, keys), [("a", 1), ("A", 2), ("a", 3)], "gap")
     assert {row["n"]: row["gap"] for row in found.collect()} == {1: 0, 2: 1, 3: 2, 4: 3, 5: 3}
+
+
+def test_numbered_rows_have_few_copies_of_the_ends_in_their_plan(table):
+    """As the lake of ``saved_page_behind`` is written: wide rows, ends of several columns."""
+    ends = [(7_000_000 + i, f"end-{i:03}") for i in range(255)]
+    blocks = numbering.Blocks(sort_keys("id, text desc"), 256, 1, ends)
+    plan = plan_of(numbering.number_in_blocks(table, blocks, "n"))
+    assert max(plan.count(text) for _, text in ends) == 1
+    assert sum(plan.count(str(number)) for number, _ in ends) < 2.1 * len(ends)
