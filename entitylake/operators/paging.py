@@ -99,10 +99,13 @@ def pages_of_blocks(df: DataFrame, entity: str, blocks: Blocks, size: int, first
     rows = number_in_blocks(rows_of_blocks(df, blocks, first, stop), part, POSITION)
     rows = rows.withColumn(POSITION, F.col(POSITION) + first * blocks.size).withColumn(BLOCK, F.col(BLOCK) + first)
     record = F.struct(*[named(name) for name in df.columns])
-    in_order = F.sort_array(F.collect_list(F.struct(F.col(POSITION), record.alias("record"))))
     numbered = rows.withColumn(PAGE_NUMBER, _page_of(F.col(POSITION), size))
+    # a task collects many pages at a time: items from a projection of their own are packed rows, those that
+    # the aggregate makes itself are an object for every value
+    items = numbered.select(GROUP, BLOCK, PAGE_NUMBER, F.struct(F.col(POSITION), record.alias("record")).alias("item"))
+    in_order = F.sort_array(F.collect_list("item"))
     value = F.transform(in_order, lambda item: item["record"]).alias(VALUE)
-    return numbered.groupBy(GROUP, BLOCK, PAGE_NUMBER).agg(value).select(*fields)
+    return items.groupBy(GROUP, BLOCK, PAGE_NUMBER).agg(value).select(*fields)
 
 
 def page_links(df: DataFrame, entity: str, size: int = PAGE_SIZE) -> DataFrame:

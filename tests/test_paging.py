@@ -49,6 +49,12 @@ def test_pages_of_very_many_blocks(table, monkeypatch):
     assert found.columns == expected.columns and rows(found) == rows(expected)
 
 
+def test_records_are_packed_before_they_are_collected(table):
+    """As the lake of ``saved_page_behind`` is written; the aggregate would hold an object for every value of its pages."""
+    plan = plan_of(paging.all_pages(table, "things", "id", 100, rows_per_block=500))
+    assert "collect_list(item#" in plan and "collect_list(struct(" not in plan
+
+
 def test_numbers_of_very_many_blocks(table, monkeypatch):
     monkeypatch.setattr(numbering, "GROUPS", 5)
     numbered = paging.paginate(table, "k desc, id", 2, rows_per_block=4)
